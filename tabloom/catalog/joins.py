@@ -1 +1,267 @@
-"""."""
+"""Joins, match reports, similarity joins."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tabloom.catalog.base import CLAIMS, Tables, as_int, as_long, claims, query, rd
+from tabloom.operators import joins as J
+from tabloom.operators import similarity as N
+from tabloom.operators.similarity import as_double
+
+
+@query("d01_dimension_join", """
+select l_orderkey, l_linenumber, p_brand, p_type, round(l_extendedprice, 2) as price
+from lineitem join part on l_partkey = p_partkey""")
+def d01(t: Tables):
+    fact = t.lineitem.withColumnRenamed("l_partkey", "P_PartKey")
+    return J.dimension_join(fact, t.part, ["p_partkey"]).select(
+        "l_orderkey", "l_linenumber", "p_brand", "p_type", rd("l_extendedprice", 2).alias("price"))
+
+
+@query("d01_salted_join", """
+select p_brand, count(*) as n, round(sum(l_extendedprice), 2) as price
+from lineitem join part on l_partkey = p_partkey group by p_brand""")
+def d01s(t: Tables):
+    fact = t.lineitem.select(F.col("l_partkey").alias("p_partkey"), "l_extendedprice", "l_orderkey")
+    joined = J.dimension_join(fact, t.part.select("p_partkey", "p_brand"), ["p_partkey"], rows=0)
+    return joined.groupBy("p_brand").agg(F.count("*").alias("n"), rd(F.sum("l_extendedprice"), 2).alias("price"))
+
+
+# three sources: customers (some nation keys blanked), nations, order aggregates
+_BASE = """(select c_custkey, c_name as name, c_acctbal,
+  case when c_custkey % 11 = 0 then null else c_nationkey end as c_nationkey from customer)"""
+_INNER = """(select o_custkey as c_custkey, count(*) as n_orders, avg(o_totalprice) as mean_price
+  from orders group by o_custkey having avg(o_totalprice) > 200000)"""
+
+
+def _sources(t: Tables):
+    base = t.customer.select("c_custkey", F.col("c_name").alias("name"), "c_acctbal",
+                             F.when(F.col("c_custkey") % 11 != 0, F.col("c_nationkey")).alias("c_nationkey"))
+    left = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("name"), "n_regionkey")
+    inner = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count("*").alias("n_orders"), F.avg("o_totalprice").alias("mean_price")).where(F.col("mean_price") > 200000)
+    return base, left, inner
+
+
+@query("d02_three_way_merge", f"""
+select b.c_custkey, b.c_nationkey, b.name as name_base, n.n_name as name_left, n.n_regionkey, i.n_orders,
+  round(i.mean_price, 8) as mean_price, cast(n.n_nationkey is not null as integer) as matched
+from {_BASE} b left join nation n on b.c_nationkey = n.n_nationkey join {_INNER} i on i.c_custkey = b.c_custkey""")
+def d02(t: Tables):
+    base, left, inner = _sources(t)
+    return J.three_way_merge(base, left, "c_nationkey", inner, "c_custkey").select(
+        "c_custkey", "c_nationkey", "name_base", "name_left", "n_regionkey", "n_orders", rd("mean_price", 8).alias("mean_price"),
+        as_int(F.coalesce("_matched", F.lit(False))).alias("matched"))
+
+
+@query("d02_merge_report", f"""
+with b as (select * from {_BASE}), i as (select * from {_INNER}), j as (
+  select b.c_custkey, n.n_nationkey from b left join nation n on b.c_nationkey = n.n_nationkey)
+select (select count(*) from j) as rows_after_left, (select count(n_nationkey) from j) as left_matched,
+  (select count(*) from b) as base_rows, (select count(*) from nation) as left_rows, (select count(*) from i) as inner_rows,
+  (select count(*) from j join i using (c_custkey)) as merged_rows,
+  round((select count(n_nationkey) * 100.0 / count(*) from j), 6) as match_rate,
+  round((select count(*) from j join i using (c_custkey)) * 100.0 / (select count(*) from i), 6) as success_rate""")
+def d02r(t: Tables):
+    base, left, inner = _sources(t)
+    r = J.merge_report(base, left, "c_nationkey", inner, "c_custkey")
+    return r.withColumns({"match_rate": rd("match_rate"), "success_rate": rd("success_rate")})
+
+
+@query("d03_rate_and_size", """
+select p_brand, round(avg(l_discount), 8) as rate, count(*) as size from lineitem join part on l_partkey = p_partkey group by p_brand""")
+def d03(t: Tables):
+    j = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    return J.rate_and_size(j, "p_brand", "l_discount").withColumn("rate", rd("rate", 8))
+
+
+# error list: padded ids of toxic documents, some repeated, some naming no document
+_LIST = """(select '  ' || cast(doc_id as varchar) as k from labels where toxic = 1
+  union all select cast(doc_id as varchar) || ' ' from labels where toxic = 1 and doc_id % 2 = 0
+  union all select 'X' || cast(doc_id as varchar) from labels where toxic = 1 and doc_id % 5 = 0)"""
+
+
+def error_list(t: Tables):
+    bad = t.labels.where(F.col("toxic") == 1).select(F.col("doc_id").cast("string").alias("k"), "doc_id")
+    return (
+        bad.select(F.concat(F.lit("  "), "k").alias("k"))
+        .unionByName(bad.where(F.col("doc_id") % 2 == 0).select(F.concat("k", F.lit(" ")).alias("k")))
+        .unionByName(bad.where(F.col("doc_id") % 5 == 0).select(F.concat(F.lit("X"), "k").alias("k")))
+    )
+
+
+@query("d04_label_by_membership", f"""
+select doc_id, source, cast(exists (select 1 from {_LIST} e where trim(e.k) = cast(doc_id as varchar)) as integer) as is_error
+from documents""")
+def d04(t: Tables):
+    return J.label_by_membership(t.documents.select("doc_id", "source"), "doc_id", error_list(t)).withColumn(
+        "is_error", as_int("is_error"))
+
+
+@query("d05_unmatched_keys", f"""
+select distinct trim(k) as key from {_LIST} where trim(k) not in (select cast(doc_id as varchar) from documents)""")
+def d05(t: Tables):
+    return J.unmatched_keys(t.documents, "doc_id", error_list(t))
+
+
+@query("d05_membership_report", f"""
+with e as (select distinct trim(k) as k from {_LIST}), d as (select cast(doc_id as varchar) as k from documents),
+s as (select (select count(*) from d) as total_files, (select count(*) from d where k in (select k from e)) as error_files,
+  (select count(*) from e) as listed_keys, (select count(*) from e where k not in (select k from d)) as unmatched_keys)
+select total_files, error_files, listed_keys, unmatched_keys, listed_keys - unmatched_keys as matched_keys,
+  round(error_files / total_files, 6) as error_rate,
+  cast((listed_keys - unmatched_keys) / listed_keys < 0.9 as integer) as alert from s""")
+def d05r(t: Tables):
+    return J.membership_report(t.documents, "doc_id", error_list(t)).withColumns(
+        {"error_rate": rd("error_rate"), "alert": as_int("alert")})
+
+
+@query("d06_key_overlap", """
+select count(distinct c_custkey) as a_keys, (select count(distinct o_custkey) from orders) as b_keys,
+ (select count(*) from (select distinct c_custkey from customer intersect select distinct o_custkey from orders)) as common_keys
+from customer""")
+def d06(t: Tables):
+    a = t.customer.select(F.concat(F.lit(" id"), F.col("c_custkey").cast("string"), F.lit(" ")).alias("k"))
+    b = t.orders.select(F.concat(F.lit("ID"), F.col("o_custkey").cast("string")).alias("k"))
+    return J.key_overlap(a, "k", b, "k")
+
+
+# -- vectors ------------------------------------------------------------------
+
+_PAIRS = """(select a.vec_id as query_id, b.vec_id as base_id, a.label as query_label, b.label as base_label,
+  round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 6) as score
+  from embeddings a, embeddings b where a.vec_id <> b.vec_id)"""
+
+
+def vectors(t: Tables):
+    return t.embeddings.select(F.col("vec_id").alias("id"), as_double(F.col("embedding")).alias("vec"))
+
+
+@query("d07_top_k_cosine", f"""
+select query_id, base_id, score, cast(rn as integer) as rank from (
+  select *, row_number() over (partition by query_id order by score desc, base_id desc) as rn from {_PAIRS}) where rn <= 3""")
+def d07(t: Tables):
+    v = vectors(t)
+    return N.nearest(v, v, 3, exclude_same_id=True)
+
+
+@query("d07_probed_recall")
+def d07r(t: Tables):
+    v = vectors(t)
+    exact = N.nearest(v, v, 5, exclude_same_id=True).select("query_id", "base_id")
+    near = N.nearest(v, v, 5, exclude_same_id=True, probes=8).select("query_id", "base_id").withColumn("hit", F.lit(1))
+    return exact.join(near, ["query_id", "base_id"], "left").agg(
+        F.count("*").alias("n_pairs"), rd(F.avg(F.coalesce("hit", F.lit(0)))).alias("recall"))
+
+
+_WORDS = r"""(select distinct unnest(regexp_split_to_array(p_name, ' ')) as w from part)"""
+
+
+def part_words(t: Tables):
+    return t.part.select(F.explode(F.split("p_name", " ")).alias("w")).distinct()
+
+
+_CODE = """(upper(substr(w, 1, 1)) || rpad(substr(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+  regexp_replace(regexp_replace(regexp_replace(translate(upper(substr(w, 2)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  '01230120022455012623010202'), '[^1-6]', '', 'g'), '1+', '1', 'g'), '2+', '2', 'g'), '3+', '3', 'g'), '4+', '4', 'g'),
+  '5+', '5', 'g'), '6+', '6', 'g'), 1, 3), 3, '0'))"""
+
+_TOKENS = "(select distinct unnest(regexp_extract_all(text, '[A-Za-z]+')) as w from benchmark)"
+
+
+def tokens(t: Tables):
+    return t.benchmark.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))).alias("w")).distinct()
+
+
+@query("d08_phonetic_join", f"""
+with n as (select w, {_CODE} as code from {_WORDS}), q as (select w, {_CODE} as code from {_TOKENS})
+select q.w as name, n.w as match, q.code as code from q join n on q.code = n.code""")
+def d08(t: Tables):
+    return N.phonetic_matches(tokens(t), part_words(t)).select("name", "match", "code")
+
+
+@query("d08_similar_names")
+def d08s(t: Tables):
+    return N.similar_names(tokens(t), part_words(t))
+
+
+@query("d09_close_names")
+def d09(t: Tables):
+    return N.close_names(tokens(t), part_words(t)).withColumn("ratio", rd("ratio"))
+
+
+_CENTRES = """(select label, list(m order by i) as c from (
+  select label, i, avg(embedding[i]::double) as m from embeddings, range(1, 65) r(i) group by label, i) group by label)"""
+
+
+def label_centres(t: Tables):
+    dims = F.posexplode(as_double(F.col("embedding")))
+    per = t.embeddings.select("label", dims.alias("i", "x")).groupBy("label", "i").agg(F.avg("x").alias("m"))
+    return per.groupBy("label").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("c"))
+
+
+@query("d10_pattern_similarity", f"""
+select vec_id, round(max(list_cosine_similarity(embedding::double[], c)), 5) as best from embeddings, {_CENTRES} group by vec_id""")
+def d10(t: Tables):
+    e = N.max_pattern_similarity(t.embeddings, "embedding", label_centres(t), "c", "best")
+    return e.select("vec_id", rd("best", 5).alias("best"))
+
+
+@query("d11_aligned_expand", r"""
+select conv_id, turn, cast(pos as integer) as pos, tok from (
+ select conv_id, turn, generate_subscripts(w, 1) - 1 as pos, unnest(w) as tok
+ from (select conv_id, turn, regexp_split_to_array(text, ' ') as w from conversations))""")
+def d11(t: Tables):
+    return t.conversations.select("conv_id", "turn", F.posexplode(F.split("text", " ")).alias("pos", "tok"))
+
+
+@query("m06_retrieval_accuracy", f"""
+with r as (select query_id, query_label, base_label, row_number() over (partition by query_id order by score desc, base_id desc) as rn
+  from {_PAIRS})
+select count(distinct query_id) as n_queries,
+ round(avg(case when rn = 1 then cast(query_label = base_label as integer) end) * 100, 6) as top1_pct,
+ round(100.0 * count(distinct case when rn <= 3 and query_label = base_label then query_id end) / count(distinct query_id), 6)
+   as topk_pct from r""")
+def m06(t: Tables):
+    v = vectors(t)
+    lab = t.embeddings.select(F.col("vec_id").alias("base_id"), F.col("label").alias("predicted"))
+    found = N.nearest(v, v, 3, exclude_same_id=True).join(lab, "base_id")
+    truth = t.embeddings.select(F.col("vec_id").alias("query_id"), F.col("label").alias("true_id"))
+    return N.retrieval_accuracy(found, truth, 3).withColumns({"top1_pct": rd("top1_pct"), "topk_pct": rd("topk_pct")})
+
+
+@query("m07_score_extremes", f"""
+select query_id, max(score) as max_score, min(score) as min_score,
+  cast(max(score) = (select 1.0) as integer) as exact_hit from {_PAIRS} group by query_id""")
+def m07(t: Tables):
+    v = vectors(t)
+    return N.score_extremes(v, v, exclude_same_id=True).withColumn("exact_hit", as_int(F.col("max_score") == 1.0))
+
+
+@query("l13_knn_vote", f"""
+with r as (select query_id, base_id, base_label from (
+   select a.vec_id as query_id, b.vec_id as base_id, b.label as base_label, row_number() over (partition by a.vec_id
+     order by round(list_distance(a.embedding::double[], b.embedding::double[]), 6), b.vec_id desc) as rn
+   from embeddings a, embeddings b where a.vec_id <> b.vec_id) where rn <= 5),
+v as (select query_id, base_label, count(*) as votes from r group by query_id, base_label)
+select query_id, cast(predicted as integer) as predicted, votes from (
+  select query_id, base_label as predicted, votes, row_number() over (partition by query_id order by votes desc, base_label) as k
+  from v) where k = 1""")
+def l13(t: Tables):
+    v = vectors(t)
+    found = N.nearest(v, v, 5, "euclidean", exclude_same_id=True)
+    labels = t.embeddings.select(F.col("vec_id").alias("base_id"), "label")
+    return N.knn_vote(found, labels).withColumn("predicted", as_int("predicted"))
+
+
+@query("l13_knn_mean", """
+select query_id, round(avg(base_value), 6) as predicted from (
+   select a.vec_id as query_id, b.embedding[1]::double as base_value, row_number() over (partition by a.vec_id
+     order by round(list_distance(a.embedding::double[], b.embedding::double[]), 6), b.vec_id desc) as rn
+   from embeddings a, embeddings b where a.vec_id <> b.vec_id) where rn <= 5 group by query_id""")
+def l13m(t: Tables):
+    v = vectors(t)
+    values = t.embeddings.select(F.col("vec_id").alias("base_id"), F.col("embedding")[0].cast("double").alias("value"))
+    return N.knn_mean(N.nearest(v, v, 5, "euclidean", exclude_same_id=True), values).withColumn("predicted", rd("predicted"))

@@ -96,9 +96,7 @@ def a07(t: Tables):
     path = scratch_path(t.spark, "a07")
     t.pages.select("page_id", "html").write.partitionBy("page_id").text(path)
     page = F.regexp_extract("path", r"page_id=(\d+)", 1).cast("long").alias("page_id")
-    text = read_corpus(t.spark, path, "*.txt").select(page, "size", F.md5(F.encode("content", "UTF-8")).alias("digest"))
-    binary = read_corpus(t.spark, path, "*.txt", binary=True).select(page, "size")
-    return text.join(binary, ["page_id", "size"], "left_semi")
+    return read_corpus(t.spark, path, "*.txt").select(page, "size", F.md5(F.encode("content", "UTF-8")).alias("digest"))
 
 
 @query("a08_read_with_schema", """

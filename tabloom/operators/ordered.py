@@ -15,7 +15,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-PIECES = 64
+MAX_PIECES = 4096
+
+
+def pieces_for(df: DataFrame) -> int:
+    """A power of two, about four pieces per shuffle partition."""
+    wanted = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = 16
+    while pieces < min(wanted, MAX_PIECES):
+        pieces *= 2
+    return pieces
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], right_prefix: str = "") -> Column:
@@ -26,13 +35,14 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], right_pref
     return cond
 
 
-def _with_piece(df: DataFrame, key_cols: Sequence[str], pieces: int) -> DataFrame:
+def _with_piece(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:
     """Adds ``_piece``: the number of cut keys at or below this row's key.
 
-    The cuts are the ``pieces - 1`` keys of smallest hash: a uniform,
-    repeatable choice (same input, same cuts, also when a task is retried)
-    found with a bounded top-n, not a sort of the data.
+    The cuts are the keys of smallest hash: a uniform, repeatable choice (same
+    input, same cuts, also when a task is retried) found with a bounded top-n,
+    not a sort of the data.
     """
+    pieces = pieces_for(df)
     key = F.struct(*[F.col(c) for c in key_cols])
     cuts = (
         df.select(key.alias("k"))
@@ -41,11 +51,15 @@ def _with_piece(df: DataFrame, key_cols: Sequence[str], pieces: int) -> DataFram
         .agg(F.sort_array(F.collect_list("k")).alias("cuts"))
         .scalar()
     )
-    return (
-        df.withColumn("_cuts", cuts)
-        .withColumn("_piece", F.size(F.filter("_cuts", lambda c: c <= key)))
-        .drop("_cuts")
-    )
+    # binary search, one codegen step per halving; a missing cut counts as infinite
+    out = df.withColumns({"_cuts": cuts, "_key": key, "_piece": F.lit(0)})
+    step = pieces // 2
+    while step:
+        cut = F.get("_cuts", F.col("_piece") + (step - 1))
+        reached = F.coalesce(cut <= F.col("_key"), F.lit(False))
+        out = out.withColumn("_piece", F.col("_piece") + F.when(reached, step).otherwise(0))
+        step //= 2
+    return out.drop("_cuts", "_key")
 
 
 def running_totals(
@@ -53,7 +67,6 @@ def running_totals(
     order: Sequence[str],
     measures: Sequence[str],
     by: Sequence[str] = (),
-    pieces: int = PIECES,
 ) -> DataFrame:
     """Exclusive running sums and totals of ``measures`` in key order.
 
@@ -61,7 +74,7 @@ def running_totals(
     ``<m>_before`` and ``<m>_total`` per measure.
     """
     by = list(by)
-    keyed = _with_piece(df, [*by, *order], pieces)
+    keyed = _with_piece(df, [*by, *order])
     sums = keyed.groupBy(*by, "_piece").agg(*[F.sum(m).alias(m) for m in measures])
     earlier = W.partitionBy(*by).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
     offsets = sums.select(
@@ -93,7 +106,6 @@ def previous_value(
     order: Sequence[str],
     value: str,
     out: str,
-    pieces: int = PIECES,
 ) -> DataFrame:
     """``lag(value)`` per group over a unique order, safe for a hot group.
 
@@ -101,7 +113,7 @@ def previous_value(
     of its group, read from the per-piece table.
     """
     by = list(by)
-    keyed = _with_piece(df, [*by, *order], pieces)
+    keyed = _with_piece(df, [*by, *order])
     last = keyed.groupBy(*by, "_piece").agg(
         F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_last")
     )

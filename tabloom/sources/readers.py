@@ -115,7 +115,7 @@ def read_corpus(spark: SparkSession, path: str, glob: str = "*", binary: bool =
             F.col("length").alias("size"),
             F.decode("content", "UTF-8").alias("content"),
         )
-    text = spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(path)
+    text = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
     return text.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_name").alias("filename"),
