@@ -1 +1,139 @@
-"""."""
+"""Job-level compositions and the incremental form."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tabloom.catalog.base import CLAIMS, DIRTY_EVENTS, SCORED, Tables, as_int, as_long, claims, dirty_events, query, rd, scored
+from tabloom.operators.windows import standardize
+from tabloom.plans import claims as C
+from tabloom.plans import research, wide
+from tabloom.plans.rules import rule_table
+from tabloom.session import scratch_path
+from tabloom.streaming.incremental import run_incremental, stream_files
+
+# one control row per nation: loaded unless the key is divisible by 5, predicted where divisible by 7
+_CONTROL = """(select cast(n_nationkey as varchar) as client_code, case when n_nationkey % 5 = 0 then '0' else '1' end as data_load_status,
+  case when n_nationkey % 7 = 0 then '1' else '0' end as prediction_status from nation)"""
+
+
+def control(t: Tables):
+    k = F.col("n_nationkey")
+    return t.nation.select(k.cast("string").alias("client_code"), F.when(k % 5 == 0, "0").otherwise("1").alias("data_load_status"),
+                           F.when(k % 7 == 0, "1").otherwise("0").alias("prediction_status"))
+
+
+def client_claims(t: Tables):
+    """Claims with some ids lost: more than the gate tolerates in a few clients."""
+    return claims(t).select(F.col("nation").cast("string").alias("client"),
+                            F.when((F.col("nation") % 4 != 3) | (F.col("claim_id") % 9 != 0), F.col("claim_id")).alias("claim_id"))
+
+
+@query("n01_pending_outcome", f"""
+with g as (select cast(nation as varchar) as client_code, count(case when nation % 4 = 3 and claim_id % 9 = 0 then 1 end) as bad from {CLAIMS} group by 1)
+select client_code, data_load_status, case when data_load_status = '1' and prediction_status = '0' and bad <= 10 then '1' else prediction_status end as prediction_status
+from {_CONTROL} left join g using (client_code)""")
+def n01(t: Tables):
+    return C.pending_outcome(control(t), client_claims(t), "client", "claim_id")
+
+
+@query("n01_run_pending", f"""
+with g as (select plan as client_code, count(case when plan = 'BUILDING' and claim_id % 2 = 0 then 1 end) as bad from {CLAIMS} group by 1)
+select client_code, '1' as data_load_status, case when client_code = 'MACHINERY' then '0' when bad <= 10 then '1' else '0' end as prediction_status from g""")
+def n01r(t: Tables):
+    ctl = claims(t).select(F.col("plan").alias("client_code")).distinct().withColumns(
+        {"data_load_status": F.lit("1"), "prediction_status": F.lit("0")})
+
+    def work(client: str):
+        if client == "MACHINERY":
+            raise RuntimeError("no file for this client")
+        d = claims(t).where(F.col("plan") == client)
+        return d.withColumn("claim_id", F.when((F.col("plan") != "BUILDING") | (F.col("claim_id") % 2 != 0), F.col("claim_id")))
+
+    return C.run_pending(ctl, work, "claim_id")
+
+
+@query("n02_ingest_claims", "select count(*) as n_rows, cast(0 as bigint) as null_ids, 1 as passed from orders")
+def n02(t: Tables):
+    raw = t.orders.select(F.col("o_orderkey").alias("Claim Number"), F.concat(F.lit(" "), "o_orderstatus").alias("Claim/Status"),
+                          F.col("o_totalprice").alias("Total-Paid"))
+    mapping = t.spark.createDataFrame([("A", "claim_number", "rxclaim_number"), ("A", "claim_status", "claim_status"), ("A", "total_paid", "paid")],
+                                      "client_code string, prediction_column_name string, training_column_name string")
+    gate = C.ingest_claims(raw, mapping, "A", {"client_code": "A", "load_date": "2024-01-31"}, scratch_path(t.spark, "n02"), "rxclaim_number")
+    return gate.withColumn("passed", as_int("passed"))
+
+
+@query("n03_score_chain", f"""
+select client_plan_id, predicted_plan_id, count(*) as claim_count, round(avg(probability_score), 6) as probability, 'C1' as client_code
+from {SCORED} where probability_score > 0.2 group by client_plan_id, predicted_plan_id""")
+def n03(t: Tables):
+    def score(events):
+        return events.select(F.concat(F.lit(" "), F.col("event_id").cast("string")).alias("claim_id"),
+                             F.concat(F.lit(" "), F.col("event_type")).alias("client_plan_id"),
+                             F.concat(F.lit("P"), (F.col("user_id") % 5).cast("string")).alias("predicted_plan_id"),
+                             (F.col("value") / 500.0).alias("probability_score"))
+
+    _, summary = C.score_chain(t.events, score, 0.2, {"client_code": "C1"})
+    return summary.withColumn("probability", rd("probability"))
+
+
+@query("n04_training_set", f"""
+with c as (select *, count(*) over (partition by plan) as n, row_number() over (partition by plan order by md5(cast(claim_id as varchar)), claim_id) as rn
+  from {CLAIMS} where claim_status = 'P'),
+s as (select claim_id, plan from c where (n > 1000 and rn <= 1000) or (n <= 1000 and n > 500))
+select claim_id, s.plan, case when plan in ('BUILDING', 'HOUSEHOLD') then 'home' else 'work' end as kind,
+  cast(row_number() over (order by md5(cast(claim_id as varchar)), claim_id) <= 800 as integer) as is_holdout from s""")
+def n04(t: Tables):
+    master = t.customer.select(F.col("c_mktsegment").alias("plan")).distinct().select(
+        "plan", F.when(F.col("plan").isin("BUILDING", "HOUSEHOLD"), "house").otherwise("work").alias("kind"),
+        F.col("plan").alias("plan_copy"), F.lit("v1").alias("version"), F.concat("plan", F.lit("_d")).alias("created_date"))
+    out = C.training_set(claims(t), master, "plan", "claim_id", "claim_status", [("kind", "house", "home")], ["date", "_copy$"], 1000, 500, 800)
+    return out.select("claim_id", "plan", "kind", as_int("is_holdout").alias("is_holdout"))
+
+
+@query("n05_research")
+def n05(t: Tables):
+    base = t.customer.select("c_custkey", "c_acctbal", F.when(F.col("c_custkey") % 11 != 0, F.col("c_nationkey")).alias("c_nationkey"))
+    left = t.supplier.groupBy(F.col("s_nationkey").alias("c_nationkey")).agg(F.avg("s_acctbal").alias("wealth"))
+    inner = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg((F.avg("o_totalprice") / 1000.0).alias("y"))
+    d = research.prepare(base, left, "c_nationkey", inner, "c_custkey", "y", ["wealth"], ["wealth", "c_acctbal"])
+    d = d.withColumn("region", F.coalesce(F.col("c_nationkey"), F.lit(-1)))
+    fits = research.fit_ladder(d, "y", "region", ["c_acctbal_std", "wealth_missing"], ["wealth_std"])
+    from tabloom.operators.mixed import comparison_table
+
+    return comparison_table(t.spark, fits).select("model", "n", "n_groups", rd("icc", 4).alias("icc"), rd("aic", 3).alias("aic"))
+
+
+@query("n06_wide_forest")
+def n06(t: Tables):
+    from tabloom.catalog.encoding import wide_parts
+
+    _, cells, gone = wide.prune_encode_forest(wide_parts(t).drop("p_name"), "p_partkey", "p_type")
+    return cells.withColumn("dropped", F.lit(",".join(sorted(gone))))
+
+
+@query("n07_rule_table")
+def n07(t: Tables):
+    """Rule extraction over the conversations' own text (whole texts)."""
+    return rule_table(t.conversations.select("conv_id", "turn", F.concat(F.lit("1. "), "text").alias("txt")), "txt").select(
+        "conv_id", "turn", "step", "age", "manual_step", F.size("tokens").alias("n_tokens"))
+
+
+@query("p01_incremental_summary", f"""
+select client_plan_id, predicted_plan_id, count(*) as claim_count, round(avg(probability_score), 6) as probability
+from {SCORED} where probability_score > 0.15 group by client_plan_id, predicted_plan_id""")
+def p01(t: Tables):
+    """Events arrive as files, twice over; the result equals the batch one."""
+    src, detail, mark = (scratch_path(t.spark, n) for n in ("arrivals", "detail", "offsets"))
+    t.events.write.parquet(src)
+    t.events.where(F.col("event_type") == "click").write.mode("append").parquet(src)
+    stream = stream_files(t.spark, src, t.events.schema, files_per_batch=1)
+
+    def score(batch):
+        return batch.select(F.col("event_id").cast("string").alias("claim_id"), F.col("event_type").alias("client_plan_id"),
+                            F.concat(F.lit("P"), (F.col("user_id") % 5).cast("string")).alias("predicted_plan_id"),
+                            (F.col("value") / 500.0).alias("probability_score"), "ts")
+
+    run_incremental(stream, score, detail, mark, ["claim_id"], ["ts"], buckets=4).awaitTermination()
+    back = t.spark.read.parquet(detail)
+    return C.plan_summary(back, 0.15).withColumn("probability", rd("probability"))

@@ -236,9 +236,10 @@ def common_tags(df: DataFrame, doc: str, tags: str, share: float = 0.8) -> DataF
 
 def tag_flags(df: DataFrame, paths: str, tags: Sequence[str]) -> DataFrame:
     """0/1 per tag: the tag is a substring of any path."""
-    return df.withColumns({
-        f"has_tag_{t}": F.exists(paths, lambda p, t=t: F.contains(p, F.lit(t))).cast("int") for t in tags
-    })
+    def found(tag: str) -> Column:
+        return F.exists(paths, lambda p: F.contains(p, F.lit(tag))).cast("int")
+
+    return df.withColumns({f"has_tag_{t}": found(t) for t in tags})
 
 
 def breadcrumb_text(df: DataFrame, doc: str, content: str, tolerant: bool = False) -> DataFrame:

@@ -99,7 +99,7 @@ def _profile(m: np.ndarray, logdet: float, n: int):
     reml = -0.5 * ((n - p) * (math.log(2 * math.pi * s2) + 1) + logdet + ld)
     s2_ml = rss / n
     ml = -0.5 * (n * (math.log(2 * math.pi * s2_ml) + 1) + logdet)
-    return reml, ml, beta, s2, a
+    return float(reml), float(ml), beta, float(s2), a
 
 
 def fit_random_intercept(
@@ -134,7 +134,7 @@ def fit_random_intercept(
     coef[0] = centre[outcome] + beta[0] - float(mean_x @ beta[1:])
     grad = np.concatenate([[1.0], -mean_x])
     se[0] = math.sqrt(float(grad @ cov @ grad))
-    fit = MixedFit(["intercept", *xs], coef, se, lam * s2, s2, n, int(groups), reml, ml, group, outcome)
+    fit = MixedFit(["intercept", *xs], coef, se, float(lam * s2), s2, n, int(groups), reml, ml, group, outcome)
     fit.p_values = [normal_p(c / s) if s > 0 else float("nan") for c, s in zip(coef, se, strict=True)]
     return fit
 

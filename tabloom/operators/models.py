@@ -80,7 +80,7 @@ def choose_classifier(
                 estimator=estimator, estimatorParamMaps=grid, numFolds=folds, foldCol="fold",
                 evaluator=MulticlassClassificationEvaluator(metricName="f1"), parallelism=parallelism,
             ).fit(folded)
-            results[family] = (max(cv.avgMetrics), cv.bestModel)
+            results[family] = (float(max(cv.avgMetrics)), cv.bestModel)
     finally:
         folded.unpersist()
     best = max(results, key=lambda f: results[f][0])
