@@ -12,6 +12,7 @@ from html.parser import HTMLParser
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,21 +35,22 @@ FEATURES = (
 )
 
 
-def _xml_elements(text: str | None):
-    if text is None:
-        return None
+# positions inside an element record while parsing
+_PARENT, _TAG, _PATH, _DEPTH, _TEXT, _ATTRS, _KIDS = range(7)
+
+
+def _xml_elements(text: str) -> list[list] | None:
     try:
         root = ET.fromstring(text)
     except ET.ParseError:
         return None
-    out: list[dict] = []
+    out: list[list] = []
     stack = [(root, -1, "", 1)]
     while stack:
         e, parent, path, depth = stack.pop()
         here = f"{path}/{e.tag}"
         pos = len(out)
-        out.append({"pos": pos, "parent": parent, "tag": e.tag, "path": here, "depth": depth, "text": e.text,
-                    "attrs": dict(e.attrib), "children": len(e)})
+        out.append([parent, e.tag, here, depth, e.text, e.attrib, len(e)])
         stack.extend((c, pos, here, depth + 1) for c in reversed(e))
     return out
 
@@ -58,17 +60,16 @@ class _Tolerant(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.out: list[dict] = []
+        self.out: list[list] = []
         self.open: list[int] = []
 
     def handle_starttag(self, tag, attrs):
-        parent = self.open[-1] if self.open else -1
-        path = (self.out[parent]["path"] if parent >= 0 else "") + "/" + tag
-        if parent >= 0:
-            self.out[parent]["children"] += 1
-        self.out.append({"pos": len(self.out), "parent": parent, "tag": tag, "path": path,
-                         "depth": len(self.open) + 1, "text": None,
-                         "attrs": {k: v or "" for k, v in attrs}, "children": 0})
+        parent, path = -1, ""
+        if self.open:
+            parent = self.open[-1]
+            path = self.out[parent][_PATH]
+            self.out[parent][_KIDS] += 1
+        self.out.append([parent, tag, f"{path}/{tag}", len(self.open) + 1, None, {k: v or "" for k, v in attrs}, 0])
         if tag not in VOID_TAGS:
             self.open.append(len(self.out) - 1)
 
@@ -79,19 +80,18 @@ class _Tolerant(HTMLParser):
 
     def handle_endtag(self, tag):
         for i in range(len(self.open) - 1, -1, -1):
-            if self.out[self.open[i]]["tag"] == tag:
+            if self.out[self.open[i]][_TAG] == tag:
                 del self.open[i:]
                 return
 
     def handle_data(self, data):
-        if self.open and self.out[self.open[-1]]["children"] == 0:
+        if self.open:
             e = self.out[self.open[-1]]
-            e["text"] = (e["text"] or "") + data
+            if e[_KIDS] == 0:
+                e[_TEXT] = (e[_TEXT] or "") + data
 
 
-def _html_elements(text: str | None):
-    if text is None:
-        return None
+def _html_elements(text: str) -> list[list]:
     parser = _Tolerant()
     parser.feed(text)
     parser.close()
@@ -102,9 +102,35 @@ def elements(content: Column, tolerant: bool = False) -> Column:
     """Array of elements in document order; null when strict parsing fails."""
     parse = _html_elements if tolerant else _xml_elements
 
-    @F.pandas_udf(ELEMENT)
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(parse)
+    @F.arrow_udf(ELEMENT)
+    def run(docs: pa.Array) -> pa.Array:
+        flat: list[list] = []
+        pos: list[int] = []
+        starts: list[int | None] = []
+        for text in docs.to_pylist():
+            found = None if text is None else parse(text)
+            starts.append(None if found is None else len(flat))
+            if found:
+                pos.extend(range(len(found)))
+                flat.extend(found)
+        ends = pa.array([*starts, len(flat)], pa.int32())
+        attr_at, names, values = [0], [], []
+        for e in flat:
+            names.extend(e[_ATTRS])
+            values.extend(e[_ATTRS].values())
+            attr_at.append(len(names))
+
+        def column(i: int, kind: pa.DataType) -> pa.Array:
+            return pa.array([e[i] for e in flat], kind)
+
+        parts = {
+            "pos": pa.array(pos, pa.int32()), "parent": column(_PARENT, pa.int32()), "tag": column(_TAG, pa.string()),
+            "path": column(_PATH, pa.string()), "depth": column(_DEPTH, pa.int32()), "text": column(_TEXT, pa.string()),
+            "attrs": pa.MapArray.from_arrays(
+                pa.array(attr_at, pa.int32()), pa.array(names, pa.string()), pa.array(values, pa.string())),
+            "children": column(_KIDS, pa.int32()),
+        }
+        return pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(list(parts.values()), list(parts)))
 
     return run(content)
 
@@ -120,11 +146,11 @@ def basic_structure(content: Column) -> Column:
     def run(s: pd.Series) -> pd.DataFrame:
         rows = []
         for text in s:
-            els = _xml_elements(text)
+            els = None if text is None else _xml_elements(text)
             if els is None:
-                rows.append((None, None, None, False))
+                rows.append((0, 0, 0, False))
             else:
-                rows.append((len(els) - 1, max(e["depth"] for e in els) - 1, sum(len(e["attrs"]) for e in els), True))
+                rows.append((len(els) - 1, max(e[_DEPTH] for e in els) - 1, sum(len(e[_ATTRS]) for e in els), True))
         return pd.DataFrame(rows, columns=["total_tags", "max_depth", "total_attributes", "parsed"])
 
     r = run(content)
@@ -140,71 +166,77 @@ def attribute_count(content: Column) -> Column:
     return F.size(F.regexp_extract_all(content, F.lit(r'[a-zA-Z-]+="[^"]*"'), F.lit(0)))
 
 
-def _mean(a: Column) -> Column:
-    return F.when(F.size(a) > 0, F.aggregate(a, F.lit(0.0), lambda s, x: s + x) / F.size(a)).otherwise(F.lit(0.0))
+def _sum(a: Column, power: int = 1) -> Column:
+    def term(x: Column) -> Column:
+        x = x.cast("double")
+        return x if power == 1 else x * x if power == 2 else x * x * x
+
+    return F.aggregate(a, F.lit(0.0), lambda s, x: s + term(x))
 
 
-def _variance(a: Column) -> Column:
-    m = _mean(a)
-    return _mean(F.transform(a, lambda x: (x - m) * (x - m)))
+def _share(a: Column, b: Column) -> Column:
+    return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
+
+
+def _variance(total: Column, squares: Column, n: Column) -> Column:
+    m = _share(total, n)
+    return F.greatest(_share(squares, n) - m * m, F.lit(0.0))
 
 
 def structure_features(df: DataFrame, content: str, tolerant: bool = False) -> DataFrame:
-    """The 20 structure features per document (null where unparsable)."""
+    """The 20 structure features per document (null where unparsable).
+
+    Siblings of an element are its parent's children, so their sum over all
+    elements is the sum of squared child counts, and no element is looked up.
+    """
     df = df.withColumn("_e", elements(F.col(content), tolerant))
     # arrays that several features share are columns of their own
-    df = df.withColumns({
+    arrays = {
         "_tags": F.transform("_e", lambda e: e["tag"]),
+        "_depths": F.transform("_e", lambda e: e["depth"]),
+        "_kids": F.transform("_e", lambda e: e["children"]),
         "_texts": F.filter(F.transform("_e", lambda e: F.trim(F.coalesce(e["text"], F.lit("")))), lambda t: t != ""),
         "_vals": F.flatten(F.transform("_e", lambda e: F.map_values(e["attrs"]))),
         "_names": F.array_distinct(F.flatten(F.transform("_e", lambda e: F.map_keys(e["attrs"])))),
-        "_kids": F.transform("_e", lambda e: e["children"]),
-    })
-    df = df.withColumn("_uniq", F.array_distinct("_tags"))
-    df = df.withColumn(
-        "_freq", F.transform("_uniq", lambda t: F.size(F.filter("_tags", lambda x: x == t)))
-    )
-    # siblings of each non-root element = children of its parent
-    sib = F.transform(
-        F.filter("_e", lambda e: e["parent"] >= 0),
-        lambda e: F.element_at(F.col("_kids"), e["parent"] + 1).cast("double"),
-    )
-    n = F.size("_e").cast("double")
-
-    def ratio(x: Column) -> Column:
-        return F.when(n > 0, x / n).otherwise(F.lit(0.0))
-
+        "_inner": F.array_distinct(F.transform(F.filter("_e", lambda e: e["children"] > 0), lambda e: e["path"])),
+    }
+    n = F.size("_tags")
+    counts = {
+        "_uniq": F.array_distinct("_tags"),
+        "_lens": F.transform("_vals", lambda v: F.length(v)),
+        "_k1": _sum(F.col("_kids")), "_k2": _sum(F.col("_kids"), 2), "_k3": _sum(F.col("_kids"), 3),
+        "_d1": _sum(F.col("_depths")), "_d2": _sum(F.col("_depths"), 2),
+    }
+    freq = {"_freq": F.transform("_uniq", lambda t: F.size("_tags") - F.size(F.array_remove("_tags", t)))}
     size = F.octet_length(content)
-    # one path per element: that of its ancestors
-    parents = F.array_distinct(F.transform(
-        "_e", lambda e: F.regexp_replace(e["path"], "/[^/]*$", "")))
-    cols = {
-        "unique_tags": F.size("_uniq").cast("double"),
+    texts = F.size("_texts")
+    features = {
+        "unique_tags": F.size("_uniq"),
         "total_tags": n,
-        "max_depth": F.coalesce(F.array_max(F.transform("_e", lambda e: e["depth"])), F.lit(0)).cast("double"),
-        "file_size": size.cast("double"),
-        "tag_diversity": ratio(F.size("_uniq")),
-        "avg_attributes": ratio(F.size("_vals")),
-        "top_tag_share": ratio(F.coalesce(F.array_max("_freq"), F.lit(0))),
-        "avg_text_length": _mean(F.transform("_texts", lambda t: F.length(t).cast("double"))),
-        "total_attributes": F.size("_vals").cast("double"),
-        "tag_density": F.coalesce(F.try_divide(n, size.cast("double")), F.lit(0.0)),
-        "depth_variance": _variance(F.transform("_e", lambda e: e["depth"].cast("double"))),
-        "attr_length_variance": _variance(F.transform("_vals", lambda v: F.length(v).cast("double"))),
-        "sibling_mean": _mean(sib),
-        "sibling_variance": _variance(sib),
-        "path_diversity": ratio(F.size(parents)),
-        "empty_ratio": ratio(n - F.size("_texts")),
-        "leaf_ratio": ratio(F.size(F.filter("_e", lambda e: e["children"] == 0))),
-        "repeated_tag_ratio": F.when(
-            F.size("_uniq") > 0, F.size(F.filter("_freq", lambda c: c > 1)) / F.size("_uniq")).otherwise(F.lit(0.0)),
-        "attr_name_ratio": ratio(F.size("_names")),
-        "numeric_ratio": ratio(F.size(F.filter("_texts", lambda t: t.rlike("^[0-9]+$")))),
+        "max_depth": F.coalesce(F.array_max("_depths"), F.lit(0)),
+        "file_size": size,
+        "tag_diversity": _share(F.size("_uniq"), n),
+        "avg_attributes": _share(F.size("_vals"), n),
+        "top_tag_share": _share(F.coalesce(F.array_max("_freq"), F.lit(0)), n),
+        "avg_text_length": _share(_sum(F.transform("_texts", lambda t: F.length(t))), texts),
+        "total_attributes": F.size("_vals"),
+        "tag_density": _share(n, size),
+        "depth_variance": _variance(F.col("_d1"), F.col("_d2"), n),
+        "attr_length_variance": _variance(_sum(F.col("_lens")), _sum(F.col("_lens"), 2), F.size("_lens")),
+        "sibling_mean": _share(F.col("_k2"), F.col("_k1")),
+        "sibling_variance": _variance(F.col("_k2"), F.col("_k3"), F.col("_k1")),
+        # ancestor paths: those of the inner elements, and the empty one of the root
+        "path_diversity": _share(F.size("_inner") + 1, n),
+        "empty_ratio": _share(n - texts, n),
+        "leaf_ratio": _share(F.size(F.filter("_kids", lambda k: k == 0)), n),
+        "repeated_tag_ratio": _share(F.size(F.filter("_freq", lambda c: c > 1)), F.size("_uniq")),
+        "attr_name_ratio": _share(F.size("_names"), n),
+        "numeric_ratio": _share(F.size(F.filter("_texts", lambda t: t.rlike("^[0-9]+$"))), n),
     }
     ok = F.col("_e").isNotNull()
-    return df.withColumns({k: F.when(ok, v) for k, v in cols.items()}).drop(
-        "_e", "_tags", "_texts", "_vals", "_names", "_kids", "_uniq", "_freq"
-    )
+    out = df.withColumns(arrays).withColumns(counts).withColumns(freq)
+    out = out.withColumns({k: F.when(ok, v.cast("double")) for k, v in features.items()})
+    return out.drop("_e", *arrays, *counts, *freq)
 
 
 def key_element(els: Column, tags: Sequence[str] = ("CRD", "CRDID")) -> Column:

@@ -29,11 +29,15 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.functions.numeric import hash_bucket, hash_order
+from tabloom.functions.numeric import hash_bucket
 from tabloom.operators.encoding import assemble, k_best
 from tabloom.operators.evaluation import binary_metrics
-from tabloom.operators.ordered import positions
-from tabloom.operators.sets import assign_folds, assign_stratified_folds, stratified_split
+from tabloom.operators.sets import (
+    assign_folds,
+    assign_stratified_folds,
+    flag_first_by_hash,
+    stratified_split,
+)
 from tabloom.operators.similarity import nearest
 from tabloom.session import settle
 
@@ -345,9 +349,8 @@ def oversample(df: DataFrame, label: str, key: str, minority: object, ratio: flo
     n_small = small.agg(F.count("*")).scalar()
     n_big = df.where(F.col(label) != F.lit(minority)).agg(F.count("*")).scalar()
     goal = F.greatest(F.floor(n_big * F.lit(ratio)), n_small)
-    ranked = positions(small.select(key, hash_order(F.col(key)).alias("_h")), ["_h", key], "_pos")
-    copies = ranked.select(key, (
-        F.floor(goal / n_small) + (F.col("_pos") < F.pmod(goal, n_small)).cast("long")).alias("_copies"))
+    extra = flag_first_by_hash(small.select(key), key, F.pmod(goal, n_small), (), "_extra")
+    copies = extra.select(key, (F.floor(goal / n_small) + F.col("_extra").cast("long")).alias("_copies"))
     more = df.join(copies, key, "left").withColumn("_copies", F.coalesce("_copies", F.lit(1).cast("long")))
     return more.withColumn("copy_no", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1))).drop("_copies")
 

@@ -27,14 +27,6 @@ def pieces_for(df: DataFrame) -> int:
     return pieces
 
 
-def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], right_prefix: str = "") -> Column:
-    """Null-safe equality of ``keys`` in left with ``prefix+key`` in right."""
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[right_prefix + k])
-    return cond
-
-
 def _with_piece(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:
     """Adds ``_piece``: the number of cut keys at or below this row's key.
 
@@ -62,6 +54,12 @@ def _with_piece(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:
     return out.drop("_cuts", "_key")
 
 
+def _grouped_pieces(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Pieces plus the group as one struct, which compares equal on nulls."""
+    keyed = _with_piece(df, [*by, *order])
+    return (keyed.withColumn("_group", F.struct(*by)), ["_group"]) if by else (keyed, [])
+
+
 def running_totals(
     df: DataFrame,
     order: Sequence[str],
@@ -73,17 +71,17 @@ def running_totals(
     ``df`` holds one row per (``by``, ``order``): aggregate first.  Adds
     ``<m>_before`` and ``<m>_total`` per measure.
     """
-    by = list(by)
-    keyed = _with_piece(df, [*by, *order])
-    sums = keyed.groupBy(*by, "_piece").agg(*[F.sum(m).alias(m) for m in measures])
-    earlier = W.partitionBy(*by).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
+    keyed, group = _grouped_pieces(df, by, order)
+    sums = keyed.groupBy(*group, "_piece").agg(*[F.sum(m).alias(m) for m in measures])
+    earlier = W.partitionBy(*group).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
     offsets = sums.select(
-        *[F.col(c).alias("_o_" + c) for c in [*by, "_piece"]],
+        *group, "_piece",
         *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_off_{m}") for m in measures],
-        *[F.sum(m).over(W.partitionBy(*by)).alias(f"{m}_total") for m in measures],
+        *[F.sum(m).over(W.partitionBy(*group)).alias(f"{m}_total") for m in measures],
     )
-    joined = keyed.join(offsets, null_safe(keyed, offsets, [*by, "_piece"], "_o_"))
-    inside = W.partitionBy(*by, "_piece").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    # the join and the window share one partitioning: (group, piece)
+    joined = keyed.join(offsets, [*group, "_piece"])
+    inside = W.partitionBy(*group, "_piece").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     return joined.select(
         *df.columns,
         *[
@@ -112,17 +110,15 @@ def previous_value(
     The first row of a piece takes the last value of the nearest earlier piece
     of its group, read from the per-piece table.
     """
-    by = list(by)
-    keyed = _with_piece(df, [*by, *order])
-    last = keyed.groupBy(*by, "_piece").agg(
+    keyed, group = _grouped_pieces(df, by, order)
+    last = keyed.groupBy(*group, "_piece").agg(
         F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_last")
     )
     carried = last.select(
-        *[F.col(c).alias("_o_" + c) for c in [*by, "_piece"]],
-        F.lag("_last").over(W.partitionBy(*by).orderBy("_piece")).alias("_carry"),
+        *group, "_piece", F.lag("_last").over(W.partitionBy(*group).orderBy("_piece")).alias("_carry")
     )
-    joined = keyed.join(carried, null_safe(keyed, carried, [*by, "_piece"], "_o_"))
-    inside = W.partitionBy(*by, "_piece").orderBy(*order)
+    joined = keyed.join(carried, [*group, "_piece"])
+    inside = W.partitionBy(*group, "_piece").orderBy(*order)
     prev = F.lag(F.struct(F.col(value).alias("v"))).over(inside)
     return joined.select(*df.columns, F.coalesce(prev, F.col("_carry"))["v"].alias(out))
 
@@ -167,14 +163,16 @@ def exact_quantiles(
 
 
 def top_per_group(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, salts: int = 32
+    df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int
 ) -> DataFrame:
     """First ``n`` rows of each group, in two rounds so no group is hot.
 
     Round one ranks inside (group, salt) where the salt spreads a group over
     tasks; at most ``n * salts`` rows per group reach round two.  Both rounds
     are lone rank filters, so Spark also trims map-side (WindowGroupLimit).
+    For small ``n``; samples by hash use ``sets.flag_first_by_hash`` instead.
     """
+    salts = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
     salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
     first = W.partitionBy(*by, "_salt").orderBy(*order)
     second = W.partitionBy(*by).orderBy(*order)

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -166,8 +167,14 @@ def varying_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> list[st
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Long upper triangle (a, b, r) from a single aggregate pass."""
+    """Long upper triangle (a, b, r) from a single aggregate pass; very wide
+    tables go through the ML correlation of an assembled vector."""
     cols = varying_numeric(df, cols)
+    if len(cols) > 40:
+        vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(df)
+        m = Correlation.corr(vec, "_v").first()[0].toArray()
+        rows = [(a, b, float(m[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols) if j > i]
+        return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     if not pairs:
         return df.sparkSession.createDataFrame([], "a string, b string, r double")
@@ -186,11 +193,7 @@ def mode_per_group(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -
     out = None
     for c in cols:
         counts = df.where(F.col(c).isNotNull()).groupBy(*by, c).agg(F.count("*").alias("_n"))
-        top = counts.groupBy(*by).agg(F.max("_n").alias("_top"))
-        at_top = counts.join(top, list(by)) if by else counts.where(F.col("_n") == top.scalar())
-        if by:
-            at_top = at_top.where(F.col("_n") == F.col("_top"))
-        one = at_top.groupBy(*by).agg(F.min(c).alias(c))
+        one = counts.groupBy(*by).agg(F.min_by(c, F.struct(-F.col("_n"), F.col(c))).alias(c))
         out = one if out is None else (out.join(one, list(by), "full") if by else out.withColumn(c, one.scalar()))
     return out
 

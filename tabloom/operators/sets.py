@@ -36,34 +36,48 @@ def key_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.subtract(b)
 
 
-def hash_cutoff(df: DataFrame, key: str, n: int, salt: str = "") -> DataFrame:
-    """One row (h, k): the n-th key in md5 order, found without a global sort.
-
-    Keys are counted per 65,536 hash prefixes, running totals name the prefix
-    that holds rank n, and only that prefix's keys are ranked.
+def flag_first_by_hash(
+    df: DataFrame, key: str, n: Column | int, by: Sequence[str] = (), out: str = "is_first"
+) -> DataFrame:
+    """True for the first ``n`` rows (per group) in md5 order of a unique key.
+
+    ``n`` may be an expression over ``_total``, the group's row count.  No row
+    is sorted or moved to find them: rows are counted per 65,536 hash prefixes
+    (map-side combined), running sums name the prefix that holds rank n, only
+    that prefix's keys are ranked, and every row then compares itself with its
+    group's n-th key.  Work per group is even, whatever share of rows it has.
     """
-    h = F.md5(F.concat(F.lit(salt), F.col(key).cast("string")))
-    hashed = df.select(h.alias("h"), F.col(key).alias("k"))
-    counts = hashed.groupBy(F.substring("h", 1, 4).alias("p")).agg(F.count("*").alias("c"))
-    run = counts.withColumn("upto", F.sum("c").over(W.orderBy("p")))
-    hit = run.where((F.col("upto") >= n) & (F.col("upto") - F.col("c") < n))
-    inside = hashed.join(hit.select("p", (F.lit(n) - F.col("upto") + F.col("c")).alias("r")),
-                         F.substring("h", 1, 4) == F.col("p"))
-    ranked = inside.withColumn("rn", F.row_number().over(W.partitionBy("p").orderBy("h", "k")))
-    return ranked.where(F.col("rn") == F.col("r")).select("h", "k")
+    wanted = n if isinstance(n, Column) else F.lit(n)
+    group = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
+    hashed = df.select(group.alias("_g"), hash_order(F.col(key)).alias("h"), F.col(key).alias("k"))
+    hashed = hashed.withColumn("_p", F.substring("h", 1, 4))
+    counts = hashed.groupBy("_g", "_p").agg(F.count("*").alias("c"))
+    run = counts.withColumns({
+        "_upto": F.sum("c").over(W.partitionBy("_g").orderBy("_p")),
+        "_total": F.sum("c").over(W.partitionBy("_g")),
+    }).withColumn("_n", wanted)
+    hit = run.where(
+        (F.col("_upto") >= F.col("_n")) & (F.col("_upto") - F.col("c") < F.col("_n")) & (F.col("_n") < F.col("_total"))
+    ).select("_g", "_p", (F.col("_n") - F.col("_upto") + F.col("c")).alias("_r"))
+    ranked = hashed.join(hit, ["_g", "_p"]).withColumn(
+        "_rn", F.row_number().over(W.partitionBy("_g").orderBy("h", "k")))
+    nth = ranked.where(F.col("_rn") == F.col("_r")).select("_g", F.struct("h", "k").alias("_nth"))
+    sizes = run.groupBy("_g").agg(F.max(F.col("_n") >= F.col("_total")).alias("_whole"))
+    own = F.struct(hash_order(F.col(key)).alias("h"), F.col(key).alias("k"))
+    if not by:
+        whole = sizes.select("_whole").scalar()
+        flag = F.coalesce(whole, F.lit(False)) | F.coalesce(own <= nth.select("_nth").scalar(), F.lit(False))
+        return df.withColumn(out, flag)
+    cuts = sizes.join(nth, "_g", "left")
+    joined = df.withColumn("_g", group).join(cuts, "_g", "left")
+    flag = F.coalesce(F.col("_whole"), F.lit(False)) | F.coalesce(own <= F.col("_nth"), F.lit(False))
+    return joined.withColumn(out, flag).drop("_g", "_whole", "_nth")
 
 
 def exact_holdout(df: DataFrame, key: str, n: int, out: str = "is_holdout") -> DataFrame:
-    """Marks exactly ``n`` rows (all, when fewer) in md5 order of a unique key.
-
-    Every row compares itself with the n-th key, a one-row scalar subquery:
-    nothing is shuffled, and the complement needs no anti join.
-    """
-    if n <= 0:
-        return df.withColumn(out, F.lit(False))
-    cut = hash_cutoff(df, key, n).select(F.struct("h", "k")).scalar()
-    own = F.struct(hash_order(F.col(key)).alias("h"), F.col(key).alias("k"))
-    return df.withColumn(out, F.coalesce(own <= cut, F.lit(True)))
+    """Marks exactly ``n`` rows (all, when fewer) in md5 order of a unique key;
+    the complement needs no anti join."""
+    return flag_first_by_hash(df, key, n, (), out)
 
 
 def hash_split(df: DataFrame, key: str, fraction: float, out: str = "part") -> DataFrame:
@@ -73,17 +87,9 @@ def hash_split(df: DataFrame, key: str, fraction: float, out: str = "part") -> D
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float, out: str = "part") -> DataFrame:
-    """Exactly round-down(n_label * fraction) test rows per label, in md5 order.
-
-    Positions come from pieces of the (label, hash) order, so a dominant label
-    is split over tasks.
-    """
-    hashed = df.withColumn("_h", hash_order(F.col(key)))
-    ranked = positions(hashed, ["_h", key], "_pos", [label])
-    sizes = df.groupBy(F.col(label).alias("_l")).agg(F.count("*").alias("_n"))
-    joined = ranked.join(sizes, F.col(label).eqNullSafe(F.col("_l")))
-    is_test = F.col("_pos") < F.floor(F.col("_n") * F.lit(test_fraction))
-    return joined.withColumn(out, F.when(is_test, "test").otherwise("train")).drop("_h", "_pos", "_n", "_l")
+    """Exactly floor(n_label * fraction) test rows per label, in md5 order."""
+    flagged = flag_first_by_hash(df, key, F.floor(F.col("_total") * F.lit(test_fraction)), [label], "_test")
+    return flagged.withColumn(out, F.when(F.col("_test"), "test").otherwise("train")).drop("_test")
 
 
 def group_split(df: DataFrame, group: str, fraction: float, out: str = "part") -> DataFrame:

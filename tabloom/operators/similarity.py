@@ -24,6 +24,7 @@ from tabloom.functions.numeric import norm
 from tabloom.operators.ordered import top_per_group
 
 BLOCK_ROWS = 4096
+RINGS = 128
 DIGITS = 6
 
 
@@ -32,9 +33,10 @@ def as_double(v: Column) -> Column:
 
 
 def unit(v: Column) -> Column:
-    """Scaled to length 1 (a zero vector stays zero)."""
-    n = norm(v)
-    return F.transform(v, lambda x: F.when(n == 0, F.lit(0.0)).otherwise(x / n))
+    """Scaled to length 1 (a zero vector stays zero).  The length is spread to
+    an array first, so it is computed once and not per element."""
+    lengths = F.array_repeat(norm(v), F.size(v))
+    return F.zip_with(v, lengths, lambda x, n: F.when(n == 0, F.lit(0.0)).otherwise(x / n))
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -47,28 +49,50 @@ def _matrix(col: pd.Series) -> np.ndarray:
 
 
 def _assign(base: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """Adds the nearest pivot and the distance to it."""
+
     @F.pandas_udf("cell int, dist double")
-    def nearest(v: pd.Series) -> pd.DataFrame:
+    def to_pivot(v: pd.Series) -> pd.DataFrame:
         d = _distances(_matrix(v), pivots)
         cell = d.argmin(1)
         return pd.DataFrame({"cell": cell.astype("int32"), "dist": d[np.arange(len(d)), cell]})
 
-    return base.withColumn("_a", nearest("vec")).select("id", "vec", "_a.cell", "_a.dist")
+    return base.withColumn("_a", to_pivot("vec")).select("id", "vec", "_a.cell", "_a.dist")
+
+
+def _cell_stats(assigned: DataFrame, centers: np.ndarray, need: int) -> dict[int, dict]:
+    """Size, nearest and farthest member per cell, and upper bounds of its
+    ``need`` smallest distances, from one grouped pass over distance rings
+    (at most cells x RINGS rows reach the driver)."""
+    width = max(float(_distances(centers, centers).max()) / (RINGS / 2), 1e-12)
+    ring = F.least(F.floor(F.col("dist") / F.lit(width)), F.lit(RINGS - 1))
+    rows = assigned.groupBy("cell", ring.alias("ring")).agg(
+        F.count("*").alias("n"), F.min("dist").alias("lo"), F.max("dist").alias("hi")
+    ).collect()
+    stats: dict[int, dict] = {}
+    for r in sorted(rows, key=lambda r: (r["cell"], r["ring"])):
+        s = stats.setdefault(r["cell"], {"n": 0, "lo": r["lo"], "hi": r["hi"], "close": []})
+        s["n"] += r["n"]
+        s["lo"], s["hi"] = min(s["lo"], r["lo"]), max(s["hi"], r["hi"])
+        s["close"] += [r["hi"]] * min(r["n"], need - len(s["close"]))
+    return stats
 
 
-def _route(queries: DataFrame, pivots: np.ndarray, stats: dict, need: int, probes: int | None) -> DataFrame:
-    """One row per (query, cell it must visit)."""
+def _route(
+    queries: DataFrame, centers: np.ndarray, stats: dict, need: int, probes: int | None, keep: list[str]
+) -> DataFrame:
+    """One row per (query, cell it must visit), with the ``keep`` columns."""
     cells = np.array(sorted(stats))
     rmin = np.array([stats[c]["lo"] for c in cells])
     rmax = np.array([stats[c]["hi"] for c in cells])
     close = np.full((len(cells), need), np.inf)
     for i, c in enumerate(cells):
         close[i, : len(stats[c]["close"])] = stats[c]["close"]
-    centers = pivots[cells]
+    own = centers[cells]
 
     def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            d = _distances(_matrix(pdf["vec"]), centers)
+            d = _distances(_matrix(pdf["vec"]), own)
             if probes is None:
                 reach = (d[:, :, None] + close[None, :, :]).reshape(len(d), -1)
                 limit = np.partition(reach, need - 1, axis=1)[:, need - 1] if reach.shape[1] >= need else np.inf
@@ -78,12 +102,27 @@ def _route(queries: DataFrame, pivots: np.ndarray, stats: dict, need: int, probe
                 cols = np.argsort(d, axis=1)[:, :probes]
                 rows = np.repeat(np.arange(len(d)), cols.shape[1])
                 cols = cols.ravel()
-            out = pdf.iloc[rows].copy()
+            out = pdf[keep].iloc[rows].copy()
             out["cell"] = cells[cols].astype("int32")
             yield out
 
-    schema = T.StructType([*queries.schema.fields, T.StructField("cell", T.IntegerType())])
-    return queries.mapInPandas(go, schema)
+    fields = [queries.schema[c] for c in keep]
+    return queries.select("id", "vec").mapInPandas(go, T.StructType([*fields, T.StructField("cell", T.IntegerType())]))
+
+
+def _with_vector_key(df: DataFrame) -> DataFrame:
+    """128 bits of hash per vector, to find exact copies without moving vectors."""
+    return df.withColumn("_key", F.struct(F.xxhash64("vec").alias("a"), F.xxhash64(F.lit(7), F.col("vec")).alias("b")))
+
+
+def _limit_copies(base: DataFrame, need: int) -> DataFrame:
+    """At most ``need`` copies of one vector, those of highest id: with ties
+    going to the higher id no other copy can be among a query's best ``need``."""
+    keys = base.select("id", "_key")
+    crowded = keys.groupBy("_key").agg(F.count("*").alias("n")).where(F.col("n") > need).select("_key")
+    last = top_per_group(keys.join(crowded, "_key", "left_semi"), ["_key"], [F.desc("id")], need)
+    cut = last.groupBy("_key").agg(F.min("id").alias("_cut"))
+    return base.join(cut, "_key", "left").where(F.col("_cut").isNull() | (F.col("id") >= F.col("_cut"))).drop("_cut")
 
 
 def nearest(
@@ -105,41 +144,59 @@ def nearest(
     ``score`` is the cosine, or minus the Euclidean distance, to 6 digits; ties
     go to the higher base id.  Exact by default; with ``probes`` only that many
     nearest cells are searched (faster, recall below 1).
+
+    Copies of one vector are searched once: equal queries share one search and
+    a base vector is kept at most ``k`` (+ 1) times, which loses no result.
     """
     shape = unit if metric == "cosine" else (lambda v: v)
-    q = queries.select(F.col(query_id).alias("id"), shape(as_double(F.col(query_vec))).alias("vec"))
-    b = base.select(F.col(base_id).alias("id"), shape(as_double(F.col(base_vec))).alias("vec"))
-    q = q.where(F.col("vec").isNotNull())
-    b = b.where(F.col("vec").isNotNull())
-    need = k + int(exclude_same_id)
 
-    # fitted parameters: a bounded number of pivots and one row per cell
-    picked = b.orderBy(F.xxhash64("id"), "id").limit(pivots).collect()
-    out_schema = T.StructType([
-        T.StructField("query_id", q.schema["id"].dataType),
-        T.StructField("base_id", b.schema["id"].dataType),
-        T.StructField("score", T.DoubleType()),
-    ])
+    def prepared(df: DataFrame, key: str, vec: str) -> DataFrame:
+        out = df.select(F.col(key).alias("id"), shape(as_double(F.col(vec))).alias("vec"))
+        return _with_vector_key(out.where(F.col("vec").isNotNull()))
+
+    need = k + int(exclude_same_id)
+    asked = prepared(queries, query_id, query_vec)
+    q = asked.groupBy("_key").agg(F.min("id").alias("id"), F.any_value("vec").alias("vec"))
+    b = prepared(base, base_id, base_vec)
+
+    # fitted parameters: a bounded number of pivots and a few rows per cell.
+    # The ids are chosen from the id column alone; only their vectors are read.
+    ids = [r[0] for r in base.select(F.col(base_id).alias("id")).orderBy(F.xxhash64("id"), "id").limit(pivots).collect()]
+    picked = b.where(F.col("id").isin(ids)).limit(4 * pivots).collect() if ids else []
     if not picked:
-        return queries.sparkSession.createDataFrame([], out_schema).withColumn("rank", F.lit(0))
+        empty = T.StructType([
+            T.StructField("query_id", q.schema["id"].dataType), T.StructField("base_id", b.schema["id"].dataType),
+            T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType())])
+        return queries.sparkSession.createDataFrame([], empty)
     centers = np.unique(np.array([r["vec"] for r in picked], dtype=np.float64), axis=0)
-    assigned = _assign(b, centers)
-    spans = assigned.groupBy("cell").agg(
-        F.count("*").alias("n"), F.min("dist").alias("lo"), F.max("dist").alias("hi")
-    ).collect()
-    stats = {r["cell"]: {"n": r["n"], "lo": r["lo"], "hi": r["hi"], "close": []} for r in spans}
-    for r in top_per_group(assigned.select("cell", "dist", "id"), ["cell"], [F.col("dist"), F.col("id")], need).select(
-        "cell", "dist"
-    ).collect():
-        stats[r["cell"]]["close"].append(r["dist"])
-
-    routed = _route(q, centers, stats, need, probes)
-    slices = {c: -(-s["n"] // block_rows) for c, s in stats.items()}
-    crowd = {r["cell"]: -(-r["n"] // (4 * block_rows))
-             for r in routed.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    assigned = _assign(_limit_copies(b, need), centers)
+    stats = _cell_stats(assigned, centers, need)
+    crowd = {
+        r["cell"]: -(-r["n"] // (4 * block_rows))
+        for r in _route(q, centers, stats, need, probes, []).groupBy("cell").agg(F.count("*").alias("n")).collect()
+    }
+    found = _search_blocks(
+        _route(q.select("id", "vec"), centers, stats, need, probes, ["id", "vec"]), assigned.drop("dist"),
+        {c: -(-s["n"] // block_rows) for c, s in stats.items()}, crowd, need, metric)
+    best = F.row_number().over(W.partitionBy("rep").orderBy(F.desc("score"), F.desc("base_id")))
+    top = found.withColumn("rank", best).where(F.col("rank") <= need)
+    lists = top.groupBy("rep").agg(
+        F.sort_array(F.collect_list(F.struct("rank", "base_id", "score"))).alias("hits"))
+    answers = q.select("_key", F.col("id").alias("rep")).join(lists, "rep").drop("rep")
+    own = F.filter("hits", lambda h: h["base_id"] != F.col("id")) if exclude_same_id else F.col("hits")
+    rows = asked.select("id", "_key").join(answers, "_key").select("id", F.slice(own, 1, k).alias("hits"))
+    return rows.select(F.col("id").alias("query_id"), F.posexplode("hits").alias("_pos", "h")).select(
+        "query_id", "h.base_id", "h.score", (F.col("_pos") + 1).alias("rank"))
+
+
+def _search_blocks(
+    routed: DataFrame, assigned: DataFrame, slices: dict[int, int], crowd: dict[int, int], need: int, metric: str
+) -> DataFrame:
+    """(rep, base_id, score): the best ``need`` of every bounded block pair."""
+    cells = sorted(slices)
 
     def per_cell(table: dict[int, int]) -> Column:
-        pairs = [F.lit(x) for c in sorted(stats) for x in (int(c), int(table.get(c, 1)))]
+        pairs = [F.lit(x) for c in cells for x in (int(c), int(table.get(c, 1)))]
         return F.element_at(F.create_map(*pairs), F.col("cell"))
 
     def upto(n: Column) -> Column:
@@ -149,10 +206,11 @@ def nearest(
         return F.pmod(F.xxhash64("id", F.lit(seed)), n.cast("long")).cast("int")
 
     left = routed.withColumn("salt", spread(per_cell(crowd), 1)).withColumn("part", upto(per_cell(slices)))
-    right = assigned.drop("dist").withColumn("part", spread(per_cell(slices), 2)).withColumn(
-        "salt", upto(per_cell(crowd))
-    )
-    names = ["query_id", "base_id", "score"]
+    right = assigned.withColumn("part", spread(per_cell(slices), 2)).withColumn("salt", upto(per_cell(crowd)))
+    names = ["rep", "base_id", "score"]
+    schema = T.StructType([
+        T.StructField("rep", routed.schema["id"].dataType), T.StructField("base_id", assigned.schema["id"].dataType),
+        T.StructField("score", T.DoubleType())])
 
     def block(lq: pd.DataFrame, rb: pd.DataFrame) -> pd.DataFrame:
         if lq.empty or rb.empty:
@@ -163,25 +221,18 @@ def nearest(
         parts = []
         for start in range(0, len(qa), 1024):
             rows = slice(start, start + 1024)
-            s = qa[rows] @ ba.T if metric == "cosine" else -_distances(qa[rows], ba)
-            s = np.round(s, DIGITS)
-            if exclude_same_id:
-                s[qid[rows][:, None] == bid[None, :]] = -np.inf
+            s = np.round(qa[rows] @ ba.T if metric == "cosine" else -_distances(qa[rows], ba), DIGITS)
             # stable: equal scores stay in descending id order
-            best = np.argsort(-s, axis=1, kind="stable")[:, :k]
-            score = np.take_along_axis(s, best, 1)
-            ok = np.isfinite(score)
+            best = np.argsort(-s, axis=1, kind="stable")[:, :need]
             parts.append(pd.DataFrame({
-                "query_id": np.repeat(qid[rows], best.shape[1])[ok.ravel()],
-                "base_id": bid[best.ravel()][ok.ravel()],
-                "score": score.ravel()[ok.ravel()] + 0.0,
+                "rep": np.repeat(qid[rows], best.shape[1]),
+                "base_id": bid[best.ravel()],
+                "score": np.take_along_axis(s, best, 1).ravel() + 0.0,
             }))
         return pd.concat(parts)
 
     keys = ["cell", "part", "salt"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(block, out_schema)
-    w = W.partitionBy("query_id").orderBy(F.desc("score"), F.desc("base_id"))
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return left.groupBy(*keys).cogroup(right.select("id", "vec", *keys).groupBy(*keys)).applyInPandas(block, schema)
 
 
 def retrieval_accuracy(matches: DataFrame, truth: DataFrame, k: int) -> DataFrame:
@@ -224,13 +275,13 @@ def max_pattern_similarity(df: DataFrame, vec: str, patterns: DataFrame, pattern
     rows = patterns.select(as_double(F.col(pattern_vec)).alias("v")).limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError("the pattern set is not small; use nearest()")
-    table = F.array(*[F.array(*[F.lit(float(x)) for x in r["v"]]) for r in rows])
-    unit_table = F.transform(table, unit)
-    v = unit(as_double(F.col(vec)))
-    score = F.array_max(F.transform(
-        unit_table, lambda p: F.aggregate(F.zip_with(v, p, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    units = [np.asarray(r["v"], dtype=np.float64) / (np.linalg.norm(r["v"]) or 1.0) for r in rows]
+    table = F.array(*[F.array(*[F.lit(float(x)) for x in u]) for u in units])
+    v = F.col("_v")
+    best = F.array_max(F.transform(
+        table, lambda p: F.aggregate(F.zip_with(v, p, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     ))
-    return df.withColumn(out, score)
+    return df.withColumn("_v", as_double(F.col(vec))).withColumn(out, F.try_divide(best, norm(v))).drop("_v")
 
 
 def knn_vote(matches: DataFrame, labels: DataFrame) -> DataFrame:

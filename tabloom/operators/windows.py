@@ -7,34 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.functions.numeric import hash_order
-from tabloom.operators.ordered import exact_quantiles, positions, previous_value, top_per_group
+from tabloom.operators.ordered import exact_quantiles, positions, previous_value
+from tabloom.operators.sets import flag_first_by_hash
 
 
 def capped_sample(
     df: DataFrame, group: str, key: str, cap: int, floor: int
 ) -> DataFrame:
     """At most ``cap`` rows per group in md5 order of the key; a group stays
-    only when its capped count exceeds ``floor``.
-
-    Qualifying groups come from a grouped count and a semi join, so the rank
-    filter stands alone and Spark trims each task's rows before the shuffle.
-    """
-    sizes = df.groupBy(group).agg(F.least(F.count("*"), F.lit(cap)).alias("_n"))
-    good = sizes.where(F.col("_n") > floor).select(group)
-    kept = df.join(good, group, "left_semi")
-    return top_per_group(kept, [group], [hash_order(F.col(key)), F.col(key)], cap)
+    only when its capped count exceeds ``floor``.  Only grouped counts and one
+    key per group are shuffled, never the rows."""
+    wanted = F.when(F.least(F.col("_total"), F.lit(cap)) > floor, F.lit(cap)).otherwise(F.lit(0))
+    return flag_first_by_hash(df, key, wanted, [group], "_keep").where(F.col("_keep")).drop("_keep")
 
 
 def tiered_sample(df: DataFrame, group: str, key: str, large: int, small: int) -> DataFrame:
     """Above ``large`` rows: that many in md5 order; above ``small``: all;
     otherwise none."""
-    sizes = df.groupBy(group).agg(F.count("*").alias("_n"))
-    big = df.join(sizes.where(F.col("_n") > large).select(group), group, "left_semi")
-    mid = df.join(
-        sizes.where((F.col("_n") > small) & (F.col("_n") <= large)).select(group), group, "left_semi"
-    )
-    return top_per_group(big, [group], [hash_order(F.col(key)), F.col(key)], large).unionByName(mid)
+    wanted = F.when(F.col("_total") > small, F.lit(large)).otherwise(F.lit(0))
+    return flag_first_by_hash(df, key, wanted, [group], "_keep").where(F.col("_keep")).drop("_keep")
 
 
 def fill_group_median(df: DataFrame, group: str, col: str) -> DataFrame:
