@@ -46,9 +46,11 @@ def test_mixed_slope_and_residuals(spark):
     # direct GLS check of the slope at the fitted ratio
     lam = fit.var_group / fit.var_resid
     X = np.column_stack([np.ones(n), x])
-    V = np.eye(n) + lam * (g[:, None] == g[None, :])
-    Vi = np.linalg.inv(V)
-    beta = np.linalg.solve(X.T @ Vi @ X, X.T @ Vi @ y)
+    A, b = X.T @ X, X.T @ y
+    for i in range(k):
+        s, t, m = X[g == i].sum(0), y[g == i].sum(), (g == i).sum()
+        A, b = A - lam / (1 + m * lam) * np.outer(s, s), b - lam / (1 + m * lam) * s * t
+    beta = np.linalg.solve(A, b)
     assert fit.coef == pytest.approx(beta, rel=1e-6)
     out = R.with_predictions(df, fit)
     assert out.count() == n
