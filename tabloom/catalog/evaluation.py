@@ -103,8 +103,8 @@ def m09(t: Tables):
 with r as (select p_brand, 1 - sum(pow(p_retailprice - m, 2)) / sum(pow(p_retailprice - g, 2)) as r2 from (
   select p_brand, p_retailprice, avg(p_retailprice) over (partition by p_brand, p_type) as m, avg(p_retailprice) over (partition by p_brand) as g from part)
   group by p_brand)
-select p_brand, round(r2 / (1 - r2), 6) as f2, case when r2 / (1 - r2) < 0.02 then 'negligible' when r2 / (1 - r2) < 0.15 then 'small'
-  when r2 / (1 - r2) < 0.35 then 'medium' else 'large' end as label from r""")
+select p_brand, round(r2 / nullif(1 - r2, 0), 6) as f2, case when r2 / nullif(1 - r2, 0) < 0.02 then 'negligible'
+  when r2 / nullif(1 - r2, 0) < 0.15 then 'small' when r2 / nullif(1 - r2, 0) < 0.35 then 'medium' else 'large' end as label from r""")
 def m10(t: Tables):
     cells = t.part.groupBy("p_brand", "p_type").agg(F.count("*").alias("n"), F.avg("p_retailprice").alias("m"), F.var_pop("p_retailprice").alias("v"))
     per = cells.groupBy("p_brand").agg(F.sum(F.col("n") * F.col("v")).alias("ssw"), F.sum(F.col("n") * F.col("m")).alias("s"), F.sum("n").alias("n"),

@@ -64,7 +64,7 @@ def n02(t: Tables):
 
 
 @query("n03_score_chain", f"""
-select client_plan_id, predicted_plan_id, count(*) as claim_count, round(avg(probability_score), 6) as probability, 'C1' as client_code
+select client_plan_id, predicted_plan_id, count(*) as claim_count, round(avg(probability_score), 10) as probability, 'C1' as client_code
 from {SCORED} where probability_score > 0.2 group by client_plan_id, predicted_plan_id""")
 def n03(t: Tables):
     def score(events):
@@ -74,7 +74,7 @@ def n03(t: Tables):
                              (F.col("value") / 500.0).alias("probability_score"))
 
     _, summary = C.score_chain(t.events, score, 0.2, {"client_code": "C1"})
-    return summary.withColumn("probability", rd("probability"))
+    return summary.withColumn("probability", rd("probability", 10))
 
 
 @query("n04_training_set", f"""
@@ -120,7 +120,7 @@ def n07(t: Tables):
 
 
 @query("p01_incremental_summary", f"""
-select client_plan_id, predicted_plan_id, count(*) as claim_count, round(avg(probability_score), 6) as probability
+select client_plan_id, predicted_plan_id, count(*) as claim_count, round(avg(probability_score), 10) as probability
 from {SCORED} where probability_score > 0.15 group by client_plan_id, predicted_plan_id""")
 def p01(t: Tables):
     """Events arrive as files, twice over; the result equals the batch one."""
@@ -136,4 +136,4 @@ def p01(t: Tables):
 
     run_incremental(stream, score, detail, mark, ["claim_id"], ["ts"], buckets=4).awaitTermination()
     back = t.spark.read.parquet(detail)
-    return C.plan_summary(back, 0.15).withColumn("probability", rd("probability"))
+    return C.plan_summary(back, 0.15).withColumn("probability", rd("probability", 10))

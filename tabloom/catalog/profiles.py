@@ -37,12 +37,12 @@ def predictions(t: Tables):
 
 
 @query("e01_plan_summary", f"""
-select client_plan_id, predicted_plan_id, count(*) as claim_count, round(avg(probability_score), 6) as probability,
+select client_plan_id, predicted_plan_id, count(*) as claim_count, round(avg(probability_score), 10) as probability,
   'C1' as client_code, '2024-01-31' as run_date
 from {SCORED} where probability_score > 0.15 group by client_plan_id, predicted_plan_id""")
 def e01(t: Tables):
     return jobs.plan_summary(scored(t), 0.15, client_code="C1", run_date="2024-01-31").withColumn(
-        "probability", rd("probability"))
+        "probability", rd("probability", 10))
 
 
 @query("e02_vote_winners", f"select plan, target, value, cast(accuracy as double) as accuracy from {_WINNERS}")
@@ -79,7 +79,7 @@ def e03t(t: Tables):
 
 def _describe_sql(src: str, cols: list[str]) -> str:
     return " union all ".join(f"""
-select '{c}' as variable, count({c}) as n_values, round(avg({c}), 6) as mean, round(stddev_samp({c}), 6) as std,
+select '{c}' as variable, count({c}) as n_values, round(avg({c}), 9) as mean, round(stddev_samp({c}), 6) as std,
  round(min({c}), 6) as min, round(quantile_cont({c}, 0.25), 6) as p25, round(quantile_cont({c}, 0.5), 6) as p50,
  round(quantile_cont({c}, 0.75), 6) as p75, round(max({c}), 6) as max, count(*) - count({c}) as missing from {src}""" for c in cols)
 
@@ -88,7 +88,7 @@ select '{c}' as variable, count({c}) as n_values, round(avg({c}), 6) as mean, ro
                                      ["user_id", "value", "amount"]))
 def e04(t: Tables):
     d = P.describe(dirty_events(t), ["user_id", "value", "amount"])
-    return d.withColumns({c: rd(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")})
+    return d.withColumns({c: rd(c, 9 if c == "mean" else 6) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")})
 
 
 @query("e05_crosstab", """
@@ -246,17 +246,17 @@ def e16(t: Tables):
 @query("e17_group_sizes", """
 with s as (select o_custkey, count(*) as n from orders group by o_custkey)
 select case when n = 1 then '1' when n <= 5 then '2-5' else '6+' end as members, count(*) as n_groups, min(n) as min_n,
-  round(avg(n), 6) as mean_n, max(n) as max_n from s group by 1""")
+  round(avg(n), 9) as mean_n, max(n) as max_n from s group by 1""")
 def e17(t: Tables):
-    return P.group_size_distribution(t.orders, ["o_custkey"]).withColumn("mean_n", rd("mean_n"))
+    return P.group_size_distribution(t.orders, ["o_custkey"]).withColumn("mean_n", rd("mean_n", 9))
 
 
 @query("e18_within_group", """
-select o_custkey, count(o_totalprice) as n, round(avg(o_totalprice), 7) as mean, round(stddev_samp(o_totalprice), 6) as std
+select o_custkey, count(o_totalprice) as n, round(avg(o_totalprice), 8) as mean, round(stddev_samp(o_totalprice), 6) as std
 from orders group by o_custkey""")
 def e18(t: Tables):
     return P.within_group_spread(t.orders, ["o_custkey"], "o_totalprice").withColumns(
-        {"mean": rd("mean", 7), "std": rd("std")})
+        {"mean": rd("mean", 8), "std": rd("std")})
 
 
 @query("e18_mean_within_spread", """
@@ -289,10 +289,10 @@ def e20(t: Tables):
 
 
 @query("e21_coverage", " union all ".join(f"""
-select '{c}' as variable, count(*) as n_entities, min(n) as min_rows, round(avg(n), 6) as mean_rows, max(n) as max_rows
+select '{c}' as variable, count(*) as n_entities, min(n) as min_rows, round(avg(n), 9) as mean_rows, max(n) as max_rows
 from (select {c}, count(*) as n from {CLAIMS} group by {c})""" for c in ("plan", "nation", "member")))
 def e21(t: Tables):
-    return P.coverage(claims(t), ["plan", "nation", "member"]).withColumn("mean_rows", rd("mean_rows"))
+    return P.coverage(claims(t), ["plan", "nation", "member"]).withColumn("mean_rows", rd("mean_rows", 9))
 
 
 @query("e22_load_gate", f"""
