@@ -118,20 +118,24 @@ def per_target_models(
 
     The fits are Spark jobs over one persisted frame, a few at a time.
     """
-    base = df.select(key, *features, *targets).persist()
+    base = df.select(key, *features, *[F.col(f"`{x}`") for x in targets]).persist()
 
     def one(target: str):
-        split = stratified_split(base.withColumn("label", F.col(target).cast("double")), "label", key, 0.25)
-        train = split.where(F.col("part") == "train")
-        chosen = k_best(train, "label", features, k)
-        parts = {p: assemble(split.where(F.col("part") == p), chosen) for p in ("train", "test")}
-        weighted = balanced_weights(parts["train"], "label")
-        scored = {
-            "logistic": LogisticRegression(maxIter=50, weightCol="weight").fit(weighted).transform(parts["test"]),
-            "boosted": boost_stumps(parts["train"], rounds=5)(parts["test"]),
-            "forest": RandomForestClassifier(numTrees=trees, seed=SEED).fit(parts["train"]).transform(parts["test"]),
-        }
-        metric = {f: binary_metrics(s, "label", "prediction").first() for f, s in scored.items()}
+        labelled = base.select(key, *features, F.col(f"`{target}`").cast("double").alias("label"))
+        split = stratified_split(labelled, "label", key, 0.25).persist()
+        try:
+            train = split.where(F.col("part") == "train")
+            chosen = k_best(train, "label", features, k)
+            parts = {p: assemble(split.where(F.col("part") == p), chosen) for p in ("train", "test")}
+            weighted = balanced_weights(parts["train"], "label")
+            scored = {
+                "logistic": LogisticRegression(maxIter=50, weightCol="weight").fit(weighted).transform(parts["test"]),
+                "boosted": boost_stumps(parts["train"], rounds=5)(parts["test"]),
+                "forest": RandomForestClassifier(numTrees=trees, seed=SEED).fit(parts["train"]).transform(parts["test"]),
+            }
+            metric = {f: binary_metrics(s, "label", "prediction").first() for f, s in scored.items()}
+        finally:
+            split.unpersist()
         p = {f: m["precision"] for f, m in metric.items()}
         if p["logistic"] > max(p["forest"], p["boosted"]):
             win = "logistic"
