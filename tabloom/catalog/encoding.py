@@ -30,7 +30,7 @@ def k00(t: Tables):
     return prune(wide_parts(t), ["p_partkey"])[0]
 
 
-@query("k01_feature_pipeline")
+@query("k01_encode_features")
 def k01(t: Tables):
     d = dirty_events(t).fillna("UNK", ["etype"]).fillna(0.0, ["amount"])
     out = E.feature_pipeline(["etype"], ["amount", "value"]).fit(d).transform(d)
@@ -129,7 +129,7 @@ def k08(t: Tables):
     return d.select("event_id", rd("med_fill").alias("med_fill"), rd("mean_fill").alias("mean_fill"), "amount_missing", "etype")
 
 
-@query("k09_fill_by_tree")
+@query("k09_fill_by_tree", "select count(*) as n, count(p_size) as filled from part")
 def k09(t: Tables):
     d = wide_parts(t).withColumn("some_null", F.col("some_null").cast("double"))
     out = E.fill_by_tree(d, "some_null", ["p_retailprice", "price2"])

@@ -208,7 +208,9 @@ def e13(t: Tables):
     return P.correlation_pairs(d, [*_CORR, "k_const"]).withColumn("r", rd("r"))
 
 
-@query("e13_correlation_matrix")
+@query("e13_correlation_matrix", " union all ".join(
+    f"select '{a}' as variable, " + ", ".join(
+        f"round(corr({a}, {b}), 6) as {b}" if a != b else f"1.0::double as {b}" for b in _CORR) + f" from {_LP}" for a in _CORR))
 def e13m(t: Tables):
     m = Correlation.corr(assemble(line_parts(t), _CORR), "features").first()[0].toArray()
     return t.spark.createDataFrame([(a, *[round(float(x), 6) for x in r]) for a, r in zip(_CORR, m, strict=True)],

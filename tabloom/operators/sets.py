@@ -39,7 +39,8 @@ def key_difference(a: DataFrame, b: DataFrame) -> DataFrame:
 def flag_first_by_hash(
     df: DataFrame, key: str, n: Column | int, by: Sequence[str] = (), out: str = "is_first"
 ) -> DataFrame:
-    """True for the first ``n`` rows (per group) in md5 order of a unique key.
+    """True for the first ``n`` rows (per group) in md5 order of a unique key
+    (rows that share a key are flagged together).
 
     ``n`` may be an expression over ``_total``, the group's row count.  No row
     is sorted or moved to find them: rows are counted per 65,536 hash prefixes
@@ -59,9 +60,11 @@ def flag_first_by_hash(
     hit = run.where(
         (F.col("_upto") >= F.col("_n")) & (F.col("_upto") - F.col("c") < F.col("_n")) & (F.col("_n") < F.col("_total"))
     ).select("_g", "_p", (F.col("_n") - F.col("_upto") + F.col("c")).alias("_r"))
-    ranked = hashed.join(hit, ["_g", "_p"]).withColumn(
-        "_rn", F.row_number().over(W.partitionBy("_g").orderBy("h", "k")))
-    nth = ranked.where(F.col("_rn") == F.col("_r")).select("_g", F.struct("h", "k").alias("_nth"))
+    # keys are counted before they are ranked, so a repeated key is one row here
+    ranked = hashed.join(hit, ["_g", "_p"]).groupBy("_g", "_r", "h", "k").agg(F.count("*").alias("c"))
+    ranked = ranked.withColumn("_cum", F.sum("c").over(W.partitionBy("_g").orderBy("h", "k")))
+    reached = (F.col("_cum") >= F.col("_r")) & (F.col("_cum") - F.col("c") < F.col("_r"))
+    nth = ranked.where(reached).select("_g", F.struct("h", "k").alias("_nth"))
     sizes = run.groupBy("_g").agg(F.max(F.col("_n") >= F.col("_total")).alias("_whole"))
     own = F.struct(hash_order(F.col(key)).alias("h"), F.col(key).alias("k"))
     if not by:
@@ -102,8 +105,11 @@ def assign_folds(df: DataFrame, key: str, k: int, out: str = "fold") -> DataFram
 
 
 def assign_stratified_folds(df: DataFrame, label: str, key: str, k: int, out: str = "fold") -> DataFrame:
-    """Position in md5 order within the label, modulo k: fold sizes per label
-    differ by at most one."""
-    hashed = df.withColumn("_h", hash_order(F.col(key)))
-    ranked = positions(hashed, ["_h", key], "_pos", [label])
-    return ranked.withColumn(out, F.pmod("_pos", F.lit(k)).cast("int")).drop("_h", "_pos")
+    """Position of the key in md5 order within its label, modulo k: keys per
+    label differ by at most one between folds, and a key's rows stay together.
+    Only the distinct keys are ordered; the rows are joined to them."""
+    keys = df.select(F.col(label).alias("_l"), F.col(key).alias("_k")).distinct().withColumn("_h", hash_order(F.col("_k")))
+    ranked = positions(keys, ["_h", "_k"], "_pos", ["_l"]).select(
+        "_l", "_k", F.pmod("_pos", F.lit(k)).cast("int").alias(out))
+    same = F.col(label).eqNullSafe(F.col("_l")) & (F.col(key) == F.col("_k"))
+    return df.join(ranked, same, "left").drop("_l", "_k")

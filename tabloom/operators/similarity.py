@@ -289,7 +289,7 @@ def knn_vote(matches: DataFrame, labels: DataFrame) -> DataFrame:
     ``labels``: base_id, label."""
     votes = matches.join(labels, "base_id").groupBy("query_id", "label").agg(F.count("*").alias("votes"))
     return votes.groupBy("query_id").agg(
-        F.max_by(F.struct("label", "votes"), F.struct("votes", -F.col("label"))).alias("w")
+        F.min_by(F.struct("label", "votes"), F.struct(-F.col("votes"), F.col("label"))).alias("w")
     ).select("query_id", F.col("w.label").alias("predicted"), F.col("w.votes").alias("votes"))
 
 
