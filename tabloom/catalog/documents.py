@@ -7,7 +7,7 @@ from pyspark.ml.feature import IDF, CountVectorizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tabloom.catalog.base import Tables, as_int, as_long, query, rd
+from tabloom.catalog.base import Tables, query, rd
 from tabloom.operators import documents as D
 
 # one document per order; every tenth is cut off and cannot be parsed

@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tabloom.catalog.base import DIRTY_EVENTS, Tables, as_int, as_long, dirty_events, query, rd
-from tabloom.catalog.profiles import _mode_sql
+from tabloom.catalog.base import DIRTY_EVENTS, Tables, dirty_events, query, rd
 from tabloom.operators import encoding as E
-from tabloom.operators import profiling as P
 
 # part with constant, sparse, copied and null-bearing columns beside the real ones
 _P = """(select p_partkey, p_name, p_brand, p_type, p_size, p_retailprice, 'x' as k_const, case when p_partkey % 10 < 4 then p_type end as sparse,

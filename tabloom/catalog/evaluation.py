@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabloom.catalog.base import CLAIMS, Tables, as_int, as_long, claims, query, rd
+from tabloom.catalog.base import CLAIMS, Tables, claims, query, rd
 from tabloom.functions import numeric as X
 from tabloom.operators import evaluation as V
 from tabloom.operators import mixed as R

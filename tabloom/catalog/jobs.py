@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabloom.catalog.base import CLAIMS, DIRTY_EVENTS, SCORED, Tables, as_int, as_long, claims, dirty_events, query, rd, scored
-from tabloom.operators.windows import standardize
+from tabloom.catalog.base import CLAIMS, SCORED, Tables, as_int, claims, query, rd
 from tabloom.plans import claims as C
 from tabloom.plans import research, wide
 from tabloom.plans.rules import rule_table

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabloom.catalog.base import CLAIMS, Tables, as_int, as_long, claims, query, rd
+from tabloom.catalog.base import Tables, as_int, query, rd
 from tabloom.operators import joins as J
 from tabloom.operators import similarity as N
 from tabloom.operators.similarity import as_double

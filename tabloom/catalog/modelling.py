@@ -7,7 +7,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
-from tabloom.catalog.base import Tables, as_int, as_long, claims, query, rd
+from tabloom.catalog.base import Tables, claims, query, rd
 from tabloom.operators import encoding as E
 from tabloom.operators import evaluation as V
 from tabloom.operators import mixed as R

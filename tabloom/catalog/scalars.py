@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabloom.catalog.base import DIRTY_EVENTS, SCORED, Tables, as_int, as_long, dirty_events, query, rd, scored
+from tabloom.catalog.base import DIRTY_EVENTS, SCORED, Tables, as_int, dirty_events, query, rd, scored
 from tabloom.catalog.joins import _CODE, _TOKENS, tokens
 from tabloom.functions import numeric as X
 from tabloom.functions import text as S

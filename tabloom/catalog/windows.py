@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabloom.catalog.base import CLAIMS, DIRTY_EVENTS, SCORED, Tables, as_int, as_long, claims, dirty_events, query, rd, scored
+from tabloom.catalog.base import CLAIMS, DIRTY_EVENTS, SCORED, Tables, as_int, claims, dirty_events, query, rd, scored
 from tabloom.functions.numeric import bin_label
 from tabloom.operators import sets as H
 from tabloom.operators import windows as Wn

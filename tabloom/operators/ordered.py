@@ -155,9 +155,11 @@ def exact_quantiles(
     keys = [*by, "variable"]
     long = long_values(df, cols, by).withColumn("_g", F.struct(*keys))
     edges = [min(max(x, 0.0), 1.0) for p in probs for x in (p - MARGIN, p + MARGIN)]
-    brackets = long.groupBy("_g").agg(F.percentile_approx("value", edges, SKETCH_ACCURACY).alias("_e"))
+    brackets = long.groupBy("_g").agg(
+        F.percentile_approx("value", edges, SKETCH_ACCURACY).alias("_e"), F.count("*").alias("_n"))
     v, e = F.col("value"), F.col("_e")
-    inside, zone = F.lit(False), F.lit(0)
+    # a small group is counted whole: there the margin is less than a few ranks
+    inside, zone = F.col("_n") <= SKETCH_ACCURACY, F.lit(0)
     for i in range(len(probs)):
         inside = inside | ((v >= e[2 * i]) & (v <= e[2 * i + 1]))
         zone = zone + (v > e[2 * i + 1]).cast("int")

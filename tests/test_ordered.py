@@ -36,6 +36,25 @@ def test_quantiles_equal_pandas(skewed):
         assert got[key][1:] == pytest.approx((s.quantile(0.1), s.quantile(0.5)))
 
 
+def test_quantiles_of_large_groups_use_brackets(spark):
+    rng = np.random.default_rng(11)
+    n = 60_000
+    pdf = pd.DataFrame({"g": np.where(rng.random(n) < 0.7, "hot", "cold"), "x": np.exp(rng.normal(0, 3, n))})
+    pdf.loc[pdf.index % 5 == 0, "x"] = 1.5  # a value of many copies
+    probs = [0.0, 0.001, 0.5, 0.75, 0.9999, 1.0]
+    df = spark.createDataFrame(pdf)
+    for r in exact_quantiles(df, ["x"], probs, ["g"]).collect():
+        want = pdf[pdf.g == r["g"]].x.quantile(probs)
+        assert [r[f"q{i}"] for i in range(len(probs))] == pytest.approx(list(want))
+
+
+def test_rows_of_one_key_stay_together(spark):
+    df = spark.createDataFrame(pd.DataFrame({"k": np.where(np.arange(3000) < 1000, 7, np.arange(3000)), "g": "a"}))
+    for out, flag in ((H.exact_holdout(df, "k", 50), "is_holdout"), (H.assign_stratified_folds(df, "g", "k", 3), "fold")):
+        assert out.count() == 3000
+        assert out.groupBy("k").agg(F.countDistinct(flag).alias("d")).where("d > 1").count() == 0
+
+
 @pytest.mark.parametrize("partitions", [1, 7, 32])
 def test_previous_value_and_partition_counts(skewed, partitions):
     df, pdf = skewed
