@@ -10,7 +10,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabloom.functions.numeric import hash_bucket, hash_order
+from tabloom.operators.joins import dimension_join, is_small
 from tabloom.operators.ordered import one_per_key, positions
+from tabloom.session import settle
 
 
 def union_tagged(frames: Mapping[str, DataFrame], tag: str = "origin") -> DataFrame:
@@ -46,7 +48,8 @@ def flag_first_by_hash(
     is sorted or moved to find them: rows are counted per 65,536 hash prefixes
     (map-side combined), running sums name the prefix that holds rank n, only
     that prefix's keys are ranked, and every row then compares itself with its
-    group's n-th key.  Work per group is even, whatever share of rows it has.
+    group's n-th key (broadcast after a size check).  Work per group is even,
+    whatever share of rows it has.  The counting jobs run when this is called.
     """
     wanted = n if isinstance(n, Column) else F.lit(n)
     group = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
@@ -57,24 +60,30 @@ def flag_first_by_hash(
         "_upto": F.sum("c").over(W.partitionBy("_g").orderBy("_p")),
         "_total": F.sum("c").over(W.partitionBy("_g")),
     }).withColumn("_n", wanted)
-    hit = run.where(
-        (F.col("_upto") >= F.col("_n")) & (F.col("_upto") - F.col("c") < F.col("_n")) & (F.col("_n") < F.col("_total"))
-    ).select("_g", "_p", (F.col("_n") - F.col("_upto") + F.col("c")).alias("_r"))
+    hit = (F.col("_upto") >= F.col("_n")) & (F.col("_upto") - F.col("c") < F.col("_n")) & (F.col("_n") < F.col("_total"))
+    # one row per group, written once: it steers two later scans
+    per = settle(run.groupBy("_g").agg(
+        F.max(F.col("_n") >= F.col("_total")).alias("_whole"),
+        F.max(F.when(hit, F.struct("_p", (F.col("_n") - F.col("_upto") + F.col("c")).alias("r")))).alias("_hit"),
+    ))
+    at = per.where(F.col("_hit").isNotNull()).select("_g", F.col("_hit._p").alias("_p"), F.col("_hit.r").alias("_r"))
+    inside = hashed.join(F.broadcast(at) if is_small(per) else at, ["_g", "_p"])
     # keys are counted before they are ranked, so a repeated key is one row here
-    ranked = hashed.join(hit, ["_g", "_p"]).groupBy("_g", "_r", "h", "k").agg(F.count("*").alias("c"))
+    ranked = inside.groupBy("_g", "_r", "h", "k").agg(F.count("*").alias("c"))
     ranked = ranked.withColumn("_cum", F.sum("c").over(W.partitionBy("_g").orderBy("h", "k")))
     reached = (F.col("_cum") >= F.col("_r")) & (F.col("_cum") - F.col("c") < F.col("_r"))
     nth = ranked.where(reached).select("_g", F.struct("h", "k").alias("_nth"))
-    sizes = run.groupBy("_g").agg(F.max(F.col("_n") >= F.col("_total")).alias("_whole"))
+    cuts = settle(per.select("_g", "_whole").join(nth, "_g", "left"))
     own = F.struct(hash_order(F.col(key)).alias("h"), F.col(key).alias("k"))
-    if not by:
-        whole = sizes.select("_whole").scalar()
-        flag = F.coalesce(whole, F.lit(False)) | F.coalesce(own <= nth.select("_nth").scalar(), F.lit(False))
-        return df.withColumn(out, flag)
-    cuts = sizes.join(nth, "_g", "left")
-    joined = df.withColumn("_g", group).join(cuts, "_g", "left")
-    flag = F.coalesce(F.col("_whole"), F.lit(False)) | F.coalesce(own <= F.col("_nth"), F.lit(False))
-    return joined.withColumn(out, flag).drop("_g", "_whole", "_nth")
+    if by:
+        tagged = dimension_join(df.withColumn("_g", group), cuts, ["_g"], "left")
+        whole, last = F.col("_whole"), F.col("_nth")
+    else:
+        tagged = df
+        one = cuts.select(F.struct("_whole", "_nth")).scalar()
+        whole, last = one["_whole"], one["_nth"]
+    flag = F.coalesce(whole, F.lit(False)) | F.coalesce(own <= last, F.lit(False))
+    return tagged.withColumn(out, flag).select(*df.columns, out)
 
 
 def exact_holdout(df: DataFrame, key: str, n: int, out: str = "is_holdout") -> DataFrame:
