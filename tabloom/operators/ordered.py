@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tabloom.session import settle
+
 MAX_PIECES = 4096
 
 
@@ -151,12 +153,16 @@ def exact_quantiles(
     (map-side combined) and moves only the values inside it, about 0.2% of the
     rows per probability.  Running totals then find the rank exactly; a bracket
     that missed its rank would stop the job rather than give a wrong value.
+    The sketching job runs when this is called.
     """
+    from tabloom.operators.joins import dimension_join
+
     keys = [*by, "variable"]
     long = long_values(df, cols, by).withColumn("_g", F.struct(*keys))
     edges = [min(max(x, 0.0), 1.0) for p in probs for x in (p - MARGIN, p + MARGIN)]
-    brackets = long.groupBy("_g").agg(
-        F.percentile_approx("value", edges, SKETCH_ACCURACY).alias("_e"), F.count("*").alias("_n"))
+    # one row per group, written once; broadcast after a size check, else salted
+    brackets = settle(long.groupBy("_g").agg(
+        F.percentile_approx("value", edges, SKETCH_ACCURACY).alias("_e"), F.count("*").alias("_n")))
     v, e = F.col("value"), F.col("_e")
     # a small group is counted whole: there the margin is less than a few ranks
     inside, zone = F.col("_n") <= SKETCH_ACCURACY, F.lit(0)
@@ -165,7 +171,7 @@ def exact_quantiles(
         zone = zone + (v > e[2 * i + 1]).cast("int")
     # one row per value inside a bracket and one per stretch between brackets;
     # (zone, cell) with the null cell first is the order of the values
-    counts = long.join(brackets, "_g").select("_g", zone.alias("zone"), F.when(inside, v).alias("cell")).groupBy(
+    counts = dimension_join(long.select("_g", "value"), brackets, ["_g"]).select("_g", zone.alias("zone"), F.when(inside, v).alias("cell")).groupBy(
         "_g", "zone", "cell").agg(F.count("*").alias("c"))
     run = running_totals(counts, ["zone", "cell"], ["c"], ["_g"])
 

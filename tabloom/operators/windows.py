@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.operators.joins import dimension_join
 from tabloom.operators.ordered import exact_quantiles, positions, previous_value
 from tabloom.operators.sets import flag_first_by_hash
+from tabloom.session import settle
 
 
 def capped_sample(
@@ -30,9 +32,9 @@ def tiered_sample(df: DataFrame, group: str, key: str, large: int, small: int) -
 
 def fill_group_median(df: DataFrame, group: str, col: str) -> DataFrame:
     """Nulls take their group's exact median; an all-null group stays null."""
-    med = exact_quantiles(df, [col], [0.5], [group]).select(F.col(group).alias("_g"), F.col("q0").alias("_med"))
-    joined = df.join(med, df[group].eqNullSafe(med["_g"]), "left")
-    return joined.withColumn(col, F.coalesce(F.col(col).cast("double"), "_med")).drop("_g", "_med")
+    med = settle(exact_quantiles(df, [col], [0.5], [group]).select(F.struct(group).alias("_g"), F.col("q0").alias("_med")))
+    joined = dimension_join(df.withColumn("_g", F.struct(group)), med, ["_g"], "left")
+    return joined.withColumn(col, F.coalesce(F.col(col).cast("double"), "_med")).select(*df.columns)
 
 
 def frequency_ranks(values: DataFrame, col: str) -> DataFrame:
