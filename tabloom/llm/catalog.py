@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabloom.llm import exact_dedup, packing
+from tabloom.llm import chat, exact_dedup, packing, quality, toxicity, url_filter
 from tabloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,87 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op3_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+SQL["op3_quality_divergence"] = r"""
+with recursive d as (select doc_id, lang, coalesce(text, '') as t from documents),
+w as (select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as words from d),
+lines as (select doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls from d),
+m as (select doc_id, lang, words, len(words) as n_words, length(array_to_string(words, '')) as word_chars,
+  length(t) as all_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols,
+  length(regexp_replace(t, '\PL', '', 'g')) as letters, length(regexp_replace(t, '\P{Lu}', '', 'g')) as up,
+  length(regexp_replace(t, '[^0-9]', '', 'g')) as digit from w),
+c as (select *, [up, letters - up, digit, all_chars - word_chars, n_symbols, word_chars - letters - digit - n_symbols] as cls from m),
+dup as (select doc_id, len(ls) - len(list_distinct(ls)) as n_dup_lines from lines),
+win as (select doc_id, i, array_to_string(words[i:i + 7], ' ') as s
+  from (select doc_id, words, unnest(range(1, len(words) - 6)) as i from w where len(words) >= 8)),
+twice as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, s) as k from win) where k > 1),
+rep as (select doc_id, count(distinct j) as n from (select doc_id, unnest(range(i, i + 8)) as j from twice) group by doc_id),
+names as (select lang from d where lang is not null group by lang order by count(*) desc, lang limit 1000),
+keyed as (select c.*, coalesce(n.lang, '*') as key from c left join names n on c.lang = n.lang),
+pool as (select lang as key, n_words, cls, words from c where lang in (select lang from names)
+  union all select '*', n_words, cls, words from c),
+tot as (select key, sum(n_words) as r_words, [sum(cls[1]), sum(cls[2]), sum(cls[3]), sum(cls[4]), sum(cls[5]), sum(cls[6])] as r_cls
+  from pool group by key),
+cnt as (select key, word, count(*) as n from (select key, unnest(words) as word from pool) where length(word) <= 5 group by all),
+top as (select key, word, n, row_number() over (partition by key order by n desc, word) as r from cnt qualify r <= 16),
+cd as (select k.doc_id, sqrt(greatest(0, sum(case when p > 0 then p * log2(2 * p / (p + q)) else 0 end
+    + case when q > 0 then q * log2(2 * q / (p + q)) else 0 end) / 2)) as char_distance
+  from (select k.doc_id, unnest(range(1, 7)) as i, cls, all_chars, r_cls from keyed k join tot on k.key = tot.key) k,
+  lateral (select case when all_chars > 0 then cls[i] / all_chars::double else 0 end as p,
+    case when list_sum(r_cls) > 0 then r_cls[i] / list_sum(r_cls)::double else 0 end as q) group by k.doc_id),
+here as (select k.doc_id, k.key, k.n_words, top.n, len(list_filter(k.words, lambda x: x = top.word)) as h
+  from keyed k join top on k.key = top.key),
+pq as (select doc_id, case when h.n_words > 0 then h / h.n_words::double else 0 end as p, n / tot.r_words::double as q
+  from here h join tot on h.key = tot.key
+  union all select doc_id, greatest(0, 1 - sum(case when h.n_words > 0 then h / h.n_words::double else 0 end)),
+    greatest(0, 1 - sum(n / tot.r_words::double)) from here h join tot on h.key = tot.key group by doc_id),
+wd as (select doc_id, sqrt(greatest(0, sum(case when p > 0 then p * log2(2 * p / (p + q)) else 0 end
+    + case when q > 0 then q * log2(2 * q / (p + q)) else 0 end) / 2)) as word_distance from pq group by doc_id),
+j as (select m.doc_id, m.n_words, m.word_chars, m.n_symbols, dup.n_dup_lines, coalesce(rep.n, 0) as n_repeat_words,
+  m.n_words < 20 or 100 * coalesce(rep.n, 0) > 30 * m.n_words as base_failed,
+  round(cd.char_distance, 6) as char_distance, round(coalesce(wd.word_distance, 0), 6) as word_distance
+  from m join dup on m.doc_id = dup.doc_id left join rep on m.doc_id = rep.doc_id
+  left join cd on m.doc_id = cd.doc_id left join wd on m.doc_id = wd.doc_id)
+select *, not base_failed and not (n_words >= 50 and (char_distance > 0.32 or word_distance > 0.42)) as kept from j
+"""
+
+
+@query
+def op5_redirect_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    control = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)],
+                                "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.read_back(chat.render(chat.event_log(turns)))
+
+
+SQL["op8_event_sourced_chat"] = r"""
+with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e as (select *, 13 + length(role) + length(text) + length(regexp_replace(role || text, '[^\\]', '', 'g'))
+  + len(regexp_extract_all(text, '</?s>|\[/?INST\]')) + len(regexp_extract_all(role, '</?s>|\[/?INST\]')) as chars from t),
+g as (select conv_id, count(*) as n_turns, string_agg(role || chr(10) || text || chr(10), '' order by turn, role) as turns,
+  coalesce(string_agg(text, '' order by turn) filter (role = 'assistant'), '') as loss, sum(chars) as formatted_chars
+  from e group by conv_id)
+select conv_id, n_turns, sha256(turns) as turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256,
+  cast(formatted_chars as bigint) as formatted_chars from g
+"""
+
+
 @query
 def op9_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
