@@ -40,7 +40,7 @@ LEAST_TEXTS = 5  # sampled texts that hold a feature, at least
 FOLDS = 5
 THRESHOLD = 0.5
 PREFIX_BYTES = 4
-RIDGE = 1.0
+RIDGE = 0.3
 
 _CODES = letter_codes(fold_case=True)
 _OF_PREFIX = np.uint64(0x5851F42D4C957F2D)
