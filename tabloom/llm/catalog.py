@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabloom.llm import chat, exact_dedup, packing, quality, toxicity, url_filter
+from tabloom.llm import chat, exact_dedup, line_dedup, ngram_join, packing, quality, toxicity, url_filter
 from tabloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,32 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op1_suffix_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
+SQL["op1_suffix_line_dedup"] = r"""
+with l as (select doc_id, text, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as i
+  from documents where text is not null),
+w as (select *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as words from l),
+p as (select a.doc_id, a.i, a.words, b.doc_id as d2, a.i - b.i as shift from w a join w b
+  on a.line = b.line and (b.doc_id < a.doc_id or (b.doc_id = a.doc_id and b.i < a.i))),
+r as (select *, i - row_number() over (partition by doc_id, d2, shift order by i) as run from p),
+g as (select distinct doc_id, i from (select *, sum(words) over (partition by doc_id, d2, shift, run) as total from r) where total >= 10)
+select d.doc_id, case when d.text is null then 0 else len(string_split(d.text, chr(10))) end as n_lines,
+  coalesce(k.removed, 0) as lines_removed, case when d.text is null then null else coalesce(k.left_text, '') end as text
+from documents d left join (select w.doc_id, count(g.i) as removed,
+  string_agg(w.line, chr(10) order by w.i) filter (g.i is null) as left_text
+  from w left join g on w.doc_id = g.doc_id and w.i = g.i group by w.doc_id) k on d.doc_id = k.doc_id
+"""
+
+
+@query
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))

@@ -47,6 +47,30 @@ def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text", out: str = "
     return stored(ordered.withColumn(out, F.monotonically_increasing_id()), "keyed")
 
 
+LEAST_HOT = 10_000  # rows of a key that one task joins
+
+
+def salted_join(rows: DataFrame, groups: DataFrame, on: list[str], weight: str, spread: str, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of stored ``groups``, of which there is one for each key of ``on``.
+
+    ``weight`` counts a key's rows. Keys with over a thousandth of all rows are a
+    thousand at most: they are sent to the rows, and both sides of them are dealt
+    over salts (rows by ``spread``), so no task gets more of a key than LEAST_HOT rows
+    or a thousandth of a per cent of all.
+    """
+    total = groups.agg(F.sum(weight)).head()[0] or 0
+    bound = max(LEAST_HOT, total // 1000)
+    salts = F.ceil(F.col(weight) / max(LEAST_HOT, total // 100_000)).cast("int")
+    dealt = groups.withColumn("_salt", F.explode(F.when(
+        F.col(weight) > bound, F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0)))))
+    if total <= bound:
+        return rows.join(groups, on, how)
+    hot = groups.filter(F.col(weight) > bound).select(*on, salts.alias("_salts"))
+    marked = rows.join(F.broadcast(hot), on, "left").withColumn(
+        "_salt", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_salts")), F.lit(0)).cast("int")).drop("_salts")
+    return marked.join(dealt, [*on, "_salt"], how).drop("_salt")
+
+
 def own_columns(df: DataFrame, names: dict[str, str]) -> DataFrame:
     """Select ``names`` (theirs -> ours), so that extra columns of any name can't clash."""
     return df.select(*[F.col(f"`{a}`").alias(b) for a, b in names.items()])

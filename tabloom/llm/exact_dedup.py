@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import IS_BLANK, keyed, own_columns, stored, text_slices
+from tabloom.llm.common import IS_BLANK, keyed, own_columns, salted_join, stored, text_slices
 
 TARGET_BYTES = 32 << 20  # of texts dealt to a bucket
 TABLE_BYTES = 128 << 20  # of distinct contents that a bucket's table may hold
@@ -172,16 +172,8 @@ def exact_dedup(docs: DataFrame, target_bytes: int = TARGET_BYTES, table_bytes:
     rows = keyed(own_columns(docs, {"doc_id": "doc_id", "text": "text"}))
     groups = content_groups(rows, target_bytes, table_bytes)
     names = rows.select("row_key", "text").mapInArrow(_names, "row_key long, sha binary")
-    # rows meet their group by the content's name; the groups that hold more than a
-    # thousandth of all rows number a thousand at most, and are sent to the rows instead
-    groups = groups.withColumnRenamed("row_key", "keep")
-    hot = F.col("copies") > max(10_000, (groups.agg(F.sum("copies")).head()[0] or 0) // 1000)
-    large = groups.filter(hot).select("sha", F.col("copies").alias("hot_copies"), F.col("keep").alias("hot_keep"))
-    marked = names.join(F.broadcast(large), "sha", "left")
-    met = marked.filter("hot_keep is null").select("sha", "row_key").join(groups.filter(~hot), "sha")
-    met_hot = marked.filter("hot_keep is not null").select(
-        "sha", "row_key", F.col("hot_copies").alias("copies"), F.col("hot_keep").alias("keep"))
-    return _answer(rows, met.unionByName(met_hot))
+    groups = stored(groups.withColumnRenamed("row_key", "keep"), "kept")
+    return _answer(rows, salted_join(names, groups, ["sha"], "copies", "row_key"))
 
 
 def _answer(rows: DataFrame, met: DataFrame) -> DataFrame:
