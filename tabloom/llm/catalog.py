@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tabloom.llm import chat, exact_dedup, line_dedup, ngram_join, packing, quality, toxicity, url_filter
 from tabloom.llm.common import table
 
@@ -142,3 +143,12 @@ g as (select b, count(*) as k, arg_min(doc_id, (-c, doc_id)) as keep_id from n g
 select doc_id, keep_id, k as group_size, doc_id = keep_id as kept, sha256(n.b) as text_sha256
 from n join g on n.b = g.b
 """
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
