@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tabloom.llm import chat, exact_dedup, line_dedup, ngram_join, packing, quality, toxicity, url_filter
+from tabloom.llm import chat, exact_dedup, license_scan, line_dedup, ngram_join, packing, quality, sentencepiece_codec, toxicity, url_filter
 from tabloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,11 +95,23 @@ select *, not base_failed and not (n_words >= 50 and (char_distance > 0.32 or wo
 """
 
 
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return license_scan.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
 @query
 def op5_redirect_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+@query
+def op6_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
