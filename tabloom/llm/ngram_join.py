@@ -40,7 +40,7 @@ from tabloom.llm.components import connected
 WORDS = 5
 SHARE, OF = 3, 4  # links at intersection / union >= SHARE / OF
 KEYS = 4  # pairs of minimal hashes by which highly similar sets meet
-HEAVY = 64  # a shingle of so many documents is common, at least
+HEAVY = 8  # a shingle of so many documents is common, at least
 HEAVY_LIST = 1 << 22  # common shingles at most: what is sent to the tasks is bounded
 FEW_ROWS = 1_000_000  # pairs up to this number are sent to the texts, more are joined with them
 PART_ENTRIES = 400_000  # index entries that a task sorts
@@ -148,11 +148,11 @@ def common_shingles(texts: DataFrame, total: int) -> tuple[np.ndarray, int]:
     """(buckets, bits): the hash buckets that so many documents share that they come last in the index order.
 
     Every shingle is counted. The order is the same for all sets whatever falls
-    into a bucket; buckets only decide which shingles are dear to list.
+    into a bucket; buckets only decide which shingles are dear to list. Of more
+    than HEAVY_LIST such buckets those of the highest counts are taken.
     """
-    bits = min(40, max(16, (max(total, 1) // 2).bit_length()))
-    parts = 1 << max(0, min(bits - 8, bits - 18))
-    least = max(HEAVY, -(-total // HEAVY_LIST))
+    bits = min(40, max(16, max(total, 1).bit_length()))
+    parts = 1 << max(0, min(bits - 8, bits - 19))
     low = bits - (parts.bit_length() - 1)
 
     def heavy(frame: pd.DataFrame) -> pd.DataFrame:
@@ -161,11 +161,23 @@ def common_shingles(texts: DataFrame, total: int) -> tuple[np.ndarray, int]:
         for steps, n in zip(frame["steps"], frame["counts"]):
             at = np.cumsum(np.frombuffer(steps, np.uint32).astype(np.int64))
             counts[at] += np.frombuffer(n, np.uint32)
-        return pd.DataFrame({"bucket": np.flatnonzero(counts >= least) + (part << low)})
+        many = np.flatnonzero(counts >= HEAVY)
+        return pd.DataFrame({"bucket": many + (part << low), "docs": counts[many]})
 
     counted = texts.mapInArrow(_count_buckets(bits, parts), "part long, steps binary, counts binary")
-    found = counted.groupBy("part").applyInPandas(heavy, "bucket long").toPandas()["bucket"]
-    return np.sort(found.to_numpy(np.int64)).astype(np.uint64), bits
+    found = stored(counted.groupBy("part").applyInPandas(heavy, "bucket long, docs long"), "common")
+    # the lowest count that leaves HEAVY_LIST buckets at most; powers of two keep its table short
+    sizes = found.groupBy(F.floor(F.log2("docs")).alias("power")).agg(F.count("*").alias("n")).orderBy(F.desc("power")).collect()
+    taken, least = 0, None
+    for r in sizes:
+        taken += r["n"]
+        if taken > HEAVY_LIST:
+            break
+        least = 1 << r["power"]
+    if least is None:
+        return np.zeros(0, np.uint64), bits
+    buckets = found.filter(F.col("docs") >= least).select("bucket").toPandas()["bucket"]
+    return np.sort(buckets.to_numpy(np.int64)).astype(np.uint64), bits
 
 
 # -- index --------------------------------------------------------------------
