@@ -12,7 +12,7 @@ A document's set holds its distinct five-word shingles; two documents link when
   the best position and size range of them all), ordered by size; blocks of sizes
   too far apart and positions too far back are skipped.
 * Answers: two leaders' overlap bounds that of their followers, which differ from
-  them by known amounts. Only follower pairs that the bound leaves open are compared.
+  them by known shingles. Only follower pairs that these leave open are compared.
 
 Links give components by stars; a group of thousands of near copies costs one
 comparison a member, not one a pair.
@@ -321,10 +321,25 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["a", "b", "na", "nb", "overlap"])
 
 
-def overlaps(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(a, b, na, nb, overlap) of stored ``pairs`` (a, b) of row keys, by their whole texts.
+def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingles of members, and which of them their center, which comes first, doesn't hold."""
+    middle = np.zeros(0, np.uint64)
+    for batch in batches:
+        for key, member, row, body in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4))):
+            s = np.frombuffer(body, np.uint64)
+            if not member:
+                middle = s
+                continue
+            at = np.minimum(np.searchsorted(middle, s), len(middle) - 1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(s), key)), pa.array(np.full(len(s), row)), pa.array(s.view(np.int64)),
+                 pa.array(middle[at] != s)], names=["lead", "row_key", "token", "fresh"])
+
+
+def sets_met(rows: DataFrame, pairs: DataFrame, run, shape: str) -> DataFrame:
+    """What ``run`` makes of stored ``pairs`` (a, b) of row keys: the set of ``a``, then those of its partners.
 
-    Pairs meet at ``a``; one that has many partners is copied for each STAR of them.
+    Sets come from whole texts. One that has many partners is copied for each STAR of them.
     """
     fans = stored(pairs.groupBy("a").agg(F.count("*").alias("fan")), "fans")
     members = salted_join(pairs, fans, ["a"], "fan", "b").select(
@@ -338,7 +353,12 @@ def overlaps(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     texts = rows.select("row_key", "text").join(asked, "row_key").select("center", "salt", "is_member", "row_key", "text")
     sets = texts.mapInArrow(_as_sets, "center long, salt int, is_member boolean, row_key long, hashes binary")
     dealt = sets.repartition("center", "salt").sortWithinPartitions("center", "salt", "is_member")
-    return stored(dealt.mapInArrow(_compare, OVERLAP_DDL), "overlaps")
+    return stored(dealt.mapInArrow(run, shape), "met")
+
+
+def overlaps(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b, na, nb, overlap) of stored ``pairs``."""
+    return sets_met(rows, pairs, _compare, OVERLAP_DDL)
 
 
 LINKED = f"overlap * {SHARE + OF} >= {SHARE} * (na + nb)"
@@ -358,8 +378,8 @@ def _index_pairs(texts: DataFrame, total: int, leads: DataFrame) -> DataFrame:
     return stored(dealt.applyInPandas(_pairs_of_lists, "a long, b long").distinct(), "candidates")
 
 
-def links(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(signatures, classes, links) of ``rows`` (row_key, text); links (a, b) join representatives of classes."""
+def linked_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(signatures, classes, roots) of ``rows`` (row_key, text); roots (node, root) of the classes that link."""
     texts = rows.select("row_key", "text")
     signatures = stored(texts.mapInArrow(_sign, SIGNATURE_DDL), "signatures")
     keys = [f"k{j}" for j in range(KEYS)]
@@ -387,31 +407,61 @@ def links(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     compared = overlaps(texts, pairs)
     found = near.select("a", "b").union(compared.filter(LINKED).select("a", "b"))
 
-    # what the leaders' overlap leaves open: x of a, y of b share at most overlap + (x - a) + (y - b)
-    slack = (SHARE + OF) * (F.col("n") - F.col("with_lead")) - SHARE * F.col("n")
-    slacks = stored(leads.withColumn("slack", slack), "slacks")
-    most = slacks.groupBy("lead").agg(F.max("slack").alias("most"))
-    rest = compared.filter(f"not ({LINKED})")
-    rest = rest.join(most.select(F.col("lead").alias("a"), F.col("most").alias("most_a")), "a").join(
-        most.select(F.col("lead").alias("b"), F.col("most").alias("most_b")), "b").filter(
-        (SHARE + OF) * F.col("overlap") + F.col("most_a") + F.col("most_b") >= 0)
-    side = lambda lead, row: slacks.select(F.col("lead").alias(lead), F.col("row_key").alias(row),
-                                           F.col("slack").alias(f"s{row}"), F.col("n").alias(f"n{row}"))
-    # only followers that could reach the other side's best are looked up
-    left = rest.join(side("a", "x"), "a").filter((SHARE + OF) * F.col("overlap") + F.col("sx") + F.col("most_b") >= 0)
-    both = left.join(side("b", "y"), "b").filter(
-        ((SHARE + OF) * F.col("overlap") + F.col("sx") + F.col("sy") >= 0)
-        & (OF * F.least("nx", "ny") >= SHARE * F.greatest("nx", "ny")) & ~((F.col("x") == F.col("a")) & (F.col("y") == F.col("b"))))
-    open_pairs = stored(both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "open")
+    roots = stored(connected(found), "roots")
+    open_pairs = _open_pairs(texts, leads, compared.filter(f"not ({LINKED})"), roots)
     if not open_pairs.isEmpty():
-        found = found.union(overlaps(texts, open_pairs).filter(LINKED).select("a", "b"))
-    return signatures, classes, stored(found, "links")
+        more = overlaps(texts, open_pairs).filter(LINKED).select("a", "b")
+        roots = connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
+    return signatures, classes, roots
+
+
+def _open_pairs(texts: DataFrame, leads: DataFrame, apart: DataFrame, roots: DataFrame) -> DataFrame:
+    """(a, b): the followers x, y of leaders a, b that don't link whose own link the leaders' overlap leaves open.
+
+    x and y share at most overlap(a, b) + |x - a| + |y - b|, which rules most leaders out with all
+    that follow them; leaders that other links have joined need no more either. For the rest the
+    answer follows from the differences: x and y share no more than the leaders do, but for the
+    shingles of x - a that y holds and those of y - b that x holds. Few sets hold such shingles,
+    so these are matched by shingle, not pair by pair.
+    """
+    slack = (SHARE + OF) * (F.col("n") - F.col("with_lead")) - SHARE * F.col("n")
+    ends = leads.groupBy("lead").agg(F.max(slack).alias("most")).join(
+        roots.withColumnRenamed("node", "lead"), "lead", "left").withColumn("root", F.coalesce("root", "lead"))
+    end = lambda side: ends.select(F.col("lead").alias(side), F.col("most").alias(f"most_{side}"),
+                                   F.col("root").alias(f"root_{side}"))
+    rest = stored(apart.join(end("a"), "a").join(end("b"), "b").filter(
+        (F.col("root_a") != F.col("root_b"))
+        & ((SHARE + OF) * F.col("overlap") + F.col("most_a") + F.col("most_b") >= 0)).select("a", "b", "overlap"), "rest")
+    named = rest.select(F.col("a").alias("lead")).union(rest.select("b")).distinct()
+    members = stored(leads.join(named, "lead").select("lead", "row_key", "n"), "members")
+    spelled = sets_met(texts, members.select(F.col("lead").alias("a"), F.col("row_key").alias("b")), _spell,
+                       "lead long, row_key long, token long, fresh boolean")
+    fresh = spelled.filter("fresh").select("token", F.col("lead").alias("lead_x"), F.col("row_key").alias("x"))
+    held = spelled.select("token", F.col("lead").alias("lead_y"), F.col("row_key").alias("y"))
+    meets = fresh.join(held, "token").filter("lead_x != lead_y")
+    turned = F.col("lead_x") > F.col("lead_y")
+    shared = meets.select(
+        F.least("lead_x", "lead_y").alias("a"), F.greatest("lead_x", "lead_y").alias("b"),
+        F.when(turned, F.col("y")).otherwise(F.col("x")).alias("x"), F.when(turned, F.col("x")).otherwise(F.col("y")).alias("y"),
+    ).groupBy("a", "b", "x", "y").agg(F.count("*").alias("extra"))
+    size = lambda row: members.select(F.col("row_key").alias(row), F.col("n").alias(f"n{row}"))
+    reaches = lambda extra: (SHARE + OF) * (F.col("overlap") + extra) >= SHARE * (F.col("nx") + F.col("ny"))
+    told = rest.join(shared, ["a", "b"]).join(size("x"), "x").join(size("y"), "y").filter(reaches(F.col("extra")))
+    # no shingle more than the leaders share can do only for sets smaller than they are
+    side = lambda lead, row: members.select(F.col("lead").alias(lead), F.col("row_key").alias(row),
+                                            F.col("n").alias(f"n{row}"))
+    least = members.groupBy("lead").agg(F.min("n").alias("least")).select(F.col("lead").alias("b"), "least")
+    small = rest.join(least, "b").join(side("a", "x"), "a").filter(
+        (SHARE + OF) * F.col("overlap") >= SHARE * (F.col("nx") + F.col("least"))).join(side("b", "y"), "b").filter(reaches(F.lit(0)))
+    fits = OF * F.least("nx", "ny") >= SHARE * F.greatest("nx", "ny")
+    both = told.filter(fits).select("x", "y").union(small.filter(fits).select("x", "y"))
+    return stored(both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "open")
 
 
 def components(rows: DataFrame) -> DataFrame:
     """(row_key, n, root): each row's set size and the first row it reaches by links."""
-    signatures, classes, found = links(rows)
-    roots = connected(found).withColumnRenamed("node", "rep")
+    signatures, classes, roots = linked_classes(rows)
+    roots = roots.withColumnRenamed("node", "rep")
     classes = stored(classes.join(roots, "rep", "left").select(
         "n", "d1", "d2", "copies", F.coalesce("root", "rep").alias("root")), "class-roots")
     met = salted_join(signatures.select("row_key", "n", "d1", "d2"), classes, ["n", "d1", "d2"], "copies", "row_key", how="left")
