@@ -167,7 +167,7 @@ def fit_random_intercept(
 
 
 def with_predictions(df: DataFrame, fit: MixedFit) -> DataFrame:
-    """Adds fixed part, group effect (shrunken), fitted value and residual."""
+    """Adds fixed part, group effect (shrunken; 0 for rows without a group), fitted value and residual."""
     fixed = F.lit(float(fit.coef[0]))
     for c, b in zip(fit.names[1:], fit.coef[1:], strict=True):
         fixed = fixed + F.col(c).cast("double") * F.lit(float(b))
@@ -176,7 +176,7 @@ def with_predictions(df: DataFrame, fit: MixedFit) -> DataFrame:
     gap = F.col(fit.outcome).cast("double") - F.col("fixed_part")
     effect = base.groupBy(fit.group).agg(
         (F.sum(gap) * F.lit(lam) / (1.0 + F.count(gap) * F.lit(lam))).alias("group_effect"))
-    return base.join(effect, fit.group).withColumn(
+    return base.join(effect, fit.group, "left").fillna(0.0, ["group_effect"]).withColumn(
         "fitted", F.col("fixed_part") + F.col("group_effect")
     ).withColumn("residual", F.col(fit.outcome).cast("double") - F.col("fitted"))
 

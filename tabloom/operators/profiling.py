@@ -8,6 +8,8 @@ dominant column is spread over its values.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
@@ -194,7 +196,14 @@ def mode_per_group(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -
     for c in cols:
         counts = df.where(F.col(c).isNotNull()).groupBy(*by, c).agg(F.count("*").alias("_n"))
         one = counts.groupBy(*by).agg(F.min_by(c, F.struct(-F.col("_n"), F.col(c))).alias(c))
-        out = one if out is None else (out.join(one, list(by), "full") if by else out.withColumn(c, one.scalar()))
+        if not by:
+            out = one if out is None else out.withColumn(c, one.scalar())
+            continue
+        # every group is there, also the null one, whether or not the column has a value in it
+        out = df.select(*by).distinct() if out is None else out
+        theirs = one.withColumnsRenamed({b: f"_by{i}" for i, b in enumerate(by)})
+        same = reduce(and_, [F.col(b).eqNullSafe(F.col(f"_by{i}")) for i, b in enumerate(by)])
+        out = out.join(theirs, same, "left").drop(*[f"_by{i}" for i in range(len(by))])
     return out
 
 

@@ -115,10 +115,11 @@ def assign_folds(df: DataFrame, key: str, k: int, out: str = "fold") -> DataFram
 
 def assign_stratified_folds(df: DataFrame, label: str, key: str, k: int, out: str = "fold") -> DataFrame:
     """Position of the key in md5 order within its label, modulo k: keys per
-    label differ by at most one between folds, and a key's rows stay together.
+    label differ by at most one between folds, and a key's rows (also those of a
+    null key) stay together.
     Only the distinct keys are ordered; the rows are joined to them."""
     keys = df.select(F.col(label).alias("_l"), F.col(key).alias("_k")).distinct().withColumn("_h", hash_order(F.col("_k")))
     ranked = positions(keys, ["_h", "_k"], "_pos", ["_l"]).select(
         "_l", "_k", F.pmod("_pos", F.lit(k)).cast("int").alias(out))
-    same = F.col(label).eqNullSafe(F.col("_l")) & (F.col(key) == F.col("_k"))
+    same = F.col(label).eqNullSafe(F.col("_l")) & F.col(key).eqNullSafe(F.col("_k"))
     return df.join(ranked, same, "left").drop("_l", "_k")
