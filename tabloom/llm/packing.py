@@ -35,7 +35,7 @@ END = 1
 WINDOW_TOKENS = 1 << 21
 SMALLEST = 64  # rests are cut down to powers of two of this many tokens, and padded below it
 QUADRATIC = 1 / LENGTH
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 200_000
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
                     ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
@@ -158,9 +158,8 @@ def _pack(vocabulary: str, length: int, quadratic: float, window: int, end: int)
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], schema=PIECES)
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i, doc_id in enumerate(ids):
-                body = encode(texts[i] or "") + tail
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                body = encode(text.as_py() or "") + tail
                 names.append(doc_id)
                 bodies.append(body)
                 held += len(body) // 4
