@@ -11,8 +11,6 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +18,8 @@ from pyspark.sql import types as T
 from tabloom.operators.ordered import exact_quantiles, long_values
 from tabloom.operators.shaping import names_by_type
 
+PAIRS_A_PASS = 400  # correlations that one aggregate holds
+
 
 def value_counts(
     df: DataFrame, col: str, normalize: bool = False, dropna: bool = True, n: int | None = None
@@ -34,9 +34,12 @@ def value_counts(
 
 def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """count, missing, mean, sample std, min, exact quartiles, max per column."""
-    long = long_values(df, cols, by)
+    # nulls stay in, so a column or group without values still has its row
+    number = F.when(~F.isnan("value"), F.col("value"))
+    long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        list(by), list(cols), "variable", "value").withColumn("value", number)
     basic = long.groupBy(*by, "variable").agg(
-        F.count("*").alias("n_values"),
+        F.count("value").alias("n_values"),
         F.avg("value").alias("mean"),
         F.stddev("value").alias("std"),
         F.min("value").alias("min"),
@@ -45,7 +48,9 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> Data
     quart = exact_quantiles(df, cols, [0.25, 0.5, 0.75], by).drop("n").withColumnsRenamed(
         {"q0": "p25", "q1": "p50", "q2": "p75"}
     )
-    out = basic.join(quart, [*by, "variable"])
+    names = {b: f"_key{i}" for i, b in enumerate([*by, "variable"])}
+    same = reduce(and_, [F.col(b).eqNullSafe(F.col(k)) for b, k in names.items()])
+    out = basic.join(quart.withColumnsRenamed(names), same, "left").drop(*names.values())
     if not by:
         out = out.withColumn("missing", df.agg(F.count("*")).scalar() - F.col("n_values"))
     return out
@@ -169,24 +174,23 @@ def varying_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> list[st
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Long upper triangle (a, b, r) from a single aggregate pass; very wide
-    tables go through the ML correlation of an assembled vector."""
+    """Long upper triangle (a, b, r), each over the rows where both are known;
+    one aggregate pass for every PAIRS_A_PASS pairs."""
     cols = varying_numeric(df, cols)
-    if len(cols) > 40:
-        vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(df)
-        m = Correlation.corr(vec, "_v").first()[0].toArray()
-        rows = [(a, b, float(m[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols) if j > i]
-        return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     if not pairs:
         return df.sparkSession.createDataFrame([], "a string, b string, r double")
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
-                   for i, (a, b) in enumerate(pairs)])
-    entries = F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
-        for i, (a, b) in enumerate(pairs)
-    ])
-    return row.select(F.explode(entries).alias("e")).select("e.*")
+    passes = []
+    for start in range(0, len(pairs), PAIRS_A_PASS):
+        some = pairs[start: start + PAIRS_A_PASS]
+        row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
+                       for i, (a, b) in enumerate(some)])
+        entries = F.array(*[
+            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
+            for i, (a, b) in enumerate(some)
+        ])
+        passes.append(row.select(F.explode(entries).alias("e")).select("e.*"))
+    return reduce(DataFrame.union, passes)
 
 
 def mode_per_group(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

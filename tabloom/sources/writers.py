@@ -60,10 +60,11 @@ def hashed_projection(df: DataFrame, pii_cols: Sequence[str], salt: str | None =
 
 
 def row_manifest(df: DataFrame) -> DataFrame:
-    """Row count and an order-independent digest of the rows."""
+    """Row count and an order-independent digest of the rows: a sum, which
+    also tells how often a row occurs."""
     return df.agg(
         F.count("*").alias("n_rows"),
-        F.bit_xor(F.xxhash64(*df.columns)).alias("digest"),
+        F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("digest"),
     )
 
 

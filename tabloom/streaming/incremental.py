@@ -1,8 +1,8 @@
 """Incremental scoring and summary over arriving claim files.
 
 The batch functions run inside ``foreachBatch``; each micro-batch is merged
-into its key-hash partitions by keep-last upsert and dynamic overwrite, so a
-replayed batch writes the same rows again.
+into its key-hash partitions (the latest in order stays, also when it came
+earlier) by dynamic overwrite, so a replayed batch writes the same rows again.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tabloom.operators.joins import upsert_keep_last
 from tabloom.operators.ordered import one_per_key
 from tabloom.session import scratch_path
 from tabloom.sources.writers import replace_slice
@@ -42,7 +41,9 @@ def upsert_partitions(batch: DataFrame, path: str, keys: Sequence[str], order: S
     merged = fresh
     if exists:
         old = spark.read.schema(fresh.schema).parquet(path).where(F.col("bucket").isin(*touched))
-        merged = upsert_keep_last(old, fresh, [*keys, "bucket"], "new")
+        # the latest in order stays, whichever batch brought it; at a tie the new batch's
+        stacked = old.withColumn("_v", F.lit(0)).unionByName(fresh.withColumn("_v", F.lit(1)))
+        merged = one_per_key(stacked, [*keys, "bucket"], [*map(F.col, order), F.col("_v")], last=True).drop("_v")
         # the target is being replaced, so the merged rows are written aside first
         aside = scratch_path(spark, "merged")
         merged.write.parquet(aside)

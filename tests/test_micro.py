@@ -151,3 +151,38 @@ def test_dummies_align(spark):
 def test_identical_columns(spark):
     df = spark.createDataFrame([(1, 1, 2, 1), (2, 2, 1, 2), (3, 3, 3, None)], "a int, b int, c int, d int")
     assert shaping.identical_columns(df) == [("a", "b")]
+
+
+def test_wide_correlations_use_pairwise_rows(spark):
+    data = [(float(i), float(i * i % 7), None if i % 2 else float(i % 5)) for i in range(20)]
+    df = spark.createDataFrame(data, "a double, b double, c double")
+    wide = df.withColumns({f"x{i:02d}": F.col("a") * (i + 1) + F.col("b") for i in range(45)})
+    few = {(r["a"], r["b"]): r["r"] for r in P.correlation_pairs(df).collect()}
+    many = {(r["a"], r["b"]): r["r"] for r in P.correlation_pairs(wide).collect()}
+    assert len(many) == 48 * 47 // 2
+    assert all(many[k] == pytest.approx(v) for k, v in few.items())
+
+
+def test_describe_keeps_null_columns_and_groups(spark):
+    df = spark.createDataFrame([("g", 1.0, None), (None, 3.0, None), (None, 5.0, None)], "k string, v double, w double")
+    whole = {r["variable"]: r for r in P.describe(df, ["v", "w"]).collect()}
+    assert (whole["w"]["n_values"], whole["w"]["missing"], whole["w"]["mean"]) == (0, 3, None)
+    assert whole["v"]["p50"] == 3.0
+    groups = {(r["k"], r["variable"]): r for r in P.describe(df, ["v", "w"], ["k"]).collect()}
+    assert groups[None, "v"]["p50"] == 4.0 and groups[None, "w"]["n_values"] == 0 and len(groups) == 4
+
+
+def test_manifest_counts_row_pairs(spark):
+    from tabloom.sources.writers import row_manifest
+
+    digest = lambda values: row_manifest(spark.createDataFrame([(v,) for v in values], "x int")).first()["digest"]
+    assert digest([1, 1, 2]) != digest([9, 9, 2]) and digest([1, 2, 1]) == digest([2, 1, 1])
+
+
+def test_late_event_does_not_replace_a_newer_one(spark, tmp_path):
+    from tabloom.streaming.incremental import upsert_partitions
+
+    path = str(tmp_path / "detail")
+    for batch in ([(1, 10, "new")], [(1, 5, "late"), (2, 1, "other")], [(2, 1, "again")]):
+        upsert_partitions(spark.createDataFrame(batch, "id int, ts int, v string"), path, ["id"], ["ts"], 4)
+    assert {(r["id"], r["v"]) for r in spark.read.parquet(path).collect()} == {(1, "new"), (2, "again")}
