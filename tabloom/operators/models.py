@@ -335,8 +335,9 @@ def stack(
 
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """weight = n / (k * n_class), from one small count table in a subquery."""
-    counts = df.groupBy(F.col(label).alias("l")).agg(F.count("*").alias("c"))
+    """weight = n / (k * n_class), from one small count table in a subquery;
+    a row without a label has no weight and counts for none."""
+    counts = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("l")).agg(F.count("*").alias("c"))
     total = F.lit(0.0) + counts.agg(F.sum("c")).scalar()
     k = counts.agg(F.count("*")).scalar()
     table = counts.agg(F.map_from_entries(F.collect_list(F.struct("l", "c")))).scalar()

@@ -186,3 +186,11 @@ def test_late_event_does_not_replace_a_newer_one(spark, tmp_path):
     for batch in ([(1, 10, "new")], [(1, 5, "late"), (2, 1, "other")], [(2, 1, "again")]):
         upsert_partitions(spark.createDataFrame(batch, "id int, ts int, v string"), path, ["id"], ["ts"], 4)
     assert {(r["id"], r["v"]) for r in spark.read.parquet(path).collect()} == {(1, "new"), (2, "again")}
+
+
+def test_weights_of_null_labels_are_null(spark):
+    from tabloom.operators.models import balanced_weights
+
+    df = spark.createDataFrame([("a",), ("a",), ("a",), ("b",), (None,)], "label string")
+    got = {r["label"]: r["weight"] for r in balanced_weights(df, "label").collect()}
+    assert got == {"a": pytest.approx(4 / 6), "b": 2.0, None: None}
