@@ -186,8 +186,9 @@ class Codec:
         known, passing = self.known, {}
         fresh = list(set().union(*split) - known.keys()) if split else []
         if fresh:
-            # a mark in the text itself is no word mark: no piece holds the byte that stands for it here
-            bodies = [s.replace(MARK, "\x00").replace(" ", MARK).encode() for s in fresh]
+            # a mark in the text itself is no word mark: it is passed as a byte that no text or piece holds
+            mark = MARK.encode()
+            bodies = [s.encode().replace(mark, b"\xff").replace(b" ", mark) for s in fresh]
             keep = known if len(known) + len(fresh) <= CACHE_ENTRIES else passing
             for s, ids in zip(fresh, self.segment(bodies)):
                 keep[s] = self._marks(ids).tobytes() if MARK in s else ids.astype("<i4", copy=False).tobytes()
@@ -197,10 +198,10 @@ class Codec:
 
     def _marks(self, ids: np.ndarray) -> np.ndarray:
         """Stand-ins for U+2581 become its bytes."""
-        zero = ids == self.bytes_at[0]
-        spelled = np.where(zero[:, None], self.bytes_at[list(MARK.encode())], ids[:, None])
+        stands = ids == self.bytes_at[0xFF]
+        spelled = np.where(stands[:, None], self.bytes_at[list(MARK.encode())], ids[:, None])
         used = np.ones_like(spelled, bool)
-        used[~zero, 1:] = False
+        used[~stands, 1:] = False
         return spelled[used].astype("<i4")
 
     def decode(self, ids: bytes) -> str:

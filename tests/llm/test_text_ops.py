@@ -87,7 +87,8 @@ def best_by_force(codec, pieces, text):
     """Ids of the highest sum, longer last pieces first among ties, by plain dynamic programming."""
     if not text:
         return []
-    marked = (" " + text).replace("▁", "\0").replace(" ", "▁")
+    own_mark = "\U0010ffff"  # no text here holds it
+    marked = (" " + text).replace("▁", own_mark).replace(" ", "▁")
     best = [(0.0, 0, [])] + [None] * len(marked)
     for end in range(1, len(marked) + 1):
         found = None
@@ -98,7 +99,7 @@ def best_by_force(codec, pieces, text):
         char = marked[end - 1]
         spelled = best[end - 1][0] + codec.unknown
         if char not in pieces and (found is None or spelled > found[0]):
-            body = ("▁" if char == "\0" else char).encode()
+            body = ("▁" if char == own_mark else char).encode()
             found = (spelled, end - 1, [int(codec.bytes_at[b]) for b in body])
         best[end] = found
     ids, end = [], len(marked)
@@ -118,7 +119,7 @@ def test_segmentation_is_the_best_one(codec):
     for state, spelled in stack.items():
         if a.piece[state] >= 0:
             names[spelled.decode()] = (int(a.piece[state]), float(a.score[state]))
-    texts = odd_texts(4) + ["Then the quick brown fox jumped over lazy dogs", "x" * 3000]
+    texts = odd_texts(4) + ["a\0▁b ▁\0", "Then the quick brown fox jumped over lazy dogs", "x" * 3000]
     for t, found in zip(texts, codec.encode(texts)):
         assert np.frombuffer(found, "<i4").tolist() == best_by_force(codec, names, t)
         assert codec.decode(found) == t
