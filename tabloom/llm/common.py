@@ -18,6 +18,8 @@ IS_BLANK[[ord(c) for c in BLANKS]] = True
 
 # text bytes that one vectorised step works on; its temporary arrays take about 30 times as much
 SLICE_BYTES = 1 << 20
+# rows of texts that pass between Spark and Python at a time, unless the session asks for fewer
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,6 +34,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_texts(df: DataFrame, run, shape) -> DataFrame:
+    """``df.mapInArrow`` in batches small enough that whole texts take little memory on both sides.
+
+    The session's limit on records in a batch is lowered where it is higher.
+    """
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(limit)) <= BATCH_ROWS:
+        conf.set(limit, str(BATCH_ROWS))
+    return df.mapInArrow(run, shape)
+
+
 def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text", out: str = "row_key") -> DataFrame:
     """``docs`` with a unique long ``out`` in the order of ``key``.
 

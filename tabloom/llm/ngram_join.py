@@ -33,8 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import (keyed, letter_codes, mix, own_columns, salted_join, stored, text_slices, word_bounds,
-                                word_hashes)
+from tabloom.llm.common import (keyed, letter_codes, map_texts, mix, own_columns, salted_join, stored, text_slices,
+                                word_bounds, word_hashes)
 from tabloom.llm.components import connected
 
 WORDS = 5
@@ -164,7 +164,7 @@ def common_shingles(texts: DataFrame, total: int) -> tuple[np.ndarray, int]:
         many = np.flatnonzero(counts >= HEAVY)
         return pd.DataFrame({"bucket": many + (part << low), "docs": counts[many]})
 
-    counted = texts.mapInArrow(_count_buckets(bits, parts), "part long, steps binary, counts binary")
+    counted = map_texts(texts, _count_buckets(bits, parts), "part long, steps binary, counts binary")
     found = stored(counted.groupBy("part").applyInPandas(heavy, "bucket long, docs long"), "common")
     # the lowest count that leaves HEAVY_LIST buckets at most; powers of two keep its table short
     sizes = found.groupBy(F.floor(F.log2("docs")).alias("power")).agg(F.count("*").alias("n")).orderBy(F.desc("power")).collect()
@@ -351,9 +351,9 @@ def sets_met(rows: DataFrame, pairs: DataFrame, run, shape: str) -> DataFrame:
     wanted = stored(members.union(centers), "wanted")
     asked = wanted if wanted.count() > FEW_ROWS else F.broadcast(wanted)
     texts = rows.select("row_key", "text").join(asked, "row_key").select("center", "salt", "is_member", "row_key", "text")
-    sets = texts.mapInArrow(_as_sets, "center long, salt int, is_member boolean, row_key long, hashes binary")
+    sets = map_texts(texts, _as_sets, "center long, salt int, is_member boolean, row_key long, hashes binary")
     dealt = sets.repartition("center", "salt").sortWithinPartitions("center", "salt", "is_member")
-    return stored(dealt.mapInArrow(run, shape), "met")
+    return stored(map_texts(dealt, run, shape), "met")
 
 
 def overlaps(rows: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -370,7 +370,7 @@ def _index_pairs(texts: DataFrame, total: int, leads: DataFrame) -> DataFrame:
     """Candidate pairs of leaders (a, b) from the index over all rows."""
     common, bits = common_shingles(texts, total)
     parts = 1 << max(0, (total // OF // PART_ENTRIES).bit_length())
-    blocks = texts.mapInArrow(_list_entries(common, bits, parts), "part long, token binary, row_key binary, n binary, rest binary")
+    blocks = map_texts(texts, _list_entries(common, bits, parts), "part long, token binary, row_key binary, n binary, rest binary")
     shared = blocks.groupBy("part").applyInPandas(_shared, "token long, row_key long, n long, rest long")
     entries = shared.join(leads, "row_key").groupBy("token", "lead").agg(
         F.min("grp").alias("grp"), F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("rest"))
@@ -381,7 +381,7 @@ def _index_pairs(texts: DataFrame, total: int, leads: DataFrame) -> DataFrame:
 def linked_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(signatures, classes, roots) of ``rows`` (row_key, text); roots (node, root) of the classes that link."""
     texts = rows.select("row_key", "text")
-    signatures = stored(texts.mapInArrow(_sign, SIGNATURE_DDL), "signatures")
+    signatures = stored(map_texts(texts, _sign, SIGNATURE_DDL), "signatures")
     keys = [f"k{j}" for j in range(KEYS)]
     classes = stored(signatures.filter("n > 0").groupBy("n", "d1", "d2").agg(
         F.min("row_key").alias("rep"), F.count("*").alias("copies"), *[F.min(k).alias(k) for k in keys]), "classes")

@@ -28,7 +28,7 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tabloom.llm.common import own_columns
+from tabloom.llm.common import map_texts, own_columns
 
 LENGTH = 2048
 END = 1
@@ -179,4 +179,4 @@ def pack(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH, q
     """
     vocabulary = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
     rows = own_columns(docs, {"doc_id": "doc_id", "text": "text"})
-    return rows.mapInArrow(_pack(vocabulary, length, quadratic, window, end), PIECES_DDL)
+    return map_texts(rows, _pack(vocabulary, length, quadratic, window, end), PIECES_DDL)

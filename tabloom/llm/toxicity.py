@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import (letter_codes, own_columns, stored, text_slices, word_bounds, word_hashes)
+from tabloom.llm.common import (letter_codes, map_texts, own_columns, stored, text_slices, word_bounds,
+                                word_hashes)
 
 CATEGORIES = ("toxic", "repeated", "dense")
 SAMPLE = 4000  # labelled documents of each class that a model is fitted on, at most
@@ -132,7 +133,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | N
     drawn = [known.filter(c).orderBy("draw", "doc_id").limit(sample) for c in ("toxic = 1", "toxic = 0")]
     chosen = F.broadcast(drawn[0].union(drawn[1]).drop("draw"))
     texts = own_columns(docs, {"doc_id": "doc_id", "text": "text"}).join(chosen.select("doc_id"), "doc_id")
-    found = stored(texts.mapInArrow(_extract, FOUND_DDL).join(chosen, "doc_id"), "features")
+    found = stored(map_texts(texts, _extract, FOUND_DDL).join(chosen, "doc_id"), "features")
     sizes = {r["toxic"]: r["n"] for r in found.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
         return None
@@ -161,12 +162,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | N
 
 def _score(chain: Chain | None, keep_columns: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near = np.zeros(1 << 20, bool)
+        if chain is not None:
+            near[chain.features >> np.uint64(44)] = True
         for batch in batches:
             n = batch.num_rows
             odds = np.full((n, len(CATEGORIES)), -np.inf)
             if chain is not None:
-                near = np.zeros(1 << 20, bool)
-                near[chain.features >> np.uint64(44)] = True
                 for first, data, offsets in text_slices(batch):
                     texts, found, _ = _features(data, offsets)
                     hit = near[found >> np.uint64(44)]
@@ -192,9 +194,9 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     chain = train(docs, labels)
     rows = own_columns(docs, {"doc_id": "doc_id", "text": "text"})
     shape = "doc_id long, " + ", ".join(f"p_{c} double" for c in CATEGORIES) + ", rejected boolean"
-    return rows.mapInArrow(_score(chain, False), shape)
+    return map_texts(rows, _score(chain, False), shape)
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not rejected, with all their columns."""
-    return docs.mapInArrow(_score(train(docs, labels), True), docs.schema)
+    return map_texts(docs, _score(train(docs, labels), True), docs.schema)
