@@ -93,7 +93,7 @@ def k04r(t: Tables):
 
 @query("k05_principal_components")
 def k05(t: Tables):
-    cols = [f"x{i}" for i in range(16)]
+    cols = [f"x{i}" for i in range(64)]
     d = t.embeddings.select("vec_id", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)])
     scores, explained, k = E.principal_components(d, cols, 0.95)
     return scores.select("vec_id", F.lit(k).alias("k"), F.lit(round(sum(explained[:k]), 6)).alias("explained"),
@@ -169,11 +169,11 @@ def _f_sql(c: str) -> str:
  from (select label, count(*) as n, avg({c}) as m, var_pop({c}) as v from x group by label), (select avg({c}) as g from x)"""
 
 
-_KCOLS = [f"x{i}" for i in range(1, 13)]
-_X = "(select label, " + ", ".join(f"embedding[{i}]::double as x{i}" for i in range(1, 13)) + " from embeddings)"
+_KCOLS = [f"x{i}" for i in range(1, 65)]
+_X = "(select label, " + ", ".join(f"embedding[{i}]::double as x{i}" for i in range(1, 65)) + " from embeddings)"
 
 
-def embedding_columns(t: Tables, n: int = 12):
+def embedding_columns(t: Tables, n: int = 64):
     return t.embeddings.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"x{i + 1}") for i in range(n)])
 
 
@@ -191,7 +191,7 @@ def k15b(t: Tables):
 
 @query("k16_recursive_elimination")
 def k16(t: Tables):
-    left = E.recursive_elimination(embedding_columns(t), "label", _KCOLS, keep=8, step=2, trees=10)
+    left = E.recursive_elimination(embedding_columns(t), "label", _KCOLS, keep=8, step=14, trees=10)
     return t.spark.createDataFrame([(c,) for c in left], "variable string")
 
 

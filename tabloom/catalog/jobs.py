@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tabloom.catalog.base import CLAIMS, SCORED, Tables, as_int, claims, query, rd
 from tabloom.plans import claims as C
-from tabloom.plans import research, wide
+from tabloom.plans import research, targets, wide
 from tabloom.plans.rules import rule_table
 from tabloom.session import scratch_path
 from tabloom.streaming.incremental import run_incremental, stream_files
@@ -49,7 +49,7 @@ def n01r(t: Tables):
         d = claims(t).where(F.col("plan") == client)
         return d.withColumn("claim_id", F.when((F.col("plan") != "BUILDING") | (F.col("claim_id") % 2 != 0), F.col("claim_id")))
 
-    return C.run_pending(ctl, work, "claim_id")
+    return C.run_pending(ctl, work, "claim_id").drop("prediction_error")
 
 
 @query("n02_ingest_claims", "select count(*) as n_rows, cast(0 as bigint) as null_ids, 1 as passed from orders")
@@ -118,6 +118,24 @@ def n07(t: Tables):
         "conv_id", "turn", "step", "age", "manual_step", F.size("tokens").alias("n_tokens"))
 
 
+@query("n08_target_votes", """
+with v as (select l_returnflag as plan, count(*) as claims, sum(cast(l_linenumber <= 3 as integer)) as low from lineitem group by l_returnflag)
+select plan, 'line_band' as target, 'low' as value, cast(low as bigint) as votes, claims from v
+union all select plan, 'line_band', 'high', cast(claims - low as bigint), claims from v union all select plan, 'network', 'fixed', claims, claims from v""")
+def n08(t: Tables):
+    """Train, save, load, score and vote: the bands follow from a feature, so the models' votes are known."""
+    low = (F.col("l_linenumber") <= 3).cast("int")
+    lines = t.lineitem.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("claim"), F.col("l_returnflag").alias("plan"), "l_linenumber",
+        "l_quantity", "l_discount", "l_tax", low.alias("line_band_=_low"), (1 - low).alias("line_band_=_high"), F.lit(1).alias("network_=_fixed"))
+    known = ["line_band_=_low", "line_band_=_high", "network_=_fixed"]
+    folder = scratch_path(t.spark, "targets")
+    targets.train_targets(lines, known, ["l_linenumber", "l_quantity", "l_discount", "l_tax"], "claim", folder, k=3, trees=5, rounds=3)
+    scored, columns, constants = targets.score_targets(lines.drop(*known), folder)
+    votes = targets.with_constants(C.votes_long(scored, "plan", "claim", columns), "plan", constants)
+    return votes.select("plan", "target", "value", "votes", "claims")
+
+
 @query("p01_incremental_summary", f"""
 select client_plan_id, predicted_plan_id, count(*) as claim_count, round(avg(probability_score), 10) as probability
 from {SCORED} where probability_score > 0.15 group by client_plan_id, predicted_plan_id""")

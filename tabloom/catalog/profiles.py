@@ -272,7 +272,7 @@ def e18m(t: Tables):
 @query("e19_entity_fingerprint", f"""
 with c as (select * from {CLAIMS}),
 m as ({_mode_sql('c', 'plan', 'priority')}),
-r as (select plan, nation, count(*) as n from c where claim_status = 'F' and nation < 4 group by plan, nation),
+r as (select plan, nation, count(*) as n from c where claim_status = 'F' group by plan, nation),
 s as (select plan, string_agg(cast(nation as varchar) || ' ' || cast(cast(round(n * 100.0 / tot, 1) as double) as varchar) || '%', '; ' order by nation) as codes
   from (select *, sum(n) over (partition by plan) as tot from r) group by plan)
 select t.plan, round(t.mx, 2) as max_amount, m.priority as mode_priority,
@@ -280,7 +280,7 @@ select t.plan, round(t.mx, 2) as max_amount, m.priority as mode_priority,
 from (select plan, max(amount) as mx from c group by plan) t join m on m.plan = t.plan join s on s.plan = t.plan""")
 def e19(t: Tables):
     f = P.entity_fingerprint(claims(t), "plan", ["amount"], ["priority"], "nation",
-                             (F.col("claim_status") == "F") & (F.col("nation") < 4))
+                             F.col("claim_status") == "F")
     return f.withColumn("max_amount", rd("max_amount", 2))
 
 

@@ -120,6 +120,14 @@ def g02(t: Tables):
     return top.select("o_orderkey", rd("r", 4).alias("r"))
 
 
+@query("g02_residual_groups", f"""
+select o_orderpriority, count(*) as n from (select o_orderpriority from {_RESID} q join orders using (o_orderkey)
+  order by abs(r) desc, o_orderkey limit 200) group by o_orderpriority""")
+def g02g(t: Tables):
+    r = F.col("o_totalprice") - t.orders.agg(F.avg("o_totalprice")).scalar()
+    return Wn.largest_abs_groups(t.orders.withColumn("r", r), "r", "o_orderkey", "o_orderpriority", 200)
+
+
 @query("g03_risk_list", f"select claim_id, round(probability_score, 6) as p from {SCORED} order by probability_score desc, claim_id limit 10")
 def g03(t: Tables):
     return Wn.risk_list(scored(t), "probability_score", "claim_id").select("claim_id", rd("probability_score").alias("p"))

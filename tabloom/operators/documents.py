@@ -297,35 +297,51 @@ def breadcrumb_text(df: DataFrame, doc: str, content: str, tolerant: bool = Fals
 # -- augmentation -------------------------------------------------------------
 
 
-def _edit_attributes(root: ET.Element, rng: np.random.Generator, p: float) -> None:
-    for e in root.iter():
-        if e.attrib and rng.random() < p:
-            names = sorted(e.attrib)
-            pick = names[int(rng.integers(len(names)))]
-            e.set(pick, e.get(pick) + "_modified")
-
-
-def _swap_siblings(root: ET.Element, rng: np.random.Generator, p: float) -> None:
-    for e in root.iter():
-        if len(e) > 1 and rng.random() < p:
-            i, j = sorted(rng.permutation(len(e))[:2])
-            e[i], e[j] = e[j], e[i]
-
-
-def _hoist_children(root: ET.Element, rng: np.random.Generator, p: float) -> None:
-    for e in list(root.iter()):
-        if len(e) and rng.random() < p:
-            at = int(rng.integers(len(e)))
-            e[at:at + 1] = list(e[at])
-
-
-_VARIANTS = (("attributes", _edit_attributes), ("siblings", _swap_siblings), ("hoist", _hoist_children))
-
-
-def augment(df: DataFrame, doc: str, content: str, probability: float = 0.3) -> DataFrame:
+# what a variant changes; every element has three draws: whether it changes, and up to two picks
+VARIANTS = ("attributes", "siblings", "hoist")
+
+
+def _pick(items: list, draw: float):
+    return items[int(draw * len(items))]
+
+
+def _new_children(variant: str, children: list[list[int]], draws: np.ndarray, chosen: list[int]) -> dict[int, list[int]]:
+    """The child lists that change, by element number; all picks are made on the tree as given."""
+    if variant == "siblings":
+        out = {}
+        for i in chosen:
+            if len(children[i]) > 1:
+                first = _pick(children[i], draws[i, 1])
+                other = _pick([c for c in children[i] if c != first], draws[i, 2])
+                traded = {first: other, other: first}
+                out[i] = [traded.get(c, c) for c in children[i]]
+        return out
+    # an element taken out leaves its children at the end of its parent; one whose parent is picked too stays
+    picked = {_pick(children[i], draws[i, 1]): i for i in chosen if children[i]}
+    return {i: [c for c in children[i] if c != gone] + children[gone] for gone, i in picked.items() if i not in picked}
+
+
+def _variant(text: str, variant: str, draws: np.random.Generator, probability: float) -> str:
+    nodes = list(ET.fromstring(text).iter())
+    number = {node: i for i, node in enumerate(nodes)}
+    table = draws.random((len(nodes), 3))
+    chosen = np.flatnonzero(table[:, 0] < probability).tolist()
+    if variant == "attributes":
+        for node, draw in [(nodes[i], table[i, 1]) for i in chosen if nodes[i].attrib]:
+            name = _pick(sorted(node.attrib), draw)
+            node.attrib[name] += "_modified"
+    else:
+        children = [[number[c] for c in node] for node in nodes]
+        for i, order in _new_children(variant, children, table, chosen).items():
+            nodes[i][:] = [nodes[c] for c in order]
+    return ET.tostring(nodes[0], encoding="unicode")
+
+
+def augment(df: DataFrame, doc: str, content: str, probability: float = 0.3, keep_original: bool = False) -> DataFrame:
     """(doc, variant, content): up to three altered copies per document, each
-    made with the given probability.  The seed is the document's own hash and
-    the variant, so a retried task makes the same copies."""
+    made with the given probability, and with ``keep_original`` the document
+    itself.  Texts that don't parse have no copies.  The draws depend on the
+    document and the variant alone, so a retried task makes the same copies."""
     seeded = df.select(doc, content, F.xxhash64(doc, content).alias("_seed"))
     schema = T.StructType([df.schema[doc], T.StructField("variant", T.StringType()), df.schema[content]])
 
@@ -333,16 +349,16 @@ def augment(df: DataFrame, doc: str, content: str, probability: float = 0.3) ->
         for pdf in batches:
             rows = []
             for key, text, seed in zip(pdf[doc], pdf[content], pdf["_seed"], strict=True):
-                for i, (name, change) in enumerate(_VARIANTS):
-                    rng = np.random.default_rng([int(seed) & (2**63 - 1), i])
-                    if text is None or rng.random() >= probability:
+                found = [(key, "original", text)] if keep_original and text is not None else []
+                for i, name in enumerate(VARIANTS):
+                    draws = np.random.default_rng([int(seed) & (2**63 - 1), i])
+                    if text is None or draws.random() >= probability:
                         continue
                     try:
-                        root = ET.fromstring(text)
+                        found.append((key, name, _variant(text, name, draws, probability)))
                     except ET.ParseError:
                         break
-                    change(root, rng, probability)
-                    rows.append((key, name, ET.tostring(root, encoding="unicode")))
+                rows.extend(found)
             yield pd.DataFrame(rows, columns=[doc, "variant", content])
 
     return seeded.mapInPandas(run, schema)

@@ -4,19 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import (
     PCA,
     OneHotEncoder,
     PolynomialExpansion,
     StringIndexer,
-    UnivariateFeatureSelector,
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.operators.ordered import exact_quantiles, positions
@@ -98,11 +97,10 @@ def feature_pipeline(
     return Pipeline(stages=stages)
 
 
-def fit_domains(df: DataFrame, cols: Sequence[str], limit: int = 10_000) -> dict[str, list[str]]:
-    """Sorted value list per column, saved at fit time; bounded."""
-    rows = value_domains(df, cols).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError("too many categories for dummies; prune or rank-encode first")
+def fit_domains(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted value list per column, saved at fit time.  Each value becomes a
+    column of the encoded table, so the lists are as long as that is wide."""
+    rows = value_domains(df, cols).collect()
     return {c: sorted(r["value"] for r in rows if r["variable"] == c) for c in cols}
 
 
@@ -163,15 +161,27 @@ def scale(df: DataFrame, cols: Sequence[str], method: str = "standard", suffix:
     })
 
 
-def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip").transform(df)
+def present(col: str) -> Column:
+    """The column as a double; null where it is NaN."""
+    return F.nanvl(F.col(f"`{col}`").cast("double"), F.lit(None).cast("double"))
+
+
+def assemble(
+    df: DataFrame, cols: Sequence[str], out: str = "features", fill: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """A vector for every row: a null or NaN counts as its column's ``fill``, else as 0."""
+    fill = fill or {}
+    held = {f"_in{i}": F.coalesce(present(c), *([fill[c]] if c in fill else []), F.lit(0.0)) for i, c in enumerate(cols)}
+    return VectorAssembler(inputCols=list(held), outputCol=out).transform(df.withColumns(held)).drop(*held)
 
 
 def principal_components(
     df: DataFrame, cols: Sequence[str], share: float | None = 0.95, k: int | None = None
 ) -> tuple[DataFrame, list[float], int]:
-    """Scores ``pca`` plus explained variances; ``k`` fixed or from ``share``."""
-    vec = assemble(df, cols, "_v")
+    """Scores ``pca`` plus explained variances; ``k`` fixed or from ``share``.
+    A missing value counts as its column's mean, which adds no variance."""
+    means = df.agg(F.struct(*[F.avg(present(c)).alias(c) for c in cols])).scalar()
+    vec = assemble(df, cols, "_v", {c: means[c] for c in cols})
     full = PCA(k=len(cols), inputCol="_v", outputCol="_pca").fit(vec)
     explained = [float(x) for x in full.explainedVariance]
     if k is None:
@@ -227,7 +237,12 @@ def fill_by_tree(df: DataFrame, target: str, features: Sequence[str], depth: int
 
 
 def anova_f(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
-    """(variable, f_value) of the one-way ANOVA, from one pass of group moments."""
+    """(variable, f_value) of the one-way ANOVA; null where nothing varies within groups."""
+    return _mean_squares(df, label, cols).select("variable", F.try_divide("between", "within").alias("f_value"))
+
+
+def _mean_squares(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
+    """(variable, between, within) from one pass of group moments."""
     per = df.groupBy(label).agg(
         *[a for i, c in enumerate(cols) for a in (
             F.count(c).alias(f"n{i}"), F.avg(c).alias(f"m{i}"), F.var_pop(c).alias(f"v{i}"))]
@@ -242,19 +257,18 @@ def anova_f(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
         F.sum(F.col("n") * F.col("v")).alias("within"),
     )
     between = F.col("s2") - F.col("s") * F.col("s") / F.col("n")
-    return t.select(
-        "variable",
-        F.try_divide(between / (F.col("g") - 1), F.col("within") / (F.col("n") - F.col("g"))).alias("f_value"),
-    )
+    return t.select("variable", F.try_divide(between, F.col("g") - 1).alias("between"),
+                    F.try_divide("within", F.col("n") - F.col("g")).alias("within"))
 
 
 def k_best(df: DataFrame, label: str, cols: Sequence[str], k: int = 8) -> list[str]:
-    """The k columns of largest F, by Spark ML's selector."""
-    vec = assemble(df, cols, "_v")
-    sel = UnivariateFeatureSelector(
-        featuresCol="_v", labelCol=label, outputCol="_s", selectionMode="numTopFeatures"
-    ).setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(min(k, len(cols)))
-    return [cols[i] for i in sorted(sel.fit(vec).selectedFeatures)]
+    """The k columns of largest F, in the order of ``cols``; ties go to the first name.
+    A column that varies between groups alone tells them apart and comes first."""
+    f = F.when((F.col("within") == 0) & (F.col("between") > 0), F.lit(float("inf"))).otherwise(
+        F.try_divide("between", "within"))
+    best = _mean_squares(df, label, cols).orderBy(f.desc_nulls_last(), "variable").limit(k).collect()
+    chosen = {r["variable"] for r in best}
+    return [c for c in cols if c in chosen]
 
 
 def recursive_elimination(
@@ -282,7 +296,3 @@ def base_features(df: DataFrame, col: str, extra: Sequence[str] = (), markers: S
         names = names.unionByName(
             df.sparkSession.createDataFrame([(e,) for e in extra], "feature string")).distinct()
     return names
-
-
-def fitted_pipeline(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
-    return pipeline.fit(df)

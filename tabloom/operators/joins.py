@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 from tabloom.operators.ordered import one_per_key
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Proof of size: at most ``rows`` rows, found by reading rows + 1."""
-    return df.limit(rows + 1).count() <= rows
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Proof of size: at most ``rows`` rows and ``size`` bytes as text, found by reading rows + 1."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    seen = df.limit(rows + 1).select(F.octet_length(F.to_json(row)).alias("b")).agg(
+        F.count("*").alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
+    return seen["n"] <= rows and seen["b"] <= size
 
 
 def dimension_join(
@@ -160,7 +164,3 @@ def upsert_keep_last(
     stacked = old.withColumn("_v", F.lit(rank[0])).unionByName(new.withColumn("_v", F.lit(rank[1])))
     tie = [F.col(c) for c in old.columns if c not in keys]
     return one_per_key(stacked, keys, [F.col("_v"), *tie], last=True).drop("_v")
-
-
-def map_values(mapping: Mapping[str, str]):
-    return F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])

@@ -109,6 +109,13 @@ def score_batch(df: DataFrame, model: PipelineModel, labels: Sequence[str], keep
     )
 
 
+def sole_best(scores: Mapping[str, float], otherwise: str = "boosted") -> str:
+    """The one family at the top score; ``otherwise`` where several share it."""
+    top = max(scores.values())
+    leaders = [family for family, score in scores.items() if score == top]
+    return leaders[0] if len(leaders) == 1 else otherwise
+
+
 def per_target_models(
     df: DataFrame, targets: Sequence[str], features: Sequence[str], key: str, k: int = 8, workers: int = 4,
     trees: int = 20,
@@ -137,12 +144,7 @@ def per_target_models(
         finally:
             split.unpersist()
         p = {f: m["precision"] for f, m in metric.items()}
-        if p["logistic"] > max(p["forest"], p["boosted"]):
-            win = "logistic"
-        elif p["forest"] > max(p["logistic"], p["boosted"]):
-            win = "forest"
-        else:
-            win = "boosted"
+        win = sole_best(p)
         base_name, _, mapped = target.partition("_=_")
         return (base_name, target, ",".join(chosen), mapped, win, float(p[win]), float(metric[win]["accuracy"]))
 

@@ -17,14 +17,11 @@ from pyspark.sql import functions as F
 
 from tabloom.session import settle
 
-MAX_PIECES = 4096
-
-
 def pieces_for(df: DataFrame) -> int:
-    """A power of two, about four pieces per shuffle partition."""
+    """A power of two, about four pieces per shuffle partition, however many the session asks for."""
     wanted = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pieces = 16
-    while pieces < min(wanted, MAX_PIECES):
+    while pieces < wanted:
         pieces *= 2
     return pieces
 

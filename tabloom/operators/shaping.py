@@ -35,16 +35,11 @@ def normalize_headers(df: DataFrame, style: str = "basic") -> DataFrame:
     return df.toDF(*names)
 
 
-def map_columns(df: DataFrame, mapping: DataFrame, client: str, max_columns: int = 10_000) -> DataFrame:
-    """Select and rename by a mapping table filtered to one client."""
-    rows = (
-        mapping.where(F.col("client_code") == client)
-        .select("prediction_column_name", "training_column_name")
-        .limit(max_columns + 1)
-        .collect()
-    )
-    if len(rows) > max_columns:
-        raise ValueError("mapping table is not a column mapping")
+def map_columns(df: DataFrame, mapping: DataFrame, client: str) -> DataFrame:
+    """Select and rename by a mapping table filtered to one client: a row for
+    each column of the result."""
+    own = mapping.where(F.col("client_code") == client)
+    rows = own.select("prediction_column_name", "training_column_name").distinct().collect()
     pairs = {r[0]: r[1] for r in rows}
     return df.select(*[F.col(f"`{p}`").alias(t) for p, t in sorted(pairs.items())])
 

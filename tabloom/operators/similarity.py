@@ -269,19 +269,17 @@ def score_extremes(queries: DataFrame, base: DataFrame, exclude_same_id: bool =
     )
 
 
-def max_pattern_similarity(df: DataFrame, vec: str, patterns: DataFrame, pattern_vec: str, out: str,
-                           limit: int = 1000) -> DataFrame:
-    """Best cosine against a fixed, small pattern set (checked), JVM-side."""
-    rows = patterns.select(as_double(F.col(pattern_vec)).alias("v")).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError("the pattern set is not small; use nearest()")
-    units = [np.asarray(r["v"], dtype=np.float64) / (np.linalg.norm(r["v"]) or 1.0) for r in rows]
-    table = F.array(*[F.array(*[F.lit(float(x)) for x in u]) for u in units])
+def max_pattern_similarity(df: DataFrame, vec: str, patterns: DataFrame, pattern_vec: str, out: str) -> DataFrame:
+    """Best cosine against a fixed pattern set, JVM-side.  The patterns are one
+    scalar subquery that every row is compared with; for sets that don't fit in
+    a row use :func:`nearest`."""
+    table = patterns.agg(F.collect_list(unit(as_double(F.col(pattern_vec))))).scalar()
     v = F.col("_v")
     best = F.array_max(F.transform(
-        table, lambda p: F.aggregate(F.zip_with(v, p, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+        "_patterns", lambda p: F.aggregate(F.zip_with(v, p, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     ))
-    return df.withColumn("_v", as_double(F.col(vec))).withColumn(out, F.try_divide(best, norm(v))).drop("_v")
+    held = df.withColumns({"_v": as_double(F.col(vec)), "_patterns": table})
+    return held.withColumn(out, F.try_divide(best, norm(v))).drop("_v", "_patterns")
 
 
 def knn_vote(matches: DataFrame, labels: DataFrame) -> DataFrame:

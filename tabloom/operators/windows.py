@@ -105,6 +105,11 @@ def largest_abs(df: DataFrame, col: str, key: str, n: int) -> DataFrame:
     return df.withColumn("abs_value", F.abs(col)).orderBy(F.desc("abs_value"), F.asc(key)).limit(n)
 
 
+def largest_abs_groups(df: DataFrame, col: str, key: str, by: str, n: int) -> DataFrame:
+    """How many of the n largest |col| fall in each group."""
+    return largest_abs(df, col, key, n).groupBy(by).agg(F.count("*").alias("n"))
+
+
 def risk_list(df: DataFrame, p: str, key: str, n: int = 10) -> DataFrame:
     return df.orderBy(F.desc(p), F.asc(key)).limit(n)
 

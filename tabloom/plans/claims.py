@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabloom.functions.text import camel_key_col
 from tabloom.operators.encoding import prune_and_fill
@@ -93,24 +95,27 @@ def pending(control: DataFrame) -> DataFrame:
 
 
 def run_pending(control: DataFrame, work: Callable[[str], DataFrame], id_col: str, tolerated: int = 10,
-                limit: int = 10_000) -> DataFrame:
-    """Runs ``work(client)`` for each pending row (the control table is small
-    and checked); the flag flips only where the work succeeds and its result
-    passes the id gate.  A failure stays with its client."""
-    todo = pending(control).select("client_code").distinct().orderBy("client_code").limit(limit + 1).collect()
-    if len(todo) > limit:
-        raise ValueError("control table is not a control table")
-    outcome: dict[str, str] = {}
-    for row in todo:
-        client = row["client_code"]
+                workers: int = 4) -> DataFrame:
+    """Runs ``work(client)`` for each pending client, ``workers`` jobs at a time;
+    the flag flips only where the work succeeds and its result passes the id gate.
+    A failure stays with its client: ``prediction_error`` says what it was.
+    Where all clients' rows are in one table, use :func:`pending_outcome`."""
+    clients = pending(control).select("client_code").where("client_code is not null").distinct()
+
+    def one(client: str) -> tuple[str, bool, str | None]:
         try:
             gate = load_gate(work(client), id_col, tolerated).first()
-            outcome[client] = "1" if gate["passed"] else "0"
-        except Exception:  # one client's failure must not stop the others
-            outcome[client] = "0"
-    done = [c for c, s in outcome.items() if s == "1"]
-    flip = (F.col("data_load_status") == "1") & F.col("client_code").isin(*done) if done else F.lit(False)
-    return control.withColumn("prediction_status", F.when(flip, "1").otherwise(F.col("prediction_status")))
+        except Exception as failure:  # kept with the client; the others go on
+            return client, False, f"{type(failure).__name__}: {failure}"
+        return client, bool(gate["passed"]), None if gate["passed"] else f"{gate['null_ids']} rows without an id"
+
+    with ThreadPoolExecutor(workers) as pool:
+        outcome = list(pool.map(one, [r["client_code"] for r in clients.toLocalIterator()]))
+    told = control.sparkSession.createDataFrame(outcome, T.StructType([
+        control.schema["client_code"], T.StructField("_done", T.BooleanType()), T.StructField("prediction_error", T.StringType())]))
+    flip = (F.col("data_load_status") == "1") & F.col("_done")
+    return control.join(told, "client_code", "left").withColumn(
+        "prediction_status", F.when(flip, "1").otherwise(F.col("prediction_status"))).select(*control.columns, "prediction_error")
 
 
 def pending_outcome(control: DataFrame, data: DataFrame, client_col: str, id_col: str, tolerated: int = 10) -> DataFrame:
@@ -167,7 +172,3 @@ def score_chain(
     """Score -> trimmed detail -> summary in one session."""
     detail = trim_all(score(claims))
     return detail, plan_summary(detail, threshold, **tags)
-
-
-def fingerprint_condition(col: str, values: Sequence[str]) -> Column:
-    return F.col(col).isin(*values)

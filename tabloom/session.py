@@ -19,6 +19,9 @@ DEFAULTS = {
 }
 
 
+_own_folder: tempfile.TemporaryDirectory | None = None  # removed when Python ends
+
+
 def get_session(app: str = "tabloom", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -32,15 +35,18 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
     Where the session names none, a temporary folder is used in local mode
-    (tests); on a cluster that would lose data, so it is refused.
+    (tests), until Python ends; on a cluster that would lose data, so it is refused.
     """
+    global _own_folder
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         folder = spark.sparkContext.getCheckpointDir()
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="tabloom-")
+        if _own_folder is None:
+            _own_folder = tempfile.TemporaryDirectory(prefix="tabloom-", ignore_cleanup_errors=True)
+        folder = _own_folder.name
         spark.sparkContext.setCheckpointDir(folder)
     elif spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -14,9 +15,23 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], mode: str =
     df.write.mode(mode).partitionBy(*keys).parquet(path)
 
 
-def replace_slice(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+def _folder_part(key: str, value: object) -> str:
+    """``key=value`` as partition folders spell it."""
+    if value is None:
+        return f"{key}=__HIVE_DEFAULT_PARTITION__"
+    return f"{key}=" + re.sub(r"[\x00-\x1f\"#%'*/:=?\\\x7f{\[\]^]", lambda m: f"%{ord(m[0]):02X}", str(value))
+
+
+def replace_slice(df: DataFrame, path: str, keys: Sequence[str], slices: Sequence[Mapping[str, object]] = ()) -> None:
     """Idempotent delete-by-key then append: only the partitions present in
-    ``df`` are overwritten, so a replay leaves the same rows."""
+    ``df`` are overwritten, so a replay leaves the same rows.
+
+    ``slices`` names key values that are replaced even where ``df`` has no row
+    of them: those partitions are emptied first.
+    """
+    for values in slices:
+        nothing = df.sparkSession.createDataFrame([], df.drop(*keys).schema)
+        nothing.write.mode("overwrite").parquet("/".join([path.rstrip("/"), *[_folder_part(k, values[k]) for k in keys]]))
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -1,3 +1,6 @@
+import xml.etree.ElementTree as ET
+
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -54,3 +57,25 @@ def test_augmentation_is_repeatable(spark, docs):
 def test_scoring_keeps_every_document(docs):
     got = rows(D.score_documents(docs, "xml", F.col("leaf_ratio")).select("id", "status", "error_probability"), "id")
     assert got == [(1, "ok", 0.6), (2, "failed", None), (3, "failed", None), (4, "ok", 1.0)]
+
+
+def test_variants_change_what_they_say(spark):
+    text = '<a x="1"><b y="2">t<c/>u</b><d><e/><f/></d></a>'
+    df = spark.createDataFrame([(i, text) for i in range(60)], "id int, xml string")
+    made = rows(D.augment(df, "id", "xml", 0.9, keep_original=True))
+    assert sum(v == "original" and x == text for _, v, x in made) == 60
+
+    def tags(x):
+        return sorted(e.tag for e in ET.fromstring(x).iter())
+
+    for _, variant, x in made:
+        if variant == "attributes":
+            assert x.replace("_modified", "").replace(" /", "/") == text
+        elif variant == "siblings":
+            assert tags(x) == list("abcdef") and len(x.replace(" /", "/")) == len(text)
+        elif variant == "hoist":
+            assert set(tags(x)) <= set("abcdef")
+    assert any(v == "hoist" and len(tags(x)) < 6 for _, v, x in made)
+    # d is taken out: its children come last in the root; c, whose parent isn't picked, would go as well
+    assert D._new_children("hoist", [[1, 3], [2], [], [4, 5], [], []], np.array([[0, .9, 0]] * 6), [0]) == {0: [1, 4, 5]}
+    assert D._new_children("siblings", [[1, 2, 3], [], [], []], np.array([[0, 0, .9]] * 4), [0, 1]) == {0: [3, 2, 1]}

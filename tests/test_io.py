@@ -77,6 +77,14 @@ def test_replace_slice_is_idempotent(spark, tmp_path):
     assert rows(spark.read.parquet(path).select("v", "k"), "k") == [(9, "a"), (2, "b")]
 
 
+def test_an_empty_replacement_empties_its_slice(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a:b"), (2, "c"), (3, None)], "v int, k string")
+    path = str(tmp_path / "t")
+    writers.replace_slice(df, path, ["k"])
+    writers.replace_slice(df.where("v > 5"), path, ["k"], [{"k": "a:b"}, {"k": None}])
+    assert rows(spark.read.schema(df.schema).parquet(path).select("v", "k")) == [(2, "c")]
+
+
 def test_pipe_in_data_survives(spark, tmp_path):
     df = spark.createDataFrame([("a|b", 'q"x', None)], "x string, y string, z string")
     path = str(tmp_path / "h")
@@ -123,7 +131,9 @@ def test_pending_failures_stay_with_their_client(spark):
             raise RuntimeError("broken file")
         return spark.range(5).withColumnRenamed("id", "claim_id")
 
-    out = dict(rows(run_pending(ctl, work, "claim_id").select("client_code", "prediction_status")))
+    done = run_pending(ctl, work, "claim_id")
+    assert dict(rows(done.where("prediction_error is not null").select("client_code", "prediction_error"))) == {"a": "RuntimeError: broken file"}
+    out = dict(rows(done.select("client_code", "prediction_status")))
     assert out == {"a": "0", "b": "1", "c": "0", "d": "1"}
 
 

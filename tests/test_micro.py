@@ -10,7 +10,7 @@ from tabloom.operators import encoding as E
 from tabloom.operators import evaluation as V
 from tabloom.operators import profiling as P
 from tabloom.operators import shaping
-from tabloom.operators.joins import upsert_keep_last
+from tabloom.operators.joins import is_small, upsert_keep_last
 from tabloom.operators.windows import array_differences, frequency_ranks
 from tabloom.plans.claims import vote_table, vote_winners, votes_long
 from tabloom.plans.rules import decompose, rule_table, steps
@@ -194,3 +194,21 @@ def test_weights_of_null_labels_are_null(spark):
     df = spark.createDataFrame([("a",), ("a",), ("a",), ("b",), (None,)], "label string")
     got = {r["label"]: r["weight"] for r in balanced_weights(df, "label").collect()}
     assert got == {"a": pytest.approx(4 / 6), "b": 2.0, None: None}
+
+
+def test_assembled_vectors_keep_every_row(spark):
+    df = spark.createDataFrame([(1, 2.0, None), (2, float("nan"), 4), (3, 1.0, 5)], "id int, a double, b int")
+    got = {r["id"]: r["features"].toArray().tolist() for r in E.assemble(df, ["a", "b"]).collect()}
+    assert got == {1: [2.0, 0.0], 2: [0.0, 4.0], 3: [1.0, 5.0]}
+    scores, explained, k = E.principal_components(df, ["a", "b"], k=2)
+    assert scores.count() == 3 and k == 2
+
+
+def test_a_column_that_tells_groups_apart_is_best(spark):
+    df = spark.createDataFrame([(float(i % 2), float(i % 2), float(i), float(i % 3)) for i in range(30)], "label double, same double, up double, other double")
+    assert E.k_best(df, "label", ["other", "up", "same"], 1) == ["same"]
+
+
+def test_small_by_rows_and_bytes(spark):
+    df = spark.createDataFrame([("x" * 1000,)] * 3, "v string")
+    assert is_small(df) and not is_small(df, rows=2) and not is_small(df, size=2000)
