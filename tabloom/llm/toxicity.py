@@ -11,8 +11,9 @@ median number of telling features of toxic texts, ``dense`` ones at least the
 median share of them. A document is rejected when ``toxic`` reaches the threshold.
 
 Fitting uses at most ``sample`` labelled documents of each class, those of the
-smallest id hash; features are chosen by their counts in that sample. Every
-document is scored whole.
+smallest id hash; features are chosen by their counts in that sample. Where that
+draws the classes at different rates, rows weigh as many labels as they stand for,
+so that the classes keep their shares of all labels. Every document is scored whole.
 
 Defined cases: a null or empty text has no features; repeated label rows count
 once, as toxic if any says so; null labels and labels of no document are left
@@ -89,37 +90,39 @@ class Chain:
         return out
 
 
-def _fit(x: np.ndarray, y: np.ndarray, rounds: int = 150) -> np.ndarray:
-    """Ridge logistic regression by accelerated gradient steps; the bias is the last column, unpenalised."""
+def _fit(x: np.ndarray, y: np.ndarray, s: np.ndarray, rounds: int = 150) -> np.ndarray:
+    """Ridge logistic regression of rows of weight ``s`` by accelerated gradient steps; the bias is the last column, unpenalised."""
     x = np.hstack([x, np.ones((len(x), 1))])
     penalty = np.full(x.shape[1], RIDGE)
     penalty[-1] = 1e-3
     v = np.ones(x.shape[1])
     for _ in range(20):  # the largest curvature, by power iteration
-        v = x.T @ (x @ v)
+        v = x.T @ (s * (x @ v))
         v /= np.linalg.norm(v) + 1e-12
-    step = 1 / (0.25 * np.linalg.norm(x @ v) ** 2 + RIDGE)
+    step = 1 / (0.25 * np.linalg.norm(np.sqrt(s) * (x @ v)) ** 2 + RIDGE)
     w = z = np.zeros(x.shape[1])
     for k in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ z, -30, 30)))
-        new = z - step * (x.T @ (p - y) + penalty * z)
+        new = z - step * (x.T @ (s * (p - y)) + penalty * z)
         z = new + k / (k + 3) * (new - w)
         w = new
     return w
 
 
-def fit_chain(x: np.ndarray, labels: list[np.ndarray], features: np.ndarray, folds: np.ndarray) -> Chain:
-    """Each model sees the earlier categories as models of the other folds predict them."""
+def fit_chain(x: np.ndarray, labels: list[np.ndarray], features: np.ndarray, folds: np.ndarray,
+              stands: np.ndarray | None = None) -> Chain:
+    """Each model sees the earlier categories as models of the other folds predict them; ``stands`` weighs the rows."""
     weights, earlier = [], np.zeros((len(x), 0))
+    stands = np.ones(len(x)) if stands is None else stands
     for y in labels:
         whole = np.hstack([x, earlier])
         out_of_fold = np.zeros(len(x))
         for fold in range(FOLDS):
             held = folds == fold
             if held.any() and not held.all():
-                w = _fit(whole[~held], y[~held])
+                w = _fit(whole[~held], y[~held], stands[~held])
                 out_of_fold[held] = np.clip(whole[held] @ w[:-1] + w[-1], -30, 30)
-        w = _fit(whole, y)
+        w = _fit(whole, y, stands)
         n = x.shape[1]
         weights.append(np.concatenate([w[:n], w[-1:], w[n:-1]]))
         earlier = np.hstack([earlier, out_of_fold[:, None]])
@@ -130,6 +133,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | N
     """The chain fitted on a bounded sample of labelled documents; None without both classes."""
     known = own_columns(labels, {"doc_id": "doc_id", "toxic": "toxic"}).dropna().groupBy("doc_id").agg(
         F.max(F.col("toxic").cast("int")).alias("toxic")).withColumn("draw", F.xxhash64("doc_id"))
+    labelled = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     drawn = [known.filter(c).orderBy("draw", "doc_id").limit(sample) for c in ("toxic = 1", "toxic = 0")]
     chosen = F.broadcast(drawn[0].union(drawn[1]).drop("draw"))
     texts = own_columns(docs, {"doc_id": "doc_id", "text": "text"}).join(chosen.select("doc_id"), "doc_id")
@@ -137,11 +141,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | N
     sizes = {r["toxic"]: r["n"] for r in found.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
         return None
+    # labels that a drawn row stands for, and the classes' shares of all that
+    each = {c: labelled[c] / min(labelled[c], sample) for c in (0, 1)}
+    whole = sum(each[c] * sizes[c] for c in (0, 1))
+    part = {c: each[c] * sizes[c] / whole for c in (0, 1)}
     counts = found.select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(
         F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")).filter(F.col("a") + F.col("b") >= LEAST_TEXTS)
     a, b = F.col("a") / sizes[1], F.col("b") / sizes[0]
     # the signed root of the chi-square statistic ranks how surely a feature tells the classes apart
-    score = F.abs(a - b) / F.sqrt((F.col("a") + F.col("b")) / (sizes[0] + sizes[1]))
+    score = F.abs(a - b) / F.sqrt(a * part[1] + b * part[0])
     best = counts.withColumn("score", score).orderBy(F.desc("score"), "feature").limit(FEATURES).collect()
     features = np.array(sorted(np.uint64(r["feature"] & (2**64 - 1)) for r in best), np.uint64)
     telling = np.isin(features, np.array([r["feature"] & (2**64 - 1) for r in best
@@ -157,7 +165,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | N
     share = told / np.maximum(1, [r["n"] for r in rows])
     grade = lambda v: toxic * (v >= max(np.median(v[toxic == 1]), 1e-9))
     folds = np.array([(r["doc_id"] * 0x9E3779B97F4A7C15 >> 17) % FOLDS for r in rows])
-    return fit_chain(x, [toxic, grade(told), grade(share)], features, folds)
+    stands = np.where(toxic == 1, each[1], each[0]) * (len(rows) / whole)
+    return fit_chain(x, [toxic, grade(told), grade(share)], features, folds, stands)
 
 
 def _score(chain: Chain | None, keep_columns: bool):

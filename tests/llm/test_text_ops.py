@@ -266,6 +266,23 @@ def test_toxic_texts_are_told_apart(spark, docs):
     assert toxicity.judge(docs().limit(0), labels).count() == 0
 
 
+def test_verdicts_do_not_depend_on_the_sample_cap(spark, docs):
+    rng = random.Random(10)
+    fill = [f"{a}{b}" for a in ("moss", "fern", "reed") for b in ("", "y", "bed")]
+    truth = {i: i % 9 == 0 for i in range(1800)}
+    rows = [(i, " ".join(rng.choice(fill) for _ in range(12)) + (" stupid" if rng.random() < (0.8 if t else 0.3) else "")
+             + (" idiot" if t and rng.random() < 0.5 else "")) for i, t in truth.items()]
+    df = docs(*rows).cache()
+    labels = spark.createDataFrame([(i, int(t)) for i, t in truth.items()], "doc_id long, toxic int")
+    whole, capped = (toxicity.train(df, labels, sample=n) for n in (1600, 150))
+    tried = docs(*[(i, t) for i, t in enumerate(["moss fern reedy stupid", "moss fern reedy", "moss stupid idiot"])]).coalesce(1)
+    odds = [np.array([[r.p_toxic for r in toxicity.map_texts(
+        tried.select("doc_id", "text"), toxicity._score(c, False),
+        "doc_id long, p_toxic double, p_repeated double, p_dense double, rejected boolean").orderBy("doc_id").collect()]]) for c in (whole, capped)]
+    assert np.abs(odds[0] - odds[1]).max() < 0.2
+    assert [list(p[0] >= toxicity.THRESHOLD) for p in odds] == [[False, False, True]] * 2
+
+
 def test_later_models_see_out_of_fold_log_odds():
     rng = np.random.default_rng(0)
     x = rng.integers(0, 2, (300, 6)).astype(float)
