@@ -7,8 +7,11 @@ a single document holds. A line can only reach the threshold if it holds one of
 the rare terms that carry enough of a template's length, so only such lines are
 compared. A file takes the licence of its best line.
 
-Files of which the matching lines make up most are licence files: they hold for
-their directory. A file without a header takes the licence of the nearest
+Whole files are compared with the full texts of licences in the same way, by
+vectors whose counts are damped (1 + log); only files that hold enough of a
+text's terms are weighed. Files that reach FILE_THRESHOLD of a full text, or of
+which the matching lines make up most, are licence files: they hold for their
+directory. A full text decides before a line. A file without a header takes the licence of the nearest
 directory above it that has a licence file, found by joining directories with
 their ancestors.
 
@@ -20,6 +23,8 @@ extra columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +33,8 @@ from tabloom.llm.common import keyed, own_columns, salted_join, stored
 THRESHOLD = 0.6
 FILE_SHARE = 0.5  # matching lines make up this share of a licence file's terms, at least
 TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
-DEEPEST = 64  # levels of a path; deeper directories count as that of level 64
+FILE_THRESHOLD = 0.8  # cosine of a file to a full text; a short notice with code of its own stays below
+FULL_TEXTS = Path(__file__).parent / "licenses"  # public texts, named by licence
 
 # fixed values: statements by which public licences are given
 TEMPLATES = (
@@ -63,10 +69,23 @@ def template_terms(spark) -> DataFrame:
         "template", "license", "term").agg(F.count("*").alias("times"))
 
 
-def term_weights(rows: DataFrame, terms: DataFrame) -> tuple[DataFrame, Column]:
+def full_terms(spark) -> DataFrame:
+    """(license, term, times) of the full texts, a bounded table that ships with this module."""
+    texts = [(f.stem, f.read_text(encoding="utf-8")) for f in sorted(FULL_TEXTS.glob("*.txt"))]
+    found = spark.createDataFrame(texts, "license string, text string").select(
+        "license", F.explode(terms_of(F.col("text"))).alias("term"))
+    return found.groupBy("license", "term").agg(F.count("*").alias("times"))
+
+
+def held_terms(rows: DataFrame, *tables: DataFrame) -> DataFrame:
+    """(row_key, term): the terms of ``tables`` that each document holds, once each."""
+    known = sorted({r["term"] for t in tables for r in t.select("term").distinct().collect()})
+    return rows.select("row_key", F.explode(F.array_intersect(
+        terms_of(F.col("text")), F.array(*map(F.lit, known)))).alias("term"))
+
+
+def term_weights(rows: DataFrame, terms: DataFrame, held: DataFrame) -> tuple[DataFrame, Column]:
     """(term, idf) of the templates' terms over all documents, and the weight of any other term."""
-    known = terms.agg(F.sort_array(F.collect_set("term"))).head()[0]
-    held = rows.select(F.explode(F.array_intersect(terms_of(F.col("text")), F.array(*map(F.lit, known)))).alias("term"))
     docs = held.groupBy("term").agg(F.count("*").alias("df"))
     total = F.lit(rows.count())
     idf = lambda df: F.log((total + 1) / (df + 1)) + 1
@@ -75,11 +94,36 @@ def term_weights(rows: DataFrame, terms: DataFrame) -> tuple[DataFrame, Column]:
     return weights, idf(F.lit(1))
 
 
-def header_scores(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def damped(times: str) -> Column:
+    return F.log(F.col(times)) + 1
+
+
+def file_scores(rows: DataFrame, texts: DataFrame, held: DataFrame, weights: DataFrame, other: Column) -> DataFrame:
+    """(row_key, file_license, file_score) of the files that reach FILE_THRESHOLD, by their best full text."""
+    vectors = texts.join(F.broadcast(weights), "term").withColumn("w", damped("times") * F.col("idf"))
+    norms = vectors.groupBy("license").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("t_norm"))
+    vectors = stored(vectors.join(F.broadcast(norms), "license").select("license", "term", "w", "t_norm"), "full-vectors")
+    # a cosine is at most the share of the text's length that the terms of both make up
+    share = F.col("w") * F.col("w") / (F.col("t_norm") * F.col("t_norm"))
+    near = held.join(F.broadcast(vectors.select("license", "term", share.alias("share"))), "term").groupBy(
+        "row_key", "license").agg(F.sum("share").alias("share"))
+    near = stored(near.filter(F.col("share") >= FILE_THRESHOLD * FILE_THRESHOLD - 1e-9).select("row_key").distinct(), "near")
+    counted = rows.join(near, "row_key").select("row_key", F.explode(terms_of(F.col("text"))).alias("term")).groupBy(
+        "row_key", "term").agg(F.count("*").alias("times"))
+    weighed = stored(counted.join(F.broadcast(weights), "term", "left").select(
+        "row_key", "term", (damped("times") * F.coalesce("idf", other)).alias("x")), "files")
+    norm = weighed.groupBy("row_key").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    dots = weighed.join(F.broadcast(vectors), "term").groupBy("row_key", "license", "t_norm").agg(
+        F.sum(F.col("x") * F.col("w")).alias("dot"))
+    scored = dots.join(norm, "row_key").withColumn("score", F.round(F.col("dot") / F.col("norm") / F.col("t_norm"), 6))
+    best = F.min(F.struct((-F.col("score")).alias("s"), "license"))
+    return scored.filter(F.col("score") >= FILE_THRESHOLD).groupBy("row_key").agg(best.alias("b")).select(
+        "row_key", F.col("b.license").alias("file_license"), (-F.col("b.s")).alias("file_score"))
+
+
+def header_scores(rows: DataFrame, terms: DataFrame, weights: DataFrame, other: Column,
+                  threshold: float = THRESHOLD) -> DataFrame:
     """(row_key, line, n_terms, license, score) of the lines that reach the threshold, by their best template."""
-    terms = stored(template_terms(rows.sparkSession), "template-terms")
-    weights, other = term_weights(rows, terms)
-    weights = stored(weights, "weights")
     vectors = terms.join(F.broadcast(weights), "term").withColumn("w", F.col("times") * F.col("idf"))
     norms = vectors.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("t_norm"))
     vectors = stored(vectors.join(F.broadcast(norms), "template").select("template", "license", "term", "w", "t_norm"), "vectors")
@@ -116,7 +160,7 @@ def header_scores(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def inherited(dirs: DataFrame, licensed: DataFrame) -> DataFrame:
     """(dir, license, license_dir) of each of ``dirs`` (dir) below, or equal to, a directory of ``licensed`` (dir, license)."""
     parts = F.when(F.col("dir") == "", F.array().cast("array<string>")).otherwise(F.split("dir", "/"))
-    above = F.transform(F.sequence(F.lit(0), F.least(F.size(parts), F.lit(DEEPEST))),
+    above = F.transform(F.sequence(F.lit(0), F.size(parts)),
                         lambda k: F.array_join(F.slice(parts, 1, k), "/"))
     tried = dirs.select("dir", F.posexplode(above).alias("level", "up"))
     found = tried.join(licensed.withColumnRenamed("dir", "up"), "up")
@@ -126,24 +170,31 @@ def inherited(dirs: DataFrame, licensed: DataFrame) -> DataFrame:
 
 def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per file of ``files`` (doc_id, path, text): doc_id, path, header_license, header_score, header_line,
-    is_license_file, license and the directory that it was inherited from (null where the file's own header decides)."""
+    is_license_file, license and the directory that it was inherited from (null where the file's own text or header decides)."""
     rows = keyed(own_columns(files, {"doc_id": "doc_id", "path": "path", "text": "text"}))
     rows = rows.withColumn("path", F.coalesce("path", F.lit("")))
-    lines = stored(header_scores(rows.select("row_key", "text"), threshold), "headers")
+    bare = rows.select("row_key", "text")
+    terms, texts = (stored(t, "template-terms") for t in (template_terms(files.sparkSession), full_terms(files.sparkSession)))
+    held = stored(held_terms(bare, terms, texts), "held")
+    weights, other = term_weights(bare, terms.select("term").union(texts.select("term")), held)
+    weights = stored(weights, "weights")
+    lines = stored(header_scores(bare, terms, weights, other, threshold), "headers")
+    wholes = stored(file_scores(bare, texts, held, weights, other), "wholes")
     best = F.min(F.struct((-F.col("score")).alias("s"), "line", "license"))
     heads = lines.groupBy("row_key").agg(best.alias("b"), F.sum("n_terms").alias("matched"))
     sizes = rows.select("row_key", "doc_id", "path", directory_of(F.col("path")).alias("dir"),
                         F.size(terms_of(F.coalesce("text", F.lit("")))).alias("n_all"))
-    met = stored(sizes.join(heads, "row_key", "left").select(
+    met = stored(sizes.join(heads, "row_key", "left").join(wholes, "row_key", "left").select(
         "doc_id", "path", "dir", "row_key", F.col("b.license").alias("header_license"),
         (-F.col("b.s")).alias("header_score"), F.col("b.line").alias("header_line"),
-        F.coalesce(F.col("matched") >= FILE_SHARE * F.col("n_all"), F.lit(False)).alias("is_license_file")), "met")
+        (F.col("file_license").isNotNull() | F.coalesce(
+            F.col("matched") >= FILE_SHARE * F.col("n_all"), F.lit(False))).alias("is_license_file"),
+        F.coalesce("file_license", "b.license").alias("own"), F.coalesce("file_score", -F.col("b.s")).alias("own_score")), "met")
     licensed = met.filter("is_license_file").groupBy("dir").agg(F.min(F.struct(
-        (-F.col("header_score")).alias("s"), "path", "header_license")).alias("b")).select("dir", F.col("b.header_license").alias("license"))
+        (-F.col("own_score")).alias("s"), "path", "own")).alias("b")).select("dir", F.col("b.own").alias("license"))
     dirs = stored(met.groupBy("dir").agg(F.count("*").alias("files")), "dirs")
     above = stored(dirs.join(inherited(dirs.select("dir"), licensed), "dir", "left"), "above")
     out = salted_join(met, above, ["dir"], "files", "row_key")
-    own = F.col("header_license").isNotNull()
     return out.select("doc_id", "path", "header_license", "header_score", F.col("header_line").cast("long").alias("header_line"),
-                      "is_license_file", F.coalesce("header_license", "license").alias("license"),
-                      F.when(~own, F.col("license_dir")).alias("license_dir"))
+                      "is_license_file", F.coalesce("own", "license").alias("license"),
+                      F.when(F.col("own").isNull(), F.col("license_dir")).alias("license_dir"))

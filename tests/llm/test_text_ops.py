@@ -210,6 +210,20 @@ def test_licences_are_found_and_inherited(spark):
     assert license_scan.scan(empty).count() == 0
 
 
+def test_full_texts_make_licence_files_at_any_depth(spark):
+    full = {n: (license_scan.FULL_TEXTS / f"{n}.txt").read_text() for n in ("MIT", "Apache-2.0", "GPL-2.0", "LGPL-3.0")}
+    deep = "/".join(f"d{k}" for k in range(80))
+    filler = "some words of a quite ordinary kind stand in this line and go on\n"
+    rows = [(1, "m/LICENSE", full["MIT"].replace("<year>", "2021").replace("<copyright holders>", "Foo")), (2, "m/src/x.py", filler),
+            (3, "p/COPYING", full["GPL-2.0"]), (4, "p/y.c", filler), (5, "l/COPYING.LESSER", full["LGPL-3.0"]), (6, "l/z", filler),
+            (7, f"{deep}/LICENSE", full["Apache-2.0"]), (8, f"{deep}/e/f/w", filler), (9, "n/a", full["MIT"][:600] + filler * 40), (10, "n/b", filler)]
+    rows += [(20 + i, f"o/{i}", filler * 9) for i in range(40)]
+    got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    assert [got[i].license for i in range(1, 9)] == ["MIT"] * 2 + ["GPL-2.0"] * 2 + ["LGPL-3.0"] * 2 + ["Apache-2.0"] * 2
+    assert all(got[i].is_license_file for i in (1, 3, 5, 7)) and sum(r.is_license_file for r in got.values()) == 4
+    assert got[8].license_dir == deep and got[10].license is None
+
+
 # -- URLs ---------------------------------------------------------------------
 
 def test_aliases_share_decisions(spark):
