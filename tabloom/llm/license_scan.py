@@ -2,10 +2,10 @@
 
 Every line of a file is a possible licence header. Lines and licence templates
 are sparse vectors of term counts times inverse document frequency, which all
-documents together give for the templates' terms; other terms weigh as one that
-a single document holds. A line can only reach the threshold if it holds one of
-the rare terms that carry enough of a template's length, so only such lines are
-compared. A file takes the licence of its best line.
+documents together give. Scored are whole lines and their windows of a template's
+number of terms, and of these only such as hold terms that carry enough of the
+template's length to reach the threshold. A line scores as its best window, a file
+takes the licence of its best line.
 
 Whole files are compared with the full texts of licences in the same way, by
 vectors whose counts are damped (1 + log); only files that hold enough of a
@@ -84,22 +84,39 @@ def held_terms(rows: DataFrame, *tables: DataFrame) -> DataFrame:
         terms_of(F.col("text")), F.array(*map(F.lit, known)))).alias("term"))
 
 
-def term_weights(rows: DataFrame, terms: DataFrame, held: DataFrame) -> tuple[DataFrame, Column]:
-    """(term, idf) of the templates' terms over all documents, and the weight of any other term."""
+def idf(df: Column, total: int) -> Column:
+    return F.log((F.lit(total) + 1) / (df + 1)) + 1
+
+
+def term_weights(terms: DataFrame, held: DataFrame, total: int) -> DataFrame:
+    """(term, idf) of the templates' terms over all documents."""
     docs = held.groupBy("term").agg(F.count("*").alias("df"))
-    total = F.lit(rows.count())
-    idf = lambda df: F.log((total + 1) / (df + 1)) + 1
-    weights = terms.select("term").distinct().join(F.broadcast(docs), "term", "left").select(
-        "term", idf(F.coalesce("df", F.lit(0))).alias("idf"))
-    return weights, idf(F.lit(1))
+    return terms.select("term").distinct().join(F.broadcast(docs), "term", "left").select(
+        "term", idf(F.coalesce("df", F.lit(0)), total).alias("idf"))
+
+
+def with_found(rows: DataFrame, weights: DataFrame, total: int, *counted: DataFrame) -> DataFrame:
+    """``weights`` and those of the other terms that ``counted`` hold, by one count over all documents.
+
+    Tasks add up their own terms before anything is moved, so a common term is a row of each.
+    """
+    wanted = counted[0].select("term")
+    for c in counted[1:]:
+        wanted = wanted.union(c.select("term"))
+    wanted = stored(wanted.distinct().join(F.broadcast(weights), "term", "left_anti"), "wanted")
+    if not wanted.take(1):
+        return weights
+    docs = rows.select(F.explode(F.array_distinct(terms_of(F.col("text")))).alias("term")).groupBy("term").agg(
+        F.count("*").alias("df"))
+    return weights.union(docs.join(wanted, "term").select("term", idf(F.col("df"), total).alias("idf")))
 
 
 def damped(times: str) -> Column:
     return F.log(F.col(times)) + 1
 
 
-def file_scores(rows: DataFrame, texts: DataFrame, held: DataFrame, weights: DataFrame, other: Column) -> DataFrame:
-    """(row_key, file_license, file_score) of the files that reach FILE_THRESHOLD, by their best full text."""
+def near_files(rows: DataFrame, texts: DataFrame, held: DataFrame, weights: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(vectors of the full texts, term counts of the files that may reach FILE_THRESHOLD)."""
     vectors = texts.join(F.broadcast(weights), "term").withColumn("w", damped("times") * F.col("idf"))
     norms = vectors.groupBy("license").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("t_norm"))
     vectors = stored(vectors.join(F.broadcast(norms), "license").select("license", "term", "w", "t_norm"), "full-vectors")
@@ -110,8 +127,13 @@ def file_scores(rows: DataFrame, texts: DataFrame, held: DataFrame, weights: Dat
     near = stored(near.filter(F.col("share") >= FILE_THRESHOLD * FILE_THRESHOLD - 1e-9).select("row_key").distinct(), "near")
     counted = rows.join(near, "row_key").select("row_key", F.explode(terms_of(F.col("text"))).alias("term")).groupBy(
         "row_key", "term").agg(F.count("*").alias("times"))
-    weighed = stored(counted.join(F.broadcast(weights), "term", "left").select(
-        "row_key", "term", (damped("times") * F.coalesce("idf", other)).alias("x")), "files")
+    return vectors, stored(counted, "near-terms")
+
+
+def file_scores(vectors: DataFrame, counted: DataFrame, weights: DataFrame) -> DataFrame:
+    """(row_key, file_license, file_score) of the files that reach FILE_THRESHOLD, by their best full text."""
+    weighed = stored(counted.join(weights, "term").select(
+        "row_key", "term", (damped("times") * F.col("idf")).alias("x")), "files")
     norm = weighed.groupBy("row_key").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
     dots = weighed.join(F.broadcast(vectors), "term").groupBy("row_key", "license", "t_norm").agg(
         F.sum(F.col("x") * F.col("w")).alias("dot"))
@@ -121,40 +143,71 @@ def file_scores(rows: DataFrame, texts: DataFrame, held: DataFrame, weights: Dat
         "row_key", F.col("b.license").alias("file_license"), (-F.col("b.s")).alias("file_score"))
 
 
-def header_scores(rows: DataFrame, terms: DataFrame, weights: DataFrame, other: Column,
-                  threshold: float = THRESHOLD) -> DataFrame:
-    """(row_key, line, n_terms, license, score) of the lines that reach the threshold, by their best template."""
+def near_windows(rows: DataFrame, terms: DataFrame, weights: DataFrame,
+                 threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(vectors of the templates, term counts of the lines and windows that may reach the threshold)."""
     vectors = terms.join(F.broadcast(weights), "term").withColumn("w", F.col("times") * F.col("idf"))
-    norms = vectors.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("t_norm"))
-    vectors = stored(vectors.join(F.broadcast(norms), "template").select("template", "license", "term", "w", "t_norm"), "vectors")
+    norms = vectors.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("t_norm"),
+                                            F.sum("times").cast("int").alias("t_terms"))
+    vectors = stored(vectors.join(F.broadcast(norms), "template").select(
+        "template", "license", "term", "w", "t_norm", "t_terms"), "vectors")
 
     # the rarest terms of a template that leave too little of it for a match without them
-    keys: set[str] = set()
     by_template: dict[int, list] = {}
     for v in vectors.collect():
         by_template.setdefault(v["template"], []).append(v)
-    for found in by_template.values():
+    keys: dict[int, list[str]] = {}
+    for template, found in by_template.items():
+        found.sort(key=lambda v: (-v["w"], v["term"]))
         left = 1.0
-        for v in sorted(found, key=lambda v: (-v["w"], v["term"])):
+        for v in found:
             if left < threshold * threshold:
                 break
-            keys.add(v["term"])
+            keys.setdefault(template, []).append(v["term"])
             left -= (v["w"] / v["t_norm"]) ** 2
 
+    def literal(names: list[str]) -> Column:
+        return F.array(*map(F.lit, sorted(names)))
+
+    def windows(template: int, found: list) -> Column:
+        """Starts and lengths of what may match: a cosine is at most the share that the terms of both make up."""
+        size, own = found[0]["t_terms"], literal([v["term"] for v in found])
+        shares = F.create_map(*[F.lit(x) for v in found for x in (v["term"], (v["w"] / v["t_norm"]) ** 2)])
+
+        def near(part: Column) -> Column:
+            return F.aggregate(F.array_intersect(part, own), F.lit(0.0),
+                               lambda total, t: total + F.element_at(shares, t)) >= threshold * threshold - 1e-9
+
+        inside = F.filter(F.sequence(F.lit(1), F.size("terms")),
+                          lambda i: F.array_contains(own, F.get("terms", i - 1)) & near(F.slice("terms", i, size)))
+        parts = F.concat(F.array(F.lit(0)), F.when(F.size("terms") > size, inside).otherwise(F.array().cast("array<int>")))
+        held = F.transform(parts, lambda i: F.struct(
+            F.lit(template).alias("template"), i.alias("start"),
+            F.when(i == 0, F.col("terms")).otherwise(F.slice("terms", i, size)).alias("window")))
+        # a line that holds too little has no window that holds enough
+        return F.when(F.arrays_overlap("terms", literal(keys[template])) & near(F.col("terms")), held)
+
     lines = rows.select("row_key", F.posexplode(F.split("text", "\n")).alias("line", "content"))
     lines = lines.select("row_key", "line", terms_of(F.col("content")).alias("terms")).filter(
-        F.arrays_overlap("terms", F.array(*map(F.lit, sorted(keys)))))
-    counted = lines.select("row_key", "line", F.size("terms").alias("n_terms"), F.explode("terms").alias("term")).groupBy(
-        "row_key", "line", "n_terms", "term").agg(F.count("*").alias("times"))
-    weighed = counted.join(F.broadcast(weights), "term", "left").withColumn("x", F.col("times") * F.coalesce("idf", other))
-    weighed = stored(weighed.select("row_key", "line", "n_terms", "term", "x"), "lines")
-    norm = weighed.groupBy("row_key", "line", "n_terms").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    dots = weighed.join(F.broadcast(vectors), "term").groupBy("row_key", "line", "template", "license", "t_norm").agg(
-        F.sum(F.col("x") * F.col("w")).alias("dot"))
-    scored = dots.join(norm, ["row_key", "line"]).withColumn("score", F.round(F.col("dot") / F.col("norm") / F.col("t_norm"), 6))
-    best = F.min(F.struct((-F.col("score")).alias("s"), "license"))
-    return scored.filter(F.col("score") >= threshold).groupBy("row_key", "line", "n_terms").agg(best.alias("b")).select(
-        "row_key", "line", "n_terms", "b.license", (-F.col("b.s")).alias("score"))
+        F.arrays_overlap("terms", literal(list({k for found in keys.values() for k in found}))))
+    tried = F.filter(F.array(*[windows(t, found) for t, found in sorted(by_template.items())]), lambda w: w.isNotNull())
+    spans = lines.select("row_key", "line", F.explode(F.flatten(tried)).alias("s")).select(
+        "row_key", "line", "s.template", "s.start", F.size("s.window").alias("n_terms"), F.explode("s.window").alias("term"))
+    return vectors, stored(spans.groupBy("row_key", "line", "template", "start", "n_terms", "term").agg(
+        F.count("*").alias("times")), "near-windows")
+
+
+def header_scores(vectors: DataFrame, counted: DataFrame, weights: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(row_key, line, n_terms, license, score) of the lines that reach the threshold, by their best window and template."""
+    weighed = counted.join(weights, "term").withColumn("x", F.col("times") * F.col("idf"))
+    both = weighed.join(F.broadcast(vectors.select("template", "term", "w")), ["template", "term"], "left")
+    about = vectors.select("template", "license", "t_norm").distinct()
+    scored = both.groupBy("row_key", "line", "template", "start", "n_terms").agg(
+        F.sum(F.col("x") * F.col("w")).alias("dot"), F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm")).join(
+        F.broadcast(about), "template").withColumn("score", F.round(F.col("dot") / F.col("norm") / F.col("t_norm"), 6))
+    best = F.min(F.struct((-F.col("score")).alias("s"), "license", "start", "n_terms"))
+    return scored.filter(F.col("score") >= threshold).groupBy("row_key", "line").agg(best.alias("b")).select(
+        "row_key", "line", "b.n_terms", "b.license", (-F.col("b.s")).alias("score"))
 
 
 def inherited(dirs: DataFrame, licensed: DataFrame) -> DataFrame:
@@ -176,10 +229,13 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     bare = rows.select("row_key", "text")
     terms, texts = (stored(t, "template-terms") for t in (template_terms(files.sparkSession), full_terms(files.sparkSession)))
     held = stored(held_terms(bare, terms, texts), "held")
-    weights, other = term_weights(bare, terms.select("term").union(texts.select("term")), held)
-    weights = stored(weights, "weights")
-    lines = stored(header_scores(bare, terms, weights, other, threshold), "headers")
-    wholes = stored(file_scores(bare, texts, held, weights, other), "wholes")
+    total = rows.count()
+    weights = stored(term_weights(terms.select("term").union(texts.select("term")), held, total), "weights")
+    line_vectors, line_terms = near_windows(bare, terms, weights, threshold)
+    file_vectors, file_terms = near_files(bare, texts, held, weights)
+    weights = stored(with_found(bare, weights, total, line_terms, file_terms), "all-weights")
+    lines = stored(header_scores(line_vectors, line_terms, weights, threshold), "headers")
+    wholes = stored(file_scores(file_vectors, file_terms, weights), "wholes")
     best = F.min(F.struct((-F.col("score")).alias("s"), "line", "license"))
     heads = lines.groupBy("row_key").agg(best.alias("b"), F.sum("n_terms").alias("matched"))
     sizes = rows.select("row_key", "doc_id", "path", directory_of(F.col("path")).alias("dir"),

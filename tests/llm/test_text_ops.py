@@ -224,6 +224,19 @@ def test_full_texts_make_licence_files_at_any_depth(spark):
     assert got[8].license_dir == deep and got[10].license is None
 
 
+def test_headers_are_found_at_any_size_of_the_table(spark):
+    lines = ["Example notebook. Licensed under the Apache License, Version 2.0.", "Copyright (c) 2021 Foo. Released under the MIT License.",
+             "xq1 xq2 xq3 xq4 xq5 xq6 xq7 xq8 xq9 Licensed under CC BY-NC 4.0. xr1 xr2 xr3 xr4 xr5 xr6 xr7"]
+    for n in (30, 30_000):
+        rows = [(i, f"a/{i}", t) for i, t in enumerate(lines)]
+        more = spark.range(100, 100 + n).selectExpr("id as doc_id", "concat('b/', id) as path", """case when id % 3 = 0 then
+            'the house under the version of copyright' else 'a river in the garden' end as text""")
+        files = spark.createDataFrame(rows, "doc_id long, path string, text string").union(more)
+        got = {r.doc_id: r for r in license_scan.scan(files).filter("doc_id < 100 or header_license is not null").collect()}
+        assert {i: r.header_license for i, r in got.items()} == {0: "Apache-2.0", 1: "MIT", 2: "CC-BY-NC-4.0"}
+        assert got[0].header_score > 0.9 and got[1].header_score > 0.9 and not got[2].is_license_file
+
+
 # -- URLs ---------------------------------------------------------------------
 
 def test_aliases_share_decisions(spark):
