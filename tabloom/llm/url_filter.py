@@ -5,6 +5,8 @@ that fits decides. Pages without a rule take the decision of their aliases:
 URLs of one normal form, joined further by canonical links and redirects found
 in the pages, make one component; if any member is explicitly allowed the
 component is allowed, else if any is blocked it is blocked, else it is allowed.
+All such links of a page count; relative ones start from its scheme, host and
+directory.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path, fits
 no rule, has no aliases and is allowed; null html has no links; repeated rows
@@ -28,7 +30,7 @@ RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "
 # parameters that name where a visitor came from, not what the page is
 TRACKING = r"(?:utm_[^=&]*|ref|fbclid|gclid)(?:=[^&]*)?"
 CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical)[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
-REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh)[^>]*?\burl\s*=\s*([^"'\s>]+)"""
+REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh)[^>]*?\burl\s*=\s*["']?([^"'\s>]+)"""
 
 
 def _after(url: Column) -> Column:
@@ -54,13 +56,45 @@ def normal_form(url: Column) -> Column:
     return F.when(host_of(url) != "", F.concat(host, path, F.when(asked != "", F.concat(F.lit("?"), asked)).otherwise("")))
 
 
+def without_dots(path: Column) -> Column:
+    """An absolute path without its '.' and '..' segments."""
+    parts = F.slice(F.split(path, "/"), 2, 1 << 30)
+    last = F.element_at(parts, -1)
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda done, x: F.when(x == ".", done).when(
+        x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.concat(done, F.array(x))))
+    kept = F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(path)
+
+
+def resolved(links: DataFrame) -> DataFrame:
+    """``links`` (url, to) with ``target``: the URL that ``to`` means on the page ``url``; null if it has no host.
+
+    Steps are columns of their own, since an expression repeated in the next one would multiply.
+    """
+    df = links.withColumns({
+        "to": F.regexp_replace("to", r"(?i)&(?:amp|#38|#x26);", "&"), "scheme": F.regexp_extract("url", r"^\s*([^:/?#]*)://", 1),
+        "host": host_of(F.col("url")), "path": path_of(F.col("url")),
+        "asked": F.regexp_extract(_after(F.col("url")), r"^[^?#]*(\?[^#]*)", 1)})
+    site = F.concat("scheme", F.lit("://"), "host")
+    folder = F.concat(F.regexp_extract("path", r"^(?:.*/)?", 0), F.when(F.col("path").contains("/"), "").otherwise("/"))
+    to = F.col("to")
+    df = df.withColumn("near", F.when(to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), to).when(
+        to.rlike(r"^//"), F.concat("scheme", F.lit(":"), to)).when(F.col("host") == "", F.lit(None)).when(
+        to.rlike("^/"), F.concat(site, to)).when(to.rlike(r"^\?"), F.concat(site, "path", to)).when(
+        to.rlike("^#"), F.concat(site, "path", "asked", to)).otherwise(F.concat(site, folder, to)))
+    df = df.withColumns({"head": F.regexp_extract("near", r"^[^:/?#]+://[^/?#]*", 0), "path": path_of(F.col("near")),
+                         "tail": F.regexp_extract("near", r"[?#](?s:.*)$", 0)})
+    return df.withColumn("target", F.when(F.col("head") != "", F.concat("head", without_dots(F.col("path")), "tail")))
+
+
 def link_edges(pages: DataFrame) -> DataFrame:
-    """(a, b): a page's normal form and that of the page it redirects to or names as canonical."""
-    found = pages.filter(F.col("html").rlike(r"(?i)canonical|refresh")).select(
-        "url", F.explode(F.array(F.regexp_extract("html", CANONICAL, 1), F.regexp_extract("html", REFRESH, 1))).alias("to"))
-    near = F.when(F.col("to").rlike(r"^//"), F.concat(F.lit("http:"), F.col("to"))).when(
-        F.col("to").rlike(r"^/"), F.concat(F.lit("http://"), host_of(F.col("url")), F.col("to"))).otherwise(F.col("to"))
-    return found.filter("to != ''").select(normal_form(F.col("url")).alias("a"), normal_form(near).alias("b")).dropna()
+    """(a, b): a page's normal form and that of a page it redirects to or names as canonical."""
+    found = pages.filter(F.col("html").rlike(r"(?i)canonical|refresh")).select("url", F.explode(F.array_distinct(F.concat(
+        *[F.regexp_extract_all("html", F.lit(link), F.lit(1)) for link in (CANONICAL, REFRESH)]))).alias("to"))
+    edges = resolved(found.filter("to != ''")).select(
+        normal_form(F.col("url")).alias("a"), normal_form(F.col("target")).alias("b"))
+    # stored first: a filter pushed down would spell all steps out again in one expression
+    return stored(edges, "link-edges").dropna()
 
 
 def rule_table(spark, rules) -> DataFrame:

@@ -264,6 +264,24 @@ def test_aliases_share_decisions(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_every_link_of_a_page_is_followed(spark):
+    page = "HTTPS://Site.test/a/b/page.html?old=1#top"
+    targets = {"index2.html": "site.test/a/b/index2", "../new/": "site.test/a/new", "?id=2&amp;k=3": "site.test/a/b/page?id=2&k=3",
+               "/r/./x/../y": "site.test/r/y", "//o.test/z": "o.test/z", "http://p.test/q?u=a&#38;v=b": "p.test/q?u=a&v=b",
+               "../../../up": "site.test/up", "go?to=http://x.test/": "site.test/a/b/go?to=http://x.test/", "mailto:a@b.test": None,
+               "#part": "site.test/a/b/page?old=1", "..": "site.test/a"}
+    html = ["".join(f'<link rel="canonical" href="{t}">' for t in targets),
+            """<meta http-equiv="refresh" content="0; url='http://q.test/1'"><META content='1;URL="sub/2"' http-equiv=refresh>"""]
+    rows = [(1, page, html[0]), (2, "http://bare.test", html[1]), (3, "no scheme", html[1])]
+    got = sorted(map(tuple, url_filter.link_edges(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()))
+    assert got == sorted([("site.test/a/b/page?old=1", t) for t in targets.values() if t] + [
+        ("bare.test", "q.test/1"), ("bare.test", "bare.test/sub/2")])
+    blocked = [(1, "http://w.test/d/s.html", '<link rel=canonical href="http://n.test/"><link href="../e" rel="canonical">'),
+               (2, "http://w.test/e", """<meta http-equiv=refresh content="0; url='http://x.com/de/1'">"""), (3, "http://x.com/de/1", None)]
+    judged = url_filter.judge(spark.createDataFrame(blocked, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.verdict for r in judged} == {1: "block", 2: "block", 3: "block"}
+
+
 # -- toxicity -----------------------------------------------------------------
 
 def test_toxic_texts_are_told_apart(spark, docs):
