@@ -18,7 +18,3 @@ def spark():
         "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g", "spark.log.level": "ERROR"})
     yield session
     session.stop()
-
-
-def rows(df, *order):
-    return [tuple(r) for r in (df.orderBy(*order) if order else df).collect()]

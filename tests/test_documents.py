@@ -2,7 +2,7 @@ import xml.etree.ElementTree as ET
 
 import numpy as np
 import pytest
-from conftest import rows
+from tests.helpers import rows
 from pyspark.sql import functions as F
 
 from tabloom.operators import documents as D

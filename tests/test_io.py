@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from tests.helpers import rows
 from pyspark.sql import functions as F
 
 from tabloom.operators.joins import dimension_join

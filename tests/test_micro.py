@@ -1,7 +1,7 @@
 """Hand-made tables for the traps."""
 
 import pytest
-from conftest import rows
+from tests.helpers import rows
 from pyspark.sql import functions as F
 
 from tabloom.functions import numeric as X

@@ -2,7 +2,7 @@ import difflib
 
 import numpy as np
 import pytest
-from conftest import rows
+from tests.helpers import rows
 
 from tabloom.operators import similarity as N
 
