@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tabloom.llm import chat, exact_dedup, license_scan, line_dedup, ngram_join, packing, quality, sentencepiece_codec, toxicity, url_filter
+from tabloom.llm import (chat, chat_repair, exact_dedup, importance, license_scan, line_dedup, ngram_join, packing, quality, secret_scan,
+                         sentencepiece_codec, toxicity, url_filter)
 from tabloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,6 +159,91 @@ from n join g on n.b = g.b
 """
 
 
+@query
+def op11_segment_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+SQL["op11_segment_importance"] = r"""
+with t8 as (select list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: case when c & 1 = 1
+    then xor(3988292384, c >> 1) else c >> 1 end, i)) as crc),
+src as (select row_number() over () as k, 0 as side, text from documents union all select 0, 1, text from benchmark),
+w as (select k, side, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as word from src),
+b as (select word, xor(4294967295, list_reduce(list_transform(range(length(hex(encode(word))) // 2),
+    lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::bigint),
+    lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1]), 4294967295)) % 10000 as bucket
+  from (select distinct word from w), t8),
+f as (select k, side, bucket from w join b on w.word = b.word),
+n as (select bucket, count(*) filter (side = 0) as s, count(*) filter (side = 1) as t from f group by bucket),
+tot as (select coalesce(sum(s), 0) as s, coalesce(sum(t), 0) as t from n),
+g as (select bucket, floor(1000 * ln((n.t + 1)::double * (tot.s + 10000)::double / ((n.s + 1)::double * (tot.t + 10000)::double)))::bigint as gain
+  from n, tot),
+d as (select k, count(*) as n_features, sum(gain)::bigint as weight from f join g on f.bucket = g.bucket where side = 0 group by k),
+s as (select doc_id, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight, coalesce(weight, 0)
+    + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5)::double / 4294967296)))::bigint as score
+  from (select row_number() over () as k, doc_id from documents) x left join d on x.k = d.k),
+r as (select *, row_number() over (partition by n_features >= 20 order by score desc, doc_id) as place from s)
+select doc_id, n_features, weight, score, case when n_features >= 20
+  and place <= (select count(*) from s where n_features >= 20) * 10 // 100 then place end as rank from r
+"""
+
+
+@query
+def op12_hirschberg_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return chat_repair.report(chat_repair.damage(conversations), conversations)
+
+
+SQL["op12_hirschberg_chat_repair"] = r"""
+with recursive t8 as (select list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: case when c & 1 = 1
+    then xor(3988292384, c >> 1) else c >> 1 end, i)) as crc),
+c as (select conv_id, dense_rank() over (order by conv_id) as conv, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+  coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as name from conversations),
+h as (select name, xor(4294967295, list_reduce(list_transform(range(length(name)), lambda i: ascii(substr(name, i + 1, 1))::bigint),
+    lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1]), 4294967295)) % 20 as kind from (select distinct name from c), t8),
+d as (select conv, turn, case when kind = 4 then 'user' else role end as role,
+    case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(range(case kind when 0 then 0 when 3 then 2 else 1 end)) as again from c join h on c.name = h.name),
+o as (select *, row_number() over (partition by conv order by turn nulls first, role, md5(text)) as i from d),
+r as (select *, case left(role, 1) when 's' then 1 when 'u' then 2 when 'a' then 3 else 9 end as own,
+    case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'b'
+      when row_number() over (partition by conv, role, text order by i) > 1 then 'd'
+      when regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) not in ('.', '!', '?') then 't' else '' end as fault,
+    coalesce(lag(left(role, 1)) over (partition by conv order by i) || left(role, 1) not in ('su', 'ua', 'au'), false) as wrong from o),
+ins as (select s as before, s as state, 0 as k, '' as said from range(4) as x(s)
+  union all select before, case state when 2 then 3 else 2 end, k + 1,
+    said || case state when 2 then 'assistant:' else 'user:' end || chr(10) from ins where k < 3),
+opt as (select ins.*, letter from ins, (values ('D'), ('K'), ('R')) as l(letter)),
+p as (select conv, 0 as i, 0 as s, 0 as cost, '' as audit, '' as said from (select distinct conv from r)
+  union all
+  select conv, i, after, min(cost), arg_min(audit, (cost, audit)), arg_min(said, (cost, audit)) from (
+    select p.conv, r.i, case letter when 'D' then state when 'K' then own else case state when 2 then 3 else 2 end end as after,
+      p.cost + 3 * k + case letter when 'D' then 4 when 'R' then 3 else 0 end + case when letter <> 'D' and fault = 't' then 3 else 0 end as cost,
+      p.audit || repeat('I', k) || letter as audit,
+      p.said || opt.said || case letter when 'D' then '' when 'K' then role || ':' || text || chr(10)
+        else case state when 2 then 'assistant:' else 'user:' end || text || chr(10) end as said
+    from p join r on p.conv = r.conv and r.i = p.i + 1 join opt on opt.before = p.s
+    where letter = 'D' or (fault not in ('b', 'd') and (letter = 'R' or own = case state when 2 then 3 else 2 end or (own = 1 and state = 0))))
+  group by conv, i, after),
+f as (select p.conv, arg_min(struct_pack(cost := cost + [0, 6, 3, 0][s + 1], audit := audit || ['', 'II', 'I', ''][s + 1],
+    said := said || ['', 'user:' || chr(10) || 'assistant:' || chr(10), 'assistant:' || chr(10), ''][s + 1]),
+    (cost + [0, 6, 3, 0][s + 1], audit || ['', 'II', 'I', ''][s + 1])) as best
+  from p join (select conv, max(i) as n from r group by conv) m on p.conv = m.conv and p.i = m.n group by p.conv),
+g as (select conv, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'b') as blank,
+  count(*) filter (fault = 'd') as duplicate, count(*) filter (fault = 't') as truncated, count(*) filter (wrong) as illegal from r group by conv)
+select a.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(best.cost, 0)::bigint as cost,
+  coalesce(best.audit, '') as audit, sha256(coalesce(left(best.said, length(best.said) - 1), '')) as repaired_sha256
+from (select distinct conv_id, conv from c) a left join g on a.conv = g.conv left join f on a.conv = f.conv
+"""
+
+
+@query
+def op13_checksum_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
