@@ -67,9 +67,9 @@ def _length_without(text: Column, pattern: str) -> Column:
     return F.length(F.regexp_replace(text, pattern, "")).cast("long")
 
 
-def measure(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """The base measures and the class counts of each document."""
-    df = docs.withColumn("t", F.coalesce("text", F.lit(""))).withColumn("words", words_of(F.col("text")))
+def measure(rows: DataFrame) -> DataFrame:
+    """The base measures and the class counts of each row, stored without texts: they are counted once."""
+    df = rows.withColumn("t", F.coalesce("text", F.lit(""))).withColumn("words", words_of(F.col("text")))
     lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(SOLID))
     df = df.withColumns({
         "n_words": F.size("words").cast("long"), "word_chars": F.length(F.array_join("words", "")).cast("long"),
@@ -81,8 +81,8 @@ def measure(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
                          "lower": F.col("letters") - F.col("upper"), "blank": F.col("n_chars_all") - F.col("word_chars"),
                          "symbol": F.col("n_symbols")})
     df = df.withColumn("other", F.col("word_chars") - F.col("letters") - F.col("digit") - F.col("symbol"))
-    return df.select("doc_id", "lang", *extra, "words", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                     "n_chars_all", *CLASSES)
+    return stored(repeat_words(df).select("row_key", "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                                          "n_repeat_words", "n_chars_all", *CLASSES), "measures")
 
 
 def divergence(p: str, q: str) -> Column:
@@ -103,12 +103,12 @@ def shares(counts: Column, total: Column, rest: bool = False) -> Column:
     return F.concat(found, F.array(left))
 
 
-def references(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def references(rows: DataFrame, measured: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(names, reference): the languages with a reference of their own, and a row of shares for each and for all ('*')."""
-    m = measure(docs).withColumn("short", F.filter("words", lambda w: F.length(w) <= COMMON_CHARS))
-    sums = m.groupBy("lang").agg(F.count("*").alias("docs"), F.sum("n_words").alias("n_words"),
-                                 *[F.sum(c).alias(c) for c in CLASSES])
-    counts = m.select("lang", F.explode("short").alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
+    sums = measured.groupBy("lang").agg(F.count("*").alias("docs"), F.sum("n_words").alias("n_words"),
+                                        *[F.sum(c).alias(c) for c in CLASSES])
+    words = rows.select("lang", F.explode(words_of(F.col("text"))).alias("word")).filter(F.length("word") <= COMMON_CHARS)
+    counts = words.groupBy("lang", "word").agg(F.count("*").alias("n"))
     sums, counts = stored(sums, "class-sums"), stored(counts, "word-counts")
     names = sums.filter("lang is not null").orderBy(F.desc("docs"), "lang").limit(LANGUAGES).select("lang")
     totals = sums.join(F.broadcast(names), "lang").drop("docs").union(
@@ -127,28 +127,38 @@ def references(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def judge(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, the base measures, base_failed, the two distances, kept."""
-    rows = own_columns(docs, {"doc_id": "doc_id", "lang": "lang", "text": "text"})
-    return _judged(rows, rows).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                                      "base_failed", "kept", "char_distance", "word_distance")
+    rows = keyed(own_columns(docs, {"doc_id": "doc_id", "lang": "lang", "text": "text"}))
+    return _judged(rows).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                "base_failed", "kept", "char_distance", "word_distance")
 
 
 def keep(docs: DataFrame) -> DataFrame:
     """The documents that pass, with all their columns."""
     rows = keyed(docs)
-    verdicts = judge(own_columns(rows, {"row_key": "doc_id", "lang": "lang", "text": "text"}))
-    verdicts = stored(verdicts.select(F.col("doc_id").alias("row_key"), "kept"), "verdicts")
+    verdicts = _judged(own_columns(rows, {"row_key": "row_key", "doc_id": "doc_id", "lang": "lang", "text": "text"}))
+    verdicts = stored(verdicts.select("row_key", "kept"), "verdicts")
     gone = verdicts.filter(~F.col("kept")).select("row_key")
     few = gone if gone.count() > FEW_ROWS else F.broadcast(gone)
     return rows.join(few, "row_key", "left_anti").select(*docs.columns)
 
 
-def _judged(corpus: DataFrame, docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    names, reference = references(corpus)
-    df = repeat_words(measure(docs, extra))
-    df = df.join(F.broadcast(names.withColumn("own", F.col("lang"))), "lang", "left").withColumn(
-        "key", F.coalesce("own", F.lit("*"))).join(F.broadcast(reference), "key", "left")
+def _judged(rows: DataFrame) -> DataFrame:
+    """``rows``: row_key (unique), doc_id, lang, text."""
+    measured = measure(rows)
+    names, reference = references(rows, measured)
+
+    def keyed_by_language(df: DataFrame, columns: list[str]) -> DataFrame:
+        own = df.join(F.broadcast(names.withColumn("own", F.col("lang"))), "lang", "left")
+        return own.withColumn("key", F.coalesce("own", F.lit("*"))).join(
+            F.broadcast(reference.select("key", *columns)), "key", "left")
+
+    # a second look at the texts counts their languages' common words: one filter, then counts of what is left
+    texts = keyed_by_language(rows.select("row_key", "lang", words_of(F.col("text")).alias("words")), ["r_common"])
+    texts = texts.withColumn("common", F.filter("words", lambda w: F.array_contains("r_common", w)))
+    here = F.transform("r_common", lambda c: F.size(F.filter("common", lambda w: w == c)).cast("long"))
+    df = keyed_by_language(measured, ["r_words", "r_counts", *[f"r_{c}" for c in CLASSES]]).join(
+        texts.select("row_key", here.alias("here")), "row_key", "left")
     df = df.withColumns({
-        "here": F.transform("r_common", lambda w: F.size("words") - F.size(F.array_remove("words", w))),
         "p_chars": shares(F.array(*CLASSES), F.col("n_chars_all")),
         "q_chars": shares(F.array(*[f"r_{c}" for c in CLASSES]), reduce(add, [F.col(f"r_{c}") for c in CLASSES]))})
     none = F.array().cast("array<bigint>")
