@@ -66,13 +66,13 @@ win as (select doc_id, i, array_to_string(words[i:i + 7], ' ') as s
   from (select doc_id, words, unnest(range(1, len(words) - 6)) as i from w where len(words) >= 8)),
 twice as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, s) as k from win) where k > 1),
 rep as (select doc_id, count(distinct j) as n from (select doc_id, unnest(range(i, i + 8)) as j from twice) group by doc_id),
-names as (select lang from d where lang is not null group by lang order by count(*) desc, lang limit 1000),
+names as (select lang from m where lang <> '*' group by lang having count(*) >= 50 and sum(n_words) >= 5000),
 keyed as (select c.*, coalesce(n.lang, '*') as key from c left join names n on c.lang = n.lang),
 pool as (select lang as key, n_words, cls, words from c where lang in (select lang from names)
   union all select '*', n_words, cls, words from c),
 tot as (select key, sum(n_words) as r_words, [sum(cls[1]), sum(cls[2]), sum(cls[3]), sum(cls[4]), sum(cls[5]), sum(cls[6])] as r_cls
   from pool group by key),
-cnt as (select key, word, count(*) as n from (select key, unnest(words) as word from pool) where length(word) <= 5 group by all),
+cnt as (select key, word, count(*) as n from (select key, unnest(words) as word from pool) group by all),
 top as (select key, word, n, row_number() over (partition by key order by n desc, word) as r from cnt qualify r <= 16),
 cd as (select k.doc_id, sqrt(greatest(0, sum(case when p > 0 then p * log2(2 * p / (p + q)) else 0 end
     + case when q > 0 then q * log2(2 * q / (p + q)) else 0 end) / 2)) as char_distance
@@ -87,12 +87,18 @@ pq as (select doc_id, case when h.n_words > 0 then h / h.n_words::double else 0
     greatest(0, 1 - sum(n / tot.r_words::double)) from here h join tot on h.key = tot.key group by doc_id),
 wd as (select doc_id, sqrt(greatest(0, sum(case when p > 0 then p * log2(2 * p / (p + q)) else 0 end
     + case when q > 0 then q * log2(2 * q / (p + q)) else 0 end) / 2)) as word_distance from pq group by doc_id),
+cov as (select top.key, sum(n) as common, max(tot.r_words) as r_words, sum(n / tot.r_words::double) as c from top join tot on top.key = tot.key group by top.key),
+lim as (select key, common, r_words, round(sqrt(greatest(0, c + log2(2 / (1 + greatest(0, 1 - c))) + case when c < 1 then (1 - c) * log2(2 * (1 - c) / (2 - c))
+  else 0 end) / 2), 6) as no_words from cov),
 j as (select m.doc_id, m.n_words, m.word_chars, m.n_symbols, dup.n_dup_lines, coalesce(rep.n, 0) as n_repeat_words,
   m.n_words < 20 or 100 * coalesce(rep.n, 0) > 30 * m.n_words as base_failed,
-  round(cd.char_distance, 6) as char_distance, round(coalesce(wd.word_distance, 0), 6) as word_distance
+  round(cd.char_distance, 6) as char_distance, round(coalesce(wd.word_distance, 0), 6) as word_distance,
+  coalesce(m.n_words * lim.common >= 8 * lim.r_words, false) as enough, lim.no_words
   from m join dup on m.doc_id = dup.doc_id left join rep on m.doc_id = rep.doc_id
-  left join cd on m.doc_id = cd.doc_id left join wd on m.doc_id = wd.doc_id)
-select *, not base_failed and not (n_words >= 50 and (char_distance > 0.32 or word_distance > 0.42)) as kept from j
+  left join cd on m.doc_id = cd.doc_id left join wd on m.doc_id = wd.doc_id
+  join keyed on m.doc_id = keyed.doc_id left join lim on keyed.key = lim.key)
+select * exclude (enough, no_words), not base_failed and not (n_words >= 50 and (char_distance > 0.32
+  or (enough and word_distance > 0.95 * no_words))) as kept from j
 """
 
 

@@ -3,10 +3,14 @@
 Base rules reject texts that are very short or repeat themselves. The others are
 compared with their language: the shares of character classes and of the
 language's common words, each gathered from all documents, by Jensen-Shannon
-distance (base 2). Short texts are not compared, their shares say little.
+distance (base 2). Short texts are not compared, their shares say little. How far
+words may lie apart depends on the language: a text without any of its common
+words has the distance that their shares give, and a text is rejected from
+WORD_SHARE of it on, if it is long enough to hold EXPECTED of them.
 
 Defined cases: a null or empty text has no words and fails the base rules; a
-null or rare language is compared with all documents together; repeated rows
+null or rare language (under OWN_DOCUMENTS documents or OWN_WORDS words) is
+compared with all documents together, as is one called ``*``; repeated rows
 are judged alike; ties among common words go to the first in order; extra
 columns are ignored; an empty table gives an empty result.
 """
@@ -16,20 +20,23 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm.common import BLANKS, keyed, own_columns, stored
+from tabloom.operators.joins import dimension_join
+from tabloom.operators.ordered import top_per_group
 
 WINDOW = 8
 MIN_WORDS = 20
 REPEAT_PERCENT = 30
 COMPARE_WORDS = 50  # shorter texts are not compared
 CHAR_DISTANCE = 0.32
-WORD_DISTANCE = 0.42
+WORD_SHARE = 0.95  # of the distance that a text without any common word has
+EXPECTED = 8  # common words that a text of its length should hold, at least, to be compared by them
 COMMON_WORDS = 16
-COMMON_CHARS = 5  # common words are among those of so many characters at most
-LANGUAGES = 1000  # with a reference of their own, by number of documents; bounds what is broadcast
+OWN_DOCUMENTS = 50  # a language has a reference of its own from so many documents
+OWN_WORDS = 5_000  # and so many words on
 FEW_ROWS = 1_000_000  # rejected rows up to this number are sent to the texts, more are joined with them
 CLASSES = ("upper", "lower", "digit", "blank", "symbol", "other")
 
@@ -103,26 +110,26 @@ def shares(counts: Column, total: Column, rest: bool = False) -> Column:
     return F.concat(found, F.array(left))
 
 
-def references(rows: DataFrame, measured: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(names, reference): the languages with a reference of their own, and a row of shares for each and for all ('*')."""
-    sums = measured.groupBy("lang").agg(F.count("*").alias("docs"), F.sum("n_words").alias("n_words"),
-                                        *[F.sum(c).alias(c) for c in CLASSES])
-    words = rows.select("lang", F.explode(words_of(F.col("text"))).alias("word")).filter(F.length("word") <= COMMON_CHARS)
+def references(rows: DataFrame, measured: DataFrame) -> DataFrame:
+    """The stored references: a row of counts for each language that has its own (``key``), and for all ('*')."""
+    known = F.when(F.col("lang") != "*", F.col("lang")).alias("lang")
+    sums = measured.groupBy(known).agg(F.count("*").alias("docs"), F.sum("n_words").alias("n_words"),
+                                       *[F.sum(c).alias(c) for c in CLASSES])
+    words = rows.select(known, F.explode(words_of(F.col("text"))).alias("word"))
     counts = words.groupBy("lang", "word").agg(F.count("*").alias("n"))
     sums, counts = stored(sums, "class-sums"), stored(counts, "word-counts")
-    names = sums.filter("lang is not null").orderBy(F.desc("docs"), "lang").limit(LANGUAGES).select("lang")
-    totals = sums.join(F.broadcast(names), "lang").drop("docs").union(
-        sums.select(F.lit("*").alias("lang"), "n_words", *CLASSES).groupBy("lang").agg(
-            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_words", *CLASSES)]))
-    counts = counts.join(F.broadcast(names), "lang").union(
+    large = (F.col("docs") >= OWN_DOCUMENTS) & (F.col("n_words") >= OWN_WORDS)
+    own = sums.filter(F.col("lang").isNotNull() & large).drop("docs")
+    totals = own.union(sums.select(F.lit("*").alias("lang"), "n_words", *CLASSES).groupBy("lang").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_words", *CLASSES)]))
+    counts = counts.join(own.select("lang"), "lang", "left_semi").union(
         counts.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit("*").alias("lang"), "word", "n"))
-    # the most common words of each language: every task keeps its first COMMON_WORDS before anything is moved
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    first = counts.withColumn("place", place).filter(F.col("place") <= COMMON_WORDS)
+    first = top_per_group(counts, ["lang"], [F.desc("n"), F.col("word")], COMMON_WORDS)
     top = first.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "word"))).alias("top"))
-    return names, totals.join(top, "lang", "left").select(
+    found = totals.join(top, "lang", "left").select(
         F.col("lang").alias("key"), F.col("n_words").alias("r_words"), *[F.col(c).alias(f"r_{c}") for c in CLASSES],
         F.transform("top.word", lambda w: w).alias("r_common"), F.transform("top.n", lambda n: -n).alias("r_counts"))
+    return stored(found, "references")
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -145,12 +152,13 @@ def keep(docs: DataFrame) -> DataFrame:
 def _judged(rows: DataFrame) -> DataFrame:
     """``rows``: row_key (unique), doc_id, lang, text."""
     measured = measure(rows)
-    names, reference = references(rows, measured)
+    reference = references(rows, measured)
+    own_names = reference.filter("key <> '*'").select(F.col("key").alias("lang"), F.col("key").alias("own"))
 
     def keyed_by_language(df: DataFrame, columns: list[str]) -> DataFrame:
-        own = df.join(F.broadcast(names.withColumn("own", F.col("lang"))), "lang", "left")
-        return own.withColumn("key", F.coalesce("own", F.lit("*"))).join(
-            F.broadcast(reference.select("key", *columns)), "key", "left")
+        # references are broadcast after a check of their size, else joined over salts
+        keys = dimension_join(df, own_names, ["lang"], "left").withColumn("key", F.coalesce("own", F.lit("*")))
+        return dimension_join(keys, reference.select("key", *columns), ["key"], "left")
 
     # a second look at the texts counts their languages' common words: one filter, then counts of what is left
     texts = keyed_by_language(rows.select("row_key", "lang", words_of(F.col("text")).alias("words")), ["r_common"])
@@ -164,8 +172,12 @@ def _judged(rows: DataFrame) -> DataFrame:
     none = F.array().cast("array<bigint>")
     df = df.withColumns({"p_words": shares(F.coalesce("here", none), F.col("n_words"), rest=True),
                          "q_words": shares(F.coalesce("r_counts", none), F.col("r_words"), rest=True)})
-    df = df.withColumns({"char_distance": divergence("p_chars", "q_chars"), "word_distance": divergence("p_words", "q_words")})
+    df = df.withColumn("p_none", F.transform("q_words", lambda q, i: (i == F.size("q_words") - 1).cast("double")))
+    df = df.withColumns({"char_distance": divergence("p_chars", "q_chars"), "word_distance": divergence("p_words", "q_words"),
+                         "no_words": divergence("p_none", "q_words")})
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
+    common = F.aggregate(F.coalesce("r_counts", none), F.lit(0).cast("long"), lambda total, n: total + n)
+    enough = F.col("n_words") * common >= EXPECTED * F.col("r_words")
     strange = (F.col("n_words") >= COMPARE_WORDS) & (
-        (F.col("char_distance") > CHAR_DISTANCE) | (F.col("word_distance") > WORD_DISTANCE))
+        (F.col("char_distance") > CHAR_DISTANCE) | (enough & (F.col("word_distance") > WORD_SHARE * F.col("no_words"))))
     return df.withColumn("base_failed", failed).withColumn("kept", ~failed & ~strange)

@@ -190,6 +190,25 @@ def test_quality_measures_and_verdicts(docs):
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if r.kept}
 
 
+def test_words_are_judged_by_their_language(spark, docs):
+    rng = random.Random(9)
+    common = "the of and to in was that with for on as by at from it is".split()
+
+    def prose(n):
+        return " ".join(rng.choice(common) if rng.random() < 0.4 else "".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(n))
+
+    def salad(n):
+        return " ".join("".join(rng.choices("abcdefghijklmnop", k=5)) for _ in range(n))
+
+    rows = [(i, prose(150)) for i in range(80)] + [(200, salad(60)), (201, salad(2000)), (202, prose(60)), (203, salad(30)), (204, prose(40_000))]
+    alone = docs((300, salad(120)), lang="zz-q1").unionByName(docs((301, prose(120)), lang="*")).unionByName(docs((302, prose(120)), lang=None))
+    got = {r.doc_id: r for r in quality.judge(docs(*rows).unionByName(alone)).collect()}
+    assert all(got[i].kept for i in [*range(80), 202, 204, 301, 302])
+    # no common word at all: rejected by words alone; a language of one document is no measure of itself
+    assert not any(got[i].kept or got[i].base_failed or got[i].char_distance > quality.CHAR_DISTANCE for i in (200, 201, 300))
+    assert got[203].kept  # too short to be compared
+
+
 def test_quality_of_nothing_and_of_null_languages(docs):
     assert quality.judge(docs().limit(0)).count() == 0
     assert quality.judge(docs((1, "a b c"), (1, "a b c"), lang=None)).count() == 2
