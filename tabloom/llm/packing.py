@@ -16,6 +16,7 @@ columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import struct
 import zlib
@@ -49,8 +50,11 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 class Pieces(dict):
     """Token ids, as little-endian bytes, of text between safe cuts; a worker keeps those it met first."""
 
-    def __init__(self, vocabulary: str) -> None:
+    def __init__(self, vocabulary: str, added: tuple[tuple[str, int], ...] = ()) -> None:
         super().__init__()
+        self.added = {name: struct.pack("<I", number) for name, number in added}
+        names = sorted(self.added, key=len, reverse=True)  # the longest that fits
+        self.at_added = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         with open(vocabulary, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.bpe = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -63,6 +67,13 @@ class Pieces(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
+        """Added tokens are found first and never merge with what stands beside them."""
+        if self.at_added is None:
+            return self.plain(text)
+        parts = self.at_added.split(text)
+        return b"".join(self.added[p] if k % 2 else self.plain(p) for k, p in enumerate(parts))
+
+    def plain(self, text: str) -> bytes:
         if not text:
             return b""
         if "\0" not in text and " ".join(text.split()) == text.replace("\n", " "):
@@ -74,13 +85,19 @@ class Pieces(dict):
         return b"".join(map(self.__getitem__, parts))
 
 
-_loaded: dict[str, Pieces] = {}
+_loaded: dict[tuple, Pieces] = {}
+
+
+def pieces_of(vocabulary: str, added: tuple[tuple[str, int], ...] = ()) -> Pieces:
+    if (vocabulary, added) not in _loaded:
+        _loaded[vocabulary, added] = Pieces(vocabulary, added)
+    return _loaded[vocabulary, added]
 
 
-def pieces_of(vocabulary: str) -> Pieces:
-    if vocabulary not in _loaded:
-        _loaded[vocabulary] = Pieces(vocabulary)
-    return _loaded[vocabulary]
+def added_tokens(tokenizer: str) -> tuple[tuple[str, int], ...]:
+    """(text, id) of the tokens that a tokenizer's JSON form finds before any other."""
+    with open(tokenizer, encoding="utf-8") as f:
+        return tuple((t["content"], t["id"]) for t in json.load(f)["added_tokens"])
 
 
 def assign(sizes: list[int], length: int, quadratic: float) -> list[tuple[int, int, int, int]]:
@@ -131,11 +148,11 @@ def assign(sizes: list[int], length: int, quadratic: float) -> list[tuple[int, i
     return out
 
 
-def _pack(vocabulary: str, length: int, quadratic: float, window: int, end: int):
+def _pack(vocabulary: str, added: tuple[tuple[str, int], ...], length: int, quadratic: float, window: int, end: int):
     tail = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = pieces_of(vocabulary).encode
+        encode = pieces_of(vocabulary, added).encode
         serial = TaskContext.get().partitionId() << 33
         names: list[int | None] = []
         bodies: list[bytes] = []
@@ -171,12 +188,14 @@ def _pack(vocabulary: str, length: int, quadratic: float, window: int, end: int)
     return run
 
 
-def pack(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH, quadratic: float = QUADRATIC,
-         window: int = WINDOW_TOKENS, end: int = END) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str | None = None, tokenizer: str | None = None, length: int = LENGTH,
+         quadratic: float = QUADRATIC, window: int = WINDOW_TOKENS, end: int = END) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    ``vocabulary`` holds byte-pair ranks; its ids are those of the JSON form of the same vocabulary.
+    ``vocabulary`` holds byte-pair ranks, ``tokenizer`` is the JSON form of the same vocabulary, which also
+    names added tokens: ids are those that it gives without its special tokens around a text.
     """
     vocabulary = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    added = added_tokens(tokenizer or public_tokenizers.path("byte_bpe_50k.json"))
     rows = own_columns(docs, {"doc_id": "doc_id", "text": "text"})
-    return map_texts(rows, _pack(vocabulary, length, quadratic, window, end), PIECES_DDL)
+    return map_texts(rows, _pack(vocabulary, added, length, quadratic, window, end), PIECES_DDL)

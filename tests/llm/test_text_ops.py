@@ -26,13 +26,13 @@ def odd_texts(seed, n=200):
 @pytest.fixture(scope="module")
 def bpe():
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
 def test_packed_pieces_hold_the_tokenizer_ids(docs, bpe):
     rng = random.Random(1)
     rows = [(i, t) for i, t in enumerate(odd_texts(2))] + [(300, None), (301, ""), (302, "long text " * 3000)]
+    rows += [(303, "a<|endoftext|>b"), (304, "<|endoftext|><|endoftext|> x <|endoftext|>"), (305, "<|endoftext| >")]
     rows += [(400 + i, "word " * rng.randint(1, 900)) for i in range(60)]
     df = docs(*rows).repartition(3)
     pieces = packing.pack(df, length=256, window=5000).collect()
