@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -158,10 +159,18 @@ def letter_codes(fold_case: bool) -> np.ndarray:
     return codes
 
 
+# sums of powers modulo 2^64 collide for words of regular structure from 1,024 bytes on; words this long are hashed apart
+LONG_WORD = 128
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte ranges, from one running sum over the slice."""
+    """64-bit hashes of byte ranges, from one running sum over the slice; of long ranges by BLAKE2."""
     n = len(data)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(codes[data] * _power_table("up", _BASE, max(n, 1)), out=sums[1:])
     own = (sums[ends] - sums[starts]) * _power_table("down", _INVERSE, max(n, 1))[starts]
-    return mix(own + (ends - starts).astype(np.uint64))
+    hashes = mix(own + (ends - starts).astype(np.uint64))
+    for i in np.flatnonzero(ends - starts >= LONG_WORD):
+        letters = codes[data[starts[i]: ends[i]]].tobytes()
+        hashes[i] = int.from_bytes(hashlib.blake2b(letters, digest_size=8).digest(), "little")
+    return hashes

@@ -160,3 +160,13 @@ def test_content_table_compares_contents_not_hashes():
     t = exact_dedup.ContentTable(1 << 20)
     assert t.add(5, b"one", 1, 3, 1) and t.add(5, b"two", 1, 3, 2) and t.add(5, b"one", 1, 9, 3)
     assert t.copies == [2, 1] and t.best == [(9, -3), (3, -2)]
+
+
+def test_words_of_regular_structure_are_told_apart(docs):
+    """Thue-Morse words and their letter swaps collide under sums of powers modulo 2^64."""
+    def word(order, swap):
+        return "".join("ab"[bin(i).count("1") % 2 ^ swap] for i in range(1 << order))
+
+    rows = [(order * 2 + swap, word(order, swap)) for order in (7, 10, 11, 12) for swap in (0, 1)]
+    found = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs(*rows, (100, word(10, 0).upper()))).collect()}
+    assert found == {**{i: i for i, _ in rows}, 100: 20}
