@@ -208,6 +208,15 @@ def e13(t: Tables):
     return P.correlation_pairs(d, [*_CORR, "k_const"]).withColumn("r", rd("r"))
 
 
+@query("e13_wide_correlations", """
+with l as (select vec_id, i, case when (vec_id + i) % 7 <> 0 then embedding[i]::double end as x from embeddings, range(1, 65) as d(i))
+select 'c' || a.i as a, 'c' || b.i as b, round(corr(a.x, b.x), 6) as r
+from l a join l b on a.vec_id = b.vec_id and a.i < b.i group by a.i, b.i""")
+def e13w(t: Tables):
+    known = [F.when((F.col("vec_id") + i) % 7 != 0, F.col("embedding")[i - 1].cast("double")).alias(f"c{i}") for i in range(1, 65)]
+    return P.correlation_pairs(t.embeddings.select(*known)).withColumn("r", rd("r"))
+
+
 @query("e13_correlation_matrix", " union all ".join(
     f"select '{a}' as variable, " + ", ".join(
         f"round(corr({a}, {b}), 6) as {b}" if a != b else f"1.0::double as {b}" for b in _CORR) + f" from {_LP}" for a in _CORR))

@@ -15,11 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabloom.operators.gram import correlations
 from tabloom.operators.ordered import exact_quantiles, long_values
 from tabloom.operators.shaping import names_by_type
 
-PAIRS_A_PASS = 400  # correlations that one aggregate holds
-
 
 def value_counts(
     df: DataFrame, col: str, normalize: bool = False, dropna: bool = True, n: int | None = None
@@ -166,31 +165,10 @@ def shape_ranking(df: DataFrame, cols: Sequence[str], bias_corrected: bool = Fal
     return out.drop("n")
 
 
-def varying_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> list[str]:
-    """Numeric columns that are not constant (``corr`` of a constant fails)."""
-    cols = list(cols or names_by_type(df)[0])
-    row = df.agg(*[(F.min(c) < F.max(c)).alias(c) for c in cols]).first()
-    return [c for c in cols if row[c]]
-
-
 def correlation_pairs(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Long upper triangle (a, b, r), each over the rows where both are known;
-    one aggregate pass for every PAIRS_A_PASS pairs."""
-    cols = varying_numeric(df, cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    if not pairs:
-        return df.sparkSession.createDataFrame([], "a string, b string, r double")
-    passes = []
-    for start in range(0, len(pairs), PAIRS_A_PASS):
-        some = pairs[start: start + PAIRS_A_PASS]
-        row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
-                       for i, (a, b) in enumerate(some)])
-        entries = F.array(*[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
-            for i, (a, b) in enumerate(some)
-        ])
-        passes.append(row.select(F.explode(entries).alias("e")).select("e.*"))
-    return reduce(DataFrame.union, passes)
+    """Long upper triangle (a, b, r) of the varying columns, each pair over the rows
+    where both are known; one scan for any number of columns."""
+    return correlations(df, list(cols or names_by_type(df)[0]))
 
 
 def mode_per_group(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
