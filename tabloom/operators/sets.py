@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabloom.functions.numeric import hash_bucket, hash_order
-from tabloom.operators.joins import dimension_join, is_small
+from tabloom.operators.joins import dimension_join
 from tabloom.operators.ordered import one_per_key, positions
 from tabloom.session import settle
 
@@ -38,6 +38,36 @@ def key_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.subtract(b)
 
 
+DIGITS = 4  # hash digits that one level of the selection looks at
+HASH_DIGITS = 32
+FEW_KEYS = 10_000  # keys of a group that one task may rank
+
+
+def _narrowed(hashed: DataFrame, per: DataFrame) -> DataFrame:
+    """Radix selection: lengthens each group's hash prefix until few keys share it.
+
+    ``per`` has a row per group with ``_hit``: the prefix that holds the wanted key,
+    the key's rank among the rows of that prefix, and their number. All groups that
+    still hold more than FEW_KEYS are refined together, one counting scan (map-side
+    combined) for every DIGITS digits: two levels for up to 10^9 rows a group, three
+    for 10^14. A prefix that a single repeated hash fills is not refined.
+    """
+    width = DIGITS
+    while width < HASH_DIGITS and per.where(F.col("_hit.c") > FEW_KEYS).limit(1).count():
+        width += DIGITS
+        wide = per.where(F.col("_hit.c") > FEW_KEYS).select("_g", F.col("_hit.p").alias("_p"), F.col("_hit.r").alias("_r"))
+        inside = dimension_join(hashed.select("_g", "h"), wide, ["_g"]).where(F.startswith("h", F.col("_p")))
+        counts = inside.groupBy("_g", "_r", F.substring("h", 1, width).alias("_p")).agg(
+            F.count("*").alias("c"), F.min("h").alias("_lo"), F.max("h").alias("_hi"))
+        run = counts.withColumn("_upto", F.sum("c").over(W.partitionBy("_g").orderBy("_p")))
+        found = run.where((F.col("_upto") >= F.col("_r")) & (F.col("_upto") - F.col("c") < F.col("_r")))
+        size = F.when(F.col("_lo") == F.col("_hi"), F.lit(1).cast("long")).otherwise(F.col("c"))
+        found = found.select("_g", F.struct(
+            F.col("_p").alias("p"), (F.col("_r") - F.col("_upto") + F.col("c")).alias("r"), size.alias("c")).alias("_next"))
+        per = settle(per.join(found, "_g", "left").select("_g", "_whole", F.coalesce("_next", "_hit").alias("_hit")))
+    return per
+
+
 def flag_first_by_hash(
     df: DataFrame, key: str, n: Column | int, by: Sequence[str] = (), out: str = "is_first"
 ) -> DataFrame:
@@ -45,29 +75,31 @@ def flag_first_by_hash(
     (rows that share a key are flagged together).
 
     ``n`` may be an expression over ``_total``, the group's row count.  No row
-    is sorted or moved to find them: rows are counted per 65,536 hash prefixes
-    (map-side combined), running sums name the prefix that holds rank n, only
-    that prefix's keys are ranked, and every row then compares itself with its
-    group's n-th key (broadcast after a size check).  Work per group is even,
-    whatever share of rows it has.  The counting jobs run when this is called.
+    is sorted or moved to find them: rows are counted per hash prefix (map-side
+    combined), running sums name the prefix that holds rank n, prefixes that
+    hold many keys are lengthened (see :func:`_narrowed`), only the last one's
+    few keys are ranked, and every row then compares itself with its group's
+    n-th key (broadcast after a size check).  Work per group is even, whatever
+    share of rows it has.  The counting jobs run when this is called.
     """
     wanted = n if isinstance(n, Column) else F.lit(n)
     group = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
     hashed = df.select(group.alias("_g"), hash_order(F.col(key)).alias("h"), F.col(key).alias("k"))
-    hashed = hashed.withColumn("_p", F.substring("h", 1, 4))
-    counts = hashed.groupBy("_g", "_p").agg(F.count("*").alias("c"))
+    counts = hashed.groupBy("_g", F.substring("h", 1, DIGITS).alias("_p")).agg(F.count("*").alias("c"))
     run = counts.withColumns({
         "_upto": F.sum("c").over(W.partitionBy("_g").orderBy("_p")),
         "_total": F.sum("c").over(W.partitionBy("_g")),
     }).withColumn("_n", wanted)
     hit = (F.col("_upto") >= F.col("_n")) & (F.col("_upto") - F.col("c") < F.col("_n")) & (F.col("_n") < F.col("_total"))
-    # one row per group, written once: it steers two later scans
+    rank = (F.col("_n") - F.col("_upto") + F.col("c")).cast("long")
+    # one row per group, written once: it steers the later scans
     per = settle(run.groupBy("_g").agg(
         F.max(F.col("_n") >= F.col("_total")).alias("_whole"),
-        F.max(F.when(hit, F.struct("_p", (F.col("_n") - F.col("_upto") + F.col("c")).alias("r")))).alias("_hit"),
+        F.max(F.when(hit, F.struct(F.col("_p").alias("p"), rank.alias("r"), "c"))).alias("_hit"),
     ))
-    at = per.where(F.col("_hit").isNotNull()).select("_g", F.col("_hit._p").alias("_p"), F.col("_hit.r").alias("_r"))
-    inside = hashed.join(F.broadcast(at) if is_small(per) else at, ["_g", "_p"])
+    per = _narrowed(hashed, per)
+    at = per.where(F.col("_hit").isNotNull()).select("_g", F.col("_hit.p").alias("_p"), F.col("_hit.r").alias("_r"))
+    inside = dimension_join(hashed, at, ["_g"]).where(F.startswith("h", F.col("_p")))
     # keys are counted before they are ranked, so a repeated key is one row here
     ranked = inside.groupBy("_g", "_r", "h", "k").agg(F.count("*").alias("c"))
     ranked = ranked.withColumn("_cum", F.sum("c").over(W.partitionBy("_g").orderBy("h", "k")))

@@ -1,5 +1,7 @@
 """Order-based operators against pandas, with one group holding most rows."""
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -129,3 +131,21 @@ def test_auc_with_ties(spark):
     pos, neg = p[y == 1], p[y == 0]
     want = ((pos[:, None] > neg).sum() + 0.5 * (pos[:, None] == neg).sum()) / (len(pos) * len(neg))
     assert auc(df, "y", "p").first()[0] == pytest.approx(want)
+
+
+@pytest.mark.parametrize("digits,few", [(1, 2), (2, 5)])
+def test_selection_refines_prefixes(spark, monkeypatch, digits, few):
+    monkeypatch.setattr(H, "DIGITS", digits)
+    monkeypatch.setattr(H, "FEW_KEYS", few)
+    # a third of one group's rows share a key; another group is small, one is null
+    data = [(i, "a") for i in range(400)] + [(7, "a")] * 200 + [(i, "b") for i in range(40)] + [(i, None) for i in range(90)]
+    df = spark.createDataFrame(data, "k long, g string")
+    per = {"a": 150, "b": 60, None: 33}
+    n = F.when(F.col("_g.g") == "a", 150).when(F.col("_g.g") == "b", 60).otherwise(33)
+    got = {}
+    for r in H.flag_first_by_hash(df, "k", n, ["g"]).where("is_first").collect():
+        got.setdefault(r["g"], []).append(r["k"])
+    for g, wanted in per.items():
+        order = sorted((hashlib.md5(str(k).encode()).hexdigest(), k) for k, x in data if x == g)
+        last = order[min(wanted, len(order)) - 1]
+        assert sorted(got[g]) == sorted(k for h, k in order if (h, k) <= last)
