@@ -9,6 +9,7 @@ from tabloom.plans import claims as C
 from tabloom.plans import research, targets, wide
 from tabloom.plans.rules import rule_table
 from tabloom.session import scratch_path
+from tabloom.streaming import keyed
 from tabloom.streaming.incremental import run_incremental, stream_files
 
 # one control row per nation: loaded unless the key is divisible by 5, predicted where divisible by 7
@@ -154,3 +155,25 @@ def p01(t: Tables):
     run_incremental(stream, score, detail, mark, ["claim_id"], ["ts"], buckets=4).awaitTermination()
     back = t.spark.read.parquet(detail)
     return C.plan_summary(back, 0.15).withColumn("probability", rd("probability", 10))
+
+
+@query("p01_keyed_versions", """
+select event_type as client_plan_id, count(*) as n_claims,
+  round(sum(case event_type when 'purchase' then value * 2 else value end), 6) as value from events group by event_type""")
+def p01k(t: Tables):
+    """Files arrive in order: all events, outdated clicks that must lose, corrected purchases that must win, and those again."""
+    src, detail, mark = (scratch_path(t.spark, n) for n in ("arrivals", "versions", "offsets"))
+    e, kind = t.events, F.col("event_type")
+    day = F.expr("interval 1 day")
+    late = e.where(kind == "click").withColumns({"ts": F.col("ts") - day, "value": F.lit(0.0)})
+    fixed = e.where(kind == "purchase").withColumns({"ts": F.col("ts") + day, "value": F.col("value") * 2})
+    for arriving in (e, late, fixed, fixed):
+        arriving.write.mode("append").parquet(src)
+
+    def score(batch):
+        return batch.select(F.col("event_id").alias("claim_id"), kind.alias("client_plan_id"), "value", "ts")
+
+    keys = ["claim_id", "client_plan_id"]
+    keyed.run_keyed(stream_files(t.spark, src, e.schema), score, detail, mark, keys, ["ts"]).awaitTermination()
+    return keyed.current(t.spark, detail, keys).groupBy("client_plan_id").agg(
+        F.count("*").alias("n_claims"), rd(F.sum("value")).alias("value"))
