@@ -7,7 +7,7 @@ dominant column is spread over its values.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
@@ -171,22 +171,49 @@ def correlation_pairs(df: DataFrame, cols: Sequence[str] | None = None) -> DataF
     return correlations(df, list(cols or names_by_type(df)[0]))
 
 
+# a value of any column fits one of these places, in its own order
+_PLACES = "struct<text:string,whole:bigint,real:double,exact:decimal(38,18)>"
+
+
+def _place(kind: T.DataType) -> tuple[str, Callable[[Column], Column], Callable[[Column], Column]]:
+    """(place, how a value gets there, how it comes back); types not named here are ordered as text."""
+    back = lambda x: x.cast(kind)
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        return "whole", lambda x: x.cast("int").cast("long") if isinstance(kind, T.BooleanType) else x.cast("long"), back
+    if isinstance(kind, T.DateType):
+        return "whole", lambda x: F.unix_date(x).cast("long"), lambda x: F.date_from_unix_date(x.cast("int"))
+    if isinstance(kind, T.TimestampType):
+        return "whole", F.unix_micros, F.timestamp_micros
+    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        return "real", lambda x: x.cast("double"), back
+    if isinstance(kind, T.DecimalType) and kind.scale <= 18 and kind.precision - kind.scale <= 20:
+        return "exact", lambda x: x.cast("decimal(38,18)"), back
+    return "text", lambda x: x.cast("string"), back
+
+
 def mode_per_group(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Most frequent value per column, smallest on ties; counts are keyed by
-    value first, so no group's distinct values sit in one buffer."""
-    out = None
-    for c in cols:
-        counts = df.where(F.col(c).isNotNull()).groupBy(*by, c).agg(F.count("*").alias("_n"))
-        one = counts.groupBy(*by).agg(F.min_by(c, F.struct(-F.col("_n"), F.col(c))).alias(c))
-        if not by:
-            out = one if out is None else out.withColumn(c, one.scalar())
-            continue
-        # every group is there, also the null one, whether or not the column has a value in it
-        out = df.select(*by).distinct() if out is None else out
-        theirs = one.withColumnsRenamed({b: f"_by{i}" for i, b in enumerate(by)})
-        same = reduce(and_, [F.col(b).eqNullSafe(F.col(f"_by{i}")) for i, b in enumerate(by)])
-        out = out.join(theirs, same, "left").drop(*[f"_by{i}" for i in range(len(by))])
-    return out
+    """Most frequent value per column, smallest on ties, null where a group has no value in it.
+
+    One scan for any number of columns: rows become (column, value) pairs, counts
+    are keyed by value (map-side combined), so neither a group's distinct values
+    nor a dominant value sit in one buffer, and no column needs a join.
+    """
+    places = {c: _place(df.schema[c].dataType) for c in cols}
+    slots = [f.name for f in T._parse_datatype_string(_PLACES)]
+
+    def pair(i: int, c: str) -> Column:
+        slot, there, _ = places[c]
+        value = F.struct(*[(there(F.col(c)) if s == slot else F.lit(None)).alias(s) for s in slots]).cast(_PLACES)
+        return F.struct(F.lit(i).alias("i"), F.col(c).isNotNull().alias("known"), value.alias("v"))
+
+    long = df.select(*by, F.explode(F.array(*[pair(i, c) for i, c in enumerate(cols)])).alias("_p"))
+    counts = long.groupBy(*by, "_p").agg(F.count("*").alias("_n"))
+    first = F.min_by("_p.v", F.when(F.col("_p.known"), F.struct(-F.col("_n"), F.col("_p.v"))))
+    best = counts.groupBy(*by, F.col("_p.i").alias("_i")).agg(first.alias("_v"))
+    # at most one entry per column
+    rows = best.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_i", "_v"))).alias("_m"))
+    found = [F.try_element_at("_m", F.lit(i)) for i in range(len(cols))]
+    return rows.select(*by, *[places[c][2](found[i][places[c][0]]).alias(c) for i, c in enumerate(cols)])
 
 
 def latest_non_null(df: DataFrame, by: Sequence[str], version: str, cols: Sequence[str]) -> DataFrame:

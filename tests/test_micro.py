@@ -212,3 +212,24 @@ def test_a_column_that_tells_groups_apart_is_best(spark):
 def test_small_by_rows_and_bytes(spark):
     df = spark.createDataFrame([("x" * 1000,)] * 3, "v string")
     assert is_small(df) and not is_small(df, rows=2) and not is_small(df, size=2000)
+
+
+def test_modes_of_any_type_in_one_scan(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    day = dt.date(2024, 1, 5)
+    data = [("g", "b", 10, 2.5, Decimal("1.50"), day, True, None), ("g", "a", 9, 2.5, Decimal("10.00"), day, False, None),
+            ("g", "b", 10, -1.0, Decimal("9.00"), None, False, None), ("g", "a", 9, None, Decimal("9.00"), dt.date(2023, 1, 1), None, None),
+            (None, "z", None, None, None, None, None, None), (None, "z", 3, None, None, None, None, None)]
+    df = spark.createDataFrame(data, "k string, s string, i int, d double, m decimal(10,2), t date, b boolean, e float")
+    cols = ["s", "i", "d", "m", "t", "b", "e"]
+    got = {r["k"]: tuple(r)[1:] for r in P.mode_per_group(df, cols, ["k"]).collect()}
+    assert got == {"g": ("a", 9, 2.5, Decimal("9.00"), day, False, None), None: ("z", 3, None, None, None, None, None)}
+    out = P.mode_per_group(df, cols, ["k"])
+    assert [f.dataType for f in out.schema] == [df.schema[c].dataType for c in ["k", *cols]]
+    assert tuple(P.mode_per_group(df, ["s", "i"]).first()) == ("a", 9)
+    assert [tuple(r) for r in P.mode_per_group(df.limit(0), ["s", "i"]).collect()] == [(None, None)]
+    assert P.mode_per_group(df.limit(0), ["s"], ["k"]).count() == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Scan") <= 1
