@@ -47,17 +47,23 @@ def j01p(t: Tables):
 
 
 @query("j02_structure_features", f"""
-with d as (select *, case when k % 3 = 1 then 7 else 6 end as n from {_XML} where k % 10 <> 0)
-select k, cast(n as double) as unique_tags, cast(n as double) as total_tags, 3.0::double as max_depth,
-  cast(strlen(xml) as double) as file_size, round(3.0 / n, 8) as avg_attributes, 3.0::double as total_attributes,
-  round(n / strlen(xml), 8) as tag_density, round(1.0 / n, 8) as top_tag_share,
-  round(4.0 / n, 8) as leaf_ratio, round(case when k % 3 = 2 then n - 3 else n - 4 end / n, 8) as empty_ratio,
-  round(3.0 / n, 8) as attr_name_ratio, 0.0::double as repeated_tag_ratio from d""")
+with d as (select x.*, o_custkey as c, o_orderpriority as p, cast(floor(o_totalprice) as bigint) as v, k % 3 as m,
+  case when k % 3 = 1 then 7.0 else 6.0 end as n from {_XML} x join orders on k = o_orderkey where k % 10 <> 0),
+-- elements below the root, elements in the documents' inner nodes, texts, and how long names and values are
+e as (select *, n - 1 as below, case when m = 1 then 14.0 else 13.0 end as s2, case when m = 1 then 36.0 else 35.0 end as s3,
+  case when m = 2 then 3.0 else 4.0 end as texts, length(v::varchar) + case when m = 2 then 1 else 2 end * length(c::varchar) + length(p) as chars,
+  [length(k::varchar), 1, length(c::varchar)]::double[] as vals, case when m = 1 then [1, 2, 2, 3, 2, 3, 3] else [1, 2, 2, 2, 3, 3] end::double[] as depths
+  from d)
+select k, n::double as unique_tags, n::double as total_tags, 3.0::double as max_depth, cast(strlen(xml) as double) as file_size,
+  1.0::double as tag_diversity, round(3 / n, 8) as avg_attributes, round(1 / n, 8) as top_tag_share, round(chars / texts, 8) as avg_text_length,
+  3.0::double as total_attributes, round(n / strlen(xml), 8) as tag_density, round(list_var_pop(depths), 8) as depth_variance,
+  round(list_var_pop(vals), 8) as attr_length_variance, round(s2 / below, 8) as sibling_mean,
+  round(s3 / below - (s2 / below) ** 2, 8) as sibling_variance, round(case when m = 1 then 4 else 3 end / n, 8) as path_diversity,
+  round((n - texts) / n, 8) as empty_ratio, round(4 / n, 8) as leaf_ratio, 0.0::double as repeated_tag_ratio, round(3 / n, 8) as attr_name_ratio,
+  round(case when m = 2 then 2 else 3 end / n, 8) as numeric_ratio from e""")
 def j02(t: Tables):
     f = D.structure_features(xml_docs(t), "xml").where(F.col("total_tags").isNotNull())
-    shares = ["avg_attributes", "tag_density", "top_tag_share", "leaf_ratio", "empty_ratio", "attr_name_ratio"]
-    return f.select("k", "unique_tags", "total_tags", "max_depth", "file_size", "total_attributes", "repeated_tag_ratio",
-                    *[rd(c, 8).alias(c) for c in shares])
+    return f.select("k", *[rd(c, 8).alias(c) for c in D.FEATURES])
 
 
 @query("j02_page_features")

@@ -135,26 +135,45 @@ def elements(content: Column, tolerant: bool = False) -> Column:
     return run(content)
 
 
+# possessive throughout, so nothing is tried twice
+_NAME = r"[\p{L}_:][^\s<>/='\"]*+"
+_PAIR = r"""[^\s<>/='"]++\s*+=\s*+(?:"[^"<]*+"|'[^'<]*+')"""
+_START = rf"<{_NAME}(?:\s++{_PAIR})*+\s*+/?>"
+_LEAF = rf"<({_NAME})(?:\s++{_PAIR})*+\s*+(?:/>|>[^<]*+</\1\s*+>)"
+_CDATA = r"<!\[CDATA\[(?:[^\]]|\](?!\]>))*+\]\]>"
+_ASIDE = r"<!--(?:[^-]|-(?!-))*+-->|<\?(?:[^?]|\?(?!>))*+\?>|<!DOCTYPE[^>\[]*+(?:\[[^\]]*+\])?\s*+>"
+_BARE = "&(?!(?:lt|gt|amp|quot|apos|#[0-9]+|#x[0-9a-fA-F]+);)"
+_DONE = "\x01"  # no XML text may hold it
+
+
 def basic_structure(content: Column) -> Column:
     """struct(total_tags, max_depth, total_attributes); null on parse failure.
 
     Tags exclude the root and the root has depth 0; attributes include the
-    root's.  Only three integers per document leave the parser.
+    root's.  JVM-side: every element without elements inside becomes one mark, again
+    and again; a text is well formed if one mark is left, and the rounds it took are
+    its depth, so the work is a text's length times its depth.
     """
-
-    @F.pandas_udf("total_tags int, max_depth int, total_attributes int, parsed boolean")
-    def run(s: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text in s:
-            els = None if text is None else _xml_elements(text)
-            if els is None:
-                rows.append((0, 0, 0, False))
-            else:
-                rows.append((len(els) - 1, max(e[_DEPTH] for e in els) - 1, sum(len(e[_ATTRS]) for e in els), True))
-        return pd.DataFrame(rows, columns=["total_tags", "max_depth", "total_attributes", "parsed"])
-
-    r = run(content)
-    return F.when(r["parsed"], r)
+    plain = F.regexp_replace(F.regexp_replace(content, f"({_CDATA})|{_ASIDE}", "$1"), _CDATA, "x")
+    starts = F.regexp_extract_all(plain, F.lit(_START), F.lit(0))
+    names = lambda tag: F.regexp_extract_all(tag, F.lit(r"""([^\s<>/='"]++)\s*+=\s*+(?:"[^"]*+"|'[^']*+')"""), F.lit(1))
+    twice = F.exists(starts, lambda t: F.size(F.array_distinct(names(t))) < F.size(names(t)))
+
+    def state(text: Column, depth: Column, before: Column) -> Column:
+        return F.struct(text.alias("text"), depth.alias("depth"), before.alias("before"))
+
+    def round_of(s: Column, _: Column) -> Column:
+        # a round that marked nothing is the last one
+        open_ = F.contains(s["text"], F.lit("<")) & (F.length(s["text"]) < s["before"])
+        return F.when(open_, state(F.regexp_replace(s["text"], _LEAF, _DONE), s["depth"] + 1, F.length(s["text"]))).otherwise(s)
+
+    rounds = F.sequence(F.lit(1), F.size(starts) + 1)
+    left = F.aggregate(rounds, state(plain, F.lit(0), F.length(plain) + 1), round_of)
+    ok = (F.trim(F.regexp_replace(left["text"], r"\s++", " ")) == _DONE) & ~plain.rlike(_BARE) & ~content.contains(_DONE) & ~twice
+    found = F.struct(
+        (F.size(starts) - 1).alias("total_tags"), (left["depth"] - 1).alias("max_depth"),
+        F.size(F.regexp_extract_all(F.array_join(starts, ""), F.lit(_PAIR), F.lit(0))).alias("total_attributes"))
+    return F.when(content.isNotNull() & ok, found)
 
 
 def tag_names(content: Column) -> Column:

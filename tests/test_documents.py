@@ -35,6 +35,26 @@ def test_basic_structure(docs):
     assert got == [(1, 4, 2, 3), (2, None, None, None), (3, None, None, None), (4, 0, 0, 0)]
 
 
+@pytest.mark.parametrize("text", [
+    '<a x="1"><b>12</b><b y="22" z="3">te&amp;xt&#65;</b><c><d/></c></a>', "<a><b></a>", "<r/>", "<a/><b/>", "<a>x & y</a>", '<a b="1" b="2"/>',
+    "<?xml version='1.0'?><!-- <c> --><a>x<!-- d -->y<![CDATA[<z> & ]]><q/>tail</a>\n", "", "text", "<a></a>x", "x<a/>", "<a <b></b></a>", "<a></b>",
+    "<a><b></a></b>", '<a b="x > y"><c d=\'"\'/></a>', "<a b=1/>", "<1a/>", "<a>&nbsp;</a>", "<a>\x01</a>", "</a>", "<a", "<é><ü/></é >", "<a><a><a/></a></a>",
+    "<a>" * 40 + "</a>" * 40, "<a>" * 40 + "</a>" * 39, "<a>]]</a><!-- after -->", "<!DOCTYPE a [<!ELEMENT a ANY>]><a/>"])
+def test_basic_structure_equals_a_parser(spark, text):
+    got = spark.createDataFrame([(text,)], "x string").select(D.basic_structure(F.col("x")).alias("s")).first()["s"]
+    try:
+        root = ET.fromstring(text)
+    except ET.ParseError:
+        assert got is None
+        return
+
+    def depth(e):
+        return 1 + max(map(depth, e), default=-1)
+
+    nodes = list(root.iter())
+    assert tuple(got) == (len(nodes) - 1, depth(root), sum(len(e.attrib) for e in nodes))
+
+
 def test_elements_and_key(spark):
     df = spark.createDataFrame([("<a><CRD> 7 </CRD></a>",), ("<a><x><CRD>8</CRD></x><CRDID>9</CRDID></a>",), ("<a><CRD/></a>",)], "x string")
     assert [r[0] for r in df.select(D.key_element(D.elements(F.col("x")))).collect()] == ["7", "9", None]
