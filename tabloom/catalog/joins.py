@@ -206,6 +206,25 @@ def d09(t: Tables):
     return N.close_names(tokens(t), part_words(t)).withColumn("ratio", rd("ratio"))
 
 
+_LETTERS = r"(select distinct unnest(regexp_extract_all(text, '\p{L}+')) as w from "
+
+
+def letter_words(df):
+    return df.select(F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0))).alias("w")).distinct()
+
+
+# the distance of SQL counts bytes, so every letter beyond ASCII is one byte there
+@query("d09_edit_join", f"""
+with a as (select w, translate(w, 'áàâäéèêëíìîïóòôöúùûüñçßÁÀÂÄÉÈÊËÍÌÎÏÓÒÔÖÚÙÛÜÑÇ', '0123456789!#$%&()*+,-./:;<=>?@[]^_`{{|}}~"' || chr(1) || chr(2) || chr(3) || chr(4) || chr(5) || chr(6)) as s
+  from {_LETTERS} benchmark)),
+b as (select w, translate(w, 'áàâäéèêëíìîïóòôöúùûüñçßÁÀÂÄÉÈÊËÍÌÎÏÓÒÔÖÚÙÛÜÑÇ', '0123456789!#$%&()*+,-./:;<=>?@[]^_`{{|}}~"' || chr(1) || chr(2) || chr(3) || chr(4) || chr(5) || chr(6)) as s
+  from {_LETTERS} documents))
+select a.w as name, b.w as match, cast(levenshtein(a.s, b.s) as integer) as distance from a join b
+  on length(b.w) between length(a.w) - 1 and length(a.w) + 1 and levenshtein(a.s, b.s) <= 1""")
+def d09e(t: Tables):
+    return N.edit_matches(letter_words(t.benchmark), letter_words(t.documents), 1)
+
+
 _CENTRES = """(select label, list(m order by i) as c from (
   select label, i, avg(embedding[i]::double) as m from embeddings, range(1, 65) r(i) group by label, i) group by label)"""
 

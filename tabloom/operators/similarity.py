@@ -370,3 +370,55 @@ def similar_names(queries: DataFrame, names: DataFrame, prefix_fallback: bool =
         last = rest.join(close.select("name").distinct(), "name", "left_anti")
         out = out.unionByName(last.select("name", F.substring("name", 1, 4).alias("match"), F.lit("prefix").alias("how")))
     return out
+
+
+def _cut(length: Column, t: int) -> list[tuple[Column, Column]]:
+    """(first place, length) of the t + 1 even segments of a name; the last ones take what is left over."""
+    short = F.floor(length / (t + 1)).cast("int")
+    longer = length - short * (t + 1)  # so many segments, the last ones, are one letter longer
+    out = []
+    for i in range(t + 1):
+        before = F.greatest(F.lit(i) - (F.lit(t + 1) - longer), F.lit(0))
+        out.append((short * i + before + 1, short + F.when(F.lit(i) >= F.lit(t + 1) - longer, 1).otherwise(0)))
+    return out
+
+
+def edit_matches(queries: DataFrame, names: DataFrame, t: int = 2) -> DataFrame:
+    """(name, match, distance) for all distinct names within edit distance ``t``; exact and JVM-side.
+
+    A name is cut into t + 1 segments; t edits leave at least one of them as it is,
+    at most t places away. Names are indexed by (length, segment number, segment), a
+    query looks up its substrings at those places for every length within t of its
+    own, and only names found so are compared, by a distance that stops at t. Names
+    too short to be cut share one entry per length. A crowded entry is dealt over
+    salts (or sent to the queries when the index is small).
+    """
+    from tabloom.operators.joins import dimension_join
+
+    q = queries.select(F.col(queries.columns[0]).alias("name")).where(F.length("name") > 0).distinct()
+    base = names.select(F.col(names.columns[0]).alias("match")).where(F.length("match") > 0).distinct()
+    empty, whole = F.lit(""), F.lit(-1)
+    size = F.length("match")
+
+    def entry(place: Column, text: Column) -> Column:
+        return F.struct(place.cast("int").alias("part"), text.alias("segment"))
+
+    own = [entry(F.lit(i), F.substr("match", at, n)) for i, (at, n) in enumerate(_cut(size, t))]
+    index = base.select("match", size.alias("len"), F.explode(
+        F.when(size > t, F.array(*own)).otherwise(F.array(entry(whole, empty)))).alias("e")).select("match", "len", "e.*")
+
+    def substrings(part: int, at: Column, n: Column) -> Column:
+        """Entries of the query's substrings of length ``n`` up to t places from ``at``."""
+        first, last = F.greatest(at - t, F.lit(1)).cast("int"), F.least(at + t, F.col("_q") - n + 1).cast("int")
+        places = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda p: entry(F.lit(part), F.substr("name", p, n)))
+
+    # every length a match can have, then every place a segment of such a name can be at
+    lens = F.sequence(F.greatest(F.length("name") - t, F.lit(1)), F.length("name") + t)
+    asked = q.select("name", F.length("name").alias("_q"), F.explode(lens).alias("len"))
+    looked = [substrings(i, at, n) for i, (at, n) in enumerate(_cut(F.col("len"), t))]
+    parts = F.when(F.col("len") > t, F.array_distinct(F.concat(*looked))).otherwise(F.array(entry(whole, empty)))
+    asked = asked.select("name", "len", F.explode(parts).alias("e")).select("name", "len", "e.*")
+    met = dimension_join(asked, index, ["len", "part", "segment"])
+    near = met.withColumn("distance", F.levenshtein("name", "match", t)).where(F.col("distance") >= 0)
+    return near.select("name", "match", "distance").distinct()

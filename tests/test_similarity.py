@@ -2,6 +2,7 @@ import difflib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tests.helpers import rows
 
 from tabloom.operators import similarity as N
@@ -66,3 +67,37 @@ def test_similar_names_fall_back(spark):
     b = spark.createDataFrame([("Rupert",), ("Nathon",)], "n string")
     got = rows(N.similar_names(q, b), "name", "match")
     assert got == [("Jonathon", "Nathon", "close"), ("Robert", "Rupert", "phonetic"), ("Zzyzx", "Zzyz", "prefix")]
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, old = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(row[-1] + 1, old[j] + 1, old[j - 1] + (x != y)))
+    return row[-1]
+
+
+@pytest.mark.parametrize("t", [1, 2, 3])
+def test_edit_matches_equal_all_pairs(spark, t, monkeypatch):
+    from tabloom.operators import joins
+
+    monkeypatch.setattr(joins.is_small, "__defaults__", (10, 100))  # the salted way
+    rng = np.random.default_rng(t)
+    letters = list("abcé")
+    pool = sorted({"".join(rng.choice(letters, rng.integers(1, 11))) for _ in range(150)} | {"a", "ab", "🙂b", "a" * 300})
+    asked = sorted({"".join(rng.choice(letters, rng.integers(1, 11))) for _ in range(80)} | {"", "b", "🙂", "a" * 299})
+    q = spark.createDataFrame([(a, 1) for a in asked] + [(None, 1), ("b", 2)], "n string, match int")
+    b = spark.createDataFrame([(a, 1) for a in pool] + [(None, 1), ("ab", 3)], "n string, len int")
+    got = sorted(tuple(r) for r in N.edit_matches(q, b, t).collect())
+    assert got == sorted((x, y, edits(x, y)) for x in asked if x for y in pool if abs(len(x) - len(y)) <= t and edits(x, y) <= t)
+    assert N.edit_matches(q.limit(0), b, t).count() == 0
+
+
+def test_edit_join_compares_few_pairs(spark):
+    """Candidates come from the index: a plan without any Python, and without a cross product."""
+    words = spark.range(3000).select(F.substring(F.md5(F.col("id").cast("string")), 1, 12).alias("n"))
+    out = N.edit_matches(words, words, 1)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    assert out.count() == 3000
