@@ -177,16 +177,21 @@ def part_words(t: Tables):
     return t.part.select(F.explode(F.split("p_name", " ")).alias("w")).distinct()
 
 
-_CODE = """(upper(substr(w, 1, 1)) || rpad(substr(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
-  regexp_replace(regexp_replace(regexp_replace(translate(upper(substr(w, 2)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+# upper('ß') is 'SS' in Spark and stays 'ß' in SQL
+_CODE = """(upper(replace(substr(w, 1, 1), 'ß', 'ss')) || rpad(substr(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+  regexp_replace(regexp_replace(regexp_replace(translate(upper(replace(substr(w, 2), 'ß', 'ss')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   '01230120022455012623010202'), '[^1-6]', '', 'g'), '1+', '1', 'g'), '2+', '2', 'g'), '3+', '3', 'g'), '4+', '4', 'g'),
   '5+', '5', 'g'), '6+', '6', 'g'), 1, 3), 3, '0'))"""
 
-_TOKENS = "(select distinct unnest(regexp_extract_all(text, '[A-Za-z]+')) as w from benchmark)"
+_TOKENS = r"(select distinct unnest(regexp_extract_all(text, '\p{L}+')) as w from benchmark)"
+
+
+def letter_words(df):
+    return df.select(F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0))).alias("w")).distinct()
 
 
 def tokens(t: Tables):
-    return t.benchmark.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))).alias("w")).distinct()
+    return letter_words(t.benchmark)
 
 
 @query("d08_phonetic_join", f"""
@@ -209,10 +214,6 @@ def d09(t: Tables):
 _LETTERS = r"(select distinct unnest(regexp_extract_all(text, '\p{L}+')) as w from "
 
 
-def letter_words(df):
-    return df.select(F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0))).alias("w")).distinct()
-
-
 # the distance of SQL counts bytes, so every letter beyond ASCII is one byte there
 @query("d09_edit_join", f"""
 with a as (select w, translate(w, 'áàâäéèêëíìîïóòôöúùûüñçßÁÀÂÄÉÈÊËÍÌÎÏÓÒÔÖÚÙÛÜÑÇ', '0123456789!#$%&()*+,-./:;<=>?@[]^_`{{|}}~"' || chr(1) || chr(2) || chr(3) || chr(4) || chr(5) || chr(6)) as s
