@@ -9,6 +9,7 @@ from tabloom.plans import claims as C
 from tabloom.plans import research, targets, wide
 from tabloom.plans.rules import rule_table
 from tabloom.session import scratch_path
+from tabloom.sources import claim_files
 from tabloom.streaming import keyed
 from tabloom.streaming.incremental import run_incremental, stream_files
 
@@ -63,6 +64,60 @@ def n02(t: Tables):
     return gate.withColumn("passed", as_int("passed"))
 
 
+_ARRIVED = """(select o_orderkey as k, ['A', 'B', 'C'][o_orderkey % 3 + 1] as client_code, o_orderstatus as status, floor(o_totalprice) as paid,
+  case when o_orderkey % 50 = 0 then 'too many values' when o_orderkey % 70 = 0 then 'unreadable value' when o_orderkey % 110 = 0 then 'open quote' end as reason
+  from orders)"""
+_CLIENT_HEADERS = {"A": ["Claim Number", "Claim/Status", "Total-Paid"], "B": ["paid", "claim id", "STATE"], "C": ["State,", "Note", "Claim", "Paid"]}
+
+
+def arrived_files(t: Tables) -> str:
+    """Three clients' folders of files: their own headers and orders of columns, some lines broken."""
+    k, folder = F.col("o_orderkey"), scratch_path(t.spark, "arrived")
+    status = F.when(k % 50 == 0, F.concat("o_orderstatus", F.lit(",?"))).when((k % 110 == 0) & (k % 70 != 0), F.concat(F.lit('"'), "o_orderstatus")).otherwise(
+        F.col("o_orderstatus"))
+    paid = F.when((k % 70 == 0) & (k % 50 != 0), "n/a").otherwise(F.floor("o_totalprice").cast("string"))
+    parts = {"A": [k, status, paid], "B": [paid, k, status], "C": [status, F.lit("x"), k, paid]}
+    for i, (client, columns) in enumerate(parts.items()):
+        names = [h.rstrip(",") for h in _CLIENT_HEADERS[client]]
+        rows = t.orders.where(k % 3 == i).select(*[c.cast("string").alias(n) for c, n in zip(columns, names)])
+        # no quoting: what holds a separator becomes a broken line
+        rows.repartition(3).write.option("header", True).option("quote", "").csv(f"{folder}/{client}")
+    return folder
+
+
+def arrival_mapping(t: Tables):
+    wanted = {"claim_number": "claim", "claim_id": "claim", "claim": "claim", "claim_status": "status", "state": "status",
+              "total_paid": "paid", "paid": "paid"}
+    return t.spark.createDataFrame([(c, theirs, ours) for c in _CLIENT_HEADERS for theirs, ours in wanted.items()],
+                                   "client_code string, prediction_column_name string, training_column_name string")
+
+
+def ingested(t: Tables):
+    target, quarantine = scratch_path(t.spark, "claims"), scratch_path(t.spark, "quarantine")
+    client = F.element_at(F.split("file", "/"), -2)
+    gate = claim_files.ingest_files(
+        t.spark, arrived_files(t), arrival_mapping(t), client, {"claim": "bigint", "status": "string", "paid": "bigint"},
+        target, quarantine, "2024-01-31", "claim", glob="*.csv")
+    return gate, t.spark.read.parquet(target), t.spark.read.parquet(quarantine)
+
+
+@query("n02_ingest_files", f"""
+select client_code, case when reason is null then k end as claim, case when reason is null then status end as status,
+  case when reason is null then paid::bigint end as paid, reason, count(*) as n from {_ARRIVED} group by all""")
+def n02f(t: Tables):
+    _, good, bad = ingested(t)
+    rows = good.select("client_code", "claim", "status", "paid", F.lit(None).cast("string").alias("reason")).unionByName(
+        bad.select("client_code", "reason"), allowMissingColumns=True)
+    return rows.groupBy("client_code", "claim", "status", "paid", "reason").agg(F.count("*").alias("n"))
+
+
+@query("n02_ingest_gate", f"""
+select client_code, count(*) filter (reason is null) as n_rows, count(reason) as n_rejected, 0::bigint as null_ids, 1 as passed
+from {_ARRIVED} group by client_code""")
+def n02g(t: Tables):
+    return ingested(t)[0].withColumn("passed", as_int("passed"))
+
+
 @query("n03_score_chain", f"""
 select client_plan_id, predicted_plan_id, count(*) as claim_count, round(avg(probability_score), 10) as probability, 'C1' as client_code
 from {SCORED} where probability_score > 0.2 group by client_plan_id, predicted_plan_id""")
