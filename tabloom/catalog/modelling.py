@@ -7,11 +7,12 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
-from tabloom.catalog.base import Tables, claims, query, rd
+from tabloom.catalog.base import Tables, as_int, claims, query, rd
 from tabloom.operators import encoding as E
 from tabloom.operators import evaluation as V
 from tabloom.operators import mixed as R
 from tabloom.operators import models as L
+from tabloom.operators.sgd import sgd_regression
 from tabloom.operators.similarity import as_double
 from tabloom.operators.windows import mean_importance
 from tabloom.plans import research
@@ -142,6 +143,22 @@ def l06(t: Tables):
     return _stack_rows(out).select("model", "n", rd("mae", 2).alias("mae"), rd("r2", 5).alias("r2"))
 
 
+@query("l06_sgd_regression", """
+select 'quantity' as term, round(regr_slope(l_extendedprice, l_quantity), 4) as closed_form, 1 as sgd_within from lineitem
+union all select 'intercept', round(regr_intercept(l_extendedprice, l_quantity), 4), 1 from lineitem""")
+def l06s(t: Tables):
+    """The gradient form beside the closed one: slope, and the line at the mean quantity, within 0.01 standard deviations."""
+    d = t.lineitem.select(F.col("l_quantity").cast("double").alias("q"), F.col("l_extendedprice").cast("double").alias("y"))
+    fit = sgd_regression(d, ["q"], "y", epochs=12)
+    exact = d.agg(F.regr_slope("y", "q").alias("slope"), F.regr_intercept("y", "q").alias("cut"), F.avg("q").alias("q"), F.avg("y").alias("y"),
+                  (F.stddev_pop("q") / F.stddev_pop("y")).alias("unit"), F.stddev_pop("y").alias("sd"))
+    slope, cut = F.lit(fit.coefficients[0]), F.lit(fit.intercept)
+    near = {"quantity": ("slope", F.abs(slope - F.col("slope")) * F.col("unit")),
+            "intercept": ("cut", F.abs(cut + slope * F.col("q") - F.col("y")) / F.col("sd"))}
+    rows = F.array(*[F.struct(F.lit(term).alias("term"), F.col(c).alias("c"), (gap < 0.01).alias("w")) for term, (c, gap) in near.items()])
+    return exact.select(F.explode(rows).alias("r")).select("r.term", rd("r.c", 4).alias("closed_form"), as_int("r.w").alias("sgd_within"))
+
+
 @query("l07_tree_families")
 def l07(t: Tables):
     train, test = _split(price_rows(t), "row_id")
@@ -227,6 +244,38 @@ def l16(t: Tables):
     return made.select("source_id", "neighbour_id", "copy", "u", F.size("vec").alias("dims"), rd(F.col("vec")[0], 6).alias("first"))
 
 
+def rarest(t: Tables) -> int:
+    return t.embeddings.groupBy("label").count().orderBy("count", "label").first()["label"]  # one row
+
+
+_SHARES = """(with c as (select label from embeddings group by label order by count(*), label limit 1),
+n as (select query_id, count(*) filter (base_label <> query_label) as n_other from (
+   select a.vec_id as query_id, a.label as query_label, b.label as base_label, row_number() over (partition by a.vec_id
+     order by round(list_distance(a.embedding::double[], b.embedding::double[]), 6), b.vec_id desc) as rn
+   from embeddings a, embeddings b, c where a.vec_id <> b.vec_id and a.label = c.label) where rn <= 5 group by query_id),
+s as (select query_id, n_other, 200 * n_other // sum(n_other) over () as base, 200 * n_other % sum(n_other) over () as rest from n)
+select query_id as vec_id, n_other, cast(base + cast(row_number() over (order by rest desc, query_id) <= 200 - sum(base) over () as integer) as bigint) as n_new
+from s)"""
+
+
+@query("l16_density_counts", f"select * from {_SHARES}")
+def l16c(t: Tables):
+    return L.density_counts(t.embeddings, "vec_id", "embedding", "label", rarest(t), 200, 5)
+
+
+@query("l16_density_points", f"""
+select vec_id as source_id, n_new as n_points, 1 as on_the_way from {_SHARES} where n_new > 0""")
+def l16p(t: Tables):
+    """Every new point lies between its source and its neighbour, which is of the minority as well."""
+    e, label = t.embeddings.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v")), rarest(t)
+    made = L.synthesize_by_density(t.embeddings, "vec_id", "embedding", "label", label, 200, 5)
+    both = made.join(e.select(F.col("vec_id").alias("source_id"), F.col("v").alias("a")), "source_id").join(
+        e.where(F.col("label") == label).select(F.col("vec_id").alias("neighbour_id"), F.col("v").alias("b")), "neighbour_id")
+    off = F.aggregate(F.zip_with("vec", F.zip_with("a", "b", lambda x, y: x + (y - x) * F.col("u")), lambda m, w: F.abs(m - w)),
+                      F.lit(0.0), lambda s, x: s + x)
+    return both.groupBy("source_id").agg(F.count("*").alias("n_points"), F.min(as_int((off < 1e-9) & F.col("u").between(0, 1))).alias("on_the_way"))
+
+
 # -- random intercepts --------------------------------------------------------
 
 

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from tabloom.functions.numeric import hash_bucket
 from tabloom.operators.encoding import assemble, k_best
 from tabloom.operators.evaluation import binary_metrics
+from tabloom.operators.ordered import positions
 from tabloom.operators.sets import (
     assign_folds,
     assign_stratified_folds,
@@ -362,12 +363,18 @@ def oversample(df: DataFrame, label: str, key: str, minority: object, ratio: flo
     return more.withColumn("copy_no", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1))).drop("_copies")
 
 
-def synthesize(df: DataFrame, key: str, vec: str, per_row: int = 1, k: int = 5) -> DataFrame:
+def synthesize(df: DataFrame, key: str, vec: str, per_row: int = 1, k: int = 5, counts: DataFrame | None = None) -> DataFrame:
     """New minority vectors between a row and one of its k nearest neighbours;
-    the neighbour and the fraction come from hashes of (key, copy)."""
+    the neighbour and the fraction come from hashes of (key, copy).
+
+    Every row gives ``per_row`` of them, or as many as ``counts`` (key, n_new) names."""
     near = nearest(df, df, k, "euclidean", key, vec, key, vec, exclude_same_id=True)
     lists = near.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("rank", "base_id"))).alias("near"))
-    copies = lists.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(per_row))))
+    if counts is None:
+        lists = lists.withColumn("_n", F.lit(per_row).cast("long"))
+    else:
+        lists = lists.join(counts.select(F.col(key).alias("query_id"), F.col("n_new").alias("_n")).where("_n > 0"), "query_id")
+    copies = lists.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
     seed = F.concat_ws(":", F.col("query_id").cast("string"), F.col("copy").cast("string"))
     pick = F.pmod(hash_bucket(seed), F.size("near")).cast("int")
     drawn = copies.select(
@@ -380,6 +387,38 @@ def synthesize(df: DataFrame, key: str, vec: str, per_row: int = 1, k: int = 5)
         F.zip_with("a", "b", lambda x, y: x + F.col("u") * (y - x)).alias("vec"))
 
 
+def density_counts(
+    df: DataFrame, key: str, vec: str, label: str, minority: object, total: int, k: int = 5
+) -> DataFrame:
+    """(key, n_other, n_new) of every minority row: how many of its k nearest rows of all classes are of
+    another one, and its share of ``total`` new points, in proportion to that.
+
+    Shares are whole numbers that add up to ``total`` (largest remainders, ties to the smaller key), unless
+    no minority row has a neighbour of another class: then there are none.
+    """
+    rare = df.where(F.col(label) == F.lit(minority))
+    near = nearest(rare, df, k, "euclidean", key, vec, key, vec, exclude_same_id=True)
+    others = df.where(~F.col(label).eqNullSafe(F.lit(minority))).select(F.col(key).alias("base_id"))
+    met = near.join(others, "base_id").groupBy(F.col("query_id").alias(key)).agg(F.count("*").alias("_m"))
+    rows = settle(rare.select(key).join(met, key, "left").select(key, F.coalesce("_m", F.lit(0)).cast("long").alias("n_other")))
+    whole = rows.agg(F.sum("n_other")).scalar()
+    wanted = F.lit(total).cast("long") * F.col("n_other")
+    cut = rows.withColumns({"_floor": F.coalesce(F.floor(F.try_divide(wanted, whole)), F.lit(0)).cast("long"),
+                            "_rest": -F.coalesce(F.try_mod(wanted, whole), F.lit(0))})
+    placed = positions(settle(cut), ["_rest", key], "_place")
+    left = F.when(whole > 0, F.lit(total).cast("long") - cut.agg(F.sum("_floor")).scalar()).otherwise(F.lit(0).cast("long"))
+    return placed.select(key, "n_other", (F.col("_floor") + (F.col("_place") < left).cast("long")).alias("n_new"))
+
+
+def synthesize_by_density(
+    df: DataFrame, key: str, vec: str, label: str, minority: object, total: int, k: int = 5
+) -> DataFrame:
+    """``total`` new minority vectors, most where other classes crowd the minority (ADASYN); a minority of one
+    row has no neighbour to draw towards and gives none."""
+    counts = density_counts(df, key, vec, label, minority, total, k)
+    return synthesize(df.where(F.col(label) == F.lit(minority)), key, vec, k=k, counts=counts)
+
+
 def array_features(df: DataFrame, vec: str, out: str = "features") -> DataFrame:
     return df.withColumn(out, array_to_vector(F.col(vec).cast("array<double>")))
 

@@ -124,3 +124,21 @@ def test_model_round_trip(separable, tmp_path, spark):
 def test_fill_by_tree_leaves_no_null(spark):
     df = spark.createDataFrame([(float(i), float(i % 5) if i % 3 else None) for i in range(60)], "x double, age double")
     assert E.fill_by_tree(df, "age", ["x"]).where("age is null").count() == 0
+
+
+def test_density_counts_add_up_and_follow_the_crowd(spark):
+    rng = np.random.default_rng(3)
+    rare = [(i, [float(x) for x in rng.normal(size=2)], 1) for i in range(30)]
+    common = [(100 + i, [float(x) for x in rng.normal(size=2) + np.array([1.5, 0])], 0) for i in range(200)]
+    df = spark.createDataFrame([*rare, *common, (999, [0.0, 0.1], None)], "k long, v array<double>, y int").repartition(4)
+    counts = {r["k"]: r for r in L.density_counts(df, "k", "v", "y", 1, 77, 5).collect()}
+    assert sorted(counts) == list(range(30)) and sum(r["n_new"] for r in counts.values()) == 77
+    total = sum(r["n_other"] for r in counts.values())
+    assert all(abs(r["n_new"] - 77 * r["n_other"] / total) < 1 for r in counts.values())
+    made = sorted(tuple(r)[:4] for r in L.synthesize_by_density(df, "k", "v", "y", 1, 77, 5).collect())
+    again = sorted(tuple(r)[:4] for r in L.synthesize_by_density(df.repartition(7), "k", "v", "y", 1, 77, 5).collect())
+    assert len(made) == 77 and made == again and all(m[1] < 30 for m in made)
+    # nobody of another class near: no new points
+    alone = df.where("y = 1")
+    assert {r["n_new"] for r in L.density_counts(alone, "k", "v", "y", 1, 77, 5).collect()} == {0}
+    assert L.synthesize_by_density(alone, "k", "v", "y", 1, 77, 5).count() == 0
