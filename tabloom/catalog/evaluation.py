@@ -114,6 +114,23 @@ def m10(t: Tables):
     return per.select("p_brand", rd(f2).alias("f2"), X.effect_label(f2).alias("label"))
 
 
+@query("m10_pseudo_r2", """
+with r as (select l_returnflag, l_linestatus, count(*) as n, regr_syy(l_extendedprice, l_quantity) as syy, regr_r2(l_extendedprice, l_quantity) as r2
+  from lineitem group by all),
+l as (select *, -n / 2.0 * (ln(2 * pi() * syy / n) + 1) as ll_null, -n / 2.0 * (ln(2 * pi() * syy * (1 - r2) / n) + 1) as ll_model from r)
+select l_returnflag, l_linestatus, n, round(ll_null, 3) as ll_null, round(ll_model, 3) as ll_model, round(1 - ll_model / ll_null, 9) as likelihood_r2,
+  round(r2, 9) as variance_r2 from l""")
+def m10p(t: Tables):
+    """Of a line through quantity and price, per status: both pseudo R2."""
+    d = t.lineitem.select("l_returnflag", "l_linestatus", F.col("l_quantity").cast("double").alias("x"), F.col("l_extendedprice").cast("double").alias("y"))
+    r = d.groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.regr_syy("y", "x").alias("syy"), F.regr_r2("y", "x").alias("r2"))
+    r = r.withColumns({"ll_null": X.gaussian_log_likelihood(F.col("syy"), F.col("n")),
+                       "ll_model": X.gaussian_log_likelihood(F.col("syy") * (1 - F.col("r2")), F.col("n"))})
+    return r.select("l_returnflag", "l_linestatus", "n", rd("ll_null", 3).alias("ll_null"), rd("ll_model", 3).alias("ll_model"),
+                    rd(X.likelihood_r2(F.col("ll_model"), F.col("ll_null")), 9).alias("likelihood_r2"),
+                    rd(X.variance_r2(F.col("r2") * F.col("syy"), F.col("syy")), 9).alias("variance_r2"))
+
+
 _RES = """(select o_orderkey, o_totalprice - m as resid, m as fitted from (
   select *, avg(o_totalprice) over (partition by o_custkey) as m from orders))"""
 

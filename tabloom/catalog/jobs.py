@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.sql import functions as F
 
 from tabloom.catalog.base import CLAIMS, SCORED, Tables, as_int, claims, query, rd
+from tabloom.operators.encoding import feature_pipeline
 from tabloom.plans import claims as C
 from tabloom.plans import research, targets, wide
 from tabloom.plans.rules import rule_table
 from tabloom.session import scratch_path
 from tabloom.sources import claim_files
+from tabloom.sources.models import fit_labelled, save_model
 from tabloom.streaming import keyed
 from tabloom.streaming.incremental import run_incremental, stream_files
 
@@ -132,6 +135,20 @@ def n03(t: Tables):
     return summary.withColumn("probability", rd("probability", 10))
 
 
+@query("n03_model_chain", """
+select event_type as client_plan_id, 'P' || cast(user_id % 5 as varchar) as predicted_plan_id, count(*) as claim_count, 1.0::double as probability, 'C1' as client_code
+from events group by 1, 2""")
+def n03m(t: Tables):
+    """Train, save, load, score, decode, detail, summary."""
+    d = t.events.select("event_id", "event_type", (F.col("user_id") % 5).cast("string").alias("group"))
+    trained = d.withColumn("plan", F.concat(F.lit("P"), "group"))
+    model = fit_labelled(trained, feature_pipeline(["group"], []).getStages(), "plan", DecisionTreeClassifier(maxDepth=6, seed=7))
+    path = save_model(model, scratch_path(t.spark, "plan-model"))
+    detail, summary = C.score_saved(d, path, {"claim_id": F.concat(F.lit(" "), F.col("event_id").cast("string")),
+                                              "client_plan_id": F.concat(F.lit(" "), "event_type")}, 0.2, {"client_code": "C1"})
+    return summary.withColumn("probability", rd("probability", 10))
+
+
 @query("n04_training_set", f"""
 with c as (select *, count(*) over (partition by plan) as n, row_number() over (partition by plan order by md5(cast(claim_id as varchar)), claim_id) as rn
   from {CLAIMS} where claim_status = 'P'),

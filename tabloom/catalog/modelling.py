@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
@@ -16,8 +16,9 @@ from tabloom.operators.sgd import sgd_regression
 from tabloom.operators.similarity import as_double
 from tabloom.operators.windows import mean_importance
 from tabloom.plans import research
+from tabloom.plans.targets import train_targets
 from tabloom.session import scratch_path
-from tabloom.sources.models import load_model, register_model, save_model
+from tabloom.sources.models import fit_labelled, load_model, register_model, save_model, score_labelled
 
 DOC_FEATURES = ["n_chars", "n_words", "digit_share", "upper_share", "mark_share", "line_share", "word_length"]
 
@@ -90,6 +91,18 @@ def a15(t: Tables):
     return reg.select("model_name", "family", "metric", "value").withColumn("classes", F.lit(len(idx.labels)))
 
 
+@query("a15_decoded_model", """
+select event_type, 'plan of ' || event_type as plan, count(*) as n, 1.0::double as probability_score from events group by event_type""")
+def a15d(t: Tables):
+    """Fitted, saved and loaded again; rows to score hold no label, and plans come back by name."""
+    d = t.events.select("event_type", F.concat(F.lit("plan of "), "event_type").alias("plan"))
+    path = save_model(fit_labelled(d, E.feature_pipeline(["event_type"], []).getStages(), "plan",
+                                   DecisionTreeClassifier(maxDepth=6, seed=7)), scratch_path(t.spark, "model"))
+    found = score_labelled(t.events.select("event_type"), load_model(path), ["event_type"])
+    return found.groupBy("event_type", F.col("predicted_label").alias("plan")).agg(
+        F.count("*").alias("n"), rd(F.avg("probability_score")).alias("probability_score"))
+
+
 @query("l01_choose_classifier")
 def l01(t: Tables):
     from pyspark.ml.tuning import ParamGridBuilder
@@ -123,8 +136,8 @@ def l04(t: Tables):
     d = document_features(t)
     d = E.dummies(d.withColumn("tongue", F.col("lang")), E.fit_domains(d.withColumnRenamed("lang", "tongue"), ["tongue"]))
     targets = [c for c in d.columns if c.startswith("tongue_=_")]
-    return L.per_target_models(d, targets, DOC_FEATURES, "doc_id", k=4, trees=10).withColumns(
-        {"precision": rd("precision", 4), "accuracy": rd("accuracy", 4)})
+    saved = train_targets(d, targets, DOC_FEATURES, "doc_id", scratch_path(t.spark, "targets"), k=4, trees=10, rounds=5)
+    return saved.drop("path").withColumns({"precision": rd("precision", 4), "accuracy": rd("accuracy", 4)})
 
 
 @query("l05_tree_rules")

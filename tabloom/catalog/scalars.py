@@ -12,6 +12,7 @@ from tabloom.operators import shaping
 
 from tabloom.operators.joins import decode_labels
 from tabloom.operators.windows import group_count
+from tabloom.plans.rules import token_rows
 
 
 @query("i01_recode", """
@@ -242,6 +243,18 @@ def i20(t: Tables):
     return rule_steps(t).select("p_partkey", "step", F.explode(S.rule_tokens(F.col("condition"))).alias("tok"))
 
 
+_LISTS = {"dl": "dig", "dh_list": "hist", "tl": "thp", "manual_step_list": "Manual"}
+
+
+@query("i20_flag_tokens", " union all ".join(f"""
+select p_partkey, step, '{name}' as list, cast(row_number() over (partition by p_partkey, step order by i) - 1 as integer) as pos, tok as token
+from (select p_partkey, cast(step as integer) as step, condition, generate_subscripts(regexp_split_to_array(trim(condition), '\\s+'), 1) as i,
+  unnest(regexp_split_to_array(trim(condition), '\\s+')) as tok from {_STEPS})
+where contains(condition, '{word}') and tok <> '' and tok not in ({_STOP})""" for name, word in _LISTS.items()))
+def i20f(t: Tables):
+    return token_rows(rule_text(t).select("p_partkey", "txt"), "txt")
+
+
 @query("i21_contains_flag", "select doc_id, cast(contains(lower(text), 'li') as integer) as has_li from documents")
 def i21(t: Tables):
     return t.documents.select("doc_id", S.contains_flag(F.col("text"), "li").alias("has_li"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -129,3 +130,19 @@ def effect_label(f2: Column) -> Column:
     return (
         F.when(f2 < 0.02, "negligible").when(f2 < 0.15, "small").when(f2 < 0.35, "medium").otherwise("large")
     )
+
+
+def gaussian_log_likelihood(residual_squares: Column, n: Column) -> Column:
+    """Log likelihood of a linear model at its best variance; null without residuals."""
+    variance = F.try_divide(residual_squares, n)
+    return F.when(variance > 0, -n / 2.0 * (F.log(variance * (2.0 * math.pi)) + 1.0))
+
+
+def likelihood_r2(ll_model: Column, ll_null: Column) -> Column:
+    """Pseudo R2 by likelihoods: 1 - model / null."""
+    return 1.0 - F.try_divide(ll_model, ll_null)
+
+
+def variance_r2(fitted_variance: Column, total_variance: Column) -> Column:
+    """Pseudo R2 by variances: the fitted values' share."""
+    return F.try_divide(fitted_variance, total_variance)

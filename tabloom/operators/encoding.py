@@ -242,14 +242,11 @@ def anova_f(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
 
 
 def _mean_squares(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
-    """(variable, between, within) from one pass of group moments."""
-    per = df.groupBy(label).agg(
-        *[a for i, c in enumerate(cols) for a in (
-            F.count(c).alias(f"n{i}"), F.avg(c).alias(f"m{i}"), F.var_pop(c).alias(f"v{i}"))]
-    )
-    rows = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(f"n{i}").cast("double").alias("n"),
-                              F.col(f"m{i}").alias("m"), F.col(f"v{i}").alias("v")) for i, c in enumerate(cols)])
-    long = per.select(F.explode(rows).alias("e")).select("e.*").where(F.col("n") > 0)
+    """(variable, between, within) from one pass of moments, keyed by label and column number."""
+    values = df.select(F.col(label).alias("_l"), F.posexplode(F.array(*[F.col(c).cast("double") for c in cols])).alias("_i", "_x"))
+    per = values.groupBy("_l", "_i").agg(F.count("_x").alias("n"), F.avg("_x").alias("m"), F.var_pop("_x").alias("v"))
+    names = F.array(*[F.lit(c) for c in cols])
+    long = per.where(F.col("n") > 0).select(F.get(names, F.col("_i")).alias("variable"), F.col("n").cast("double").alias("n"), "m", "v")
     t = long.groupBy("variable").agg(
         F.sum("n").alias("n"), F.count("*").alias("g"),
         F.sum(F.col("n") * F.col("m")).alias("s"),

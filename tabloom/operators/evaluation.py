@@ -187,10 +187,6 @@ def best_threshold(df: DataFrame, label: str, p: str, thresholds: Sequence[float
     )
 
 
-def log_likelihood_ratio_r2(ll_model: float, ll_null: float) -> float:
-    return 1.0 - ll_model / ll_null
-
-
 def normal_p(z: float) -> float:
     """Two-sided p-value of a standard normal statistic."""
     return math.erfc(abs(z) / math.sqrt(2.0))

@@ -23,9 +23,6 @@ from tabloom.operators.evaluation import normal_p
 from tabloom.session import settle
 
 
-SIZE_ROWS = 5000
-
-
 @dataclass
 class MixedFit:
     names: list[str]
@@ -92,23 +89,6 @@ def _sums(folded: DataFrame, lams: Sequence[float], names: Sequence[str]):
     return out
 
 
-def _sums_of_rows(rows: list, lams: Sequence[float], names: Sequence[str]):
-    """:func:`_sums` for a size table small enough to hold here."""
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    n = np.array([r["n"] for r in rows], dtype=float)
-    groups = np.array([r["groups"] for r in rows], dtype=float)
-    q = np.array([[r[f"q_{a}_{b}"] for a, b in pairs] for r in rows]).sum(0)
-    p = np.array([[r[f"p_{a}_{b}"] for a, b in pairs] for r in rows])
-    at = [(names.index(a), names.index(b)) for a, b in pairs]
-    out = {}
-    for lam in lams:
-        m = np.zeros((len(names), len(names)))
-        for (i, j), v in zip(at, q - (lam / (1.0 + n * lam)) @ p, strict=True):
-            m[i, j] = m[j, i] = v
-        out[lam] = (m, float((groups * np.log1p(n * lam)).sum()))
-    return out
-
-
 def _profile(m: np.ndarray, logdet: float, n: int):
     a, b, c = m[:-1, :-1], m[:-1, -1], m[-1, -1]
     beta = np.linalg.solve(a, b)
@@ -131,21 +111,14 @@ def fit_random_intercept(
     row = data.agg(F.count("*").alias("n"), *[F.avg(F.col(c).cast("double")).alias(c) for c in [outcome, *xs]]).first()
     n = row["n"]
     centre = {c: row[c] for c in [outcome, *xs]}
-    folded = _fold_by_size(data, outcome, xs, group, centre)
-    # one row per distinct group size: usually few; otherwise it stays in Spark
-    rows = folded.limit(SIZE_ROWS + 1).collect()
-    if len(rows) > SIZE_ROWS:
-        folded = settle(folded)
-        groups = folded.agg(F.sum("groups")).first()[0]
-    else:
-        groups = sum(r["groups"] for r in rows)
+    folded = settle(_fold_by_size(data, outcome, xs, group, centre))  # one row per distinct group size
+    groups = folded.agg(F.sum("groups")).first()[0]
     names = [f"x{i}" for i in range(len(xs) + 1)] + ["y"]
     lams = [0.0, *np.exp(np.linspace(math.log(1e-6), math.log(1e3), points))]
     best = None
     for _ in range(rounds):
         scored = []
-        table = _sums_of_rows(rows, lams, names) if len(rows) <= SIZE_ROWS else _sums(folded, lams, names)
-        for lam, (m, logdet) in table.items():
+        for lam, (m, logdet) in _sums(folded, lams, names).items():
             scored.append((lam, *_profile(m, logdet, n)))
         scored.sort(key=lambda s: s[0])
         i = max(range(len(scored)), key=lambda k: scored[k][1])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,7 @@ from tabloom.operators.shaping import (
     trim_all,
 )
 from tabloom.operators.windows import tiered_sample
+from tabloom.sources.models import load_model, score_labelled
 from tabloom.sources.writers import replace_slice
 
 
@@ -172,3 +173,19 @@ def score_chain(
     """Score -> trimmed detail -> summary in one session."""
     detail = trim_all(score(claims))
     return detail, plan_summary(detail, threshold, **tags)
+
+
+def score_saved(
+    claims: DataFrame, model_path: str, columns: Mapping[str, Column], threshold: float, tags: Mapping[str, object]
+) -> tuple[DataFrame, DataFrame]:
+    """(detail, summary) of ``claims`` by a saved model: loaded, decoded to plan names, trimmed, summed up.
+
+    ``columns`` names the detail's own columns (claim_id and client_plan_id at least).
+    """
+    model = load_model(model_path)
+
+    def score(df: DataFrame) -> DataFrame:
+        marked = df.withColumns(dict(columns))
+        return score_labelled(marked, model, list(columns)).withColumnRenamed("predicted_label", "predicted_plan_id")
+
+    return score_chain(claims, score, threshold, tags)

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.text import RULE_FLAGS, RULE_NUMBER_GATES, gated_number, rule_tokens
 
+# list of tokens -> the flag that fills it
+TOKEN_LISTS = {"dl": "disinfo", "dh_list": "dh", "tl": "theinfo", "manual_step_list": "manual_step"}
+
 
 def steps(df: DataFrame, text: str) -> DataFrame:
     """One row per numbered step; the text before step 1 is not a step."""
@@ -38,3 +43,18 @@ def rule_table(df: DataFrame, text: str) -> DataFrame:
         **{name: c.contains(word) for name, word in RULE_FLAGS.items()},
         "tokens": rule_tokens(c),
     })
+
+
+def flag_tokens(df: DataFrame, text: str, flags: Mapping[str, str] = TOKEN_LISTS) -> DataFrame:
+    """The extraction with a token list per flag: the step's tokens where the flag is set, else null."""
+    rules = rule_table(df, text)
+    return rules.withColumns({name: F.when(F.col(flag), F.col("tokens")) for name, flag in flags.items()})
+
+
+def token_rows(df: DataFrame, text: str, flags: Mapping[str, str] = TOKEN_LISTS) -> DataFrame:
+    """One row per token of each list: the document's columns, step, list, pos, token."""
+    others = [c for c in df.columns if c != text]
+    found = flag_tokens(df, text, flags)
+    lists = F.array(*[F.struct(F.lit(name).alias("list"), F.col(name).alias("tokens")) for name in flags])
+    long = found.select(*others, "step", F.explode(lists).alias("l"))
+    return long.select(*others, "step", F.col("l.list").alias("list"), F.posexplode("l.tokens").alias("pos", "token"))

@@ -142,3 +142,16 @@ def test_density_counts_add_up_and_follow_the_crowd(spark):
     alone = df.where("y = 1")
     assert {r["n_new"] for r in L.density_counts(alone, "k", "v", "y", 1, 77, 5).collect()} == {0}
     assert L.synthesize_by_density(alone, "k", "v", "y", 1, 77, 5).count() == 0
+
+
+def test_saved_labels_come_back_by_name(spark, tmp_path):
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    from tabloom.sources.models import fit_labelled, label_names, load_model, save_model, score_labelled
+
+    df = spark.createDataFrame([("x", "zeta"), ("y", "alpha"), ("y", "alpha"), ("x", "zeta"), ("x", None)] * 10, "c string, plan string")
+    path = save_model(fit_labelled(df, E.feature_pipeline(["c"], []).getStages(), "plan", DecisionTreeClassifier(seed=1)), str(tmp_path / "m"))
+    model = load_model(path)
+    assert label_names(model) == ["alpha", "zeta"]
+    out = score_labelled(df.select("c"), model, ["c"]).distinct().collect()
+    assert sorted(map(tuple, out)) == [("x", "zeta", 1.0), ("y", "alpha", 1.0)]
