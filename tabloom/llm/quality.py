@@ -160,10 +160,13 @@ def _judged(rows: DataFrame) -> DataFrame:
         keys = dimension_join(df, own_names, ["lang"], "left").withColumn("key", F.coalesce("own", F.lit("*")))
         return dimension_join(keys, reference.select("key", *columns), ["key"], "left")
 
-    # a second look at the texts counts their languages' common words: one filter, then counts of what is left
-    texts = keyed_by_language(rows.select("row_key", "lang", words_of(F.col("text")).alias("words")), ["r_common"])
-    texts = texts.withColumn("common", F.filter("words", lambda w: F.array_contains("r_common", w)))
-    here = F.transform("r_common", lambda c: F.size(F.filter("common", lambda w: w == c)).cast("long"))
+    # a second look at the texts counts their languages' common words: places in the list first, then
+    # one fold over the few found; lambdas get arrays as arguments, a captured one would be split anew for each use
+    texts = keyed_by_language(rows.select("row_key", "lang", "text"), ["r_common"])
+    places = F.filter(F.transform(words_of(F.col("text")), lambda w: F.array_position("r_common", w)), lambda p: p > 0)
+    none_yet = F.transform("r_common", lambda c: F.lit(0).cast("long"))
+    here = F.aggregate(places, none_yet, lambda found, p: F.transform(
+        found, lambda n, i: n + F.when(i + 1 == p, F.lit(1)).otherwise(F.lit(0))))
     df = keyed_by_language(measured, ["r_words", "r_counts", *[f"r_{c}" for c in CLASSES]]).join(
         texts.select("row_key", here.alias("here")), "row_key", "left")
     df = df.withColumns({
