@@ -93,7 +93,8 @@ def crossing(rows: DataFrame, buckets: int, longest: int) -> DataFrame:
         return F.filter(_all_starts("words", n), lambda i: F.get("of", i) != F.get("of", i + (n - 1)))
 
     found = [_runs("words", n, over(n), buckets) for n in range(2, longest + 1)]
-    return parts.select("row_key", "doc_id", F.coalesce(F.concat(*found), F.array().cast(NO_BUCKETS)).alias("buckets"))
+    # stored: they are counted and weighed, and exploding them as they are made would make them anew for each
+    return stored(parts.select("row_key", "doc_id", F.coalesce(F.concat(*found), F.array().cast(NO_BUCKETS)).alias("buckets")), "crossing")
 
 
 def bucket_counts(lines: DataFrame, across: DataFrame | None) -> DataFrame:
