@@ -70,8 +70,9 @@ def repeat_words(df: DataFrame) -> DataFrame:
         "hashes", "spans", "sorted", "starts")
 
 
-def _length_without(text: Column, pattern: str) -> Column:
-    return F.length(F.regexp_replace(text, pattern, "")).cast("long")
+def _length_of(text: Column, pattern: str) -> Column:
+    """Characters in matches of ``pattern``."""
+    return (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).cast("long")
 
 
 def measure(rows: DataFrame) -> DataFrame:
@@ -81,9 +82,10 @@ def measure(rows: DataFrame) -> DataFrame:
     df = df.withColumns({
         "n_words": F.size("words").cast("long"), "word_chars": F.length(F.array_join("words", "")).cast("long"),
         "n_chars_all": F.length("t").cast("long"), "lines": lines,
-        "n_symbols": (F.length("t") - _length_without(F.col("t"), r"[#*$%&|<>]+")).cast("long"),
-        "letters": _length_without(F.col("t"), r"\P{L}+"), "upper": _length_without(F.col("t"), r"\P{Lu}+"),
-        "digit": _length_without(F.col("t"), r"[^0-9]+")})
+        "rest": F.regexp_replace("t", r"\p{L}+", ""), "upper": _length_of(F.col("t"), r"\p{Lu}+")})
+    # what no letter is, is short: the other classes are counted there
+    df = df.withColumns({"letters": (F.length("t") - F.length("rest")).cast("long"),
+                         "n_symbols": _length_of(F.col("rest"), r"[#*$%&|<>]+"), "digit": _length_of(F.col("rest"), r"[0-9]+")})
     df = df.withColumns({"n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
                          "lower": F.col("letters") - F.col("upper"), "blank": F.col("n_chars_all") - F.col("word_chars"),
                          "symbol": F.col("n_symbols")})
@@ -128,7 +130,8 @@ def references(rows: DataFrame, measured: DataFrame) -> DataFrame:
     top = first.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "word"))).alias("top"))
     found = totals.join(top, "lang", "left").select(
         F.col("lang").alias("key"), F.col("n_words").alias("r_words"), *[F.col(c).alias(f"r_{c}") for c in CLASSES],
-        F.transform("top.word", lambda w: w).alias("r_common"), F.transform("top.n", lambda n: -n).alias("r_counts"))
+        F.transform("top.word", lambda w: w).alias("r_common"), F.transform("top.n", lambda n: -n).alias("r_counts"),
+        F.array_max(F.transform("top.word", lambda w: F.octet_length(w))).alias("r_longest"))
     return stored(found, "references")
 
 
@@ -162,8 +165,9 @@ def _judged(rows: DataFrame) -> DataFrame:
 
     # a second look at the texts counts their languages' common words: places in the list first, then
     # one fold over the few found; lambdas get arrays as arguments, a captured one would be split anew for each use
-    texts = keyed_by_language(rows.select("row_key", "lang", "text"), ["r_common"])
-    places = F.filter(F.transform(words_of(F.col("text")), lambda w: F.array_position("r_common", w)), lambda p: p > 0)
+    texts = keyed_by_language(rows.select("row_key", "lang", "text"), ["r_common", "r_longest"])
+    short = F.filter(words_of(F.col("text")), lambda w: F.octet_length(w) <= F.col("r_longest"))
+    places = F.filter(F.transform(short, lambda w: F.array_position("r_common", w)), lambda p: p > 0)
     none_yet = F.transform("r_common", lambda c: F.lit(0).cast("long"))
     here = F.aggregate(places, none_yet, lambda found, p: F.transform(
         found, lambda n, i: n + F.when(i + 1 == p, F.lit(1)).otherwise(F.lit(0))))
