@@ -186,6 +186,9 @@ _CODE = """(upper(replace(substr(w, 1, 1), 'ß', 'ss')) || rpad(substr(regexp_re
 _TOKENS = r"(select distinct unnest(regexp_extract_all(text, '\p{L}+')) as w from benchmark)"
 
 
+_LETTERS = r"(select distinct unnest(regexp_extract_all(text, '\p{L}+')) as w from "
+
+
 def letter_words(df):
     return df.select(F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0))).alias("w")).distinct()
 
@@ -201,6 +204,13 @@ def d08(t: Tables):
     return N.phonetic_matches(tokens(t), part_words(t)).select("name", "match", "code")
 
 
+@query("d08_phonetic_classes", f"""
+with n as (select {_CODE} as code, count(*) as n, min(w) as m from {_LETTERS} documents) group by 1), q as (select w, {_CODE} as code from {_TOKENS})
+select q.w as name, q.code, coalesce(n.n, 0) as n_matches, n.m as first_match from q left join n on q.code = n.code""")
+def d08c(t: Tables):
+    return N.phonetic_classes(tokens(t), letter_words(t.documents))
+
+
 @query("d08_similar_names")
 def d08s(t: Tables):
     return N.similar_names(tokens(t), part_words(t))
@@ -211,7 +221,6 @@ def d09(t: Tables):
     return N.close_names(tokens(t), part_words(t)).withColumn("ratio", rd("ratio"))
 
 
-_LETTERS = r"(select distinct unnest(regexp_extract_all(text, '\p{L}+')) as w from "
 
 
 # the distance of SQL counts bytes, so every letter beyond ASCII is one byte there

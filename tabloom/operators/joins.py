@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.operators.ordered import one_per_key
+from tabloom.session import settle
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
@@ -21,23 +22,57 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BY
     return seen["n"] <= rows and seen["b"] <= size
 
 
+HOT_SHARE = 1000  # a key with more than one in so many rows is hot; so there are no more hot keys than that
+SLICE_SHARE = 100_000  # a slice of a hot key holds about one in so many rows,
+LEAST_SLICE = 100_000  # but so many rows at least
+
+
+def hot_keys(fact: DataFrame, on: Sequence[str], least: int = LEAST_SLICE) -> DataFrame:
+    """(on..., _salts): the hot keys of ``fact`` and into how many slices their rows are cut; stored.
+
+    Counting is map-side combined, so it moves each distinct key once per task.
+    """
+    sizes = fact.groupBy(*on).agg(F.count("*").alias("_n"))
+    total = sizes.agg(F.sum("_n")).scalar()
+    size = F.greatest(F.lit(least), F.floor(total / SLICE_SHARE))
+    known = F.lit(True)
+    for c in on:
+        known = known & F.col(c).isNotNull()
+    hot = sizes.where(known & (F.col("_n") > F.greatest(F.lit(least), F.floor(total / HOT_SHARE))))
+    return settle(hot.select(*on, F.ceil(F.col("_n") / size).cast("int").alias("_salts")))
+
+
 def dimension_join(
-    fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner", salts: int = 16,
-    rows: int = BROADCAST_ROWS,
+    fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner", rows: int = BROADCAST_ROWS,
+    least: int = LEAST_SLICE,
 ) -> DataFrame:
     """Fact x dimension on equal keys.
 
-    A dimension proved small is broadcast.  Beyond that the dimension is
-    copied to ``salts`` slices and the fact spread over them, so one hot key
-    is worked on by ``salts`` tasks.
+    A dimension proved small is broadcast.  Beyond that the fact's hot keys are
+    found by counting; only their rows are dealt over slices (row by row, so equal
+    rows part as well) and only their dimension rows are copied to each slice.
+    Rows with a null key match nothing and are dealt out too.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError("dimension_join keeps the fact side: inner, left or left_semi")
+    on = list(on)
     if is_small(dim, rows):
-        return fact.join(F.broadcast(dim), list(on), how)
-    left = fact.withColumn("_salt", F.pmod(F.xxhash64(*fact.columns), F.lit(salts)))
-    right = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+        return fact.join(F.broadcast(dim), on, how)
+    hot = hot_keys(fact, on, least)
+    lost = F.lit(False)
+    for c in on:
+        lost = lost | F.col(c).isNull()
+    number = F.monotonically_increasing_id()
+    dealt = F.when(lost, F.pmod(number, F.lit(HOT_SHARE))).otherwise(F.coalesce(F.pmod(number, F.col("_salts").cast("long")), F.lit(0)))
+    left = fact.join(F.broadcast(hot), on, "left").withColumn("_salt", dealt.cast("int")).drop("_salts")
+    right = dim.join(F.broadcast(hot), on, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+    return left.join(right, [*on, "_salt"], how).select(*[F.col(f"`{c}`") for c in _joined_columns(fact, dim, on, how)])
+
+
+def _joined_columns(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str) -> list[str]:
+    rest = [c for c in fact.columns if c not in on]
+    return [*on, *rest] if how == "left_semi" else [*on, *rest, *[c for c in dim.columns if c not in on]]
 
 
 def suffixed(df: DataFrame, other: DataFrame, keys: Sequence[str], suffix: str) -> DataFrame:

@@ -22,8 +22,10 @@ from pyspark.sql import types as T
 
 from tabloom.functions.numeric import norm
 from tabloom.operators.ordered import top_per_group
+from tabloom.session import settle
 
 BLOCK_ROWS = 4096
+PATTERN_ROWS, PATTERN_BYTES = 2_000, 16 << 20  # a pattern set that every task may hold
 RINGS = 128
 DIGITS = 6
 
@@ -270,16 +272,25 @@ def score_extremes(queries: DataFrame, base: DataFrame, exclude_same_id: bool =
 
 
 def max_pattern_similarity(df: DataFrame, vec: str, patterns: DataFrame, pattern_vec: str, out: str) -> DataFrame:
-    """Best cosine against a fixed pattern set, JVM-side.  The patterns are one
-    scalar subquery that every row is compared with; for sets that don't fit in
-    a row use :func:`nearest`."""
-    table = patterns.agg(F.collect_list(unit(as_double(F.col(pattern_vec))))).scalar()
-    v = F.col("_v")
-    best = F.array_max(F.transform(
-        "_patterns", lambda p: F.aggregate(F.zip_with(v, p, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    ))
-    held = df.withColumns({"_v": as_double(F.col(vec)), "_patterns": table})
-    return held.withColumn(out, F.try_divide(best, norm(v))).drop("_v", "_patterns")
+    """Best cosine against a pattern set.  A set proved small is one scalar subquery that every
+    row is compared with, JVM-side; a larger one is searched by :func:`nearest` (to 6 digits)."""
+    from tabloom.operators.joins import is_small
+
+    shapes = patterns.select(unit(as_double(F.col(pattern_vec))).alias("vec")).where(F.col("vec").isNotNull())
+    if is_small(shapes, PATTERN_ROWS, PATTERN_BYTES):
+        table = shapes.agg(F.collect_list("vec")).scalar()
+        v = F.col("_v")
+        best = F.array_max(F.transform(
+            "_patterns", lambda p: F.aggregate(F.zip_with(v, p, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+        ))
+        held = df.withColumns({"_v": as_double(F.col(vec)), "_patterns": table})
+        return held.withColumn(out, F.try_divide(best, norm(v))).drop("_v", "_patterns")
+    # numbers are given once and stored, so that they mean the same rows in both uses
+    rows = settle(df.withColumn("_row", F.monotonically_increasing_id()))
+    base = settle(shapes.distinct().withColumn("id", F.monotonically_increasing_id()))
+    asked = rows.where(norm(as_double(F.col(vec))) > 0).select(F.col("_row").alias("id"), F.col(vec).alias("vec"))
+    found = nearest(asked, base, 1).select(F.col("query_id").alias("_row"), F.col("score").alias(out))
+    return rows.join(found, "_row", "left").drop("_row")
 
 
 def knn_vote(matches: DataFrame, labels: DataFrame) -> DataFrame:
@@ -358,6 +369,22 @@ def phonetic_matches(queries: DataFrame, names: DataFrame) -> DataFrame:
     return dimension_join(q, base.withColumn("code", phonetic_code(F.col("match"))), ["code"])
 
 
+def phonetic_classes(queries: DataFrame, names: DataFrame) -> DataFrame:
+    """(name, code, n_matches, first_match): how many of ``names`` share each query's code, and the smallest.
+
+    One row per query whatever the size of a code's class; :func:`phonetic_matches` spells out the pairs.
+    """
+    from tabloom.functions.text import phonetic_code
+    from tabloom.operators.joins import dimension_join
+
+    q = queries.select(F.col(queries.columns[0]).alias("name")).where(F.length("name") > 0).distinct()
+    base = names.select(F.col(names.columns[0]).alias("match")).where(F.length("match") > 0).distinct()
+    classes = base.groupBy(phonetic_code(F.col("match")).alias("code")).agg(
+        F.count("*").alias("n_matches"), F.min("match").alias("first_match"))
+    found = dimension_join(q.withColumn("code", phonetic_code(F.col("name"))), classes, ["code"], "left")
+    return found.select("name", "code", F.coalesce("n_matches", F.lit(0)).cast("long").alias("n_matches"), "first_match")
+
+
 def similar_names(queries: DataFrame, names: DataFrame, prefix_fallback: bool = True) -> DataFrame:
     """(name, match, how): same phonetic code; else close matches; else (male
     list only in the original rule) the first four letters."""

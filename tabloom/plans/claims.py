@@ -25,6 +25,7 @@ from tabloom.operators.shaping import (
     trim_all,
 )
 from tabloom.operators.windows import tiered_sample
+from tabloom.session import settle
 from tabloom.sources.models import load_model, score_labelled
 from tabloom.sources.writers import replace_slice
 
@@ -160,8 +161,9 @@ def training_set(
     clean = drop_identical_columns(recode(master, rules, text))
     clean = drop_matching(clean, drop_patterns)
     pruned, _ = prune_and_fill(clean, [key, *keep])
+    # read by every scan of the sample, so written once
     paid = keep_status(claims, status, "P").distinct()
-    known = keep_members(paid, key, master.select(key).distinct())
+    known = settle(keep_members(paid, key, master.select(key).distinct()))
     sample = tiered_sample(known, key, claim_id, large, small)
     joined = dimension_join(sample, pruned, [key])
     return exact_holdout(joined, claim_id, holdout)

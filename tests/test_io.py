@@ -118,10 +118,25 @@ def test_salted_join_equals_broadcast(spark):
     dim = spark.createDataFrame([(0, "a"), (1, "b")], "k long, v string")
     for how in ("inner", "left"):
         a = sorted(map(str, dimension_join(fact, dim, ["k"], how).collect()))
-        b = sorted(map(str, dimension_join(fact, dim, ["k"], how, salts=4, rows=0).collect()))
+        b = sorted(map(str, dimension_join(fact, dim, ["k"], how, rows=0, least=3).collect()))
         assert a == b
 
 
+def test_hot_and_null_keys_are_dealt_over_slices(spark):
+    from tabloom.operators import joins
+
+    rows = [("hot", 1)] * 900 + [(None, 2)] * 300 + [(f"k{i}", i) for i in range(50)]
+    fact = spark.createDataFrame(rows, "k string, v int").repartition(6)
+    dim = spark.createDataFrame([("hot", "x"), ("hot", "y"), ("k1", "z"), (None, "w")], "k string, d string")
+    hot = joins.hot_keys(fact, ["k"], 100).collect()
+    assert [(r["k"], r["_salts"]) for r in hot] == [("hot", 9)]
+    for how, n in (("inner", 1801), ("left", 1801 + 300 + 49), ("left_semi", 901)):
+        out = dimension_join(fact, dim, ["k"], how, rows=0, least=100)
+        want = fact.join(dim, ["k"], how)
+        assert out.columns == want.columns and out.count() == n
+        assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+
+
 def test_pending_failures_stay_with_their_client(spark):
     ctl = spark.createDataFrame([("a", "1", "0"), ("b", "1", "0"), ("c", "0", "0"), ("d", "1", "1")],
                                 "client_code string, data_load_status string, prediction_status string")

@@ -101,3 +101,14 @@ def test_edit_join_compares_few_pairs(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
     assert out.count() == 3000
+
+
+def test_a_large_pattern_set_gives_the_same_similarity(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=5)]) for i in range(60)] + [(60, [0.0] * 5), (61, None)], "k long, v array<double>")
+    patterns = spark.createDataFrame([([float(x) for x in rng.normal(size=5)],) for _ in range(12)] + [(None,)], "p array<double>")
+    small = {r["k"]: r["s"] for r in N.max_pattern_similarity(df, "v", patterns, "p", "s").collect()}
+    monkeypatch.setattr(N, "PATTERN_ROWS", 3)
+    large = {r["k"]: r["s"] for r in N.max_pattern_similarity(df, "v", patterns, "p", "s").collect()}
+    assert large.keys() == small.keys() and large[60] is None and large[61] is None
+    assert all(large[k] == pytest.approx(small[k], abs=1e-6) for k in range(60))
