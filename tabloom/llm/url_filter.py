@@ -6,7 +6,7 @@ URLs of one normal form, joined further by canonical links and redirects found
 in the pages, make one component; if any member is explicitly allowed the
 component is allowed, else if any is blocked it is blocked, else it is allowed.
 All such links of a page count; relative ones start from its scheme, host and
-directory.
+directory. A link's target is a member by its URL, whether or not it is a page here.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path, fits
 no rule, has no aliases and is allowed; null html has no links; repeated rows
@@ -87,14 +87,14 @@ def resolved(links: DataFrame) -> DataFrame:
     return df.withColumn("target", F.when(F.col("head") != "", F.concat("head", without_dots(F.col("path")), "tail")))
 
 
-def link_edges(pages: DataFrame) -> DataFrame:
-    """(a, b): a page's normal form and that of a page it redirects to or names as canonical."""
+def page_links(pages: DataFrame) -> DataFrame:
+    """(a, b, target): normal forms of a page and of a URL it redirects to or names as canonical, and that URL; stored."""
     found = pages.filter(F.col("html").rlike(r"(?i)canonical|refresh")).select("url", F.explode(F.array_distinct(F.concat(
         *[F.regexp_extract_all("html", F.lit(link), F.lit(1)) for link in (CANONICAL, REFRESH)]))).alias("to"))
-    edges = resolved(found.filter("to != ''")).select(
-        normal_form(F.col("url")).alias("a"), normal_form(F.col("target")).alias("b"))
+    links = resolved(found.filter("to != ''")).select(
+        normal_form(F.col("url")).alias("a"), normal_form(F.col("target")).alias("b"), "target")
     # stored first: a filter pushed down would spell all steps out again in one expression
-    return stored(edges, "link-edges").dropna()
+    return stored(links, "links").dropna()
 
 
 def rule_table(spark, rules) -> DataFrame:
@@ -103,10 +103,13 @@ def rule_table(spark, rules) -> DataFrame:
                                  "rule string, rule_host string, rule_path string, rule_verdict string")
 
 
-def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """``urls`` (url, host, path) with the longest rule that fits: a join on the host and its parent domains."""
+def match_rules(urls: DataFrame, rules: DataFrame, deepest: int) -> DataFrame:
+    """``urls`` (url, host, path) with the longest rule that fits: a join on the host and its parent
+    domains of ``deepest`` labels at most, which is what the rules' hosts have."""
     parts = F.split("host", r"\.")
-    domains = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, k, 10_000), "."))
+    first = F.greatest(F.lit(1), F.size(parts) - (deepest - 1))
+    last = F.slice(parts, first, F.lit(deepest))
+    domains = F.transform(F.sequence(F.lit(1), F.size(last)), lambda k: F.array_join(F.slice(last, k, F.lit(deepest)), "."))
     tried = urls.filter("host != ''").select("url", "path", F.explode(domains).alias("rule_host"))
     fit = tried.join(rules, "rule_host").filter(F.col("path").startswith(F.col("rule_path")))
     best = F.struct(F.length("rule").alias("size"), (F.col("rule_verdict") == "allow").alias("allow"), "rule", "rule_verdict")
@@ -116,16 +119,17 @@ def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict and the alias component that decided where no rule did."""
     rows = own_columns(pages, {"page_id": "page_id", "url": "url", "html": "html"})
-    urls = rows.select("url").filter("url is not null").distinct()
+    links = page_links(rows)
+    urls = rows.select("url").union(links.select("target")).filter("url is not null").distinct()
     urls = urls.select("url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"),
                        normal_form(F.col("url")).alias("form"))
-    ruled = match_rules(urls, rule_table(pages.sparkSession, rules))
+    deepest = max((r.partition("/")[0].count(".") + 1 for r, _ in rules), default=1)
+    ruled = match_rules(urls, rule_table(pages.sparkSession, rules), deepest)
     urls = stored(urls.join(ruled, "url", "left"), "urls")
 
-    roots = connected(link_edges(rows)).select(F.col("node").alias("form"), "root")
+    roots = connected(links.select("a", "b")).select(F.col("node").alias("form"), "root")
     forms = urls.filter("form is not null").groupBy("form").agg(
         F.bool_or(F.col("rule_verdict") == "allow").alias("allow"), F.bool_or(F.col("rule_verdict") == "block").alias("block"))
-    # a linked page that is not itself in the table joins its neighbours, and has no rule of its own here
     forms = forms.join(roots, "form", "left").withColumn("component", F.coalesce("root", "form"))
     decided = forms.groupBy("component").agg(F.bool_or("allow").alias("allow"), F.bool_or("block").alias("block"))
     said = forms.select("form", "component").join(decided, "component").select(
