@@ -1,19 +1,24 @@
 """Chat formatting from event logs.
 
-A log holds, for each message of a conversation, a ``start`` with its role,
-streamed ``delta`` texts, ``edit`` events that replace the text so far, and
-``regenerate`` events that discard it. Logs are partitioned by conversation,
-sorted by sequence, and folded as a stream: one message is held at a time, so a
-conversation with a third of all events needs no more memory than a short one.
+A log row has a conversation, its place in the conversation's sequence, the message it
+speaks of, and what happened: ``start`` (with the role), a streamed ``delta``, an ``edit``
+that replaces the text so far, or ``regenerate``, which discards it together with every
+message that was started after it until then. Events may come late, between those of
+other messages: a message's events count in the order of ``seq``, messages in the order
+of their first start. Logs are partitioned by conversation, sorted, and folded as a
+stream: one message is held at a time, so a conversation with a third of all events
+needs no more memory than a short one.
 
 The template writes each turn as ``<s>role[INST]text</s>``. Control strings that
 occur inside a role or text are split by a backslash (and backslashes doubled),
 so that the output parses back to the same turns.
 
-Defined cases: a null text is empty, a null role is the empty role; rows of one
-turn number are ordered by role, then text; repeated rows are turns of their
-own; a null conversation is one conversation; extra columns are ignored; an
-empty table formats to nothing.
+Defined cases: a null text or payload is empty, a null role is the empty role; rows of
+one turn number are ordered by role, then the MD5 of their text; repeated rows are turns
+of their own; a null conversation or message is one of its own; a second start begins
+its message anew; events of a message without a start, before it, or of an unknown kind
+change nothing (``faulty_events`` names them); extra columns are ignored; an empty table
+formats to nothing.
 """
 
 from __future__ import annotations
@@ -23,10 +28,10 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import own_columns
+from tabloom.llm.common import own_columns, stored
 
 OPEN, BODY, CLOSE = "<s>", "[INST]", "</s>"
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]")
@@ -61,28 +66,61 @@ def parse(piece: str) -> tuple[str, str]:
     return unescape(piece[len(OPEN):body]), unescape(piece[body + len(BODY): -len(CLOSE)])
 
 
+KINDS = ("start", "delta", "edit", "regenerate")
+_STEP_BITS = 21  # places in the sequence that a message's own events have
+
+
 def event_log(turns: DataFrame, delta_chars: int = DELTA_CHARS) -> DataFrame:
-    """The events that lead to ``turns`` (conv_id, turn, role, text), as a chat server would log them.
+    """The events (conv_id, seq, message, kind, payload) that lead to ``turns`` (conv_id, turn, role, text).
 
-    Texts are streamed in parts; some messages are generated twice, some are
-    edited at the end. Sorted by ``order`` columns the log folds back to the turns.
+    As a chat server would log them: texts are streamed in parts; some messages are generated twice,
+    the first time followed by one that the second generation drops; some are edited at their end, some
+    only while the next message is being written.
     """
-    t = own_columns(turns, {"conv_id": "conv_id", "turn": "turn", "role": "role", "text": "text"}).select(
+    t = own_columns(turns, {c: c for c in ("conv_id", "turn", "role", "text")}).select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    t = t.withColumns({"tie": F.xxhash64("text"), "message": F.monotonically_increasing_id(),
-                       "parts": F.ceil(F.length("text") / delta_chars).cast("int")})
-    event = lambda kind, payload: F.struct(F.lit(kind).alias("kind"), payload.alias("payload"))
-    nothing, whole = F.lit(None).cast("string"), F.col("text")
+    t = t.withColumns({"tie": F.md5("text"), "arrival": F.monotonically_increasing_id()})
+    order = ["conv_id", "turn", "role", "tie", "arrival"]  # arrival only deals equal rows over tasks
+    dealt = t.repartitionByRange(*order).sortWithinPartitions(*order)
+    # stored, so that the numbers hold
+    t = stored(dealt.select("conv_id", "role", "text", F.monotonically_increasing_id().alias("n")), "turns")
+    t = t.withColumns({"mark": F.pmod(F.xxhash64("text"), F.lit(8)), "parts": F.ceil(F.length("text") / delta_chars).cast("int")})
+    own, ghost = 2 * F.col("n"), 2 * F.col("n") + 1
+
+    def event(kind: str, payload: Column, message: Column = own, late: bool = False) -> Column:
+        return F.struct(message.alias("message"), F.lit(kind).alias("kind"), payload.cast("string").alias("payload"), F.lit(late).alias("late"))
+
+    nothing, whole = F.lit(None), F.col("text")
+    none = F.array().cast("array<struct<message:bigint,kind:string,payload:string,late:boolean>>")
     deltas = F.when(F.col("parts") > 0, F.transform(
         F.sequence(F.lit(0), F.col("parts") - 1),
-        lambda k: event("delta", whole.substr(k * delta_chars + 1, F.lit(delta_chars))))).otherwise(F.array().cast(
-            "array<struct<kind:string,payload:string>>"))
-    twice = F.when(F.pmod("tie", F.lit(4)) == 1, F.array(event("delta", F.lit("draft")), event("regenerate", nothing)))
-    edited = F.when(F.pmod("tie", F.lit(4)) == 2, F.array(event("delta", F.lit(" (typo)")), event("edit", whole)))
-    empty = F.array().cast("array<struct<kind:string,payload:string>>")
-    events = F.concat(F.array(event("start", F.col("role"))), F.coalesce(twice, empty), deltas, F.coalesce(edited, empty))
-    return t.select("conv_id", "turn", "role", "tie", "message", F.posexplode(events).alias("step", "event")).select(
-        "conv_id", "turn", "role", "tie", "message", "step", "event.kind", "event.payload")
+        lambda k: event("delta", whole.substr(k * delta_chars + 1, F.lit(delta_chars))))).otherwise(none)
+    twice = F.array(event("delta", F.lit("draft")), event("start", F.lit("user"), ghost), event("delta", F.lit("an answer to it"), ghost),
+                    event("regenerate", nothing))
+    edited = F.array(event("delta", F.lit(" (typo)")), event("edit", whole))
+    late = F.array(event("delta", F.lit(" (typo)")), event("edit", whole, late=True))
+    mark = F.col("mark")
+    events = F.concat(F.array(event("start", F.col("role"))), F.when(mark == 1, twice).otherwise(none), deltas,
+                      F.when(mark == 2, edited).when(mark == 3, late).otherwise(none))
+    long = t.select("conv_id", "n", F.posexplode(events).alias("step", "e"))
+    # a late event comes after all of the next message's own
+    seq = F.shiftleft(F.col("n") + F.col("e.late").cast("long"), _STEP_BITS) + F.col("step") + F.when(
+        F.col("e.late"), 1 << (_STEP_BITS - 1)).otherwise(0)
+    return long.select("conv_id", seq.alias("seq"), "e.message", "e.kind", "e.payload")
+
+
+def _with_start(events: DataFrame) -> DataFrame:
+    """``events`` with ``start``: the place of their message's first start, null if it has none."""
+    e = own_columns(events, {c: c for c in ("conv_id", "seq", "message", "kind", "payload")})
+    key = F.struct("conv_id", "message").alias("key")  # nulls are equal in here
+    starts = e.filter("kind = 'start'").groupBy(key).agg(F.min("seq").alias("start"))
+    return e.withColumn("key", key).join(starts, "key", "left").drop("key")
+
+
+def faulty_events(events: DataFrame) -> DataFrame:
+    """The events that change nothing: of unknown kind, of a message without a start, or before it."""
+    fine = F.col("kind").isin(*KINDS) & (F.col("seq") >= F.col("start"))
+    return _with_start(events).filter(~F.coalesce(fine, F.lit(False))).drop("start")
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -102,21 +140,29 @@ def _batched(rows: Iterator[tuple], schema: pa.Schema, limit: int = 2000) -> Ite
 
 
 def _messages(events: Iterator[tuple]) -> Iterator[tuple[int | None, str, str]]:
-    """(conversation, role, text) of each finished message, in order."""
-    conv, role, parts = None, None, []
-    for conv_id, kind, payload in events:
+    """(conversation, role, text) of each message that stands, in order.
+
+    ``events``: conv_id, start, message, seq, kind, payload, sorted by the first four.
+    """
+    conv, message, dropped_until = (), None, -1
+    role, parts, stands = "", [], False
+    for conv_id, start, number, seq, kind, payload in events:
+        if (conv_id,) != conv or (start, number) != message:
+            if stands:
+                yield conv[0], role, "".join(parts)
+            if (conv_id,) != conv:
+                conv, dropped_until = (conv_id,), -1
+            message, role, parts, stands = (start, number), "", [], start > dropped_until
         if kind == "start":
-            if role is not None:
-                yield conv, role, "".join(parts)
-            conv, role, parts = conv_id, payload, []
+            role, parts = payload or "", []
         elif kind == "delta":
-            parts.append(payload)
+            parts.append(payload or "")
         elif kind == "edit":
-            parts = [payload]
-        else:
-            parts = []
-    if role is not None:
-        yield conv, role, "".join(parts)
+            parts = [payload or ""]
+        elif stands:  # regenerate
+            parts, dropped_until = [], max(dropped_until, seq)
+    if stands:
+        yield conv[0], role, "".join(parts)
 
 
 def _render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,11 +207,13 @@ def render(events: DataFrame) -> DataFrame:
 
     A conversation's formatted text is its pieces one after another.
     """
-    order = ["conv_id", "turn", "role", "tie", "message", "step"]
-    dealt = events.repartition("conv_id").sortWithinPartitions(*order)
-    return dealt.select("conv_id", "kind", "payload").mapInArrow(_render, RENDERED_DDL)
+    fine = _with_start(events).filter(F.col("kind").isin(*KINDS) & (F.col("seq") >= F.col("start")))
+    dealt = fine.repartition("conv_id").sortWithinPartitions("conv_id", "start", "message", "seq")
+    return dealt.select("conv_id", "start", "message", "seq", "kind", "payload").mapInArrow(_render, RENDERED_DDL)
 
 
 def read_back(rendered: DataFrame) -> DataFrame:
-    """Per conversation, what its formatted text parses back to; ``rendered`` as ``render`` leaves it."""
-    return rendered.mapInArrow(_digest, DIGESTS_DDL)
+    """Per conversation, what its formatted text parses back to; ``rendered`` in any order, from a stored table as well."""
+    columns = [f.name for f in RENDERED]
+    dealt = rendered.select(*columns).repartition("conv_id").sortWithinPartitions("conv_id", "turn_index")
+    return dealt.mapInArrow(_digest, DIGESTS_DDL)

@@ -171,6 +171,62 @@ def test_events_fold_to_the_final_text():
     assert list(chat._messages(iter(log))) == [(1, "user", "bc"), (1, "assistant", "y"), (2, "user", "")]
 
 
+def folded_by_force(log):
+    """conv -> [(role, text)]: messages as dictionaries, events applied one by one in the order of the log."""
+    out = {}
+    for conv in {e[0] for e in log}:
+        order, texts = [], {}
+        for _, _, message, kind, payload in sorted((e for e in log if e[0] == conv), key=lambda e: e[1]):
+            if kind == "start":
+                if message not in texts:
+                    order.append(message)
+                texts[message] = (payload or "", "")
+            elif message in texts and kind == "delta":
+                texts[message] = (texts[message][0], texts[message][1] + (payload or ""))
+            elif message in texts and kind == "edit":
+                texts[message] = (texts[message][0], payload or "")
+            elif kind == "regenerate" and message in order:
+                texts[message] = (texts[message][0], "")
+                order = order[:order.index(message) + 1]
+        out[conv] = [texts[m] for m in order]
+    return {c: t for c, t in out.items() if t}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_any_log_folds_as_events_say(spark, seed):
+    rng = random.Random(seed)
+    log = []
+    for conv in [*range(30), None]:
+        started, seq = [], 0
+        for _ in range(rng.randint(1, 25)):
+            seq += rng.randint(1, 3)
+            kind = rng.choice(["start", "delta", "delta", "edit", "regenerate", "delete", None])
+            fresh = kind == "start" or not started
+            message = rng.randint(100, 130) if fresh else rng.choice(started)
+            if kind == "start" and message in started:
+                continue
+            started += [message] * (kind == "start")
+            log.append((conv, seq, message, kind, rng.choice([None, "a", "<s>b", "[INST]", "assistant"])))
+    df = spark.createDataFrame([(*e, "x") for e in rng.sample(log, len(log))], "conv_id long, seq long, message long, kind string, payload string, turn string")
+    pieces = chat.render(df.repartition(5))
+    got = defaultdict(list)
+    for r in sorted(pieces.collect(), key=lambda r: r.turn_index):
+        got[r.conv_id].append(chat.parse(r.piece))
+    # a message that was dropped stays dropped; later events of it change nothing
+    assert dict(got) == folded_by_force(log)
+    faulty = [e for e in log if e[3] not in chat.KINDS or not any(s[0] == e[0] and s[2] == e[2] and s[3] == "start" and s[1] <= e[1] for s in log)]
+    assert chat.faulty_events(df).count() == len(faulty)
+
+
+def test_late_edits_and_stored_pieces(spark, tmp_path):
+    log = [(1, 1, 10, "start", "user"), (1, 2, 10, "delta", "first"), (1, 3, 11, "start", "assistant"), (1, 4, 11, "delta", "answer"),
+           (1, 5, 10, "edit", "mended"), (1, 6, 11, "delta", "!"), (1, 7, 12, "start", "user"), (1, 8, 11, "regenerate", None), (1, 9, 11, "delta", "anew")]
+    pieces = chat.render(spark.createDataFrame(log, "conv_id long, seq long, message long, kind string, payload string"))
+    pieces.repartition(4, "piece").write.parquet(str(tmp_path / "pieces"))
+    got = chat.read_back(spark.read.parquet(str(tmp_path / "pieces"))).first()
+    assert got.n_turns == 2 and got.turns_sha256 == hashlib.sha256(b"user\nmended\nassistant\nanew\n").hexdigest()
+
+
 # -- quality ------------------------------------------------------------------
 
 def test_quality_measures_and_verdicts(docs):
