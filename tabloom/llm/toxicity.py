@@ -5,10 +5,12 @@ and word beginnings plus the log-odds of the categories before it. While
 training, those come from out-of-fold predictions, so that a later model never
 sees an earlier one's answer for a row that the earlier one was fitted on.
 
-The labels give one category, ``toxic``. The later ones are grades of it that
-the labelled texts themselves define: ``repeated`` texts hold at least the
-median number of telling features of toxic texts, ``dense`` ones at least the
-median share of them. A document is rejected when ``toxic`` reaches the threshold.
+The labels give one category, ``toxic``. The next ones are grades of it that the
+labelled texts themselves define: ``repeated`` texts hold at least the median number of
+telling features of toxic texts, ``dense`` ones at least the median share of them. The
+last link, ``verdict``, is about ``toxic`` again and sees all three before it. A document
+is rejected when it reaches the threshold that serves the last link's out-of-fold scores
+best (the highest F1 of the labels that the sampled rows stand for).
 
 Fitting uses at most ``sample`` labelled documents of each class, those of the
 smallest id hash; features are chosen by their counts in that sample. Where that
@@ -35,12 +37,11 @@ from pyspark.sql import functions as F
 from tabloom.llm.common import (letter_codes, map_texts, own_columns, stored, text_slices, word_bounds,
                                 word_hashes)
 
-CATEGORIES = ("toxic", "repeated", "dense")
+CATEGORIES = ("toxic", "repeated", "dense", "verdict")
 SAMPLE = 4000  # labelled documents of each class that a model is fitted on, at most
 FEATURES = 512
 LEAST_TEXTS = 5  # sampled texts that hold a feature, at least
 FOLDS = 5
-THRESHOLD = 0.5
 PREFIX_BYTES = 4
 RIDGE = 0.3
 
@@ -77,10 +78,12 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Chain:
-    """``features`` ascending; weights of each category: features, bias, then earlier categories."""
+    """``features`` ascending; weights of each category: features, bias, then earlier categories; the
+    log-odds of the last one from which a document is rejected."""
 
     features: np.ndarray
     weights: list[np.ndarray]
+    least: float = 0.0
 
     def log_odds(self, x: np.ndarray) -> np.ndarray:
         out = np.zeros((len(x), len(self.weights)))
@@ -109,9 +112,19 @@ def _fit(x: np.ndarray, y: np.ndarray, s: np.ndarray, rounds: int = 150) -> np.n
     return w
 
 
+def best_cut(odds: np.ndarray, y: np.ndarray, s: np.ndarray) -> float:
+    """The score of highest F1 for rows of weight ``s`` from which on they are taken, the highest of the best."""
+    order = np.argsort(-odds, kind="stable")
+    score, hit, all_ = odds[order], np.cumsum((s * y)[order]), np.cumsum(s[order])
+    last = np.append(score[1:] != score[:-1], True)  # a cut takes all equal scores
+    f1 = np.where(last, 2 * hit / (all_ + (s * y).sum()), -1.0)
+    return float(score[int(np.argmax(f1))])
+
+
 def fit_chain(x: np.ndarray, labels: list[np.ndarray], features: np.ndarray, folds: np.ndarray,
               stands: np.ndarray | None = None) -> Chain:
-    """Each model sees the earlier categories as models of the other folds predict them; ``stands`` weighs the rows."""
+    """Each model sees the earlier categories as models of the other folds predict them; ``stands`` weighs the rows.
+    The cut of the last one comes from its own out-of-fold scores."""
     weights, earlier = [], np.zeros((len(x), 0))
     stands = np.ones(len(x)) if stands is None else stands
     for y in labels:
@@ -126,7 +139,11 @@ def fit_chain(x: np.ndarray, labels: list[np.ndarray], features: np.ndarray, fol
         n = x.shape[1]
         weights.append(np.concatenate([w[:n], w[-1:], w[n:-1]]))
         earlier = np.hstack([earlier, out_of_fold[:, None]])
-    return Chain(features, weights)
+    chain = Chain(features, weights)
+    # a text without features says nothing, so it is never rejected
+    silent = float(chain.log_odds(np.zeros((1, x.shape[1])))[0, -1])
+    chain.least = max(best_cut(earlier[:, -1], labels[-1], stands), silent + 1e-9)
+    return chain
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | None:
@@ -166,7 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | N
     grade = lambda v: toxic * (v >= max(np.median(v[toxic == 1]), 1e-9))
     folds = np.array([(r["doc_id"] * 0x9E3779B97F4A7C15 >> 17) % FOLDS for r in rows])
     stands = np.where(toxic == 1, each[1], each[0]) * (len(rows) / whole)
-    return fit_chain(x, [toxic, grade(told), grade(share)], features, folds, stands)
+    return fit_chain(x, [toxic, grade(told), grade(share), toxic], features, folds, stands)
 
 
 def _score(chain: Chain | None, keep_columns: bool):
@@ -188,11 +205,12 @@ def _score(chain: Chain | None, keep_columns: bool):
                     x[texts[same], at[same]] = 1
                     odds[first: first + len(x)] = chain.log_odds(x)
             p = 1 / (1 + np.exp(-odds))
+            rejected = odds[:, -1] >= (np.inf if chain is None else chain.least)
             if keep_columns:
-                yield batch.filter(pa.array(~(p[:, 0] >= THRESHOLD)))
+                yield batch.filter(pa.array(~rejected))
             else:
                 columns = [pa.array(np.round(p[:, k], 6)) for k in range(p.shape[1])]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(p[:, 0] >= THRESHOLD)],
+                yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(rejected)],
                                                  names=["doc_id", *[f"p_{c}" for c in CATEGORIES], "rejected"])
 
     return run

@@ -463,9 +463,58 @@ def test_verdicts_do_not_depend_on_the_sample_cap(spark, docs):
     tried = docs(*[(i, t) for i, t in enumerate(["moss fern reedy stupid", "moss fern reedy", "moss stupid idiot"])]).coalesce(1)
     odds = [np.array([[r.p_toxic for r in toxicity.map_texts(
         tried.select("doc_id", "text"), toxicity._score(c, False),
-        "doc_id long, p_toxic double, p_repeated double, p_dense double, rejected boolean").orderBy("doc_id").collect()]]) for c in (whole, capped)]
+        "doc_id long, p_toxic double, p_repeated double, p_dense double, p_verdict double, rejected boolean").orderBy("doc_id").collect()]]) for c in (whole, capped)]
     assert np.abs(odds[0] - odds[1]).max() < 0.2
-    assert [list(p[0] >= toxicity.THRESHOLD) for p in odds] == [[False, False, True]] * 2
+    assert [list(p[0] >= 0.5) for p in odds] == [[False, False, True]] * 2
+    assert all(_plain_scores(c, "moss stupid idiot")[1] and not _plain_scores(c, "moss fern reedy")[1] for c in (whole, capped))
+
+
+def _plain_scores(chain, text):
+    """(probabilities, rejected) by looking up each word and word beginning, link after link."""
+    def number(part, prefix):
+        data = np.frombuffer(part, np.uint8)
+        h = int(toxicity.word_hashes(data, np.array([0]), np.array([len(part)]), toxicity._CODES)[0])
+        return h ^ int(toxicity._OF_PREFIX) if prefix else h
+
+    words = [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+    here = {number(w, False) for w in words} | {number(w[:4], True) for w in words if len(w) > 4}
+    odds = []
+    for w in chain.weights:
+        n = len(chain.features)
+        z = w[n] + sum(w[i] for i, f in enumerate(chain.features.tolist()) if f in here) + sum(a * b for a, b in zip(odds, w[n + 1:]))
+        odds.append(max(-30.0, min(30.0, z)))
+    return [round(1 / (1 + np.exp(-o)), 6) for o in odds], odds[-1] >= chain.least
+
+
+def test_scores_match_brute_force_through_the_chain(spark, docs):
+    rng = random.Random(11)
+    fill = ["moss", "fern", "Reedbed", "münze", "a", "bb"]
+    truth = {i: i % 5 == 0 for i in range(600)}
+
+    def text(t):
+        return " ".join(rng.choice(fill) for _ in range(rng.randint(3, 30))) + "".join(
+            f" {rng.choice(['Scoundrel', 'scoundrels', 'villain', 'cad'])}" for _ in range(rng.randint(1, 4) if t and rng.random() < 0.9 else 0))
+
+    rows = [(i, text(t)) for i, t in truth.items()] + [(900, None), (901, ""), (902, "x" * 100_000 + " villain villain villain cad " * 2000)]
+    labels = spark.createDataFrame([(i, int(t)) for i, t in truth.items() if i % 2], "doc_id long, toxic int")
+    df = docs(*rows)
+    chain = toxicity.train(df, labels)
+    assert any(abs(x) > 0 for x in chain.weights[-1][len(chain.features) + 1:])  # earlier links reach the verdict
+    for r in toxicity.judge(df, labels).collect():
+        p, rejected = _plain_scores(chain, dict(rows)[r.doc_id])
+        assert [r.p_toxic, r.p_repeated, r.p_dense, r.p_verdict] == pytest.approx(p, abs=2e-6) and r.rejected == rejected
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_best_cut_is_the_best_of_all(seed):
+    rng = np.random.default_rng(seed)
+    odds, y, s = np.round(rng.normal(size=60), 1), (rng.random(60) < 0.3).astype(float), rng.integers(1, 4, 60).astype(float)
+
+    def f1(cut):
+        hit = odds >= cut
+        return 2 * (s * y * hit).sum() / ((s * hit).sum() + (s * y).sum())
+
+    assert f1(toxicity.best_cut(odds, y, s)) == max(f1(c) for c in odds)
 
 
 def test_later_models_see_out_of_fold_log_odds():
