@@ -367,7 +367,7 @@ LINKED = f"overlap * {SHARE + OF} >= {SHARE} * (na + nb)"
 # -- the join -----------------------------------------------------------------
 
 def _index_pairs(texts: DataFrame, total: int, leads: DataFrame) -> DataFrame:
-    """Candidate pairs of leaders (a, b) from the index over all rows."""
+    """Candidate pairs of leaders (a, b) from the index over one row of each class."""
     common, bits = common_shingles(texts, total)
     parts = 1 << max(0, (total // OF // PART_ENTRIES).bit_length())
     blocks = map_texts(texts, _list_entries(common, bits, parts), "part long, token binary, row_key binary, n binary, rest binary")
@@ -402,8 +402,12 @@ def linked_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         "row_key", "n", F.coalesce("a", "row_key").alias("lead"), F.coalesce("grp", "row_key").alias("grp"),
         F.coalesce("overlap", "n").alias("with_lead")), "leads")
 
-    total = signatures.agg(F.sum("n")).head()[0] or 0
-    pairs = _index_pairs(texts, total, leads.select("row_key", "lead", "grp"))
+    # only the first of equal sets is listed, so copies bring no entries into a list's task
+    copies = stored(signatures.filter("n > 0").select("row_key").join(
+        classes.select(F.col("rep").alias("row_key")), "row_key", "left_anti"), "copies")
+    single = texts.join(copies if copies.count() > FEW_ROWS else F.broadcast(copies), "row_key", "left_anti")
+    total = classes.agg(F.sum("n")).head()[0] or 0
+    pairs = _index_pairs(single, total, leads.select("row_key", "lead", "grp"))
     compared = overlaps(texts, pairs)
     found = near.select("a", "b").union(compared.filter(LINKED).select("a", "b"))
 
