@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tabloom.catalog.base import DIRTY_EVENTS, Tables, dirty_events, query, rd
+from tabloom.catalog.base import DIRTY_EVENTS, Tables, as_int, dirty_events, query, rd
 from tabloom.operators import encoding as E
 
 # part with constant, sparse, copied and null-bearing columns beside the real ones
@@ -127,11 +127,16 @@ def k08(t: Tables):
     return d.select("event_id", rd("med_fill").alias("med_fill"), rd("mean_fill").alias("mean_fill"), "amount_missing", "etype")
 
 
-@query("k09_fill_by_tree", "select count(*) as n, count(p_size) as filled from part")
+@query("k09_fill_by_tree", f"""
+select p_partkey, some_null is not null as was_known, round(some_null::double, 6) as known_value, 1 as within_known from {_P}""")
 def k09(t: Tables):
-    d = wide_parts(t).withColumn("some_null", F.col("some_null").cast("double"))
+    """Known values stay; filled ones lie between the least and the largest known value."""
+    d = wide_parts(t).withColumn("some_null", F.col("some_null").cast("double")).withColumn("before", F.col("some_null"))
     out = E.fill_by_tree(d, "some_null", ["p_retailprice", "price2"])
-    return out.agg(F.count("*").alias("n"), F.count("some_null").alias("filled"))
+    least, most = (d.agg(f("before")).scalar() for f in (F.min, F.max))
+    fits = F.col("some_null").between(least, most) & F.coalesce(F.col("some_null") == F.col("before"), F.lit(True))
+    return out.select("p_partkey", F.col("before").isNotNull().alias("was_known"),
+                      rd(F.when(F.col("before").isNotNull(), F.col("some_null"))).alias("known_value"), as_int(fits).alias("within_known"))
 
 
 @query("k10_drop_sparse", f"select p_partkey, some_null, k_const from {_P}")

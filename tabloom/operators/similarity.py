@@ -27,6 +27,8 @@ from tabloom.session import settle
 BLOCK_ROWS = 4096
 PATTERN_ROWS, PATTERN_BYTES = 2_000, 16 << 20  # a pattern set that every task may hold
 RINGS = 128
+LEAST_PIVOTS, MOST_PIVOTS = 32, 1024
+ROUTED_CELLS = 1 << 18  # (query, cell) pairs whose bounds are worked out at once
 DIGITS = 6
 
 
@@ -92,21 +94,26 @@ def _route(
         close[i, : len(stats[c]["close"])] = stats[c]["close"]
     own = centers[cells]
 
+    def visits(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        d = _distances(vectors, own)
+        if probes is None:
+            reach = (d[:, :, None] + close[None, :, :]).reshape(len(d), -1)
+            limit = np.partition(reach, need - 1, axis=1)[:, need - 1] if reach.shape[1] >= need else np.inf
+            below = np.maximum(d - rmax[None, :], rmin[None, :] - d)
+            return np.nonzero(below <= np.reshape(limit, (-1, 1)) + 1e-5)
+        cols = np.argsort(d, axis=1)[:, :probes]
+        return np.repeat(np.arange(len(d)), cols.shape[1]), cols.ravel()
+
+    step = max(1, ROUTED_CELLS // len(cells))
+
     def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            d = _distances(_matrix(pdf["vec"]), own)
-            if probes is None:
-                reach = (d[:, :, None] + close[None, :, :]).reshape(len(d), -1)
-                limit = np.partition(reach, need - 1, axis=1)[:, need - 1] if reach.shape[1] >= need else np.inf
-                below = np.maximum(d - rmax[None, :], rmin[None, :] - d)
-                rows, cols = np.nonzero(below <= np.reshape(limit, (-1, 1)) + 1e-5)
-            else:
-                cols = np.argsort(d, axis=1)[:, :probes]
-                rows = np.repeat(np.arange(len(d)), cols.shape[1])
-                cols = cols.ravel()
-            out = pdf[keep].iloc[rows].copy()
-            out["cell"] = cells[cols].astype("int32")
-            yield out
+            for first in range(0, len(pdf), step):
+                some = pdf.iloc[first: first + step]
+                rows, cols = visits(_matrix(some["vec"]))
+                out = some[keep].iloc[rows].copy()
+                out["cell"] = cells[cols].astype("int32")
+                yield out
 
     fields = [queries.schema[c] for c in keep]
     return queries.select("id", "vec").mapInPandas(go, T.StructType([*fields, T.StructField("cell", T.IntegerType())]))
@@ -137,7 +144,7 @@ def nearest(
     base_id: str = "id",
     base_vec: str = "vec",
     exclude_same_id: bool = False,
-    pivots: int = 32,
+    pivots: int | None = None,
     probes: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
@@ -157,6 +164,8 @@ def nearest(
         return _with_vector_key(out.where(F.col("vec").isNotNull()))
 
     need = k + int(exclude_same_id)
+    if pivots is None:  # cells of about the square root of the rows, in a number that every task may hold
+        pivots = min(MOST_PIVOTS, max(LEAST_PIVOTS, int(base.count() ** 0.5)))
     asked = prepared(queries, query_id, query_vec)
     q = asked.groupBy("_key").agg(F.min("id").alias("id"), F.any_value("vec").alias("vec"))
     b = prepared(base, base_id, base_vec)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,11 +37,13 @@ def upsert_partitions(batch: DataFrame, path: str, keys: Sequence[str], order: S
     touched = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]  # at most `buckets`
     if not touched:
         return
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    exists = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
     merged = fresh
-    if exists:
+    try:
         old = spark.read.schema(fresh.schema).parquet(path).where(F.col("bucket").isin(*touched))
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+    else:
         # the latest in order stays, whichever batch brought it; at a tie the new batch's
         stacked = old.withColumn("_v", F.lit(0)).unionByName(fresh.withColumn("_v", F.lit(1)))
         merged = one_per_key(stacked, [*keys, "bucket"], [*map(F.col, order), F.col("_v")], last=True).drop("_v")
