@@ -34,6 +34,8 @@ from tabloom.llm.common import own_columns
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 CACHE_ENTRIES = 700_000
+CACHED_CHARS = 64  # longer stretches are not kept, so the cache is bounded in bytes
+LONG_STRETCH = 256  # bytes from which a stretch isn't stepped through with others
 BATCH_TEXTS = 2000  # texts whose new stretches are segmented together
 
 _STRETCH = re.compile(r" *[^ \n]+|\n| +")
@@ -80,6 +82,13 @@ class Automaton:
             level = below
         # the first output of each state: itself or its link
         self.first = np.where(self.piece >= 0, np.arange(n), self.link).astype(np.int32)
+        self._plain: tuple | None = None
+
+    def plain(self) -> tuple:
+        """(goto, first, link, depth, piece, score) as flat sequences that a loop reads quickly."""
+        if self._plain is None:
+            self._plain = (self.goto.reshape(-1).data, *(x.tolist() for x in (self.first, self.link, self.depth, self.piece, self.score)))
+        return self._plain
 
 
 class Codec:
@@ -107,6 +116,50 @@ class Codec:
         self.known: dict[str, bytes] = {}
 
     def segment(self, stretches: list[bytes]) -> list[np.ndarray]:
+        """Ids of each stretch of bytes: short ones step together, a long one in a loop of its own."""
+        short = [i for i, s in enumerate(stretches) if len(s) <= LONG_STRETCH]
+        out = [np.zeros(0, np.int32)] * len(stretches)
+        for i, ids in zip(short, self.together([stretches[i] for i in short])):
+            out[i] = ids
+        for i, s in enumerate(stretches):
+            if len(s) > LONG_STRETCH:
+                out[i] = self.alone(s)
+        return out
+
+    def alone(self, stretch: bytes) -> np.ndarray:
+        """The ids of one stretch; a few plain steps a byte, whatever its length."""
+        goto, first, link, depth, piece, gain = self.automaton.plain()
+        spell, unknown, lost = self.bytes_at.tolist(), self.unknown, -np.inf
+        best, back, made = [0.0], [0], [0]
+        state = begin = 0
+        end = len(stretch) - 1
+        for t, byte in enumerate(stretch):
+            if byte & 0xC0 != 0x80:
+                begin = t
+            state = goto[state << 8 | byte]
+            size = t + 1 - begin  # of the character so far
+            score, step, name, own = lost, 1, spell[byte], False
+            node = first[state]
+            while node:
+                n = depth[node]
+                found = best[t + 1 - n] + gain[node]
+                own = own or n == size
+                if found > score:
+                    score, step, name = found, n, piece[node]
+                node = link[node]
+            # the character in bytes, unless a piece is that very character
+            if not own and (t == end or stretch[t + 1] & 0xC0 != 0x80) and best[begin] + unknown > score:
+                score, step, name = best[begin] + unknown, 1, spell[byte]
+            best.append(score)
+            back.append(step)
+            made.append(name)
+        ids, t = [], end + 1
+        while t:
+            ids.append(made[t])
+            t -= back[t]
+        return np.array(ids[::-1], np.int32)
+
+    def together(self, stretches: list[bytes]) -> list[np.ndarray]:
         """Ids of each stretch of bytes, all stepped through together."""
         sizes = np.array([len(s) for s in stretches], np.int64)
         order = np.argsort(-sizes, kind="stable")
@@ -189,8 +242,9 @@ class Codec:
             # a mark in the text itself is no word mark: it is passed as a byte that no text or piece holds
             mark = MARK.encode()
             bodies = [s.encode().replace(mark, b"\xff").replace(b" ", mark) for s in fresh]
-            keep = known if len(known) + len(fresh) <= CACHE_ENTRIES else passing
+            room = len(known) + len(fresh) <= CACHE_ENTRIES
             for s, ids in zip(fresh, self.segment(bodies)):
+                keep = known if room and len(s) <= CACHED_CHARS else passing
                 keep[s] = self._marks(ids).tobytes() if MARK in s else ids.astype("<i4", copy=False).tobytes()
         if not passing:
             return [b"".join([known[s] for s in stretches]) for stretches in split]

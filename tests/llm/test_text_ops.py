@@ -127,6 +127,21 @@ def test_segmentation_is_the_best_one(codec):
         assert codec.decode(found) == t
 
 
+def test_long_stretches_are_segmented_like_short_ones(codec):
+    import time
+
+    rng = random.Random(6)
+    marks = [x.replace(" ", "").replace("\n", "") for x in ODD]
+    texts = ["".join(rng.choice(marks) for _ in range(rng.randint(1, 300))).encode() for _ in range(60)] + ["é".encode() * 200, "日本🙂".encode() * 50]
+    for t, ids in zip(texts, codec.together(texts)):
+        assert codec.alone(t).tolist() == ids.tolist()
+    start = time.perf_counter()
+    word = "".join(rng.choice("abcdefghijklmnop") for _ in range(300_000))
+    (found,) = codec.encode([word])
+    assert codec.decode(found) == word and time.perf_counter() - start < 10
+    assert all(len(k) <= sentencepiece_codec.CACHED_CHARS for k in codec.known)
+
+
 def test_encoding_round_trip_on_spark(docs):
     rows = list(enumerate(odd_texts(5, 40))) + [(50, None), (51, "y" * 20_000)]
     out = sentencepiece_codec.encode(docs(*rows))
