@@ -130,7 +130,7 @@ def op8_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)],
                                 "conv_id long, turn long, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
-    return chat.read_back(chat.render(chat.event_log(turns)))
+    return chat.read_back(chat.render(chat.event_log(turns), together=True), together=True)
 
 
 SQL["op8_event_sourced_chat"] = r"""

@@ -29,9 +29,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import own_columns, stored
+from tabloom.llm.common import own_columns
 
 OPEN, BODY, CLOSE = "<s>", "[INST]", "</s>"
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]")
@@ -79,11 +80,9 @@ def event_log(turns: DataFrame, delta_chars: int = DELTA_CHARS) -> DataFrame:
     """
     t = own_columns(turns, {c: c for c in ("conv_id", "turn", "role", "text")}).select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    t = t.withColumns({"tie": F.md5("text"), "arrival": F.monotonically_increasing_id()})
-    order = ["conv_id", "turn", "role", "tie", "arrival"]  # arrival only deals equal rows over tasks
-    dealt = t.repartitionByRange(*order).sortWithinPartitions(*order)
-    # stored, so that the numbers hold
-    t = stored(dealt.select("conv_id", "role", "text", F.monotonically_increasing_id().alias("n")), "turns")
+    # rows of a conversation are numbered where they meet, and stay there
+    place = F.row_number().over(W.partitionBy("conv_id").orderBy("turn", "role", F.md5("text")))
+    t = t.withColumn("n", place.cast("long")).select("conv_id", "role", "text", "n")
     t = t.withColumns({"mark": F.pmod(F.xxhash64("text"), F.lit(8)), "parts": F.ceil(F.length("text") / delta_chars).cast("int")})
     own, ghost = 2 * F.col("n"), 2 * F.col("n") + 1
 
@@ -112,9 +111,8 @@ def event_log(turns: DataFrame, delta_chars: int = DELTA_CHARS) -> DataFrame:
 def _with_start(events: DataFrame) -> DataFrame:
     """``events`` with ``start``: the place of their message's first start, null if it has none."""
     e = own_columns(events, {c: c for c in ("conv_id", "seq", "message", "kind", "payload")})
-    key = F.struct("conv_id", "message").alias("key")  # nulls are equal in here
-    starts = e.filter("kind = 'start'").groupBy(key).agg(F.min("seq").alias("start"))
-    return e.withColumn("key", key).join(starts, "key", "left").drop("key")
+    first = F.min(F.when(F.col("kind") == "start", F.col("seq")))
+    return e.withColumn("start", first.over(W.partitionBy("conv_id", "message")))
 
 
 def faulty_events(events: DataFrame) -> DataFrame:
@@ -201,19 +199,22 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _batched(rows(), DIGESTS)
 
 
-def render(events: DataFrame) -> DataFrame:
+def render(events: DataFrame, together: bool = False) -> DataFrame:
     """One row per turn, in order within its partition: the written ``piece``, its place in the
     conversation's output, and the range under the loss mask (empty but for trained turns).
 
-    A conversation's formatted text is its pieces one after another.
+    A conversation's formatted text is its pieces one after another. ``together`` says that
+    the rows of a conversation are in one partition already, as ``event_log`` leaves them.
     """
-    fine = _with_start(events).filter(F.col("kind").isin(*KINDS) & (F.col("seq") >= F.col("start")))
-    dealt = fine.repartition("conv_id").sortWithinPartitions("conv_id", "start", "message", "seq")
-    return dealt.select("conv_id", "start", "message", "seq", "kind", "payload").mapInArrow(_render, RENDERED_DDL)
+    dealt = _with_start(events if together else events.repartition("conv_id"))  # messages lie within conversations
+    fine = dealt.filter(F.col("kind").isin(*KINDS) & (F.col("seq") >= F.col("start")))
+    ordered = fine.sortWithinPartitions("conv_id", "start", "message", "seq")
+    return ordered.select("conv_id", "start", "message", "seq", "kind", "payload").mapInArrow(_render, RENDERED_DDL)
 
 
-def read_back(rendered: DataFrame) -> DataFrame:
-    """Per conversation, what its formatted text parses back to; ``rendered`` in any order, from a stored table as well."""
-    columns = [f.name for f in RENDERED]
-    dealt = rendered.select(*columns).repartition("conv_id").sortWithinPartitions("conv_id", "turn_index")
+def read_back(rendered: DataFrame, together: bool = False) -> DataFrame:
+    """Per conversation, what its formatted text parses back to; ``rendered`` in any order, from a stored table as
+    well, or ``together`` as ``render`` leaves it."""
+    rows = rendered.select(*[f.name for f in RENDERED])
+    dealt = rows if together else rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn_index")
     return dealt.mapInArrow(_digest, DIGESTS_DDL)
