@@ -41,6 +41,26 @@ def n01(t: Tables):
     return C.pending_outcome(control(t), client_claims(t), "client", "claim_id")
 
 
+@query("n01_run_together", f"""
+with g as (select cast(nation as varchar) as client_code, count(case when nation % 4 = 3 and claim_id % 9 = 0 then 1 end) as bad,
+  min(case when nation = 11 and claim_status = 'P' then 'unreadable claim ' || claim_status end) as err from {CLAIMS} where nation <> 13 group by 1),
+j as (select c.*, bad, err, case when data_load_status = '1' and prediction_status = '0' then
+  case when g.client_code is null then 'no rows' when err is not null then err when bad > 10 then bad || ' rows without an id' else 'done' end end as outcome
+  from {_CONTROL} c left join g using (client_code))
+select client_code, data_load_status, case when outcome = 'done' then '1' else prediction_status end as prediction_status,
+  nullif(outcome, 'done') as prediction_error from j""")
+def n01t(t: Tables):
+    """One client has no rows, one has rows that can't be read, some lost more ids than the gate tolerates."""
+    def work(clients):
+        rows = claims(t).where("nation <> 13").withColumn("client_code", F.col("nation").cast("string")).join(clients, "client_code", "left_semi")
+        lost = (F.col("nation") % 4 == 3) & (F.col("claim_id") % 9 == 0)
+        broken = (F.col("nation") == 11) & (F.col("claim_status") == "P")
+        return rows.withColumns({"claim_id": F.when(~lost, F.col("claim_id")),
+                                 "error": F.when(broken, F.concat(F.lit("unreadable claim "), "claim_status"))})
+
+    return C.run_pending_together(control(t), work, "client_code", "claim_id", error_col="error")
+
+
 @query("n01_run_pending", f"""
 with g as (select plan as client_code, count(case when plan = 'BUILDING' and claim_id % 2 = 0 then 1 end) as bad from {CLAIMS} group by 1)
 select client_code, '1' as data_load_status, case when client_code = 'MACHINERY' then '0' when bad <= 10 then '1' else '0' end as prediction_status from g""")

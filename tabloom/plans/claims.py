@@ -120,6 +120,28 @@ def run_pending(control: DataFrame, work: Callable[[str], DataFrame], id_col: st
         "prediction_status", F.when(flip, "1").otherwise(F.col("prediction_status"))).select(*control.columns, "prediction_error")
 
 
+def run_pending_together(
+    control: DataFrame, work: Callable[[DataFrame], DataFrame], client_col: str, id_col: str, tolerated: int = 10,
+    error_col: str | None = None,
+) -> DataFrame:
+    """All pending clients in one job: ``work`` gets their ``client_code`` as a DataFrame and returns rows of all of them.
+
+    A client is done if it has rows, none of them holds an error (``error_col``), and at most ``tolerated`` lack an id;
+    else ``prediction_error`` says why not.  Clients neither reach the driver nor wait for one another.
+    """
+    clients = pending(control).select("client_code").where("client_code is not null").distinct()
+    error = F.min(error_col) if error_col else F.lit(None).cast("string")
+    found = work(clients).groupBy(F.col(client_col).alias("client_code")).agg(
+        F.count("*").alias("_rows"), F.sum(F.col(id_col).isNull().cast("long")).alias("_bad"), error.alias("_error"))
+    joined = control.join(found, "client_code", "left")
+    waiting = (F.col("data_load_status") == "1") & (F.col("prediction_status") == "0")
+    reason = F.when(F.col("_rows").isNull(), "no rows").when(F.col("_error").isNotNull(), F.col("_error")).when(
+        F.col("_bad") > tolerated, F.concat(F.col("_bad").cast("string"), F.lit(" rows without an id")))
+    return joined.withColumn("prediction_error", F.when(waiting, reason)).withColumn(
+        "prediction_status", F.when(waiting & reason.isNull(), "1").otherwise(F.col("prediction_status"))).select(
+        *control.columns, "prediction_error")
+
+
 def pending_outcome(control: DataFrame, data: DataFrame, client_col: str, id_col: str, tolerated: int = 10) -> DataFrame:
     """Set form of :func:`run_pending`: every pending client's gate in one
     grouped pass over the data instead of a job per client."""
