@@ -442,7 +442,19 @@ def _open_pairs(texts: DataFrame, leads: DataFrame, apart: DataFrame, roots: Dat
                        "lead long, row_key long, token long, fresh boolean")
     fresh = spelled.filter("fresh").select("token", F.col("lead").alias("lead_x"), F.col("row_key").alias("x"))
     held = spelled.select("token", F.col("lead").alias("lead_y"), F.col("row_key").alias("y"))
-    meets = fresh.join(held, "token").filter("lead_x != lead_y")
+    # groups meet by shingle before their members do, and only where their leaders leave something open
+    most = leads.groupBy("lead").agg(F.max(slack).alias("most")).withColumnRenamed("lead", "lead_y")
+    ways = rest.select(F.col("a").alias("lead_x"), F.col("b").alias("lead_y"), "overlap").union(
+        rest.select("b", "a", "overlap")).join(most, "lead_y")
+    both = fresh.select("lead_x", "token").distinct().join(held.select("lead_y", "token").distinct(), "token").filter(
+        "lead_x != lead_y").join(ways, ["lead_x", "lead_y"])
+    near = stored(both.join(fresh, ["lead_x", "token"]), "near")
+    # a member whose shingles in the whole other group, with all that any of that group adds, can't do links with none there
+    able = near.groupBy("lead_x", "lead_y", "x", "overlap", "most").agg(F.count("*").alias("met")).join(
+        members.select(F.col("row_key").alias("x"), "n"), "x").filter(
+        (SHARE + OF) * (F.col("overlap") + F.col("met")) - SHARE * F.col("n") + F.col("most") >= 0)
+    meets = near.select("lead_x", "lead_y", "x", "token").join(
+        able.select("lead_x", "lead_y", "x"), ["lead_x", "lead_y", "x"]).join(held, ["lead_y", "token"])
     turned = F.col("lead_x") > F.col("lead_y")
     shared = meets.select(
         F.least("lead_x", "lead_y").alias("a"), F.greatest("lead_x", "lead_y").alias("b"),
