@@ -5,6 +5,11 @@ writes as Parquet and reads again as the next stage's ``docs``. All but the last
 return the columns of ``documents``; a document that a stage rejects is gone for
 the stages after it. No SQL expresses the trained and token stages, so the
 pipeline is tested against its operators' brute-force versions.
+
+Defined cases: null and empty texts fail the quality rules, and a text of which
+line dedup leaves nothing is gone; repeated rows and equal texts leave one; without
+labels of both kinds nothing is toxic; long texts are judged whole; columns keep
+their names, whatever they are; an empty table packs to nothing.
 """
 
 from __future__ import annotations
