@@ -5,7 +5,11 @@ cell of its nearest pivot.  Distances to the pivots bound the distance to
 every cell (triangle inequality), so a query is sent only to the cells that
 can hold one of its k nearest.  Cells are cut into slices of bounded size and
 the queries of a crowded cell are salted, so every task sees a bounded block
-against a bounded block and emits k rows per query, never the pairs.
+against a bounded block and emits k rows per query, never the pairs.  Where the
+bounds exclude little (vectors of many dimensions) cells that lie together make
+one bundle, so that a row is copied for each bundle, not for each cell.  Inside
+a block a single-precision product finds the few candidates that can matter;
+these alone are scored and ordered in double precision.
 """
 
 from __future__ import annotations
@@ -29,6 +33,10 @@ PATTERN_ROWS, PATTERN_BYTES = 2_000, 16 << 20  # a pattern set that every task m
 RINGS = 128
 LEAST_PIVOTS, MOST_PIVOTS = 32, 1024
 ROUTED_CELLS = 1 << 18  # (query, cell) pairs whose bounds are worked out at once
+MOST_COPIES = 16  # cells that a query is sent to on average; beyond, cells are bundled
+BUNDLE_ROWS = 1 << 16  # rows of a bundle that one task compares, at most
+LEAST_BLOCKS = 8  # bundles and salts that the rows are cut into before blocks grow
+QUERY_ROWS, BASE_ROWS, FIRST_ROWS = 4096, 2048, 512  # one product; the first one of a block is smaller
 DIGITS = 6
 
 
@@ -52,14 +60,15 @@ def _matrix(col: pd.Series) -> np.ndarray:
     return np.stack(col.to_numpy()).astype(np.float64)
 
 
-def _assign(base: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """Adds the nearest pivot and the distance to it."""
+def _assign(base: DataFrame, pivots: np.ndarray, bundles: np.ndarray | None = None) -> DataFrame:
+    """Adds the nearest pivot (or the bundle it is in) and the distance to it."""
 
     @F.pandas_udf("cell int, dist double")
     def to_pivot(v: pd.Series) -> pd.DataFrame:
         d = _distances(_matrix(v), pivots)
         cell = d.argmin(1)
-        return pd.DataFrame({"cell": cell.astype("int32"), "dist": d[np.arange(len(d)), cell]})
+        named = cell if bundles is None else bundles[cell]
+        return pd.DataFrame({"cell": named.astype("int32"), "dist": d[np.arange(len(d)), cell]})
 
     return base.withColumn("_a", to_pivot("vec")).select("id", "vec", "_a.cell", "_a.dist")
 
@@ -82,10 +91,22 @@ def _cell_stats(assigned: DataFrame, centers: np.ndarray, need: int) -> dict[int
     return stats
 
 
+def _bundles(centers: np.ndarray, stats: dict[int, dict], rows: int) -> np.ndarray:
+    """For each pivot the number of its bundle: neighbours along the pivots' main direction, of about ``rows`` rows."""
+    spread = centers - centers.mean(0)
+    along = spread @ np.linalg.svd(spread, full_matrices=False)[2][0]
+    order = np.argsort(along, kind="stable")
+    sizes = np.array([stats[c]["n"] if c in stats else 0 for c in order.tolist()])
+    out = np.empty(len(centers), np.int64)
+    out[order] = (np.cumsum(sizes) - sizes) // max(rows, 1)
+    return out
+
+
 def _route(
-    queries: DataFrame, centers: np.ndarray, stats: dict, need: int, probes: int | None, keep: list[str]
+    queries: DataFrame, centers: np.ndarray, stats: dict, need: int, probes: int | None, keep: list[str],
+    bundles: np.ndarray | None = None,
 ) -> DataFrame:
-    """One row per (query, cell it must visit), with the ``keep`` columns."""
+    """One row per (query, cell or bundle it must visit), with the ``keep`` columns."""
     cells = np.array(sorted(stats))
     rmin = np.array([stats[c]["lo"] for c in cells])
     rmax = np.array([stats[c]["hi"] for c in cells])
@@ -93,16 +114,21 @@ def _route(
     for i, c in enumerate(cells):
         close[i, : len(stats[c]["close"])] = stats[c]["close"]
     own = centers[cells]
+    named = cells if bundles is None else bundles[cells]
+    firsts = np.unique(named, return_index=True)[0]
 
-    def visits(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def visits(vectors: np.ndarray) -> list[np.ndarray]:
         d = _distances(vectors, own)
-        if probes is None:
-            reach = (d[:, :, None] + close[None, :, :]).reshape(len(d), -1)
-            limit = np.partition(reach, need - 1, axis=1)[:, need - 1] if reach.shape[1] >= need else np.inf
-            below = np.maximum(d - rmax[None, :], rmin[None, :] - d)
-            return np.nonzero(below <= np.reshape(limit, (-1, 1)) + 1e-5)
-        cols = np.argsort(d, axis=1)[:, :probes]
-        return np.repeat(np.arange(len(d)), cols.shape[1]), cols.ravel()
+        if probes is not None:
+            return list(named[np.argsort(d, axis=1)[:, :probes]])
+        reach = (d[:, :, None] + close[None, :, :]).reshape(len(d), -1)
+        limit = np.partition(reach, need - 1, axis=1)[:, need - 1] if reach.shape[1] >= need else np.inf
+        below = np.maximum(d - rmax[None, :], rmin[None, :] - d)
+        near = below <= np.reshape(limit, (-1, 1)) + 1e-5
+        if bundles is None:
+            return [cells[row] for row in near]
+        met = np.stack([near[:, named == b].any(1) for b in firsts], axis=1)
+        return [firsts[row] for row in met]
 
     step = max(1, ROUTED_CELLS // len(cells))
 
@@ -110,13 +136,12 @@ def _route(
         for pdf in batches:
             for first in range(0, len(pdf), step):
                 some = pdf.iloc[first: first + step]
-                rows, cols = visits(_matrix(some["vec"]))
-                out = some[keep].iloc[rows].copy()
-                out["cell"] = cells[cols].astype("int32")
-                yield out
+                yield some[keep].assign(cells=[c.astype("int32") for c in visits(_matrix(some["vec"]))])
 
     fields = [queries.schema[c] for c in keep]
-    return queries.select("id", "vec").mapInPandas(go, T.StructType([*fields, T.StructField("cell", T.IntegerType())]))
+    shape = T.StructType([*fields, T.StructField("cells", T.ArrayType(T.IntegerType()))])
+    # copies are made by Spark, row by row; Python holds each query once
+    return queries.select("id", "vec").mapInPandas(go, shape).select(*keep, F.explode("cells").alias("cell"))
 
 
 def _with_vector_key(df: DataFrame) -> DataFrame:
@@ -182,13 +207,24 @@ def nearest(
     centers = np.unique(np.array([r["vec"] for r in picked], dtype=np.float64), axis=0)
     assigned = _assign(_limit_copies(b, need), centers)
     stats = _cell_stats(assigned, centers, need)
-    crowd = {
-        r["cell"]: -(-r["n"] // (4 * block_rows))
-        for r in _route(q, centers, stats, need, probes, []).groupBy("cell").agg(F.count("*").alias("n")).collect()
-    }
+    asking = {r["cell"]: r["n"] for r in _route(q, centers, stats, need, probes, []).groupBy("cell").agg(
+        F.count("*").alias("n")).collect()}
+    bundles, rows = None, block_rows
+    crowd = {c: -(-n // (4 * block_rows)) for c, n in asking.items()}
+    if probes is None and sum(asking.values()) > MOST_COPIES * (n_queries := q.count()):
+        held = sum(s["n"] for s in stats.values())
+        rows = min(BUNDLE_ROWS, max(block_rows, -(-held // LEAST_BLOCKS)))
+        salts = -(-n_queries // min(BUNDLE_ROWS, max(block_rows, -(-n_queries // LEAST_BLOCKS))))
+        bundles = _bundles(centers, stats, rows)
+        sizes = {int(b): sum(s["n"] for c, s in stats.items() if bundles[c] == b) for b in {bundles[c] for c in stats}}
+        # its last cell may lift a bundle over the size; a cell alone may be far over it
+        slices, crowd = {b: max(1, round(n / rows)) for b, n in sizes.items()}, dict.fromkeys(sizes, salts)
+        assigned = _assign(_limit_copies(b, need), centers, bundles)
+    else:
+        slices = {c: -(-s["n"] // rows) for c, s in stats.items()}
     found = _search_blocks(
-        _route(q.select("id", "vec"), centers, stats, need, probes, ["id", "vec"]), assigned.drop("dist"),
-        {c: -(-s["n"] // block_rows) for c, s in stats.items()}, crowd, need, metric)
+        _route(q.select("id", "vec"), centers, stats, need, probes, ["id", "vec"], bundles), assigned.drop("dist"),
+        slices, crowd, need, metric)
     best = F.row_number().over(W.partitionBy("rep").orderBy(F.desc("score"), F.desc("base_id")))
     top = found.withColumn("rank", best).where(F.col("rank") <= need)
     lists = top.groupBy("rep").agg(
@@ -224,26 +260,98 @@ def _search_blocks(
         T.StructField("score", T.DoubleType())])
 
     def block(lq: pd.DataFrame, rb: pd.DataFrame) -> pd.DataFrame:
-        if lq.empty or rb.empty:
-            return pd.DataFrame({n: [] for n in names})
-        rb = rb.sort_values("id", ascending=False)
-        qa, ba = _matrix(lq["vec"]), _matrix(rb["vec"])
-        qid, bid = lq["id"].to_numpy(), rb["id"].to_numpy()
-        parts = []
-        for start in range(0, len(qa), 1024):
-            rows = slice(start, start + 1024)
-            s = np.round(qa[rows] @ ba.T if metric == "cosine" else -_distances(qa[rows], ba), DIGITS)
-            # stable: equal scores stay in descending id order
-            best = np.argsort(-s, axis=1, kind="stable")[:, :need]
-            parts.append(pd.DataFrame({
-                "rep": np.repeat(qid[rows], best.shape[1]),
-                "base_id": bid[best.ravel()],
-                "score": np.take_along_axis(s, best, 1).ravel() + 0.0,
-            }))
-        return pd.concat(parts)
+        return best_of_block(lq, rb, need, metric)
 
     keys = ["cell", "part", "salt"]
-    return left.groupBy(*keys).cogroup(right.select("id", "vec", *keys).groupBy(*keys)).applyInPandas(block, schema)
+    blocks = sum(slices[c] * crowd.get(c, 1) for c in cells)
+    left, right = left.select("id", "vec", *keys), right.select("id", "vec", *keys)
+    if blocks <= MOST_PIVOTS:  # few large blocks: work follows their number, not their bytes
+        left, right = left.repartition(blocks, *keys), right.repartition(blocks, *keys)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(block, schema)
+
+
+def best_of_block(asked: pd.DataFrame, held: pd.DataFrame, need: int, metric: str = "cosine") -> pd.DataFrame:
+    """(rep, base_id, score): the best ``need`` of ``held`` (id, vec) for each row of ``asked``; equal scores by higher id."""
+    names = ["rep", "base_id", "score"]
+    if asked.empty or held.empty:
+        return pd.DataFrame({n: [] for n in names})
+    held = held.sort_values("id", ascending=False)
+    qid, bid = asked["id"].to_numpy(), held["id"].to_numpy()
+    qa, ba = _matrix(asked["vec"]), _matrix(held["vec"])
+    parts = []
+    for start in range(0, len(qa), QUERY_ROWS):
+        rows = slice(start, start + QUERY_ROWS)
+        at, base, score = _best_of_rows(qa[rows], ba, need, metric)
+        parts.append(pd.DataFrame({"rep": qid[rows][at], "base_id": bid[base], "score": score + 0.0}))
+    return pd.concat(parts)
+
+
+def _first_of_each(at: np.ndarray, base: np.ndarray, score: np.ndarray, need: int, n: int) -> tuple:
+    """The best ``need`` entries of each of ``n`` rows (equal scores by place), and each row's last such score."""
+    order = np.lexsort((base, -score, at))
+    at, base, score = at[order], base[order], score[order]
+    begins = np.searchsorted(at, np.arange(n))
+    keep = np.arange(len(at)) - begins[at] < need
+    at, base, score = at[keep], base[keep], score[keep]
+    ends = np.searchsorted(at, np.arange(n), side="right")
+    full = np.bincount(at, minlength=n) >= need
+    last = np.full(n, -np.inf)
+    last[full] = score[ends[full] - 1]
+    return at, base, score, last
+
+
+def _best_of_rows(a: np.ndarray, b: np.ndarray, need: int, metric: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of ``a``, row of ``b``, score to 6 digits) of each row's best ``need``, ties to the earlier row of ``b``.
+
+    A product in single precision, with a margin for its error and for what rounds to
+    the same digits, tells which pairs can be among the best so far; they are scored exactly.
+    """
+    def exact(at: np.ndarray, base: np.ndarray) -> np.ndarray:
+        if metric == "cosine":
+            return np.round(np.einsum("ij,ij->i", a[at], b[base]), DIGITS)
+        return -np.round(np.sqrt(np.square(a[at] - b[base]).sum(1)), DIGITS)
+
+    top = max(np.abs(a).max(initial=0.0), np.abs(b).max(initial=0.0))
+    if not np.isfinite(top) or not np.isfinite(a).all() or not np.isfinite(b).all():
+        s = np.round(a @ b.T if metric == "cosine" else -_distances(a, b), DIGITS)
+        best = np.argsort(-s, axis=1, kind="stable")[:, :need]
+        return np.repeat(np.arange(len(a)), best.shape[1]), best.ravel(), np.take_along_axis(s, best, 1).ravel()
+    kind = np.float32 if 1e-12 < top < 1e12 else np.float64
+    fast_a, fast_b = a.astype(kind), b.astype(kind)
+    own, longest = np.sqrt((a * a).sum(1)), float(np.sqrt((b * b).sum(1).max()))
+    less = ((b * b).sum(1) / 2.0).astype(kind)
+    error = np.finfo(np.float32).eps * (4 * a.shape[1] + 64) * (own * longest + longest**2) + 1e-30
+    digit = 2.0 * 10.0**-DIGITS
+    at, base, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    last = np.full(len(a), -np.inf)
+    first, width = 0, max(FIRST_ROWS, need)
+    while first < len(b):
+        near = fast_a @ fast_b[first: first + width].T
+        if metric != "cosine":  # a b - b b / 2 falls as the distance grows
+            near -= less[None, first: first + width]
+        if metric == "cosine":
+            least = last - digit - error
+        else:
+            reach = np.minimum(digit - last, own + longest + digit)  # no vector lies farther
+            least = (own**2 - reach**2) / 2.0 - error
+            least[np.isneginf(last)] = -np.inf
+        if first == 0 and near.shape[1] > need:
+            kth = np.partition(near, near.shape[1] - need, axis=1)[:, near.shape[1] - need]
+            slack = digit + 2.0 * error
+            if metric != "cosine":
+                slack = 2.0 * error + digit * (own + longest + digit)
+            least = kth - slack
+        # rounded down, so that no candidate is lost to the comparison's precision
+        bound = np.nextafter(least.astype(kind), kind(-np.inf))
+        hits = np.flatnonzero(near >= bound[:, None])
+        for part in np.array_split(hits, -(-len(hits) // (1 << 16)) or 1):
+            row, column = np.divmod(part, near.shape[1])
+            column += first
+            at, base, score, last = _first_of_each(
+                np.concatenate([at, row]), np.concatenate([base, column]), np.concatenate([score, exact(row, column)]), need, len(a))
+        first += width
+        width = min(max(BASE_ROWS, need), first)
+    return at, base, score
 
 
 def retrieval_accuracy(matches: DataFrame, truth: DataFrame, k: int) -> DataFrame:

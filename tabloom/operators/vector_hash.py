@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloom.operators.joins import dimension_join
-from tabloom.operators.similarity import BLOCK_ROWS, DIGITS, _limit_copies, _matrix, _with_vector_key, as_double, unit
+from tabloom.operators.similarity import BLOCK_ROWS, _limit_copies, _matrix, _with_vector_key, as_double, best_of_block, unit
 from tabloom.session import settle
 
 TABLES = 12
@@ -78,23 +78,6 @@ def _crowded(coded: DataFrame, block_rows: int, out: str) -> DataFrame:
     return settle(sizes.where(F.col("n") > block_rows).select("cell", F.ceil(F.col("n") / block_rows).cast("int").alias(out)))
 
 
-def _block(need: int):
-    def best(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        if asked.empty or held.empty:
-            return pd.DataFrame({"rep": [], "base_id": [], "score": []})
-        held = held.sort_values("id", ascending=False)
-        a, b, parts = _matrix(asked["vec"]), _matrix(held["vec"]), []
-        for first in range(0, len(a), 1024):
-            score = np.round(a[first: first + 1024] @ b.T, DIGITS)
-            top = np.argsort(-score, axis=1, kind="stable")[:, :need]  # equal scores stay in descending id order
-            parts.append(pd.DataFrame({
-                "rep": np.repeat(asked["id"].to_numpy()[first: first + 1024], top.shape[1]),
-                "base_id": held["id"].to_numpy()[top.ravel()], "score": np.take_along_axis(score, top, 1).ravel() + 0.0}))
-        return pd.concat(parts)
-
-    return best
-
-
 def hashed_nearest(
     queries: DataFrame, base: DataFrame, k: int, query_id: str = "id", query_vec: str = "vec", base_id: str = "id",
     base_vec: str = "vec", exclude_same_id: bool = False, tables: int = TABLES, probes: int = PROBES,
@@ -139,7 +122,7 @@ def hashed_nearest(
     right = marked(right).withColumn("slice", dealt("slices", 2)).withColumn("salt", copied("salts")).select("id", "vec", *keys)
     pair = T.StructType([T.StructField("rep", single.schema["id"].dataType), T.StructField("base_id", held.schema["id"].dataType),
                          T.StructField("score", T.DoubleType())])
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_block(need), pair)
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(lambda asked, held: best_of_block(asked, held, need), pair)
     # a neighbour met in several tables counts once; lists hold tables x probes x need entries at most
     hits = found.groupBy("rep").agg(F.slice(F.sort_array(F.collect_set(F.struct("score", "base_id")), asc=False), 1, need).alias("hits"))
     answers = single.select("_key", F.col("id").alias("rep")).join(hits, "rep").drop("rep")

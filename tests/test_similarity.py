@@ -1,6 +1,7 @@
 import difflib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from tests.helpers import rows
@@ -112,3 +113,41 @@ def test_a_large_pattern_set_gives_the_same_similarity(spark, monkeypatch):
     large = {r["k"]: r["s"] for r in N.max_pattern_similarity(df, "v", patterns, "p", "s").collect()}
     assert large.keys() == small.keys() and large[60] is None and large[61] is None
     assert all(large[k] == pytest.approx(small[k], abs=1e-6) for k in range(60))
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+@pytest.mark.parametrize("scale", [1.0, 1e-20, 1e4])
+def test_a_block_finds_what_sorting_all_scores_finds(monkeypatch, metric, scale):
+    monkeypatch.setattr(N, "FIRST_ROWS", 8)
+    monkeypatch.setattr(N, "BASE_ROWS", 32)
+    rng = np.random.default_rng(11)
+    held = rng.normal(size=(300, 12))
+    held[50:90] = held[50] + rng.normal(size=(40, 12)) * 1e-8  # equal to 6 digits, or nearly
+    held[100:110] = 0.0
+    asked = np.concatenate([held[40:120], rng.normal(size=(30, 12))])
+    if metric == "cosine":
+        asked, held = (v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300) for v in (asked, held))
+    asked, held = asked * scale, held * scale
+    ids = rng.permutation(300)
+    got = N.best_of_block(pd.DataFrame({"id": np.arange(len(asked)), "vec": list(asked)}), pd.DataFrame({"id": ids, "vec": list(held)}), 7, metric)
+    by_id = held[np.argsort(ids)]
+    exact = asked @ by_id.T if metric == "cosine" else -np.sqrt(np.square(asked[:, None] - by_id[None]).sum(-1))
+    exact = np.round(exact, 6)
+    for i, row in enumerate(exact):
+        want = sorted(range(300), key=lambda j: (-row[j], -j))[:7]
+        assert got[got["rep"] == i]["base_id"].tolist() == want
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_vectors_that_no_bound_excludes_are_copied_for_bundles_not_cells(spark, monkeypatch, metric):
+    rng = np.random.default_rng(6)
+    vecs = rng.normal(size=(500, 32))
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vecs)], "id long, vec array<double>").persist()
+    sent = []
+    whole = N._search_blocks
+    monkeypatch.setattr(N, "_search_blocks", lambda routed, *rest: (sent.append(routed.count()), whole(routed, *rest))[1])
+    got: dict[int, list] = {}
+    for r in N.nearest(df, df, 3, metric, exclude_same_id=True, block_rows=16).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["base_id"])
+    assert got == brute(np.arange(500), vecs, 3, metric, True)
+    assert sent[0] <= 500 * (N.LEAST_BLOCKS + 1)  # before: one copy for each of 32 cells
