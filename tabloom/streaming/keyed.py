@@ -1,15 +1,20 @@
 """Incremental upsert by keyed state: a batch writes in proportion to its own rows.
 
-The state store holds, for each key (claim id and plan, say), the order values of
-the version that stands and how many versions came before it. An arriving row that
-is older than it is dropped; a newer one, or one of the same order that arrives
+The state store holds, for each key (claim id and plan, say), the version that
+stands: the last by order values, then by arrival. It is Spark's own streaming
+aggregate, so no Python runs for each key. An arriving row that is older than the
+standing one changes nothing; a newer one, or one of the same order that arrives
 later, is appended to the detail as the key's next version. Nothing that was written
-is read or rewritten. The file sink's log makes a repeated micro-batch write once,
-and the state's checkpoint belongs to the same batch, so replays and late files end
-at the batch result. ``current`` reads the standing version of each key.
+is read or rewritten. A micro-batch writes its own folder, named by its number, so a
+repeated one writes the same folder again, and the state's checkpoint belongs to the
+same batch: replays and late files end at the batch result. ``current`` reads the
+standing version of each key.
 
-A key with a third of all rows loses its superseded rows before the shuffle, batch by
-batch of Arrow; its task streams what is left and holds one row.
+Batches are told apart by the time that the stream's log holds for them, so that
+ties need a clock that does not run backwards between them.
+
+A key with a third of all rows loses its superseded rows before the shuffle, some
+thousand rows at a time; its task streams what is left and holds one row.
 """
 
 from __future__ import annotations
@@ -17,25 +22,29 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tabloom.operators.ordered import one_per_key
 
 VERSION = "_version"
 _RANK = "_order"
+_PLACE, _ARRIVED = "_place", "_arrived"
+REDUCED_ROWS = 10_000  # rows among which superseded ones are dropped before the shuffle, at least
 
 
 def _sortable(df: DataFrame, c: str) -> Column:
-    """Times as numbers, so that they mean the same in Spark, Arrow and the state store."""
+    """Times as numbers, so that they mean the same in Spark, Arrow and the state store; NaN counts as null."""
     kind = df.schema[c].dataType
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(c)
     if isinstance(kind, T.DateType):
         return F.unix_date(c)
+    if isinstance(kind, T.FloatType | T.DoubleType):
+        return F.nanvl(c, F.lit(None).cast(kind))
     return F.col(c)
 
 
@@ -48,47 +57,52 @@ def _comes_after(a: Sequence, b: Sequence) -> bool:
 
 
 def latest_of_batch(df: DataFrame, keys: Sequence[str], ranks: Sequence[str]) -> DataFrame:
-    """Without the rows that a later one of the same Arrow batch supersedes; no shuffle."""
+    """Without rows that a later one of some thousand rows of a task supersedes; no shuffle.
+
+    ``_place`` is added: where in the task's input a row came.
+    """
+    def latest(held: list[pd.DataFrame], first: int) -> pd.DataFrame:
+        pdf = pd.concat(held, ignore_index=True) if len(held) > 1 else held[0]
+        pdf = pdf.assign(**{_PLACE: range(first, first + len(pdf))})
+        return pdf.sort_values(list(ranks), kind="stable", na_position="first").drop_duplicates(list(keys), keep="last")
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size, first = [], 0, TaskContext.get().partitionId() << 33
         for pdf in batches:
-            ordered = pdf.sort_values(list(ranks), kind="stable", na_position="first")
-            yield ordered.drop_duplicates(list(keys), keep="last")
+            held.append(pdf)
+            size += len(pdf)
+            if size >= REDUCED_ROWS:
+                yield latest(held, first)
+                held, size, first = [], 0, first + size
+        if size:
+            yield latest(held, first)
 
-    return df.mapInPandas(run, df.schema)
+    return df.mapInPandas(run, T.StructType([*df.schema.fields, T.StructField(_PLACE, T.LongType())]))
 
 
 def keyed_versions(scored: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The accepted versions of each key as they arrive: the columns of ``scored`` and ``_version`` (from 1)."""
+    """The version of each key that a micro-batch accepts, as a stream in update mode: the columns of ``scored``."""
     ranks = [f"{_RANK}{i}" for i in range(len(order))]
     marked = scored.withColumns({r: _sortable(scored, c) for r, c in zip(ranks, order)})
-    reduced = latest_of_batch(marked, keys, ranks)
-    columns = scored.columns
-    held = T.StructType([*[marked.schema[r] for r in ranks], T.StructField(VERSION, T.LongType())])
-    shape = T.StructType([*scored.schema.fields, T.StructField(VERSION, T.LongType())])
-
-    def accept(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        *before, version = state.get if state.exists else (0,)
-        best, standing = None, before if state.exists else None
-        for pdf in rows:
-            last = pdf.sort_values(ranks, kind="stable", na_position="first").iloc[-1:]
-            found = [None if pd.isna(v) else getattr(v, "item", lambda v=v: v)() for v in last[ranks].iloc[0].tolist()]
-            if standing is None or _comes_after(found, standing):
-                best, standing = last, found
-        if best is not None:
-            state.update((*standing, version + 1))
-            yield best[columns].assign(**{VERSION: version + 1})
-
-    return reduced.groupBy(*keys).applyInPandasWithState(accept, shape, held, "append", GroupStateTimeout.NoTimeout)
+    arrived = latest_of_batch(marked, keys, ranks).withColumn(_ARRIVED, F.current_timestamp())
+    others = [c for c in scored.columns if c not in keys]
+    standing = arrived.groupBy(*keys).agg(F.max_by(F.struct(_ARRIVED, *others), F.struct(*ranks, _ARRIVED, _PLACE)).alias("_top"))
+    # keys that the batch touched; those whose standing row came earlier have no new version
+    return standing.where(F.col("_top")[_ARRIVED] == F.current_timestamp()).select(
+        *[F.col(c) if c in keys else F.col("_top")[c].alias(c) for c in scored.columns])
 
 
 def run_keyed(
     source: DataFrame, score: Callable[[DataFrame], DataFrame], detail_path: str, checkpoint: str,
     keys: Sequence[str], order: Sequence[str],
 ) -> StreamingQuery:
-    """Score what has arrived, append its accepted versions to ``detail_path``, stop (``availableNow``)."""
+    """Score what has arrived, add its accepted versions under ``detail_path``, stop (``availableNow``)."""
+    def write(accepted: DataFrame, batch: int) -> None:
+        accepted.write.mode("overwrite").parquet(f"{detail_path.rstrip('/')}/{VERSION}={batch + 1}")
+
     return (
-        keyed_versions(score(source), keys, order).writeStream.format("parquet").outputMode("append")
-        .option("path", detail_path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        keyed_versions(score(source), keys, order).writeStream.foreachBatch(write).outputMode("update")
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 

@@ -53,3 +53,18 @@ def test_a_hot_key_is_reduced_before_the_shuffle(spark):
 @pytest.mark.parametrize("a,b,after", [([1], [1], True), ([None], [None], True), ([None], [0], False), ([2, None], [1, 5], True), (["b"], ["c"], False)])
 def test_order(a, b, after):
     assert keyed._comes_after(a, b) is after
+
+
+def test_versions_are_kept_without_python_for_each_key(spark, tmp_path):
+    folder, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    # one file: ties go to its last row, NaN and null come first, whatever the other columns hold
+    schema = "claim string, plan string, ts double, value double, seen array<string>"
+    batch = [("a", "P", 1.0, 9.0, ["x"]), ("a", "P", 1.0, 2.0, None), ("b", "P", float("nan"), 3.0, []), ("b", "P", None, 1.0, ["z"]),
+             ("c", None, 2.0, 5.0, ["y"]), ("c", None, float("nan"), 6.0, ["y"])]
+    spark.createDataFrame(batch, schema).coalesce(1).write.parquet(folder)
+    stream = stream_files(spark, folder, spark.createDataFrame([], schema).schema, files_per_batch=1)
+    plan = keyed.keyed_versions(stream, ["claim", "plan"], ["ts"])._jdf.queryExecution().analyzed().toString()
+    assert "FlatMapGroupsInPandasWithState" not in plan
+    keyed.run_keyed(stream, lambda b: b, out, mark, ["claim", "plan"], ["ts"]).awaitTermination()
+    got = rows(keyed.current(spark, out, ["claim", "plan"]).select("claim", "plan", "value", "seen"), "claim")
+    assert got == [("a", "P", 2.0, None), ("b", "P", 1.0, ["z"]), ("c", None, 5.0, ["y"])]
