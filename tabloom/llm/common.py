@@ -18,7 +18,7 @@ IS_BLANK = np.zeros(256, dtype=bool)
 IS_BLANK[[ord(c) for c in BLANKS]] = True
 
 # text bytes that one vectorised step works on; its temporary arrays take about 30 times as much
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 # rows of texts that pass between Spark and Python at a time, unless the session asks for fewer
 BATCH_ROWS = 1000
 

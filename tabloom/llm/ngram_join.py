@@ -45,6 +45,8 @@ HEAVY_LIST = 1 << 22  # common shingles at most: what is sent to the tasks is bo
 FEW_ROWS = 1_000_000  # pairs up to this number are sent to the texts, more are joined with them
 PART_ENTRIES = 400_000  # index entries that a task sorts
 STAR = 2048  # partners of one set that a task compares
+COUNTED = 1_000_000  # shingles that a task counts at once
+LISTED = 500_000  # index entries that a task packs at once
 
 _CODES = letter_codes(fold_case=True)
 _TURN = np.array([0x8CB92BA72F3D8DD7, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x9E3779B185EBCA87, 0xD6E8FEB86659FD93],
@@ -135,7 +137,7 @@ def _count_buckets(bits: int, parts: int):
             for _, s in _sets(batch):
                 held.append(s)
                 size += len(s)
-                if size > 4_000_000:
+                if size > COUNTED:
                     yield from pack(held)
                     held, size = [], 0
         if size:
@@ -234,7 +236,7 @@ def _list_entries(common: np.ndarray, bits: int, parts: int):
                 for column, value in zip(held, (s[:p], row_keys[row], n, np.arange(n - 1, n - 1 - p, -1))):
                     column.append(value)
                 total += p
-                if total > 2_000_000:
+                if total > LISTED:
                     yield from pack(*held)
                     held, total = ([], [], [], []), 0
         if total:
