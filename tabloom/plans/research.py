@@ -11,6 +11,7 @@ from tabloom.operators.filters import complete_cases
 from tabloom.operators.joins import three_way_merge
 from tabloom.operators.mixed import MixedFit, comparison_table, fit_random_intercept
 from tabloom.operators.windows import standardize
+from tabloom.session import settle
 
 
 def prepare(
@@ -25,7 +26,8 @@ def prepare(
 def fit_ladder(
     df: DataFrame, outcome: str, group: str, level1: Sequence[str], level2: Sequence[str]
 ) -> dict[str, MixedFit]:
-    """Null model, + level 1, + level 2."""
+    """Null model, + level 1, + level 2.  The rows are worked out and stored once for all passes of the three fits."""
+    df = settle(df.select(*dict.fromkeys([group, outcome, *level1, *level2])))
     return {
         "null": fit_random_intercept(df, outcome, [], group),
         "level1": fit_random_intercept(df, outcome, level1, group),
