@@ -137,36 +137,54 @@ def _batched(rows: Iterator[tuple], schema: pa.Schema, limit: int = 2000) -> Ite
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
 
-def _messages(events: Iterator[tuple]) -> Iterator[tuple[int | None, str, str]]:
-    """(conversation, role, text) of each message that stands, in order.
+def _standing(events: Iterator[tuple]) -> Iterator[tuple[int | None, str, str | None]]:
+    """(conversation, kind, payload) of the events of messages that no regeneration dropped.
 
     ``events``: conv_id, start, message, seq, kind, payload, sorted by the first four.
+    A message's first event is its ``start``, another one in it is a ``restart``.
     """
-    conv, message, dropped_until = (), None, -1
-    role, parts, stands = "", [], False
+    conv, message, dropped_until, stands = (), None, -1, False
     for conv_id, start, number, seq, kind, payload in events:
-        if (conv_id,) != conv or (start, number) != message:
-            if stands:
-                yield conv[0], role, "".join(parts)
+        fresh = (conv_id,) != conv or (start, number) != message
+        if fresh:
             if (conv_id,) != conv:
                 conv, dropped_until = (conv_id,), -1
-            message, role, parts, stands = (start, number), "", [], start > dropped_until
+            message, stands = (start, number), start > dropped_until
+        if not stands:
+            continue
         if kind == "start":
-            role, parts = payload or "", []
-        elif kind == "delta":
+            kind = "start" if fresh else "restart"
+        elif fresh:
+            yield conv_id, "start", None
+        if kind == "regenerate":
+            dropped_until = max(dropped_until, seq)
+        yield conv_id, kind, payload
+
+
+def _messages(events: Iterator[tuple]) -> Iterator[tuple[int | None, str, str]]:
+    """(conversation, role, text) of each message, in order; ``events``: conversation, kind, payload."""
+    conv, role, parts = None, None, []
+    for conv_id, kind, payload in events:
+        if kind == "delta":
             parts.append(payload or "")
+        elif kind == "start":
+            if role is not None:
+                yield conv, role, "".join(parts)
+            conv, role, parts = conv_id, payload or "", []
+        elif kind == "restart":
+            role, parts = payload or "", []
         elif kind == "edit":
             parts = [payload or ""]
-        elif stands:  # regenerate
-            parts, dropped_until = [], max(dropped_until, seq)
-    if stands:
-        yield conv[0], role, "".join(parts)
+        else:  # regenerate
+            parts = []
+    if role is not None:
+        yield conv, role, "".join(parts)
 
 
 def _render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows():
         before, index, offset = object(), 0, 0
-        for conv, role, text in _messages(_rows(batches)):
+        for conv, role, text in _messages(_standing(_rows(batches))):
             if conv != before:
                 before, index, offset = conv, 0, 0
             head, body = OPEN + escape(role) + BODY, escape(text)
