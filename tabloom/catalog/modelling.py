@@ -17,7 +17,7 @@ from tabloom.operators.similarity import as_double
 from tabloom.operators.windows import mean_importance
 from tabloom.plans import research
 from tabloom.plans.targets import train_targets
-from tabloom.session import scratch_path
+from tabloom.session import scratch_path, stored
 from tabloom.sources.models import fit_labelled, load_model, register_model, save_model, score_labelled
 
 DOC_FEATURES = ["n_chars", "n_words", "digit_share", "upper_share", "mark_share", "line_share", "word_length"]
@@ -70,6 +70,14 @@ def _split(df, key):
     return s.where(F.col("part") == "train"), s.where(F.col("part") == "test")
 
 
+def _stored_split(df, key):
+    """The split of rows that many jobs read: joins and hashes are worked out once."""
+    from tabloom.operators.sets import hash_split
+
+    s = stored(hash_split(df.select(key, "features", "label"), key, 0.8), "split")
+    return s.where(F.col("part") == "train"), s.where(F.col("part") == "test")
+
+
 def _stack_rows(frames):
     out = frames[0]
     for f in frames[1:]:
@@ -148,7 +156,7 @@ def l05(t: Tables):
 
 @query("l06_linear_models")
 def l06(t: Tables):
-    train, test = _split(price_rows(t), "row_id")
+    train, test = _stored_split(price_rows(t), "row_id")
     out = []
     for kind in ("linear", "ridge", "lasso", "elastic"):
         m = L.grid_regression(train, kind, "row_id", folds=3, grid=(0.1, 10.0))

@@ -14,6 +14,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -130,3 +131,59 @@ def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     names = F.array(*[F.lit(c) for c in cols])
     pairs = sums.where((F.col("i") < F.col("j")) & F.col("i").isin(varying) & F.col("j").isin(varying))
     return pairs.select(F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), r.alias("r"))
+
+
+def moment_points(df: DataFrame, vec: str, label: str, group: str) -> DataFrame | None:
+    """(vec, label, group, weight): a few weighted rows for each whole-numbered ``group`` that have the
+    group's count, means, variances and covariances of the vector's values and the label, from one scan.
+
+    Whatever follows from those sums alone, as least squares and its squared errors do, is the same on the
+    points as on the rows. A group of p values has 2 (p + 1) points, on both sides of the mean; a row without
+    a group counts in group -1. None where a value is null, NaN or infinite.
+    """
+    rows = df.select(F.coalesce(F.col(group).cast("int"), F.lit(-1)).alias("g"), vector_to_array(vec).alias("x"),
+                     F.col(label).cast("double").alias("y"))
+
+    def matrix(x: pa.Array, y: pa.Array) -> np.ndarray:
+        z = np.column_stack([x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1), y.to_numpy(zero_copy_only=False)])
+        return z.astype(np.float64)
+
+    some = rows.limit(SHIFT_ROWS).toArrow().combine_chunks()
+    if not some.num_rows:
+        return None
+    first = matrix(some["x"].combine_chunks(), some["y"].combine_chunks())
+    if not np.isfinite(first).all():
+        return None
+    at, wide = first.mean(0), np.maximum(np.abs(first).max(0), np.finfo(np.float64).tiny)
+    p = len(at)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            if batch.num_rows:
+                g, z = batch.column(0).to_numpy(), (matrix(batch.column(1), batch.column(2)) - at) / wide
+                z = np.column_stack([z, np.ones(len(z))])
+                for k in np.unique(g).tolist():
+                    part = z[g == k]
+                    sums[k] = sums.get(k, 0.0) + part.T @ part
+        i, j = (a.ravel().astype(np.int32) for a in np.indices((p + 1, p + 1)))
+        for k, total in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), k, np.int32)), pa.array(i), pa.array(j), pa.array(total.ravel())],
+                                             ["g", "i", "j", "s"])
+
+    totals: dict[int, np.ndarray] = {}
+    # (p + 1)^2 rows per group reach the driver
+    for r in rows.mapInArrow(run, "g int, i int, j int, s double").groupBy("g", "i", "j").agg(F.sum("s").alias("s")).collect():
+        totals.setdefault(r["g"], np.zeros((p + 1, p + 1)))[r["i"], r["j"]] = r["s"]
+    points = []
+    for k, total in sorted(totals.items()):
+        if not np.isfinite(total).all():
+            return None
+        n, mean = total[p, p], total[p, :p] / total[p, p]
+        power, axes = np.linalg.eigh(total[:p, :p] / n - np.outer(mean, mean))
+        steps = np.sqrt(np.maximum(power, 0.0) * p) * axes
+        for z in (*(mean + steps.T), *(mean - steps.T)):
+            place = (z * wide + at).tolist()
+            points.append((place[:-1], place[-1], k, float(n / (2 * p))))
+    found = df.sparkSession.createDataFrame(points, "x array<double>, y double, g int, weight double").coalesce(1)
+    return found.select(array_to_vector("x").alias(vec), F.col("y").alias(label), F.col("g").alias(group), "weight")

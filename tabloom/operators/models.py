@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions.numeric import hash_bucket
 from tabloom.operators.encoding import assemble
+from tabloom.operators.gram import moment_points
 from tabloom.operators.ordered import positions
 from tabloom.operators.sets import (
     assign_folds,
@@ -40,6 +41,7 @@ from tabloom.operators.similarity import nearest
 from tabloom.session import settle
 
 SEED = 7
+MOMENT_VALUES = 200  # values of a vector up to which a grid of regressions is searched on sums
 
 
 def max_probability(probability: str = "probability") -> Column:
@@ -127,21 +129,35 @@ def tree_rules(df: DataFrame, features: Sequence[str], label: str, depth: int =
 
 
 def grid_regression(train: DataFrame, kind: str, key: str, folds: int = 4, grid: Sequence[float] = (0.01, 0.1, 1.0)):
-    """linear, ridge, lasso or elastic net by cross-validated RMSE."""
+    """linear, ridge, lasso or elastic net by cross-validated RMSE.
+
+    Fits and errors of the folds follow from their sums of values, squares and products, so the grid is
+    searched on a few weighted points that have those sums; the chosen model is fitted on all rows."""
     mix = {"linear": [0.0], "ridge": [0.0], "lasso": [1.0], "elastic": [0.25, 0.5, 0.75]}[kind]
     reg = [0.0] if kind == "linear" else list(grid)
     lr = LinearRegression(maxIter=50)
     if kind == "linear":
         return lr.fit(train)
     maps = ParamGridBuilder().addGrid(lr.regParam, reg).addGrid(lr.elasticNetParam, mix).build()
-    folded = assign_folds(train, key, folds).select("features", "label", "fold").persist()
-    try:
-        return CrossValidator(
-            estimator=lr, estimatorParamMaps=maps, numFolds=folds, foldCol="fold",
-            evaluator=RegressionEvaluator(metricName="rmse"), parallelism=4,
-        ).fit(folded).bestModel
-    finally:
-        folded.unpersist()
+    folded = assign_folds(train, key, folds).select("features", "label", "fold")
+    points = moment_points(folded, "features", "label", "fold") if _width(folded) <= MOMENT_VALUES else None
+    if points is None:  # wide vectors, or values that a fit refuses
+        folded = folded.persist()
+        try:
+            return _search(lr, maps, folds, RegressionEvaluator(metricName="rmse")).fit(folded).bestModel
+        finally:
+            folded.unpersist()
+    found = _search(lr.copy({lr.weightCol: "weight"}), maps, folds, RegressionEvaluator(metricName="rmse", weightCol="weight")).fit(points)
+    return lr.fit(train, maps[found.avgMetrics.index(min(found.avgMetrics))])
+
+
+def _width(df: DataFrame) -> int:
+    first = df.select(F.size(vector_to_array("features")).alias("n")).first()
+    return first["n"] if first else 0
+
+
+def _search(lr: LinearRegression, maps: Sequence[dict], folds: int, evaluator: RegressionEvaluator) -> CrossValidator:
+    return CrossValidator(estimator=lr, estimatorParamMaps=maps, numFolds=folds, foldCol="fold", evaluator=evaluator, parallelism=4)
 
 
 def tree_family(kind: str, task: str, trees: int = 20, depth: int = 5):

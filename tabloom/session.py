@@ -62,3 +62,10 @@ def settle(df: DataFrame) -> DataFrame:
     """Cut lineage through a reliable checkpoint (survives executor loss)."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder once and read back, where several jobs read its rows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -154,3 +154,43 @@ def test_saved_labels_come_back_by_name(spark, tmp_path):
     assert label_names(model) == ["alpha", "zeta"]
     out = score_labelled(df.select("c"), model, ["c"]).distinct().collect()
     assert sorted(map(tuple, out)) == [("x", "zeta", 1.0), ("y", "alpha", 1.0)]
+
+
+@pytest.mark.parametrize("kind", ["ridge", "lasso", "elastic"])
+def test_a_grid_searched_on_sums_is_the_search_on_rows(spark, kind):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.regression import LinearRegression
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(120, 3)) * [1, 50, 1] + [0, 1000, 5]
+    pdf = pd.DataFrame(x, columns=list("abc")).assign(label=3 * x[:, 0] - 0.1 * x[:, 1] + rng.normal(0, 4, 120), id=np.arange(120))
+    df = E.assemble(spark.createDataFrame(pdf), list("abc"))
+    mix = {"ridge": [0.0], "lasso": [1.0], "elastic": [0.25, 0.5, 0.75]}[kind]
+    lr = LinearRegression(maxIter=50)
+    maps = ParamGridBuilder().addGrid(lr.regParam, [0.05, 5.0]).addGrid(lr.elasticNetParam, mix).build()
+    folded = L.assign_folds(df, "id", 3).select("features", "label", "fold")
+    want = CrossValidator(estimator=lr, estimatorParamMaps=maps, numFolds=3, foldCol="fold", evaluator=RegressionEvaluator(metricName="rmse")).fit(folded)
+    points = L.moment_points(folded, "features", "label", "fold")
+    assert points.count() == 3 * 2 * 4
+    on_sums = L._search(lr.copy({lr.weightCol: "weight"}), maps, 3, RegressionEvaluator(metricName="rmse", weightCol="weight")).fit(points)
+    assert on_sums.avgMetrics == pytest.approx(want.avgMetrics, rel=1e-6)
+    got = L.grid_regression(df, kind, "id", 3, (0.05, 5.0))
+    assert [*got.coefficients, got.intercept] == pytest.approx([*want.bestModel.coefficients, want.bestModel.intercept])
+    assert got.summary.rootMeanSquaredError == pytest.approx(want.bestModel.summary.rootMeanSquaredError)
+
+
+def test_sums_of_missing_values_are_refused(spark):
+    df = spark.createDataFrame([(0, 1.0), (1, None), (2, 3.0)], "fold int, label double").withColumn("a", F.lit(1.0))
+    assert L.moment_points(E.assemble(df, ["a"]), "features", "label", "fold") is None
+
+
+def test_models_read_stored_rows(spark):
+    from tabloom.catalog import modelling as M
+
+    df = E.assemble(spark.range(50).select("id", F.col("id").cast("double").alias("a"), (F.col("id") * 2.0).alias("label")).join(
+        spark.range(40), "id"), ["a"])
+    stored, plain = M._stored_split(df, "id"), M._split(df, "id")
+    for got, want in zip(stored, plain):
+        assert sorted(map(tuple, got.select("id", "features", "label").collect())) == sorted(map(tuple, want.select("id", "features", "label").collect()))
+        assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
