@@ -1,8 +1,12 @@
 """Incremental scoring and summary over arriving claim files.
 
-The batch functions run inside ``foreachBatch``; each micro-batch is merged
-into its key-hash partitions (the latest in order stays, also when it came
-earlier) by dynamic overwrite, so a replayed batch writes the same rows again.
+Scoring runs inside ``foreachBatch``: a micro-batch writes its own folder beside the
+stream's offsets, named by its number, so a replayed one writes the same folder again.
+When a run has taken in what has arrived, its batches are merged together into the
+key-hash partitions that they touch (the latest in order stays, also when it came
+earlier) by dynamic overwrite, so what a run writes doesn't grow with its number of
+batches. Batches that a failed run left unmerged are merged by the next one; merging
+a batch again changes nothing.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ from tabloom.operators.ordered import one_per_key
 from tabloom.session import scratch_path
 from tabloom.sources.writers import replace_slice
 
+ARRIVED, MERGED, BATCH = "arrived", "merged", "_batch"
+
 
 def stream_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                  files_per_batch: int = 100, glob: str | None = None) -> DataFrame:
@@ -63,14 +69,42 @@ def run_incremental(
     order: Sequence[str],
     buckets: int = 16,
 ) -> StreamingQuery:
-    """Score whatever has arrived, upsert it, stop (``availableNow``)."""
+    """Score whatever has arrived, upsert it, stop (``availableNow``); the query that is returned has ended."""
+    folder = checkpoint.rstrip("/")
 
-    def one(batch: DataFrame, _: int) -> None:
-        upsert_partitions(score(batch), detail_path, keys, order, buckets)
+    def one(batch: DataFrame, number: int) -> None:
+        score(batch).write.mode("overwrite").parquet(f"{folder}/{ARRIVED}/{BATCH}={number}")
 
-    return (
+    query = (
         source.writeStream.foreachBatch(one)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    query.awaitTermination()
+    _merge_arrived(source.sparkSession, folder, detail_path, keys, order, buckets)
+    return query
+
+
+def _merge_arrived(spark: SparkSession, folder: str, path: str, keys: Sequence[str], order: Sequence[str], buckets: int) -> None:
+    """Merges the batches that no run has merged yet; at a tie the later one's row stays."""
+    arrived, merged = _read_if_there(spark, f"{folder}/{ARRIVED}"), _read_if_there(spark, f"{folder}/{MERGED}")
+    if arrived is None:
+        return
+    if merged is not None:
+        arrived = arrived.where(F.col(BATCH) > merged.agg(F.max(BATCH)).scalar())
+    last = arrived.agg(F.max(BATCH).alias("last")).first()["last"]  # one row
+    if last is None:
+        return
+    latest = one_per_key(arrived, keys, [*map(F.col, order), F.col(BATCH)], last=True).drop(BATCH)
+    upsert_partitions(latest, path, keys, order, buckets)
+    spark.range(1).select(F.lit(last).cast("long").alias(BATCH)).write.mode("append").parquet(f"{folder}/{MERGED}")
+
+
+def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+    return None

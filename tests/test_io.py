@@ -152,6 +152,36 @@ def test_pending_failures_stay_with_their_client(spark):
     assert out == {"a": "0", "b": "1", "c": "0", "d": "1"}
 
 
+def test_a_run_merges_its_batches_once(spark, tmp_path, monkeypatch):
+    from tabloom.streaming import incremental
+
+    src, out, mark = (str(tmp_path / n) for n in ("src", "out", "mark"))
+    merges, merge = [], incremental.upsert_partitions
+
+    def counted(*args):
+        merges.append(1)
+        if len(merges) == 2:
+            raise RuntimeError("stopped before the merge")
+        merge(*args)
+
+    monkeypatch.setattr(incremental, "upsert_partitions", counted)
+
+    def run():
+        run_incremental(stream_files(spark, src, "id int, plan string, p double", files_per_batch=1), lambda b: b, out, mark, ["id"], ["p"], 4).awaitTermination()
+        return rows(spark.read.parquet(out).select("id", "plan", "p"), "id")
+
+    for i, plan in enumerate("abc"):
+        spark.createDataFrame([(1, plan, 1.0), (2 + i, plan, 1.0)], "id int, plan string, p double").coalesce(1).write.mode("append").parquet(src)
+    first = run()
+    assert len(merges) == 1 and [r[0] for r in first] == [1, 2, 3, 4] and first[0][1] in "abc"
+    spark.createDataFrame([(1, "d", 1.0), (2, "d", 0.5)], "id int, plan string, p double").coalesce(1).write.mode("append").parquet(src)
+    with pytest.raises(RuntimeError):
+        run()
+    # what the stopped run took in is merged by the next one, though no file is new
+    assert run() == [(1, "d", 1.0), *first[1:]] and len(merges) == 3
+    assert run() == [(1, "d", 1.0), *first[1:]] and len(merges) == 3
+
+
 def test_stream_replay_equals_batch(spark, tmp_path):
     src, out, mark = (str(tmp_path / n) for n in ("src", "out", "mark"))
     first = spark.createDataFrame([(1, "a", 1.0), (2, "a", 2.0)], "id int, plan string, p double")
