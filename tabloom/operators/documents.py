@@ -6,7 +6,9 @@ paths, flags and texts are SQL over that array.
 
 from __future__ import annotations
 
+import re
 import xml.etree.ElementTree as ET
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
@@ -185,14 +187,6 @@ def attribute_count(content: Column) -> Column:
     return F.size(F.regexp_extract_all(content, F.lit(r'[a-zA-Z-]+="[^"]*"'), F.lit(0)))
 
 
-def _sum(a: Column, power: int = 1) -> Column:
-    def term(x: Column) -> Column:
-        x = x.cast("double")
-        return x if power == 1 else x * x if power == 2 else x * x * x
-
-    return F.aggregate(a, F.lit(0.0), lambda s, x: s + term(x))
-
-
 def _share(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
@@ -202,60 +196,106 @@ def _variance(total: Column, squares: Column, n: Column) -> Column:
     return F.greatest(_share(squares, n) - m * m, F.lit(0.0))
 
 
+# what the features of a document are made of, element lists never leave the parse
+_COUNTED = ("tags", "unique", "most", "repeated", "deepest", "d1", "d2", "k1", "k2", "k3", "leaves", "inner", "texts", "text_chars",
+            "numeric", "vals", "v1", "v2", "names")
+# digits alone, also before a final line end
+_NUMBER = re.compile("[0-9]+(?:\r\n|[\n\r\u0085\u2028\u2029])?")
+
+
+def _numbers(tags: list[str], kids: list[int], depths: tuple[int, int, int], inner: int, texts: list, pairs: list) -> tuple[int, ...]:
+    """The numbers of _COUNTED, of lists over a document's elements."""
+    unique, most, repeated = len(set(tags)), min(len(tags), 1), 0
+    if unique < len(tags):
+        counts = Counter(tags).values()
+        most, repeated = max(counts), sum([c > 1 for c in counts])
+    texts = [u for t in texts if t and (u := t.strip(" "))]
+    lengths, parents = [len(v) for _, v in pairs], [k for k in kids if k]
+    return (len(tags), unique, most, repeated, *depths, sum(parents), sum([k * k for k in parents]), sum([k * k * k for k in parents]),
+            len(kids) - len(parents), inner, len(texts), sum(map(len, texts)), sum([_NUMBER.fullmatch(t) is not None for t in texts]),
+            len(lengths), sum(lengths), sum([n * n for n in lengths]), len({n for n, _ in pairs}))
+
+
+def _xml_counted(text: str) -> tuple[int, ...] | None:
+    """Level by level, without the list of elements."""
+    try:
+        root = ET.fromstring(text)
+    except ET.ParseError:
+        return None
+    nodes, inner, depth, d1, d2 = [], set(), 0, 0, 0
+    level, above = [root], [""]
+    while level:
+        nodes += level
+        depth += 1
+        d1 += depth * len(level)
+        d2 += depth * depth * len(level)
+        below, paths = [], []
+        for e, path in zip(level, above):
+            if n := len(e):
+                here = f"{path}/{e.tag}"
+                inner.add(here)
+                below += e
+                paths += [here] * n
+        level, above = below, paths
+    return _numbers([e.tag for e in nodes], [len(e) for e in nodes], (depth, d1, d2), len(inner), [e.text for e in nodes],
+                    [p for e in nodes for p in e.items()])
+
+
+def _html_counted(text: str) -> tuple[int, ...]:
+    found = _html_elements(text)
+    depths = [e[_DEPTH] for e in found]
+    return _numbers([e[_TAG] for e in found], [e[_KIDS] for e in found], (max(depths, default=0), sum(depths), sum([d * d for d in depths])),
+                    len({e[_PATH] for e in found if e[_KIDS]}), [e[_TEXT] for e in found], [p for e in found for p in e[_ATTRS].items()])
+
+
+def structure_counts(content: Column, tolerant: bool = False) -> Column:
+    """struct of _COUNTED (long); null when strict parsing fails."""
+    count = _html_counted if tolerant else _xml_counted
+
+    @F.arrow_udf("struct<" + ",".join(f"{c}:long" for c in _COUNTED) + ">")
+    def run(docs: pa.Array) -> pa.Array:
+        known = [None if text is None else count(text) for text in docs.to_pylist()]
+        rows = np.array([k or (0,) * len(_COUNTED) for k in known], np.int64).reshape(-1, len(_COUNTED))
+        parts = [pa.array(np.ascontiguousarray(rows[:, i])) for i in range(len(_COUNTED))]
+        return pa.StructArray.from_arrays(parts, list(_COUNTED), mask=pa.array([k is None for k in known], pa.bool_()))
+
+    return run(content)
+
+
 def structure_features(df: DataFrame, content: str, tolerant: bool = False) -> DataFrame:
     """The 20 structure features per document (null where unparsable).
 
     Siblings of an element are its parent's children, so their sum over all
     elements is the sum of squared child counts, and no element is looked up.
     """
-    df = df.withColumn("_e", elements(F.col(content), tolerant))
-    # arrays that several features share are columns of their own
-    arrays = {
-        "_tags": F.transform("_e", lambda e: e["tag"]),
-        "_depths": F.transform("_e", lambda e: e["depth"]),
-        "_kids": F.transform("_e", lambda e: e["children"]),
-        "_texts": F.filter(F.transform("_e", lambda e: F.trim(F.coalesce(e["text"], F.lit("")))), lambda t: t != ""),
-        "_vals": F.flatten(F.transform("_e", lambda e: F.map_values(e["attrs"]))),
-        "_names": F.array_distinct(F.flatten(F.transform("_e", lambda e: F.map_keys(e["attrs"])))),
-        "_inner": F.array_distinct(F.transform(F.filter("_e", lambda e: e["children"] > 0), lambda e: e["path"])),
-    }
-    n = F.size("_tags")
-    counts = {
-        "_uniq": F.array_distinct("_tags"),
-        "_lens": F.transform("_vals", lambda v: F.length(v)),
-        "_k1": _sum(F.col("_kids")), "_k2": _sum(F.col("_kids"), 2), "_k3": _sum(F.col("_kids"), 3),
-        "_d1": _sum(F.col("_depths")), "_d2": _sum(F.col("_depths"), 2),
-    }
-    freq = {"_freq": F.transform("_uniq", lambda t: F.size("_tags") - F.size(F.array_remove("_tags", t)))}
     size = F.octet_length(content)
-    texts = F.size("_texts")
+    e = {c: F.col("_e")[c] for c in _COUNTED}
+    n = e["tags"]
     features = {
-        "unique_tags": F.size("_uniq"),
+        "unique_tags": e["unique"],
         "total_tags": n,
-        "max_depth": F.coalesce(F.array_max("_depths"), F.lit(0)),
+        "max_depth": e["deepest"],
         "file_size": size,
-        "tag_diversity": _share(F.size("_uniq"), n),
-        "avg_attributes": _share(F.size("_vals"), n),
-        "top_tag_share": _share(F.coalesce(F.array_max("_freq"), F.lit(0)), n),
-        "avg_text_length": _share(_sum(F.transform("_texts", lambda t: F.length(t))), texts),
-        "total_attributes": F.size("_vals"),
+        "tag_diversity": _share(e["unique"], n),
+        "avg_attributes": _share(e["vals"], n),
+        "top_tag_share": _share(e["most"], n),
+        "avg_text_length": _share(e["text_chars"], e["texts"]),
+        "total_attributes": e["vals"],
         "tag_density": _share(n, size),
-        "depth_variance": _variance(F.col("_d1"), F.col("_d2"), n),
-        "attr_length_variance": _variance(_sum(F.col("_lens")), _sum(F.col("_lens"), 2), F.size("_lens")),
-        "sibling_mean": _share(F.col("_k2"), F.col("_k1")),
-        "sibling_variance": _variance(F.col("_k2"), F.col("_k3"), F.col("_k1")),
+        "depth_variance": _variance(e["d1"], e["d2"], n),
+        "attr_length_variance": _variance(e["v1"], e["v2"], e["vals"]),
+        "sibling_mean": _share(e["k2"], e["k1"]),
+        "sibling_variance": _variance(e["k2"], e["k3"], e["k1"]),
         # ancestor paths: those of the inner elements, and the empty one of the root
-        "path_diversity": _share(F.size("_inner") + 1, n),
-        "empty_ratio": _share(n - texts, n),
-        "leaf_ratio": _share(F.size(F.filter("_kids", lambda k: k == 0)), n),
-        "repeated_tag_ratio": _share(F.size(F.filter("_freq", lambda c: c > 1)), F.size("_uniq")),
-        "attr_name_ratio": _share(F.size("_names"), n),
-        "numeric_ratio": _share(F.size(F.filter("_texts", lambda t: t.rlike("^[0-9]+$"))), n),
+        "path_diversity": _share(e["inner"] + 1, n),
+        "empty_ratio": _share(n - e["texts"], n),
+        "leaf_ratio": _share(e["leaves"], n),
+        "repeated_tag_ratio": _share(e["repeated"], e["unique"]),
+        "attr_name_ratio": _share(e["names"], n),
+        "numeric_ratio": _share(e["numeric"], n),
     }
-    ok = F.col("_e").isNotNull()
-    out = df.withColumns(arrays).withColumns(counts).withColumns(freq)
-    out = out.withColumns({k: F.when(ok, v.cast("double")) for k, v in features.items()})
-    return out.drop("_e", *arrays, *counts, *freq)
+    out = df.withColumn("_e", structure_counts(F.col(content), tolerant))
+    return out.withColumns({k: F.when(F.col("_e").isNotNull(), v.cast("double")) for k, v in features.items()}).drop("_e")
 
 
 def key_element(els: Column, tags: Sequence[str] = ("CRD", "CRDID")) -> Column:

@@ -30,6 +30,27 @@ def test_features_by_hand(docs):
     assert f[4]["leaf_ratio"] == 1.0 and f[4]["sibling_mean"] == 0.0
 
 
+def test_counts_follow_the_element_list(spark):
+    texts = [DOC, "<a>12\n</a>", "<a>12&#13;&#10;</a>", "<a> 12 \n</a>", "<a>12&#8232;</a>", "<a>\t</a>", "<a b='x' c=''><b/><b/> t <c><b><b/></b></c></a>",
+             "<a>é😀<b x='😀' z='1'>٣</b></a>", "<a", "", "text only", "<p>1<br>2<li x=1 x=2 y>3</p>", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, x string")
+    total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda s, v: s + v)
+    for tolerant in (False, True):
+        e = df.withColumn("e", D.elements(F.col("x"), tolerant))
+        words = F.filter(F.transform("e", lambda e: F.trim(F.coalesce(e["text"], F.lit("")))), lambda t: t != "")
+        kids = F.transform("e", lambda e: e["children"])
+        values = F.flatten(F.transform("e", lambda e: F.map_values(e["attrs"])))
+        want = e.select("id", F.when(F.col("e").isNotNull(), F.struct(
+            F.size("e").alias("tags"), F.size(F.array_distinct(F.transform("e", lambda e: e["tag"]))).alias("unique"),
+            total(F.transform("e", lambda e: e["depth"] * e["depth"])).alias("d2"), total(F.transform(kids, lambda k: k * k * k)).alias("k3"),
+            F.size(F.array_distinct(F.transform(F.filter("e", lambda e: e["children"] > 0), lambda e: e["path"]))).alias("inner"),
+            F.size(words).alias("texts"), F.size(F.filter(words, lambda t: t.rlike("^[0-9]+$"))).alias("numeric"),
+            total(F.transform(values, lambda v: F.length(v))).alias("v1"), F.size(values).alias("vals"))).alias("c"))
+        got = e.select("id", D.structure_counts(F.col("x"), tolerant).alias("c"))
+        names = ("tags", "unique", "d2", "k3", "inner", "texts", "numeric", "v1", "vals")
+        assert rows(got.select("id", *[f"c.{n}" for n in names]), "id") == rows(want.select("id", *[f"c.{n}" for n in names]), "id")
+
+
 def test_basic_structure(docs):
     got = rows(docs.select("id", D.basic_structure(F.col("xml")).alias("s")).select("id", "s.total_tags", "s.max_depth", "s.total_attributes"), "id")
     assert got == [(1, 4, 2, 3), (2, None, None, None), (3, None, None, None), (4, 0, 0, 0)]
