@@ -69,10 +69,11 @@ def _narrowed(hashed: DataFrame, per: DataFrame) -> DataFrame:
 
 
 def flag_first_by_hash(
-    df: DataFrame, key: str, n: Column | int, by: Sequence[str] = (), out: str = "is_first"
+    df: DataFrame, key: str, n: Column | int, by: Sequence[str] = (), out: str = "is_first", hashed: bool = False
 ) -> DataFrame:
     """True for the first ``n`` rows (per group) in md5 order of a unique key
-    (rows that share a key are flagged together).
+    (rows that share a key are flagged together).  Where ``hashed``, the key is
+    a ``hash_order`` already.
 
     ``n`` may be an expression over ``_total``, the group's row count.  No row
     is sorted or moved to find them: rows are counted per hash prefix (map-side
@@ -84,8 +85,9 @@ def flag_first_by_hash(
     """
     wanted = n if isinstance(n, Column) else F.lit(n)
     group = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
-    hashed = df.select(group.alias("_g"), hash_order(F.col(key)).alias("h"), F.col(key).alias("k"))
-    counts = hashed.groupBy("_g", F.substring("h", 1, DIGITS).alias("_p")).agg(F.count("*").alias("c"))
+    order = F.col(key) if hashed else hash_order(F.col(key))
+    keys = df.select(group.alias("_g"), order.alias("h"), F.col(key).alias("k"))
+    counts = keys.groupBy("_g", F.substring("h", 1, DIGITS).alias("_p")).agg(F.count("*").alias("c"))
     run = counts.withColumns({
         "_upto": F.sum("c").over(W.partitionBy("_g").orderBy("_p")),
         "_total": F.sum("c").over(W.partitionBy("_g")),
@@ -97,16 +99,16 @@ def flag_first_by_hash(
         F.max(F.col("_n") >= F.col("_total")).alias("_whole"),
         F.max(F.when(hit, F.struct(F.col("_p").alias("p"), rank.alias("r"), "c"))).alias("_hit"),
     ))
-    per = _narrowed(hashed, per)
+    per = _narrowed(keys, per)
     at = per.where(F.col("_hit").isNotNull()).select("_g", F.col("_hit.p").alias("_p"), F.col("_hit.r").alias("_r"))
-    inside = dimension_join(hashed, at, ["_g"]).where(F.startswith("h", F.col("_p")))
+    inside = dimension_join(keys, at, ["_g"]).where(F.startswith("h", F.col("_p")))
     # keys are counted before they are ranked, so a repeated key is one row here
     ranked = inside.groupBy("_g", "_r", "h", "k").agg(F.count("*").alias("c"))
     ranked = ranked.withColumn("_cum", F.sum("c").over(W.partitionBy("_g").orderBy("h", "k")))
     reached = (F.col("_cum") >= F.col("_r")) & (F.col("_cum") - F.col("c") < F.col("_r"))
     nth = ranked.where(reached).select("_g", F.struct("h", "k").alias("_nth"))
     cuts = settle(per.select("_g", "_whole").join(nth, "_g", "left"))
-    own = F.struct(hash_order(F.col(key)).alias("h"), F.col(key).alias("k"))
+    own = F.struct(order.alias("h"), F.col(key).alias("k"))
     if by:
         tagged = dimension_join(df.withColumn("_g", group), cuts, ["_g"], "left")
         whole, last = F.col("_whole"), F.col("_nth")
@@ -130,9 +132,11 @@ def hash_split(df: DataFrame, key: str, fraction: float, out: str = "part") -> D
     return df.withColumn(out, F.when(is_train, "train").otherwise("test"))
 
 
-def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float, out: str = "part") -> DataFrame:
-    """Exactly floor(n_label * fraction) test rows per label, in md5 order."""
-    flagged = flag_first_by_hash(df, key, F.floor(F.col("_total") * F.lit(test_fraction)), [label], "_test")
+def stratified_split(
+    df: DataFrame, label: str, key: str, test_fraction: float, out: str = "part", hashed: bool = False
+) -> DataFrame:
+    """Exactly floor(n_label * fraction) test rows per label, in md5 order (of ``key``, or ``key`` itself where ``hashed``)."""
+    flagged = flag_first_by_hash(df, key, F.floor(F.col("_total") * F.lit(test_fraction)), [label], "_test", hashed)
     return flagged.withColumn(out, F.when(F.col("_test"), "test").otherwise("train")).drop("_test")
 
 

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from itertools import count
 
-from pyspark.ml import Pipeline
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.functions.numeric import hash_order
 from tabloom.operators.encoding import k_best
 from tabloom.operators.evaluation import binary_metrics
 from tabloom.operators.models import SEED, balanced_weights, sole_best
@@ -21,6 +23,7 @@ METADATA = ("consolidated_target string, target string, features string, mapped_
             "precision double, accuracy double, path string")
 SINGLE_VALUE = "single value"
 SEPARATOR = "_=_"
+_KEY = "_hashed_key"
 _MADE = ("features", "rawPrediction", "probability", "prediction")
 
 
@@ -44,27 +47,43 @@ def train_targets(
     where several share it.  A column that is 1 in every row is a target of one
     value, which needs no model; one that is never 1 is left out.  Returns the
     metadata, a row for each saved column.
+
+    Keys are hashed once for all targets.  A target's split is held until its
+    features are chosen; its fits read those features and weights alone.
     """
-    base = df.select(key, *features, *[F.col(f"`{t}`").cast("double").alias(t) for t in targets]).persist()
+    hashed = hash_order(F.col(key)).alias(_KEY)
+    base = df.select(hashed, *features, *[F.col(f"`{t}`").cast("double").alias(t) for t in targets]).persist()
+    split_so_far = count(1)
 
     def one(numbered: tuple[int, str]) -> tuple:
         i, target = numbered
         name, _, value = target.partition(SEPARATOR)
-        split = stratified_split(base.select(key, *features, F.col(f"`{target}`").alias("label")), "label", key, test_share).persist()
+        labelled = base.select(_KEY, *features, F.col(f"`{target}`").alias("label"))
+        split = stratified_split(labelled, "label", _KEY, test_share, hashed=True).select(*features, "label", "part").persist()
+        held = [split]
         try:
-            train, test = (split.where(F.col("part") == p) for p in ("train", "test"))
+            train, test = (split.where(F.col("part") == p).drop("part") for p in ("train", "test"))
             chosen = k_best(train, "label", features, k)
+            if next(split_so_far) == len(varied):
+                base.unpersist()
+            train, test = (d.select("label", *chosen) for d in (train, test))
+            train = balanced_weights(train, "label")
+            for part in (train, test):
+                held.append(part.persist())
+                part.count()
+            split.unpersist()
             families = {
                 "logistic": LogisticRegression(maxIter=50, weightCol="weight"),
                 "boosted": GBTClassifier(maxIter=rounds, seed=SEED),
                 "forest": RandomForestClassifier(numTrees=trees, seed=SEED),
             }
             stages, _ = input_stages(chosen)
-            weighted = balanced_weights(train, "label")
-            fitted = {f: Pipeline(stages=[*stages, e]).fit(weighted) for f, e in families.items()}
+            vectors = PipelineModel(stages).transform(train).select("label", "weight", "features")
+            fitted = {f: PipelineModel([*stages, e.fit(vectors)]) for f, e in families.items()}
             metric = {f: binary_metrics(m.transform(test), "label", "prediction").first() for f, m in fitted.items()}
         finally:
-            split.unpersist()
+            for part in held:
+                part.unpersist()
         win = sole_best({f: m["precision"] for f, m in metric.items()})
         path = save_model(fitted[win], f"{folder}/model-{i}")
         return (name, target, ",".join(chosen), value, win, float(metric[win]["precision"]), float(metric[win]["accuracy"]), path)
