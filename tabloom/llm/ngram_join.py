@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm.common import (keyed, letter_codes, map_texts, mix, own_columns, salted_join, stored, text_slices,
@@ -41,8 +41,11 @@ WORDS = 5
 SHARE, OF = 3, 4  # links at intersection / union >= SHARE / OF
 KEYS = 4  # pairs of minimal hashes by which highly similar sets meet
 HEAVY = 8  # a shingle of so many documents is common, at least
-HEAVY_LIST = 1 << 22  # common shingles at most: what is sent to the tasks is bounded
-FEW_ROWS = 1_000_000  # pairs up to this number are sent to the texts, more are joined with them
+HEAVY_LIST = 1 << 22  # common shingles at most: more would fill the bitmap that is sent to the tasks
+MAP_BITS = 26  # a bitmap that is sent to the tasks has 2^26 bits at most, that is 8 MB
+BLOCK_BITS = 1 << 15  # bits of a bitmap's block, as bitmap_construct_agg makes them
+FEW_ROWS = 1_000_000  # gone rows (one long each) up to this number are sent to the documents, more are joined with them
+SENT_ROWS = 200_000  # rows of pairs up to this number are sent to the texts, of more only a bitmap of their keys
 PART_ENTRIES = 400_000  # index entries that a task sorts
 STAR = 2048  # partners of one set that a task compares
 COUNTED = 1_000_000  # shingles that a task counts at once
@@ -120,8 +123,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # -- common shingles ----------------------------------------------------------
 
-def _count_buckets(bits: int, parts: int):
-    """Counts of shingle buckets, by range: small numbers of small steps, which compress."""
+def _count_buckets(bits: int, parts: int, listed: np.ndarray | None = None):
+    """Counts of shingle buckets in the rows of the key map ``listed``, by range: small numbers of small steps, which compress."""
     low = bits - (parts.bit_length() - 1)
 
     def pack(tokens: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +137,7 @@ def _count_buckets(bits: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for _, s in _sets(batch):
+            for _, s in _sets(batch if listed is None else _may_be(batch, listed)):
                 held.append(s)
                 size += len(s)
                 if size > COUNTED:
@@ -146,12 +149,13 @@ def _count_buckets(bits: int, parts: int):
     return run
 
 
-def common_shingles(texts: DataFrame, total: int) -> tuple[np.ndarray, int]:
-    """(buckets, bits): the hash buckets that so many documents share that they come last in the index order.
+def common_shingles(texts: DataFrame, total: int, listed: np.ndarray) -> tuple[np.ndarray, int]:
+    """(bitmap, bits): which prefixes of so many bits of a hash so many documents share that they come last in the index order.
 
     Every shingle is counted. The order is the same for all sets whatever falls
     into a bucket; buckets only decide which shingles are dear to list. Of more
-    than HEAVY_LIST such buckets those of the highest counts are taken.
+    than HEAVY_LIST such buckets those of the highest counts are taken. The bitmap
+    is made by tasks; the driver gets its bytes alone, never the list.
     """
     bits = min(40, max(16, max(total, 1).bit_length()))
     parts = 1 << max(0, min(bits - 8, bits - 19))
@@ -166,7 +170,7 @@ def common_shingles(texts: DataFrame, total: int) -> tuple[np.ndarray, int]:
         many = np.flatnonzero(counts >= HEAVY)
         return pd.DataFrame({"bucket": many + (part << low), "docs": counts[many]})
 
-    counted = map_texts(texts, _count_buckets(bits, parts), "part long, steps binary, counts binary")
+    counted = map_texts(texts, _count_buckets(bits, parts, listed), "part long, steps binary, counts binary")
     found = stored(counted.groupBy("part").applyInPandas(heavy, "bucket long, docs long"), "common")
     # the lowest count that leaves HEAVY_LIST buckets at most; powers of two keep its table short
     sizes = found.groupBy(F.floor(F.log2("docs")).alias("power")).agg(F.count("*").alias("n")).orderBy(F.desc("power")).collect()
@@ -176,31 +180,49 @@ def common_shingles(texts: DataFrame, total: int) -> tuple[np.ndarray, int]:
         if taken > HEAVY_LIST:
             break
         least = 1 << r["power"]
+    mapped = min(bits, MAP_BITS)
     if least is None:
-        return np.zeros(0, np.uint64), bits
-    buckets = found.filter(F.col("docs") >= least).select("bucket").toPandas()["bucket"]
-    return np.sort(buckets.to_numpy(np.int64)).astype(np.uint64), bits
+        return np.zeros(0, np.uint8), mapped
+    return _bitmap(found.filter(F.col("docs") >= least), F.shiftright("bucket", bits - mapped), mapped), mapped
+
+
+# -- bitmaps ------------------------------------------------------------------
+
+def _bitmap(rows: DataFrame, place: Column, bits: int) -> np.ndarray:
+    """2^bits bits, in bytes, of which those are set that ``place`` names; 2^bits / 8 bytes reach the driver, whatever the rows."""
+    out = np.zeros(max(1 << bits, BLOCK_BITS) // 8, np.uint8)
+    at = rows.select(F.floor(place / BLOCK_BITS).cast("int").alias("block"), (place % BLOCK_BITS).cast("long").alias("bit"))
+    # dealt first: a task has whole blocks, not a part of each
+    for r in at.repartition("block").groupBy("block").agg(F.bitmap_construct_agg("bit").alias("body")).collect():
+        body = np.frombuffer(r["body"], np.uint8)
+        out[r["block"] * (BLOCK_BITS // 8):][: len(body)] = body
+    return out
+
+
+def _is_set(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
+    at = places.astype(np.int64)
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+
+def _key_map(rows: DataFrame, key: str) -> np.ndarray:
+    """A bitmap by which tasks leave out nearly all rows of other keys, and none of these."""
+    k = F.col(key)
+    folded = k.bitwiseXOR(F.shiftrightunsigned(k, MAP_BITS)).bitwiseXOR(F.shiftrightunsigned(k, 2 * MAP_BITS))
+    return _bitmap(rows, folded.bitwiseAND(F.lit((1 << MAP_BITS) - 1)), MAP_BITS)
+
+
+def _may_be(batch: pa.RecordBatch, keys: np.ndarray) -> pa.RecordBatch:
+    """The rows of ``batch`` (row_key, ..) whose key may be one of a key map's."""
+    k, bits = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), (8 * len(keys)).bit_length() - 1
+    folded = (k ^ (k >> np.uint64(bits)) ^ (k >> np.uint64(2 * bits))) & np.uint64(8 * len(keys) - 1)
+    return batch.filter(pa.array(_is_set(keys, folded)))
 
 
 # -- index --------------------------------------------------------------------
 
-def _list_entries(common: np.ndarray, bits: int, parts: int):
-    """Blocks of index entries (shingle, row, set size, shingles after it) by shingle range."""
+def _list_entries(common: np.ndarray, bits: int, parts: int, listed: np.ndarray):
+    """Blocks of index entries (shingle, row, set size, shingles after it) by shingle range, of rows in the key map ``listed``."""
     width = 1 << max(1, 64 - (parts - 1).bit_length()) if parts > 1 else 0
-    near = np.zeros(1 << 20, bool)
-    if len(common):
-        near[common >> np.uint64(max(0, bits - 20)) if bits > 20 else common << np.uint64(20 - bits)] = True
-
-    def is_common(s: np.ndarray) -> np.ndarray:
-        out = near[s >> np.uint64(44)]
-        if bits < 20:  # a coarse bucket covers several of the filter's
-            out = np.ones(len(s), bool)
-        at = np.flatnonzero(out)
-        if len(at):
-            b = s[at] >> np.uint64(64 - bits)
-            k = np.minimum(np.searchsorted(common, b), len(common) - 1)
-            out[at] = common[k] == b
-        return out
 
     def pack(tokens, keys, sizes, rests) -> Iterator[pa.RecordBatch]:
         lengths = np.array([len(t) for t in tokens])
@@ -223,6 +245,7 @@ def _list_entries(common: np.ndarray, bits: int, parts: int):
         held: tuple[list, list, list, list] = ([], [], [], [])
         total = 0
         for batch in batches:
+            batch = _may_be(batch, listed)
             row_keys = batch.column(0).to_pylist()
             for row, s in _sets(batch):
                 n = len(s)
@@ -230,7 +253,7 @@ def _list_entries(common: np.ndarray, bits: int, parts: int):
                     continue
                 p = prefix_size(n)
                 if len(common):
-                    often = is_common(s)
+                    often = _is_set(common, s >> np.uint64(64 - bits))
                     if often.any():
                         s = np.concatenate([s[~often], s[often]])
                 for column, value in zip(held, (s[:p], row_keys[row], n, np.arange(n - 1, n - 1 - p, -1))):
@@ -351,8 +374,11 @@ def sets_met(rows: DataFrame, pairs: DataFrame, run, shape: str) -> DataFrame:
         F.lit(0), F.ceil(F.col("fan") / STAR).cast("int") - 1)).alias("salt"), F.lit(False).alias("is_member"),
         F.col("a").alias("row_key"))
     wanted = stored(members.union(centers), "wanted")
-    asked = wanted if wanted.count() > FEW_ROWS else F.broadcast(wanted)
-    texts = rows.select("row_key", "text").join(asked, "row_key").select("center", "salt", "is_member", "row_key", "text")
+    texts, asked = rows.select("row_key", "text"), F.broadcast(wanted)
+    if wanted.count() > SENT_ROWS:
+        keys, asked = _key_map(wanted, "row_key"), wanted
+        texts = map_texts(texts, lambda batches: (_may_be(batch, keys) for batch in batches), texts.schema)
+    texts = texts.join(asked, "row_key").select("center", "salt", "is_member", "row_key", "text")
     sets = map_texts(texts, _as_sets, "center long, salt int, is_member boolean, row_key long, hashes binary")
     dealt = sets.repartition("center", "salt").sortWithinPartitions("center", "salt", "is_member")
     return stored(map_texts(dealt, run, shape), "met")
@@ -369,10 +395,11 @@ LINKED = f"overlap * {SHARE + OF} >= {SHARE} * (na + nb)"
 # -- the join -----------------------------------------------------------------
 
 def _index_pairs(texts: DataFrame, total: int, leads: DataFrame) -> DataFrame:
-    """Candidate pairs of leaders (a, b) from the index over one row of each class."""
-    common, bits = common_shingles(texts, total)
+    """Candidate pairs of leaders (a, b) from the index over one row of each class (``leads`` has one of each)."""
+    listed = _key_map(leads, "row_key")
+    common, bits = common_shingles(texts, total, listed)
     parts = 1 << max(0, (total // OF // PART_ENTRIES).bit_length())
-    blocks = map_texts(texts, _list_entries(common, bits, parts), "part long, token binary, row_key binary, n binary, rest binary")
+    blocks = map_texts(texts, _list_entries(common, bits, parts, listed), "part long, token binary, row_key binary, n binary, rest binary")
     shared = blocks.groupBy("part").applyInPandas(_shared, "token long, row_key long, n long, rest long")
     entries = shared.join(leads, "row_key").groupBy("token", "lead").agg(
         F.min("grp").alias("grp"), F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("rest"))
@@ -404,12 +431,9 @@ def linked_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         "row_key", "n", F.coalesce("a", "row_key").alias("lead"), F.coalesce("grp", "row_key").alias("grp"),
         F.coalesce("overlap", "n").alias("with_lead")), "leads")
 
-    # only the first of equal sets is listed, so copies bring no entries into a list's task
-    copies = stored(signatures.filter("n > 0").select("row_key").join(
-        classes.select(F.col("rep").alias("row_key")), "row_key", "left_anti"), "copies")
-    single = texts.join(copies if copies.count() > FEW_ROWS else F.broadcast(copies), "row_key", "left_anti")
+    # only the first of equal sets is listed (leads hold no others), so copies bring no entries into a list's task
     total = classes.agg(F.sum("n")).head()[0] or 0
-    pairs = _index_pairs(single, total, leads.select("row_key", "lead", "grp"))
+    pairs = _index_pairs(texts, total, leads.select("row_key", "lead", "grp"))
     compared = overlaps(texts, pairs)
     found = near.select("a", "b").union(compared.filter(LINKED).select("a", "b"))
 

@@ -114,6 +114,27 @@ def test_near_duplicates_match_brute_force(docs, monkeypatch, seed, heavy):
     assert got == components_by_force(rows)
 
 
+def test_near_duplicates_send_bitmaps_not_lists_to_tasks(docs, spark, monkeypatch):
+    """What reaches the driver doesn't grow with common shingles or with the rows that meet."""
+    monkeypatch.setattr(ngram_join, "HEAVY", 2)
+    monkeypatch.setattr(ngram_join, "SENT_ROWS", 0, raising=False)
+    sent, plain = [], ngram_join.map_texts
+
+    def seen(df, run, shape):
+        sent.append(sum(c.cell_contents.nbytes for c in run.__closure__ or () if hasattr(c.cell_contents, "nbytes")))
+        return plain(df, run, shape)
+
+    monkeypatch.setattr(ngram_join, "map_texts", seen)
+    monkeypatch.setattr(ngram_join, "MAP_BITS", 16, raising=False)
+    rng = random.Random(3)
+    base = [[f"{rng.randrange(1 << 20):x}" for _ in range(800)] for _ in range(25)]
+    rows = [(3 * i + c, " ".join(t[: 800 - 100 * c])) for i, t in enumerate(base) for c in range(3)]
+    rows += [(-4, rows[0][1]), (1 << 40, rows[3][1]), (900, None)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs(*rows)).collect()}
+    assert got == components_by_force(rows)
+    assert 0 < max(sent) <= 2 * (1 << 16) // 8  # before: 8 bytes for each of some 15,000 common shingles
+
+
 def test_near_duplicates_of_nothing_and_of_repeated_rows(docs):
     assert ngram_join.near_duplicates(docs().limit(0)).count() == 0
     t = "one two three four five six seven"
