@@ -20,6 +20,7 @@ from tabloom.sources.writers import (
     export_flat,
     export_hashed,
     replace_slice,
+    write_documents,
     write_partitioned,
 )
 
@@ -93,9 +94,7 @@ def a06(t: Tables):
 select page_id, cast(strlen(html) + 1 as bigint) as size, md5(html || chr(10)) as digest from pages""")
 def a07(t: Tables):
     path = scratch_path(t.spark, "a07")
-    # a file for each page: all cores write, and tasks put their files in place, not the driver one by one
-    pages = t.pages.select("page_id", "html").repartition(2 * t.spark.sparkContext.defaultParallelism, "page_id")
-    pages.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("page_id").text(path)
+    write_documents(t.pages, path, "page_id", "html")
     page = F.regexp_extract("path", r"page_id=(\d+)", 1).cast("long").alias("page_id")
     return read_corpus(t.spark, path, "*.txt").select(page, "size", F.md5(F.encode("content", "UTF-8")).alias("digest"))
 

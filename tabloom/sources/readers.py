@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+READ_TASKS = 4  # tasks a core, at least, that read small documents
+
+
 def string_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
@@ -106,7 +109,11 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def read_corpus(spark: SparkSession, path: str, glob: str = "*", binary: bool = False) -> DataFrame:
-    """One row per whole document: path, filename, size, content."""
+    """One row per whole document: path, filename, size, content.
+
+    Spark counts a file of any size as some megabytes, so a task would read a few documents only; text files are read
+    by tasks of as many bytes as the session allows.
+    """
     if binary:
         files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
         return files.select(
@@ -116,12 +123,15 @@ def read_corpus(spark: SparkSession, path: str, glob: str = "*", binary: bool =
             F.decode("content", "UTF-8").alias("content"),
         )
     text = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
+    size = int(str(text._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    most = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes")))
+    tasks = max(READ_TASKS * spark.sparkContext.defaultParallelism, -(-size // most))
     return text.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_name").alias("filename"),
         F.col("_metadata.file_size").alias("size"),
         F.col("value").alias("content"),
-    )
+    ).coalesce(tasks)
 
 
 def read_with_schema(

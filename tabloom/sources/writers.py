@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.functions.text import pii_hash
 
+FOLDER_FILES = 4096  # documents that a task writes, into a folder of its own
+
 
 def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], mode: str = "append") -> None:
     df.write.mode(mode).partitionBy(*keys).parquet(path)
@@ -40,6 +45,55 @@ def replace_slice(df: DataFrame, path: str, keys: Sequence[str], slices: Sequenc
     )
 
 
+def _local_path(spark: SparkSession, path: str) -> str | None:
+    """The path in the machine's own file system, or None where ``path`` lies in another one."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
+def write_documents(df: DataFrame, path: str, key: str, body: str) -> None:
+    """A text file for each value of ``key``, named ``..key=value..``, with a line for each of its rows.
+
+    On a local or mounted folder tasks write ``part=N/part-N-key=value.txt`` by plain file calls. Spark's own writer
+    makes two folders, a checksum file and renames for each document, and in a local file system starts a process for
+    each of their permissions; its folders must then be listed one by one. It is used for other file systems.
+    """
+    spark = df.sparkSession
+    tasks = max(2 * spark.sparkContext.defaultParallelism, -(-df.count() // FOLDER_FILES))
+    rows = df.select(key, body).repartition(tasks, key)
+    root = _local_path(spark, path)
+    if root is None:
+        rows.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(key).text(path)
+        return
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        folder, start = f"{root}/part={task.partitionId()}", f"part-{task.partitionId():05d}"
+        os.makedirs(folder, exist_ok=True)
+        written, name, out = 0, None, None
+        # under a hidden name until it is whole, so that a task that runs again leaves no torn file
+        hidden = f"{folder}/.{start}-{task.taskAttemptId()}"
+        for batch in batches:
+            for value, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                file = f"{folder}/{start}-{_folder_part(key, value)}.txt"
+                if file != name:
+                    if out is not None:
+                        out.close()
+                        os.replace(hidden, name)
+                    name, out = file, open(hidden, "wb")
+                    written += 1
+                out.write((text or b"") + b"\n")
+        if out is not None:
+            out.close()
+            os.replace(hidden, name)
+        yield pa.RecordBatch.from_arrays([pa.array([written], pa.int64())], ["n"])
+
+    os.makedirs(root)
+    ordered = rows.select(key, F.col(body).cast("binary").alias(body)).sortWithinPartitions(key)
+    ordered.mapInArrow(run, "n long").agg(F.sum("n")).collect()
+
+
 def append_jdbc(df: DataFrame, url: str, table: str, options: Mapping[str, str] | None = None) -> None:
     df.write.format("jdbc").options(url=url, dbtable=table, **(options or {})).mode("append").save()
 

@@ -1,6 +1,7 @@
 """Steps that one task or the driver used to do alone, or again and again."""
 
 import glob
+import hashlib
 import os
 import re
 
@@ -22,6 +23,28 @@ def test_pages_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     assert len({re.match(r"part-(\d+)", os.path.basename(f)).group(1) for f in files}) > 1
 
 
+def test_pages_share_folders_and_the_tasks_that_read_them(spark, tmp_path, monkeypatch):
+    base.load_all()
+    rows = [(i, f"<p>{i}é") for i in range(200)] + [(200, None), (201, ""), (202, "a\r\nb\n"), (7, "<p>7é"), (200, "x")]
+    spark.createDataFrame(rows, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    monkeypatch.setattr(sources, "scratch_path", lambda *_: str(tmp_path / "out"))
+    found = base.QUERIES["a07_read_corpus"](spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism < 203
+    want = {i: f"<p>{i}é\n".encode() for i in range(200)} | {201: b"\n", 202: b"a\r\nb\n\n", 7: "<p>7é\n<p>7é\n".encode()}
+    got = {r["page_id"]: (r["size"], r["digest"]) for r in found.collect()}
+    assert got.pop(200) in [(3, hashlib.md5(x).hexdigest()) for x in (b"\nx\n", b"x\n\n")]
+    assert got == {i: (len(x), hashlib.md5(x).hexdigest()) for i, x in want.items()}
+    # before: a folder for each page, and a checksum file
+    assert len(os.listdir(tmp_path / "out")) <= 2 * spark.sparkContext.defaultParallelism
+    assert sum(len(files) for _, _, files in os.walk(tmp_path / "out")) == 203
+
+
+def test_no_pages_make_an_empty_corpus(spark, tmp_path):
+    base.load_all()
+    spark.createDataFrame([], "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    assert base.QUERIES["a07_read_corpus"](spark, str(tmp_path)).collect() == []
+
+
 def test_a_ladder_of_fits_works_its_rows_out_once(spark):
     seen = spark.sparkContext.accumulator(0)
 
