@@ -70,11 +70,12 @@ def _split(df, key):
     return s.where(F.col("part") == "train"), s.where(F.col("part") == "test")
 
 
-def _stored_split(df, key):
+def _stored_split(df, key, keep_key: bool = True):
     """The split of rows that many jobs read: joins and hashes are worked out once."""
     from tabloom.operators.sets import hash_split
 
-    s = stored(hash_split(df.select(key, "features", "label"), key, 0.8), "split")
+    s = hash_split(df.select(key, "features", "label"), key, 0.8)
+    s = stored(s if keep_key else s.drop(key), "split")
     return s.where(F.col("part") == "train"), s.where(F.col("part") == "test")
 
 
@@ -182,7 +183,7 @@ def l06s(t: Tables):
 
 @query("l07_tree_families")
 def l07(t: Tables):
-    train, test = _stored_split(price_rows(t), "row_id")
+    train, test = _stored_split(price_rows(t), "row_id", keep_key=False)
     out = [V.regression_metrics(L.tree_family(k, "regress", 10, 5).fit(train).transform(test), "label", "prediction").select(
         F.lit(k + " regress").alias("model"), "n", rd("r2", 4).alias("score")) for k in ("forest", "boosted")]
     a, b = _split(labelled_vectors(t), "vec_id")

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -38,9 +40,12 @@ from tabloom.operators.sets import (
     flag_first_by_hash,
 )
 from tabloom.operators.similarity import nearest
-from tabloom.session import settle
+from tabloom.session import settle, stored
 
 SEED = 7
+CELL_ROWS = 2_000_000  # rows from which on boosted regressions look for cells
+ROWS_A_CELL = 4  # rows of a cell on average, at least, that make cells worth it
+CELL_VALUES = 16  # values of a vector, at most, that name a cell
 MOMENT_VALUES = 200  # values of a vector up to which a grid of regressions is searched on sums
 
 
@@ -160,13 +165,88 @@ def _search(lr: LinearRegression, maps: Sequence[dict], folds: int, evaluator: R
     return CrossValidator(estimator=lr, estimatorParamMaps=maps, numFolds=folds, foldCol="fold", evaluator=evaluator, parallelism=4)
 
 
+class CellBoostedRegressor(GBTRegressor):
+    """Boosted regression trees that need one pass over many rows, not one for each level of each tree.
+
+    Trees see a row only by the bin of each of its values, and a boosted tree of squared errors needs no more than the
+    number and the sum of the labels of a bin: squares within a cell (rows that share all bins) are the same on both
+    sides of each split. So rows are added up by cell and Spark's own trees are fitted on weighted cells, one for all
+    their rows. A value of few kinds has a bin for each; others have ``maxBins`` of about as many rows, from all rows
+    where Spark draws a sample. Rows are fitted one by one where they are few, or cells as many as they,
+    and where a parameter asks for single rows.
+    """
+
+    def _fit(self, dataset: DataFrame):
+        cells = None if self._wants_rows() else tree_cells(dataset, self.getFeaturesCol(), self.getLabelCol(), self.getMaxBins())
+        if cells is None:
+            return super()._fit(dataset)
+        # of up to maxBins^2 rows Spark takes all to find its splits
+        bins = max(self.getMaxBins(), math.isqrt(cells.count()) + 1)
+        own = self.copy({self.weightCol: "weight", self.maxBins: bins, self.featuresCol: "features", self.labelCol: "label"})
+        return self._copyValues(super(CellBoostedRegressor, own)._fit(cells))
+
+    def _wants_rows(self) -> bool:
+        odd = any(self.isSet(p) for p in (self.weightCol, self.validationIndicatorCol))
+        return (odd or self.getLossType() != "squared" or self.getSubsamplingRate() != 1.0 or self.getMinInstancesPerNode() != 1
+                or self.getFeatureSubsetStrategy() != "all" or self.getMinInfoGain() != 0.0 or self.getMinWeightFractionPerNode() != 0.0)
+
+
+def tree_cells(df: DataFrame, features: str, label: str, bins: int) -> DataFrame | None:
+    """(features, label, weight): one row for each cell of ``df``, stored, or None where rows are as well taken as they are.
+
+    A value's bin is that of the nearest of up to ``bins`` values: all that occur, or the middles of as many quantiles;
+    Spark's splits, half-way between neighbours, lie where these bins end. The label is the mean.
+    """
+    rows = df.count()
+    width = 0
+    if rows >= CELL_ROWS:
+        width = df.select(F.size(vector_to_array(features)).alias("n")).first()["n"]
+    if not 0 < width <= CELL_VALUES:
+        return None
+    x, y = vector_to_array(features), F.col(label).cast("double")
+    flat = df.select(*[x[i].alias(f"x{i}") for i in range(width)], y.alias("y"))
+    names = flat.columns[:-1]
+    middles = [(i + 0.5) / bins for i in range(bins)]
+    odd = reduce(lambda a, b: a | b, [~F.coalesce(F.abs(c) < float("inf"), F.lit(False)) for c in flat.columns])
+    seen = flat.agg(F.count_if(odd).alias("odd"), *[F.approx_count_distinct(c).alias(f"n_{c}") for c in names],
+                    *[F.percentile_approx(c, middles, 10_000).alias(c) for c in names]).first()
+    if seen["odd"]:
+        return None
+    few = [c for c in names if seen[f"n_{c}"] <= 2 * bins]  # the count is an estimate
+    kinds = flat.agg(F.lit(0), *[F.collect_set(c).alias(c) for c in few]).first().asDict()
+    values = [np.unique(kinds[c] if c in few and len(kinds[c]) <= bins else seen[c]) for c in names]
+    sizes = [len(v) for v in values]
+    if math.prod(sizes) * ROWS_A_CELL > rows:
+        return None
+    ends = [(v[1:] + v[:-1]) / 2 for v in values]
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [np.searchsorted(e, c.to_numpy(zero_copy_only=False)) for e, c in zip(ends, batch.columns)]
+            cell = np.ravel_multi_index(columns, sizes) if batch.num_rows else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int64)), batch.columns[-1]], ["cell", "y"])
+
+    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unravel_index(batch.column(0).to_numpy(), sizes)
+            x = np.column_stack([v[i] for v, i in zip(values, at)])
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * width), pa.array(x.ravel()))
+            yield pa.RecordBatch.from_arrays([lists, *batch.columns[1:]], ["x", "label", "weight"])
+
+    sums = flat.mapInArrow(named, "cell long, y double").groupBy("cell").agg(
+        F.avg("y").alias("label"), F.count("*").cast("double").alias("weight"))
+    cells = sums.repartition(2 * df.sparkSession.sparkContext.defaultParallelism).mapInArrow(
+        spelled, "x array<double>, label double, weight double")
+    return stored(cells.select(array_to_vector("x").alias("features"), "label", "weight"), "cells")
+
+
 def tree_family(kind: str, task: str, trees: int = 20, depth: int = 5):
     """forest / boosted / tree estimators for classify or regress."""
     table = {
         ("forest", "classify"): lambda: RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED),
         ("forest", "regress"): lambda: RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=SEED),
         ("boosted", "classify"): lambda: GBTClassifier(maxIter=trees, maxDepth=depth, seed=SEED),
-        ("boosted", "regress"): lambda: GBTRegressor(maxIter=trees, maxDepth=depth, seed=SEED),
+        ("boosted", "regress"): lambda: CellBoostedRegressor(maxIter=trees, maxDepth=depth, seed=SEED),
         ("tree", "classify"): lambda: DecisionTreeClassifier(maxDepth=depth, seed=SEED),
         ("tree", "regress"): lambda: DecisionTreeRegressor(maxDepth=depth, seed=SEED),
     }

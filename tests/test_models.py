@@ -194,3 +194,36 @@ def test_models_read_stored_rows(spark):
     for got, want in zip(stored, plain):
         assert sorted(map(tuple, got.select("id", "features", "label").collect())) == sorted(map(tuple, want.select("id", "features", "label").collect()))
         assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_boosted_regressions_are_fitted_on_cells_with_the_same_trees(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    x = np.column_stack([rng.integers(0, 6, 4000) / 2, rng.choice([-1.0, 0.0, 7.0], 4000, p=[0.495, 0.495, 0.01]), rng.integers(1, 9, 4000)])
+    pdf = pd.DataFrame(x, columns=list("abc")).assign(label=x[:, 0] * x[:, 2] + 5 * (x[:, 1] > 0) + rng.normal(size=4000))
+    df = E.assemble(spark.createDataFrame(pdf), list("abc")).persist()
+    monkeypatch.setattr(L, "CELL_ROWS", 1000, raising=False)
+    fitted, plain = [], L.GBTRegressor._fit
+    monkeypatch.setattr(L.GBTRegressor, "_fit", lambda self, data: fitted.append(data.count()) or plain(self, data), raising=False)
+    model = L.tree_family("boosted", "regress", 5, 3).fit(df)
+    assert fitted == [len(pdf.drop_duplicates(list("abc")))]  # before: all 4,000 rows
+    rows = L.GBTRegressor(maxIter=5, maxDepth=3, seed=L.SEED).fit(df)
+    assert model.treeWeights == rows.treeWeights
+    a, b = (np.array([r[0] for r in m.transform(df).select("prediction").collect()]) for m in (model, rows))
+    assert np.allclose(a, b, rtol=1e-9)
+
+
+def test_cells_of_continuous_values_cover_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(L, "CELL_ROWS", 1000)
+    rng = np.random.default_rng(13)
+    pdf = pd.DataFrame({"a": rng.exponential(size=5000), "b": rng.integers(0, 4, 5000).astype(float), "label": rng.normal(size=5000)})
+    df = E.assemble(spark.createDataFrame(pdf), ["a", "b"])
+    cells = L.tree_cells(df, "features", "label", 32).toPandas()
+    assert cells.weight.sum() == 5000 and 100 < len(cells) <= 128
+    assert (cells.label * cells.weight).sum() == pytest.approx(pdf.label.sum())
+    sizes = cells.assign(a=[f[0] for f in cells.features]).groupby("a").weight.sum()
+    assert len(sizes) == 32 and sizes.max() < 2 * 5000 / 32
+    # nothing to gain, too few rows, or a value that a fit refuses: the rows themselves are fitted
+    assert L.tree_cells(df, "features", "label", 2000) is None
+    assert L.tree_cells(df.limit(500), "features", "label", 32) is None
+    odd = df.withColumn("label", F.when(F.col("b") > 2, float("nan")).otherwise(F.col("label")))
+    assert L.tree_cells(odd, "features", "label", 32) is None
