@@ -57,7 +57,7 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _matrix(col: pd.Series) -> np.ndarray:
-    return np.stack(col.to_numpy()).astype(np.float64)
+    return np.stack(col.to_numpy()).astype(np.float64, copy=False)
 
 
 def _assign(base: DataFrame, pivots: np.ndarray, bundles: np.ndarray | None = None) -> DataFrame:

@@ -28,6 +28,7 @@ from tabloom.session import settle
 TABLES = 12
 PROBES = 12
 BUCKET_ROWS = 512
+CODED_ROWS = 1024  # vectors whose buckets are worked out at once; each takes some 20 kB meanwhile
 NEAR_PLANES = 6  # planes whose crossings are probed, at most
 SEED = 7
 
@@ -60,16 +61,15 @@ def bucket_codes(vectors: np.ndarray, planes: np.ndarray, probes: int) -> np.nda
 
 
 def _coded(df: DataFrame, planes: np.ndarray, probes: int) -> DataFrame:
-    """(id, vec, cell): one row for each bucket of a vector."""
+    """(id, vec, cell): one row for each bucket of a vector; Python holds each vector once, Spark copies it row by row."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if len(pdf):
-                codes = bucket_codes(_matrix(pdf["vec"]), planes, probes).reshape(len(pdf), -1)
-                at = np.repeat(np.arange(len(pdf)), codes.shape[1])
-                yield pd.DataFrame({"id": pdf["id"].to_numpy()[at], "vec": pdf["vec"].to_numpy()[at], "cell": codes.ravel()})
+            for first in range(0, len(pdf), CODED_ROWS):
+                some = pdf.iloc[first: first + CODED_ROWS]
+                yield some.assign(cells=list(bucket_codes(_matrix(some["vec"]), planes, probes).reshape(len(some), -1)))
 
-    shape = T.StructType([df.schema["id"], df.schema["vec"], T.StructField("cell", T.LongType())])
-    return df.select("id", "vec").mapInPandas(run, shape)
+    shape = T.StructType([df.schema["id"], df.schema["vec"], T.StructField("cells", T.ArrayType(T.LongType()))])
+    return df.select("id", "vec").mapInPandas(run, shape).select("id", "vec", F.explode("cells").alias("cell"))
 
 
 def _crowded(coded: DataFrame, block_rows: int, out: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """The hashed vector join: recall against the exact join, and what must hold at any recall."""
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tabloom.operators import vector_hash as V
@@ -48,6 +49,20 @@ def test_work_does_not_grow_with_the_table(spark):
     assert met[1] < 1.6 * met[0]
 
 
+def test_python_holds_a_vector_once_not_once_for_each_bucket(spark, monkeypatch):
+    v = clustered(6, 3000)
+    df, runs = vectors(spark, enumerate(v)), []
+    plain = type(df).mapInPandas
+    monkeypatch.setattr(type(df), "mapInPandas", lambda self, run, *rest: runs.append(run) or plain(self, run, *rest))
+    planes = V.planes_for(5, 7, v.shape[1])
+    got = V._coded(df, planes, 9)
+    frames = list(runs[0](iter([pd.DataFrame({"id": np.arange(len(v)), "vec": list(v)})])))
+    assert sum(map(len, frames)) == len(v) and max(map(len, frames)) <= 1024  # before: 135,000 rows in one frame
+    want = [(i, c) for i, row in enumerate(V.bucket_codes(v, planes, 9).reshape(len(v), -1).tolist()) for c in row]
+    assert sorted((r["id"], r["cell"]) for r in got.select("id", "cell").collect()) == sorted(want)
+    assert got.where("id = 7").select("vec").distinct().collect() == [(v[7].tolist(),)]
+
+
 def test_own_bucket_first_and_probes_differ():
     rng = np.random.default_rng(4)
     v = rng.normal(size=(50, 8))
